@@ -158,3 +158,162 @@ _KEYS_JOIN = " AND ".join(f't."{c}" IS NOT DISTINCT FROM k."{c}"' for c in S.DED
 def dedupe_keys(spark, sf_dir):
     """D2 scope="keys": newest copy, over all copies, of every key touched by the range."""
     return D.dedupe_keys(_typed(spark, sf_dir), X.RANGE_START, X.RANGE_END)
+
+
+# --- F1, F2, S2..S9: ranges and day files ------------------------------------
+
+DAYS_START, DAYS_END = "2024-01-29", "2024-02-02"  # the last two days have no file
+NAME_PICK = ["20240110_OTA.parquet", "20240111_OTA.parquet", "20240112_OTA.parquet"]
+FILTER_START = "20240125"
+
+_RAW27 = ", ".join(f'"{c}"' for c in S.RAW_COLUMNS)
+_BASENAME = "regexp_extract(source_file, '([^/]+)/?$', 1)"
+_DAY_SQL = O.typed_rules()["source_day"]
+_SPLIT_KEY = "strftime(make_timestamp(\"timestamp\" // 1000), '%Y%m%d')"
+_SPLIT_SQL = (
+    f"SELECT {_RAW27}, {_SPLIT_KEY} AS day_key, {_SPLIT_KEY} || '_OTA.parquet' AS file_name "
+    "FROM raw WHERE \"timestamp\" IS NOT NULL"
+)
+
+
+@register(
+    "date_range_days",
+    O.prelude(
+        extra={
+            "stats": f"SELECT {_DAY_SQL} AS day, count(DISTINCT source_file) AS n_files, count(*) AS n_rows FROM raw "
+            f"WHERE COALESCE({_DAY_SQL} BETWEEN DATE '{DAYS_START}' AND DATE '{DAYS_END}', FALSE) GROUP BY 1",
+            "days": f"SELECT CAST(d AS DATE) AS day FROM generate_series(DATE '{DAYS_START}', DATE '{DAYS_END}', "
+            "INTERVAL 1 DAY) t(d)",
+        }
+    )
+    + "SELECT days.day, strftime(days.day, '%Y%m%d') AS day_key, strftime(days.day, '%Y%m%d') || '_OTA.parquet' "
+    "AS file_name, COALESCE(n_files, 0) AS n_files, COALESCE(n_rows, 0) AS n_rows, n_files IS NOT NULL AS has_data "
+    "FROM days LEFT JOIN stats ON days.day = stats.day",
+)
+def date_range_days(spark, sf_dir):
+    """The resolved range's days, each with the day files found for it."""
+    from eventlake.functions import ranges as R
+    from eventlake.sources import landing as L
+
+    start, end = R.resolve_range(DAYS_START, DAYS_END)
+    days = R.range_days(spark, start, end)
+    raw = X.ota_raw(spark, sf_dir)
+    stats = (
+        raw.where(L.in_file_range("source_file", start, end))
+        .groupBy(C.day_of_file("source_file").alias("day"))
+        .agg(F.count_distinct("source_file").alias("n_files"), F.count("*").alias("n_rows"))
+    )
+    # days: one row per day of the range, a size known on the driver
+    joined = stats.join(F.broadcast(days), on="day", how="right")
+    return joined.select(
+        "day",
+        "day_key",
+        R.day_file_name(F.col("day_key")).alias("file_name"),
+        F.coalesce("n_files", F.lit(0)).alias("n_files"),
+        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+        F.col("n_files").isNotNull().alias("has_data"),
+    )
+
+
+@register("split_by_day", O.prelude((X.DELIVERY_A,)) + _SPLIT_SQL)
+def split_by_day(spark, sf_dir):
+    """Bulk rows with their UTC day and target day file."""
+    from eventlake.sources import landing as L
+
+    return L.split_plan(X.bulk_raw(spark, sf_dir))
+
+
+@register(
+    "split_summary",
+    O.prelude((X.DELIVERY_A,), extra={"split": _SPLIT_SQL})
+    + "SELECT count(*) AS num_files, array_to_string(list_slice(list_sort(list(file_name)), 1, 10), ',') "
+    "AS files_sample, CAST(sum(n) AS BIGINT) AS num_rows FROM (SELECT file_name, count(*) AS n FROM split GROUP BY 1)",
+)
+def split_summary(spark, sf_dir):
+    """S3/A4: number of day files, first ten names, rows."""
+    from eventlake.sources import landing as L
+
+    summary = L.split_summary(L.split_plan(X.bulk_raw(spark, sf_dir)))
+    return summary.select("num_files", F.array_join("files_sample", ",").alias("files_sample"), "num_rows")
+
+
+@register(
+    "files_in_range",
+    O.prelude()
+    + f"SELECT {_RAW27}, source_file, {_DAY_SQL} AS source_day FROM raw "
+    f"WHERE COALESCE({_DAY_SQL} BETWEEN DATE '{X.RANGE_START}' AND DATE '{X.RANGE_END}', FALSE)",
+)
+def files_in_range(spark, sf_dir):
+    """Rows of the day files whose day lies in the range."""
+    from eventlake.sources import landing as L
+
+    raw = X.ota_raw(spark, sf_dir)
+    return raw.where(L.in_file_range("source_file", X.RANGE_START, X.RANGE_END)).select(
+        *S.RAW_COLUMNS, "source_file", C.day_of_file("source_file").alias("source_day")
+    )
+
+
+@register(
+    "wildcard_scan",
+    O.prelude() + f"SELECT {_RAW27}, source_file FROM raw WHERE ends_with({_BASENAME}, '_OTA.parquet')",
+)
+def wildcard_scan(spark, sf_dir):
+    """Rows of every day file named *_OTA.parquet."""
+    from eventlake.sources import landing as L
+
+    raw = X.ota_raw(spark, sf_dir)
+    return raw.where(L.has_suffix("source_file")).select(*S.RAW_COLUMNS, "source_file")
+
+
+@register(
+    "select_by_name",
+    O.prelude()
+    + f"SELECT DISTINCT source_file AS path, {_BASENAME} AS name FROM raw WHERE {_BASENAME} IN ("
+    + ", ".join(f"'{n}'" for n in NAME_PICK)
+    + ")",
+)
+def select_by_name(spark, sf_dir):
+    """Day files by exact name (every wanted name is present)."""
+    from eventlake.sources import landing as L
+
+    return L.pick_files(L.listing_of(X.ota_raw(spark, sf_dir)), names=NAME_PICK)
+
+
+_PAT = r"^(\d{8})_([A-Za-z0-9]+)\.parquet$"
+
+
+@register(
+    "select_by_range",
+    O.prelude()
+    + f"SELECT path, name, regexp_extract(name, '{_PAT}', 1) AS file_date, regexp_extract(name, '{_PAT}', 2) "
+    f"AS file_suffix FROM (SELECT DISTINCT source_file AS path, {_BASENAME} AS name FROM raw) "
+    f"WHERE regexp_matches(name, '{_PAT}') AND regexp_extract(name, '{_PAT}', 2) = 'OTA' "
+    f"AND regexp_extract(name, '{_PAT}', 1) >= '{FILTER_START}'",
+)
+def select_by_range(spark, sf_dir):
+    """Day files by anchored name pattern, suffix and first day."""
+    from eventlake.sources import landing as L
+
+    return L.select_by_filters(L.listing_of(X.ota_raw(spark, sf_dir)), date_start=FILTER_START, suffix="OTA")
+
+
+@register(
+    "land_new_days",
+    O.prelude(
+        extra={
+            "cand": f"SELECT DISTINCT source_file AS path, {_BASENAME} AS name FROM raw WHERE delivery = 'b'",
+            "landed": f"SELECT DISTINCT {_BASENAME} AS name FROM raw WHERE delivery = 'a' "
+            f"AND {_DAY_SQL} <= DATE '{X.LANDED_UNTIL}'",
+        }
+    )
+    + "SELECT c.name, c.path, CASE WHEN l.name IS NOT NULL THEN 'skipped' ELSE 'uploaded' END AS action "
+    "FROM cand c LEFT JOIN landed l ON c.name = l.name",
+)
+def land_new_days(spark, sf_dir):
+    """Days of the second delivery, landed unless already there."""
+    from eventlake.sources import landing as L
+
+    candidates = L.listing_of(X.ota_raw(spark, sf_dir, (X.DELIVERY_B,)))
+    first = X.ota_raw(spark, sf_dir, (X.DELIVERY_A,))
+    landed = L.listing_of(first.where(C.day_of_file("source_file") <= F.lit(X.LANDED_UNTIL).cast("date")))
+    return L.landing_plan(candidates, landed, skip_if_exists=True)
