@@ -48,7 +48,7 @@ def typed_rules() -> dict[str, str]:
     return rules
 
 
-def _typed_select(src: str) -> str:
+def typed_select(src: str) -> str:
     """SELECT of the 32 typed columns over a raw CTE with source_file/ingested_at."""
     rules = typed_rules()
     cols = ",\n    ".join(f"{rules.get(c, q(c))} AS {q(c)}" for c in S.TYPED_COLUMNS)
@@ -109,7 +109,7 @@ def prelude(deliveries: tuple[str, ...] = X.DELIVERIES, extra: dict[str, str] |
     ctes = {
         "base": X.duckdb_base_sql(),
         "raw": X.duckdb_raw_sql(deliveries),
-        "typed": _typed_select("raw"),
+        "typed": typed_select("raw"),
         "dedup": dedupe_sql("typed"),
     }
     if extra:

@@ -317,3 +317,213 @@ def land_new_days(spark, sf_dir):
     first = X.ota_raw(spark, sf_dir, (X.DELIVERY_A,))
     landed = L.listing_of(first.where(C.day_of_file("source_file") <= F.lit(X.LANDED_UNTIL).cast("date")))
     return L.landing_plan(candidates, landed, skip_if_exists=True)
+
+
+# --- S12..S16: tables ---------------------------------------------------------
+
+_RNG = O.in_range("source_day", X.RANGE_START, X.RANGE_END)
+
+
+def _typed_of(*deliveries: str) -> str:
+    names = ", ".join(f"'{d}'" for d in deliveries)
+    return O.typed_select(f"(SELECT * FROM raw WHERE delivery IN ({names}))")
+
+
+@register(
+    "append_typed",
+    O.prelude(extra={"ta": _typed_of("a"), "tb": _typed_of("b")}) + "SELECT * FROM ta UNION ALL SELECT * FROM tb",
+)
+def append_typed(spark, sf_dir):
+    """The typed table after appending the second delivery to the first."""
+    from eventlake.operators import tables as TB
+
+    return TB.append(_typed(spark, sf_dir, (X.DELIVERY_A,)), _typed(spark, sf_dir, (X.DELIVERY_B,)))
+
+
+@register(
+    "replace_range_typed",
+    O.prelude(extra={"ta": _typed_of("a"), "tbd": _typed_of("b", "d")})
+    + f"SELECT * FROM ta WHERE NOT {_RNG} UNION ALL SELECT * FROM tbd WHERE {_RNG}",
+)
+def replace_range_typed(spark, sf_dir):
+    """Typed table (first delivery) after replacing the range with later deliveries."""
+    from eventlake.operators import tables as TB
+
+    target = _typed(spark, sf_dir, (X.DELIVERY_A,))
+    batch = _typed(spark, sf_dir, (X.DELIVERY_B, X.DELIVERY_D))
+    return TB.replace_range(target, batch, X.RANGE_START, X.RANGE_END)
+
+
+@register(
+    "replace_range_deduped",
+    O.prelude(extra={"rng": f"SELECT * FROM typed WHERE {_RNG}", "drng": O.dedupe_sql("rng")})
+    + f"SELECT * FROM dedup WHERE NOT {_RNG} UNION ALL SELECT * FROM drng WHERE {_RNG}",
+)
+def replace_range_deduped(spark, sf_dir):
+    """Deduplicated table after replacing the range with the range's dedupe."""
+    from eventlake.operators import tables as TB
+
+    typed = _typed(spark, sf_dir)
+    return TB.replace_range(D.dedupe_full(typed), D.dedupe_range(typed, X.RANGE_START, X.RANGE_END),
+                            X.RANGE_START, X.RANGE_END)
+
+
+SQL_DIR = __import__("pathlib").Path(__file__).resolve().parents[1] / "sql"
+
+
+@register(
+    "sql_to_table",
+    O.prelude(extra={"rng": f"SELECT * FROM typed WHERE {_RNG}"}) + "SELECT * FROM (" + O.dedupe_sql("rng") + ")",
+)
+def sql_to_table(spark, sf_dir):
+    """A parameterized SQL file run over the typed rows (range dedupe)."""
+    from datetime import date
+
+    from eventlake.operators import tables as TB
+
+    df, _ = TB.run_sql(
+        spark,
+        "newest_in_range.sql",
+        args={"start_date": date.fromisoformat(X.RANGE_START), "end_date": date.fromisoformat(X.RANGE_END)},
+        base_dir=str(SQL_DIR),
+        typed=_typed(spark, sf_dir),
+    )
+    return df
+
+
+# --- P17..P20, U1..U6: serving -------------------------------------------------
+
+CHUNK = 2_000
+PARAM_TS = "2024-01-20T06:30:00+02:00"
+STORED_UNTIL = "2024-01-15"
+
+
+@register("serving_projection", O.prelude() + O.serving_select(f"(SELECT * FROM dedup WHERE {O.reject_reason_sql()} IS NULL)"))
+def serving_projection(spark, sf_dir):
+    """Deduplicated rows in serving types (naive UTC, decimal(18,6))."""
+    from eventlake.operators import serve as SV
+
+    return SV.serving_projection(D.dedupe_full(_typed(spark, sf_dir)))
+
+
+@register(
+    "serving_rejects",
+    O.prelude() + f"SELECT * FROM (SELECT *, {O.reject_reason_sql()} AS reject_reason FROM dedup) "
+    "WHERE reject_reason IS NOT NULL",
+)
+def serving_rejects(spark, sf_dir):
+    """Deduplicated rows the serving table would refuse, with the reason."""
+    from eventlake.operators import serve as SV
+
+    return SV.serving_rejects(D.dedupe_full(_typed(spark, sf_dir)))
+
+
+@register(
+    "cursor_start",
+    O.prelude(extra={"st": f"SELECT max(\"timestamp\") AS s FROM dedup WHERE source_day <= DATE '{STORED_UNTIL}'"})
+    + "SELECT 'param' AS scenario, TIMESTAMP '2024-01-20 04:30:00' AS cursor_ts, FALSE AS inclusive, "
+    "'param' AS source UNION ALL "
+    f"SELECT 'backfill', TIMESTAMP '{X.RANGE_START} 00:00:00', TRUE, 'override' UNION ALL "
+    "SELECT 'stored', COALESCE(s, TIMESTAMP '1970-01-01 00:00:00'), FALSE, "
+    "CASE WHEN s IS NULL THEN 'epoch' ELSE 'state' END FROM st UNION ALL "
+    "SELECT 'first_run', TIMESTAMP '1970-01-01 00:00:00', FALSE, 'epoch'",
+)
+def cursor_start(spark, sf_dir):
+    """Where a load starts, for four runs: run parameter, backfill
+    from a start date, stored cursor (the max timestamp of an earlier load),
+    and a first run with nothing stored."""
+    from eventlake.operators import serve as SV
+
+    dedup = D.dedupe_full(_typed(spark, sf_dir))
+    stored = dedup.where(F.col("source_day") <= F.lit(STORED_UNTIL).cast("date")).agg(
+        F.max("timestamp").alias("s")
+    )
+    fixed = [
+        ("param", SV.cursor_start(param=PARAM_TS, override=X.RANGE_START)),
+        ("backfill", SV.cursor_start(param=None, override=X.RANGE_START)),
+        ("first_run", SV.cursor_start()),
+    ]
+    rows = [
+        F.struct(F.lit(n).alias("scenario"), F.lit(c.ts).alias("cursor_ts"), F.lit(c.inclusive).alias("inclusive"),
+                 F.lit(c.source).alias("source"))
+        for n, c in fixed
+    ]
+    # the stored cursor is data: precedence resolved in the plan, as coalesce
+    rows.insert(2, F.struct(
+        F.lit("stored").alias("scenario"),
+        F.coalesce(F.col("s"), F.lit(SV.EPOCH)).alias("cursor_ts"),
+        F.lit(False).alias("inclusive"),
+        F.when(F.col("s").isNull(), F.lit("epoch")).otherwise(F.lit("state")).alias("source"),
+    ))
+    return stored.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def _cursor():
+    from eventlake.operators import serve as SV
+
+    return SV.cursor_start(param=X.CURSOR)
+
+
+_AFTER = "\"timestamp\" > TIMESTAMP '2024-01-15 00:00:00'"
+
+
+@register("cursor_slice", O.prelude() + f"SELECT * FROM dedup WHERE \"timestamp\" IS NOT NULL AND {_AFTER}")
+def cursor_slice(spark, sf_dir):
+    """Deduplicated rows after the cursor (strict), no cap."""
+    from eventlake.operators import serve as SV
+
+    return SV.after_cursor(D.dedupe_full(_typed(spark, sf_dir)), _cursor())
+
+
+@register(
+    "cursor_chunk",
+    O.prelude(extra={"sl": f"SELECT * FROM dedup WHERE {_AFTER}"})
+    + f"SELECT * FROM sl WHERE \"timestamp\" <= (SELECT max(\"timestamp\") FROM "
+    f"(SELECT \"timestamp\" FROM sl ORDER BY \"timestamp\" LIMIT {CHUNK}))",
+)
+def cursor_chunk(spark, sf_dir):
+    """A1: one capped chunk after the cursor, ending on a whole timestamp."""
+    from eventlake.operators import serve as SV
+
+    return SV.first_chunk(D.dedupe_full(_typed(spark, sf_dir)), _cursor(), CHUNK)
+
+
+@register(
+    "cursor_advance",
+    O.prelude() + f"SELECT count(*) AS rows_loaded, max(\"timestamp\") AS new_cursor FROM dedup WHERE {_AFTER}",
+)
+def cursor_advance(spark, sf_dir):
+    """U4/A3: rows loaded after the cursor and the cursor they move it to."""
+    from eventlake.operators import serve as SV
+
+    return SV.advance(SV.after_cursor(D.dedupe_full(_typed(spark, sf_dir)), _cursor()))
+
+
+def _upsert_sql(old: str, new: str) -> str:
+    order = ", ".join(f'"{c}" DESC NULLS LAST' for c in S.SERVING_ORDER)
+    key = ", ".join(f'"{c}"' for c in S.SERVING_KEY)
+    return (
+        f"SELECT * EXCLUDE (_p, _rn) FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY _p DESC, "
+        f"{order}) AS _rn FROM (SELECT *, 0 AS _p FROM {old} UNION ALL SELECT *, 1 AS _p FROM {new})) WHERE _rn = 1"
+    )
+
+
+@register(
+    "upsert_latest",
+    O.prelude(
+        extra={
+            "ta": _typed_of("a"),
+            "da": O.dedupe_sql("ta"),
+            "old": O.serving_select("da"),
+            "new": O.serving_select("dedup"),
+        }
+    )
+    + _upsert_sql("old", "new"),
+)
+def upsert_latest(spark, sf_dir):
+    """Serving table of the first delivery after upserting the whole dedupe."""
+    from eventlake.operators import serve as SV
+
+    old = SV.serving_projection(D.dedupe_full(_typed(spark, sf_dir, (X.DELIVERY_A,))))
+    new = SV.serving_projection(D.dedupe_full(_typed(spark, sf_dir)))
+    return SV.upsert(old, new)

@@ -5,6 +5,11 @@
   TIMESTAMP(NANOS), which Spark refuses unless it may read it as a long.
 * AQE on, with skew handling, so that hot keys and hot days are split at
   run time.
+* Constraint propagation off: the cleaning rules give plans with many
+  aliased expressions, on which inferring constraints takes the optimizer
+  tens of seconds and can exhaust the driver heap (measured on the keyed
+  upsert); the null filters it would infer are written explicitly where
+  they matter.
 
 ``configure`` only sets what the caller has not set; on a cluster the
 deployment's values win.
@@ -20,6 +25,7 @@ from pyspark.sql import SparkSession
 REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.legacy.parquet.nanosAsLong": "true",
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 PREFERRED = {
