@@ -18,7 +18,7 @@ import re
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventlake import schema as S
@@ -178,15 +178,27 @@ def upsert(old: DataFrame, new: DataFrame, key: list[str] = S.SERVING_KEY) -> Da
 def write_upsert(updates: DataFrame, path: str, partition: str = "event_date") -> dict:
     """U1 on storage: upsert serving rows into the table at ``path``.
 
-    The updates are staged once (they are used twice); their distinct dates
-    (one value per calendar day) select the partitions to rewrite, so the
-    old rows read are only those of touched dates, by partition pruning. The
-    merged rows are staged too, since they read the partitions they replace,
-    then written by dynamic partition overwrite.
+    The updates are staged once (they are used twice). Their row count, max
+    timestamp and distinct dates (one value per calendar day) are observed
+    during that write. The dates select the partitions to rewrite, so only
+    old rows of touched dates are read, by partition pruning. The merged
+    rows are staged too, since they read the partitions they replace, then
+    written by dynamic partition overwrite.
     """
     spark = updates.sparkSession
-    staged = TB.stage(updates, "upsert-new")
-    dates = [r[0] for r in staged.select(partition).distinct().collect()]  # one row per day
+    seen = Observation("upsert")
+    observed = updates.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.max("timestamp").alias("max_timestamp"),
+        F.collect_set(partition).alias("dates"),
+    )
+    staged = TB.stage(observed, "upsert-new")
+    metrics = seen.get
+    dates = sorted(metrics["dates"])
+    result = {"rows": metrics["rows"], "max_timestamp": metrics["max_timestamp"], "dates": dates}
+    if not metrics["rows"]:
+        return result
     fs, root = TB._fs(spark, path)
     if fs.exists(root):
         old = spark.read.parquet(path).where(F.col(partition).isin(dates))
@@ -202,7 +214,7 @@ def write_upsert(updates: DataFrame, path: str, partition: str = "event_date") -
         .partitionBy(partition)
         .parquet(path)
     )
-    return {"dates": sorted(dates), "rows": staged.count()}
+    return result
 
 
 # --- S17 / U1 against a relational serving table over JDBC ------------------------

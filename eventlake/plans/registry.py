@@ -527,3 +527,44 @@ def upsert_latest(spark, sf_dir):
     old = SV.serving_projection(D.dedupe_full(_typed(spark, sf_dir, (X.DELIVERY_A,))))
     new = SV.serving_projection(D.dedupe_full(_typed(spark, sf_dir)))
     return SV.upsert(old, new)
+
+
+# --- F1 -> U1: the recent run as one plan -------------------------------------------
+
+_REJ = O.reject_reason_sql()
+
+
+@register(
+    "recent_run",
+    O.prelude(
+        extra={
+            "ta": _typed_of("a"),
+            "da": O.dedupe_sql("ta"),
+            "sa": O.serving_select(f"(SELECT * FROM da WHERE {_REJ} IS NULL)"),
+            "typed_after": f"SELECT * FROM ta WHERE NOT {_RNG} UNION ALL SELECT * FROM typed WHERE {_RNG}",
+            "trng": f"SELECT * FROM typed_after WHERE {_RNG}",
+            "drng": O.dedupe_sql("trng"),
+            "deduped_after": f"SELECT * FROM da WHERE NOT {_RNG} UNION ALL SELECT * FROM drng WHERE {_RNG}",
+            "sl": f"SELECT * FROM deduped_after WHERE \"timestamp\" >= TIMESTAMP '{X.RANGE_START} 00:00:00' "
+            f"AND {_REJ} IS NULL",
+            "sn": O.serving_select("sl"),
+        }
+    )
+    + _upsert_sql("sa", "sn"),
+)
+def recent_run(spark, sf_dir):
+    """F1 -> S4 -> S13 -> D2 -> S14 -> U6 -> U1: a recent run over the range,
+    started from the state the first delivery left, backfilling from the
+    range's start date; returns the serving table afterwards."""
+    from eventlake.functions import ranges as R
+    from eventlake.operators import serve as SV
+    from eventlake.plans import runs as RUNS
+    from eventlake.sources import landing as L
+
+    start, end = R.resolve_range(X.RANGE_START, X.RANGE_END)
+    first = _typed(spark, sf_dir, (X.DELIVERY_A,))
+    deduped = D.dedupe_full(first)
+    raw = X.ota_raw(spark, sf_dir)
+    batch = TY.fixture_typed(raw.where(L.in_file_range("source_file", start, end)))
+    cursor = SV.cursor_start(override=start)
+    return RUNS.recent_plan(first, deduped, SV.serving_projection(deduped), batch, start, end, cursor)
