@@ -1,9 +1,10 @@
-"""Scalar cleaning rules, as Column expressions.
+"""Scalar cleaning rules.
 
-All of them are built-in Spark expressions (JVM side, inside whole-stage
-codegen); no UDF is involved. The caller passes a column *and* its Spark
-type where the rule depends on the physical type of the source, which is
-read from the schema at plan time.
+Every rule is a built-in Spark SQL expression (JVM side, inside whole-stage
+codegen); no UDF is involved. Each exists as SQL text (``*_sql``, used to
+build whole projections in one ``selectExpr`` call) and as a Column (for use
+with the DataFrame API). Rules that depend on the physical type of the
+source take that type, read from the schema at plan time.
 """
 
 from __future__ import annotations
@@ -31,99 +32,156 @@ MICROS_PER_DAY = 86_400_000_000
 # ---------------------------------------------------------------------------
 
 
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def text(value: str) -> str:
+    """A Spark SQL string literal holding ``value`` exactly."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def safe_bigint(c: str | Column, source_type: T.DataType = T.StringType()) -> Column:
+def ident(name: str) -> str:
+    """A quoted Spark SQL identifier; dots separate struct fields."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
+_INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)
+
+
+# --- casts ---------------------------------------------------------------------------
+
+
+def safe_bigint_sql(name: str, source_type: T.DataType = T.StringType()) -> str:
     """Cast to a 64-bit integer, NULL when the value does not fit.
 
     Text must be a whole number (``'1.5'``, ``'0x1F'`` and ``'n/a'`` give
     NULL); floating values are rounded half away from zero first; values
     out of range give NULL.
     """
-    c = _col(c)
-    if isinstance(source_type, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        return c.cast("bigint")
+    c = ident(name)
+    if isinstance(source_type, _INTEGRAL):
+        return f"CAST({c} AS BIGINT)"
     if isinstance(source_type, (T.DoubleType, T.FloatType, T.DecimalType)):
-        return F.round(c).try_cast("bigint")
-    if isinstance(source_type, T.BooleanType):
-        return c.cast("bigint")
-    text = c.cast("string")
-    return F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint"))
+        return f"TRY_CAST(round({c}) AS BIGINT)"
+    s = f"CAST({c} AS STRING)"
+    return f"CASE WHEN {s} RLIKE {text(INTEGER_TEXT)} THEN TRY_CAST({s} AS BIGINT) END"
 
 
-def safe_double(c: str | Column, source_type: T.DataType = T.StringType()) -> Column:
+def safe_double_sql(name: str, source_type: T.DataType = T.StringType()) -> str:
     """Cast to double, NULL when the text is not a number.
 
     Only decimal and exponent notation plus inf/infinity/nan are numbers;
     Java's type suffixes (``'1.5d'``) and hex floats are not.
     """
-    c = _col(c)
+    c = ident(name)
     if isinstance(source_type, T.NumericType):
-        return c.cast("double")
-    text = c.cast("string")
-    return F.when(text.rlike(FLOAT_TEXT), text.try_cast("double"))
+        return f"CAST({c} AS DOUBLE)"
+    s = f"CAST({c} AS STRING)"
+    return f"CASE WHEN {s} RLIKE {text(FLOAT_TEXT)} THEN TRY_CAST({s} AS DOUBLE) END"
 
 
-def strip_all(c: str | Column) -> Column:
+def strip_all_sql(expr: str) -> str:
     """Trim all leading and trailing whitespace, tabs and newlines included."""
-    return F.regexp_replace(_col(c), EDGE_SPACE, "")
+    return f"regexp_replace({expr}, {text(EDGE_SPACE)}, '')"
 
 
-def yes_no(c: str | Column) -> Column:
+def yes_no_sql(name: str) -> str:
     """yes/true/1 -> true, no/false/0 -> false (any case, trimmed), else NULL."""
-    v = F.lower(strip_all(_col(c).cast("string")))
-    return F.when(v.isin(*S.FLAG_TRUE), F.lit(True)).when(v.isin(*S.FLAG_FALSE), F.lit(False))
+    v = f"lower({strip_all_sql(f'CAST({ident(name)} AS STRING)')})"
+    yes = ", ".join(text(x) for x in S.FLAG_TRUE)
+    no = ", ".join(text(x) for x in S.FLAG_FALSE)
+    return f"CASE WHEN {v} IN ({yes}) THEN TRUE WHEN {v} IN ({no}) THEN FALSE END"
 
 
-def price_decimal(c: str | Column) -> Column:
+def price_decimal_sql(name: str) -> str:
     """Free-text price -> decimal(38,9).
 
     Everything but digits, comma, dot and minus is dropped, a comma becomes
     a dot, and the rest is cast safely: two separators, a lone or trailing
     minus, or nothing left give NULL; more than 9 decimals round half up.
     """
-    kept = F.regexp_replace(_col(c).cast("string"), PRICE_KEEP, "")
-    return F.replace(kept, F.lit(","), F.lit(".")).try_cast(S.PRICE_TYPE)
+    kept = f"regexp_replace(CAST({ident(name)} AS STRING), {text(PRICE_KEEP)}, '')"
+    return f"TRY_CAST(replace({kept}, ',', '.') AS {S.PRICE_TYPE.simpleString()})"
 
 
-def _epoch_ntz() -> Column:
-    return F.expr(EPOCH_NTZ)
+# --- time --------------------------------------------------------------------------
 
 
-def micros_of(name: str, source_type: T.DataType) -> Column:
+def micros_sql(name: str, source_type: T.DataType) -> str:
     """Epoch microseconds of an event time column.
 
     Long values are epoch nanoseconds (truncated toward zero to
     microseconds, sub-microsecond digits dropped); TIMESTAMP_NTZ is read as
-    UTC wall clock; TIMESTAMP is an instant already.
+    UTC wall clock; TIMESTAMP is an instant already; text is parsed (an
+    error if it is not a time). Only text depends on the session zone.
     """
+    c = ident(name)
     if isinstance(source_type, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", _epoch_ntz(), F.col(name))
+        return f"timestampdiff(MICROSECOND, {EPOCH_NTZ}, {c})"
     if isinstance(source_type, T.TimestampType):
-        return F.unix_micros(F.col(name))
+        return f"unix_micros({c})"
     if isinstance(source_type, (T.LongType, T.IntegerType, T.DecimalType, T.DoubleType)):
-        return F.expr(f"CAST(`{name}` AS BIGINT) div 1000")
+        return f"(CAST({c} AS BIGINT) div 1000)"
+    if isinstance(source_type, T.StringType):
+        return f"unix_micros(to_timestamp({c}))"
     raise TypeError(f"unsupported event time type {source_type.simpleString()}")
 
 
-def event_time(name: str, source_type: T.DataType) -> Column:
-    """Event time as TIMESTAMP (an instant)."""
-    if isinstance(source_type, T.TimestampType):
-        return F.col(name)
-    return F.timestamp_micros(micros_of(name, source_type))
+def utc_date_sql(micros: str) -> str:
+    """UTC calendar day of epoch microseconds, independent of the session zone."""
+    return f"date_from_unix_date(CAST(floor({micros} / {MICROS_PER_DAY}) AS INT))"
+
+
+def naive_utc_sql(expr: str) -> str:
+    """TIMESTAMP -> TIMESTAMP_NTZ holding the UTC wall clock."""
+    return f"timestampadd(MICROSECOND, unix_micros({expr}), {EPOCH_NTZ})"
+
+
+def day_pattern(suffix: str = S.DEFAULT_SUFFIX) -> str:
+    return r"(\d{8})_" + re.escape(suffix) + r"\.parquet"
+
+
+def day_of_file_sql(path: str, suffix: str = S.DEFAULT_SUFFIX, strict: bool = True) -> str:
+    """Day in a file path (SQL expression text ``path``): the 8 digits before
+    ``_<suffix>.parquet``.
+
+    The pattern is not anchored, so it may sit anywhere in the path (a day
+    directory or a day file) and of nine digits the last eight are taken.
+    No match gives NULL; an impossible date raises unless ``strict`` is
+    False, in which case it gives NULL.
+    """
+    digits = f"nullif(regexp_extract({path}, {text(day_pattern(suffix))}, 1), '')"
+    fn = "to_date" if strict else "try_to_date"
+    return f"{fn}({digits}, 'yyyyMMdd')"
+
+
+# --- Column forms ---------------------------------------------------------------------
+
+
+def safe_bigint(name: str, source_type: T.DataType = T.StringType()) -> Column:
+    return F.expr(safe_bigint_sql(name, source_type))
+
+
+def safe_double(name: str, source_type: T.DataType = T.StringType()) -> Column:
+    return F.expr(safe_double_sql(name, source_type))
+
+
+def yes_no(name: str) -> Column:
+    return F.expr(yes_no_sql(name))
+
+
+def price_decimal(name: str) -> Column:
+    return F.expr(price_decimal_sql(name))
+
+
+def micros_of(name: str, source_type: T.DataType) -> Column:
+    return F.expr(micros_sql(name, source_type))
 
 
 def utc_date(micros: Column) -> Column:
-    """UTC calendar day of epoch microseconds, independent of the session zone."""
-    days = F.floor(micros / F.lit(MICROS_PER_DAY)).cast("int")
-    return F.date_from_unix_date(days)
+    """UTC calendar day of epoch microseconds (Column form)."""
+    return F.date_from_unix_date(F.floor(micros / F.lit(MICROS_PER_DAY)).cast("int"))
 
 
-def utc_date_of(ts: str | Column) -> Column:
-    """UTC calendar day of a TIMESTAMP column."""
-    return utc_date(F.unix_micros(_col(ts)))
+def naive_utc(name: str) -> Column:
+    return F.expr(naive_utc_sql(ident(name)))
 
 
 def text_time(c: str | Column) -> Column:
@@ -131,32 +189,18 @@ def text_time(c: str | Column) -> Column:
 
     Raises on text that is not a timestamp (ANSI ``to_timestamp``).
     """
-    return F.to_timestamp(_col(c))
-
-
-def naive_utc(ts: str | Column) -> Column:
-    """TIMESTAMP -> TIMESTAMP_NTZ holding the UTC wall clock."""
-    return F.timestamp_add("MICROSECOND", F.unix_micros(_col(ts)), _epoch_ntz())
+    return F.to_timestamp(F.col(c) if isinstance(c, str) else c)
 
 
 def day_of_file(path: str | Column, suffix: str = S.DEFAULT_SUFFIX, strict: bool = True) -> Column:
-    """Day in a file path: the 8 digits before ``_<suffix>.parquet``.
-
-    The pattern is not anchored, so it may sit anywhere in the path (a day
-    directory or a day file) and of nine digits the last eight are taken.
-    No match gives NULL; an impossible date raises unless ``strict`` is
-    False, in which case it gives NULL.
-    """
-    digits = F.nullif(F.regexp_extract(_col(path), day_pattern(suffix), 1), F.lit(""))
+    """Day in a file path (Column form of ``day_of_file_sql``)."""
+    p = F.col(path) if isinstance(path, str) else path
+    digits = F.nullif(F.regexp_extract(p, day_pattern(suffix), 1), F.lit(""))
     if strict:
         return F.to_date(digits, "yyyyMMdd")
     return F.try_to_date(digits, "yyyyMMdd")
 
 
-def day_pattern(suffix: str = S.DEFAULT_SUFFIX) -> str:
-    return r"(\d{8})_" + re.escape(suffix) + r"\.parquet"
-
-
 def day_key(day: str | Column) -> Column:
     """DATE -> 'YYYYMMDD'."""
-    return F.date_format(_col(day), "yyyyMMdd")
+    return F.date_format(F.col(day) if isinstance(day, str) else day, "yyyyMMdd")

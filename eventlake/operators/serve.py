@@ -35,36 +35,39 @@ _DATE_ONLY = re.compile(r"\d{4}-\d{2}-\d{2}")
 # --- P17..P19: serving projection and rejects ----------------------------------
 
 
-def reject_reason(df: DataFrame) -> Column:
+def reject_reason_sql() -> str:
+    """First serving constraint a typed row violates, NULL if none (SQL text)."""
+    checks = [(f"{C.ident(c)} IS NULL", f"null {c}") for c in S.SERVING_NOT_NULL]
+    narrowed = f"TRY_CAST(hotel_price AS {S.SERVING_PRICE_TYPE.simpleString()})"
+    checks.append((f"hotel_price IS NOT NULL AND {narrowed} IS NULL", "hotel_price overflow"))
+    checks += [(f"char_length({C.ident(c)}) > {n}", f"{c} too long") for c, n in S.SERVING_VARCHAR.items()]
+    checks += [(f"octet_length({C.ident(c)}) > {n}", f"{c} too long") for c, n in S.SERVING_TEXT_BYTES.items()]
+    return "CASE " + " ".join(f"WHEN {cond} THEN {C.text(label)}" for cond, label in checks) + " END"
+
+
+def reject_reason(df: DataFrame | None = None) -> Column:
     """First serving constraint a typed row violates, NULL if none."""
-    checks: list[tuple[Column, str]] = [(F.col(c).isNull(), f"null {c}") for c in S.SERVING_NOT_NULL]
-    narrowed = F.col("hotel_price").try_cast(S.SERVING_PRICE_TYPE)
-    checks.append((F.col("hotel_price").isNotNull() & narrowed.isNull(), "hotel_price overflow"))
-    checks += [(F.length(c) > n, f"{c} too long") for c, n in S.SERVING_VARCHAR.items()]
-    checks += [(F.octet_length(c) > n, f"{c} too long") for c, n in S.SERVING_TEXT_BYTES.items()]
-    expr = None
-    for cond, label in checks:
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr
-
-
-def serving_columns() -> list[Column]:
+    return F.expr(reject_reason_sql())
+
+
+def serving_sql() -> list[str]:
     rules = {
-        "timestamp": C.naive_utc("timestamp"),
-        "ingested_at": C.naive_utc("ingested_at"),
-        "hotel_price": F.col("hotel_price").try_cast(S.SERVING_PRICE_TYPE),
+        "timestamp": C.naive_utc_sql("`timestamp`"),
+        "ingested_at": C.naive_utc_sql("ingested_at"),
+        "hotel_price": f"TRY_CAST(hotel_price AS {S.SERVING_PRICE_TYPE.simpleString()})",
     }
-    return [rules.get(c, F.col(c)).alias(c) for c in S.TYPED_COLUMNS]
+    return [f"{rules.get(c, C.ident(c))} AS {C.ident(c)}" for c in S.TYPED_COLUMNS]
 
 
 def serving_projection(df: DataFrame) -> DataFrame:
     """Rows the serving table accepts, in serving types."""
-    return df.where(reject_reason(df).isNull()).select(*serving_columns())
+    return df.where(f"({reject_reason_sql()}) IS NULL").selectExpr(*serving_sql())
 
 
 def serving_rejects(df: DataFrame) -> DataFrame:
     """Rows the serving table would refuse, typed, with the reason."""
-    return df.select(*S.TYPED_COLUMNS, reject_reason(df).alias(REASON)).where(F.col(REASON).isNotNull())
+    cols = [C.ident(c) for c in S.TYPED_COLUMNS]
+    return df.selectExpr(*cols, f"{reject_reason_sql()} AS {REASON}").where(f"{REASON} IS NOT NULL")
 
 
 # --- U2, U6, P20: the cursor ---------------------------------------------------

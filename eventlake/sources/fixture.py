@@ -18,7 +18,6 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from eventlake import schema as S
 from eventlake.functions import cleaning as C
@@ -76,7 +75,22 @@ LANDED_UNTIL = "2024-01-15"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    """The ``events`` table, spread over at least the cluster's parallelism.
+
+    A file of one row group is read by one task; everything up to the
+    first shuffle would then run on one core. Only such a narrow scan is
+    hash-spread on ``event_id`` (deterministic on retry); a large table
+    already has as many splits as it needs and is left alone.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want, "event_id")
+    return df
+
+
+def _instant_sql(ts: datetime) -> str:
+    return f"timestamp_micros({int(ts.timestamp()) * 1_000_000})"
 
 
 def ota_raw(
@@ -92,42 +106,36 @@ def ota_raw(
     time of that delivery); ``delivery`` too when ``with_delivery``.
     """
     ev = events(spark, sf_dir)
-    projections = [
-        F.expr(SPARK_NANOS if expr is None else expr).alias(name) for name, expr in BASE_EXPRESSIONS
-    ]
-    base = ev.select(
-        *projections,
-        F.col("event_id").alias("_event_id"),
-        F.col("ts").cast("date").alias("_day"),
+    base = ev.selectExpr(
+        *[f"{SPARK_NANOS if expr is None else expr} AS `{name}`" for name, expr in BASE_EXPRESSIONS],
+        "event_id AS _event_id",
+        "CAST(ts AS DATE) AS _day",
     )
-    wanted = F.array(*[F.lit(d) for d in deliveries])
-    fanned = base.select("*", F.explode(wanted).alias("delivery"))
-
-    eid = F.col("_event_id")
-    dlv = F.col("delivery")
+    wanted = ", ".join(f"'{d}'" for d in deliveries)
+    fanned = base.selectExpr("*", f"explode(array({wanted})) AS delivery")
     belongs = (
-        F.when(dlv == DELIVERY_A, F.lit(True))
-        .when(dlv == DELIVERY_B, eid % 5 == 0)
-        .when(dlv == DELIVERY_C, eid % 50 == 3)
-        .when(dlv == DELIVERY_D, eid % 11 == 0)
+        f"CASE delivery WHEN '{DELIVERY_A}' THEN TRUE WHEN '{DELIVERY_B}' THEN _event_id % 5 = 0 "
+        f"WHEN '{DELIVERY_C}' THEN _event_id % 50 = 3 WHEN '{DELIVERY_D}' THEN _event_id % 11 = 0 ELSE FALSE END"
     )
-    source_day = F.when((dlv == DELIVERY_B) & (eid % 2 == 1), F.date_add("_day", 1)).otherwise(F.col("_day"))
-    lane = F.when(dlv == DELIVERY_D, F.lit("redrop")).otherwise(F.lit("daily"))
-    ingested_at = F.when((dlv == DELIVERY_B) & (eid % 10 == 0), F.lit(SECOND_LOAD)).otherwise(F.lit(FIRST_LOAD))
+    source_day = f"CASE WHEN delivery = '{DELIVERY_B}' AND _event_id % 2 = 1 THEN date_add(_day, 1) ELSE _day END"
+    lane = f"CASE WHEN delivery = '{DELIVERY_D}' THEN 'redrop' ELSE 'daily' END"
     changed = {
-        "utm_source": F.when(dlv == DELIVERY_B, F.lit("redelivered"))
-        .when(dlv == DELIVERY_D, F.lit("redrop"))
-        .otherwise(F.col("utm_source")),
-        "page_name": F.when(dlv == DELIVERY_C, F.lit("checkout")).otherwise(F.col("page_name")),
+        "utm_source": f"CASE delivery WHEN '{DELIVERY_B}' THEN 'redelivered' WHEN '{DELIVERY_D}' THEN 'redrop' "
+        "ELSE utm_source END",
+        "page_name": f"CASE WHEN delivery = '{DELIVERY_C}' THEN 'checkout' ELSE page_name END",
     }
-    source_file = F.concat(
-        F.lit(LANDING_PREFIX), lane, F.lit("/"), C.day_key(source_day), F.lit(f"_{S.DEFAULT_SUFFIX}.parquet")
+    out = [f"{changed.get(c, C.ident(c))} AS {C.ident(c)}" for c in S.RAW_COLUMNS]
+    out.append(
+        f"concat('{LANDING_PREFIX}', {lane}, '/', date_format({source_day}, 'yyyyMMdd'), "
+        f"'_{S.DEFAULT_SUFFIX}.parquet') AS source_file"
+    )
+    out.append(
+        f"CASE WHEN delivery = '{DELIVERY_B}' AND _event_id % 10 = 0 THEN {_instant_sql(SECOND_LOAD)} "
+        f"ELSE {_instant_sql(FIRST_LOAD)} END AS ingested_at"
     )
-    out = [changed.get(c, F.col(c)).alias(c) for c in S.RAW_COLUMNS]
-    out += [source_file.alias("source_file"), ingested_at.alias("ingested_at")]
     if with_delivery:
-        out.append(dlv)
-    return fanned.where(belongs).select(*out)
+        out.append("delivery")
+    return fanned.where(belongs).selectExpr(*out)
 
 
 def bulk_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -251,11 +251,7 @@ def split_plan(
     if timestamp_col not in df.columns:
         raise ValueError(f"column {timestamp_col!r} not found")
     kind = df.schema[timestamp_col].dataType
-    if isinstance(kind, T.StringType):
-        micros = F.unix_micros(C.text_time(timestamp_col))
-    else:
-        micros = C.micros_of(timestamp_col, kind)
-    key = C.day_key(C.utc_date(micros))
+    key = F.expr(f"date_format({C.utc_date_sql(C.micros_sql(timestamp_col, kind))}, 'yyyyMMdd')")
     return (
         df.where(F.col(timestamp_col).isNotNull())
         .withColumn("day_key", key)
