@@ -60,6 +60,22 @@ def duck(sf_dir: str, sql: str):
     return cols, cur.fetchall()
 
 
+def compare(spark, name: str, sf_dir: str) -> tuple[bool, str, int]:
+    """(match, detail, spark rows) of one registered query against its oracle."""
+    from eventlake.plans.registry import ORACLES, QUERIES
+
+    df = QUERIES[name](spark, sf_dir)
+    s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
+    d_cols, d_rows = duck(sf_dir, ORACLES[name])
+    sc, sm = canon(s_cols, s_rows)
+    dc, dm = canon(d_cols, d_rows)
+    if sc != dc:
+        return False, f"columns spark={sc} duck={dc}", len(s_rows)
+    if sm != dm:
+        return False, f"only spark={list((sm - dm).items())[:2]} only duck={list((dm - sm).items())[:2]}", len(s_rows)
+    return True, "", len(s_rows)
+
+
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     only = set(argv[2:])
