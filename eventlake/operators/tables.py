@@ -227,6 +227,8 @@ def run_sql(
     summary = {"state": "DONE", "destination": destination, "rows": None}
     if destination is None:
         return df, summary
+    if "." in destination and create_disposition == CREATE_IF_NEEDED:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{destination.rsplit('.', 1)[0]}`")
     present = spark.catalog.tableExists(destination)
     if not present and create_disposition == CREATE_NEVER:
         raise ValueError(f"destination {destination} does not exist")
