@@ -69,17 +69,18 @@ def dedupe_keys(typed: DataFrame, start: date | str, end: date | str) -> DataFra
     """Newest copy of every event key that has at least one copy in the range.
 
     The touched keys are a null-safe semi join (keys may hold NULLs and NULLs
-    match each other, as in the window's PARTITION BY). The whole table is
-    first narrowed to the event-time span of the range's rows; that bound is
-    a scalar subquery inside the plan, so it prunes row groups by their
-    ``timestamp`` statistics without a driver round trip.
+    match each other, as in the window's PARTITION BY). Before the join the
+    whole table is narrowed to the event-time span of the range's rows: the
+    two bounds come from one small aggregate over the range (partition
+    pruned) and enter the plan as literals, so the full-table scan pushes
+    them to Parquet and skips row groups by their ``timestamp`` statistics.
     """
     in_range = typed.where(in_day_range(S.DAY_PARTITION, start, end))
-    bounds = in_range.select(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
+    lo, hi = in_range.agg(F.min("timestamp"), F.max("timestamp")).first()
+    if lo is None:
+        return typed.where(F.lit(False))
     keys = in_range.select(*[F.col(c).alias(f"_k_{c}") for c in S.DEDUPE_KEY]).distinct()
-    candidates = typed.where(F.col("timestamp").between(lo, hi))
+    candidates = typed.where(F.col("timestamp").between(F.lit(lo), F.lit(hi)))
     cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in S.DEDUPE_KEY]
     touched = candidates.join(keys, on=cond, how="left_semi")
     return newest_first(touched)
