@@ -155,6 +155,7 @@ def land(
     todo = [r for r in plan if r["action"] == "uploaded"]
     if todo:
         rows = spark.read.parquet(*[r[L.PATH] for r in todo])
+        rows = rows.drop(L.DAY_FILE)
         day_of = F.regexp_extract(L.entry_name(F.col("_metadata.file_path")), r"^(\d{8})_", 1)
         days = rows.withColumn("day_key", day_of)
         by_suffix = {}

@@ -66,6 +66,7 @@ DELIVERY_C = "c"  # event_id % 50 = 3, page_name checkout
 DELIVERY_D = "d"  # event_id % 11 = 0, redrop lane
 DELIVERIES = (DELIVERY_A, DELIVERY_B, DELIVERY_C, DELIVERY_D)
 LANDING_PREFIX = "landing/"
+SMALL_INPUT_BYTES = 1 << 30
 
 # The three-day range, the cursor and the early landed cut-off used by queries.
 RANGE_START = "2024-01-10"
@@ -77,18 +78,31 @@ LANDED_UNTIL = "2024-01-15"
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` table, spread over at least the cluster's parallelism.
 
-    A file of one row group is read by one task; everything up to the
-    first shuffle would then run on one core. Only such a narrow scan is
-    hash-spread on ``event_id`` (deterministic on retry); a large table
-    already has as many splits as it needs and is left alone.
+    A small file of one row group is read by one task; everything up to the
+    first shuffle would then run on one core. Only a small input (under
+    parallelism x split size, and under 1 GiB) is hash-spread on
+    ``event_id`` (deterministic on retry); a large table already has as many
+    splits as it needs and is never reshuffled here.
     """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    df = spark.read.parquet(path)
     want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    if size < min(want * split, SMALL_INPUT_BYTES):
         df = df.repartition(want, "event_id")
     return df
 
 
+def _bytes(value: str) -> int:
+    """'134217728b', '128m', '1g' -> bytes."""
+    text = value.strip().lower().rstrip("b")
+    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(text[-1:], 1)
+    return int(float(text[:-1] if scale > 1 else text) * scale)
+
+
 def _instant_sql(ts: datetime) -> str:
     return f"timestamp_micros({int(ts.timestamp()) * 1_000_000})"
 

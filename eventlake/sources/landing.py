@@ -2,10 +2,11 @@
 
 A *day file* is an entry named ``YYYYMMDD_<SUFFIX>.parquet`` in a landing
 folder. It may be a single Parquet file (as written by other tools) or a
-directory of part files (as written here, so that one day is written by
-many tasks in parallel). Both read the same way: the day is taken from the
-path with an unanchored pattern, which matches the entry whichever form it
-has.
+partition directory ``day_file=YYYYMMDD_<SUFFIX>.parquet`` of part files, as
+written here: one day is written by many tasks in parallel, and Spark's
+dynamic partition overwrite replaces exactly the days written. Both read
+the same way: the day is taken from the path with an unanchored pattern,
+which matches the entry whichever form it has.
 
 Selection rules are Column predicates over a ``path`` column. They apply to
 a file listing (a small DataFrame of paths) and equally to the scanned
@@ -16,10 +17,9 @@ files, so a range read opens only the files of the range.
 from __future__ import annotations
 
 import re
-import uuid
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,7 @@ NAME_PATTERN = r"^(\d{8})_([A-Za-z0-9]+)\.parquet$"
 DAY_TEXT = re.compile(r"\d{8}")
 PATH = "path"
 NAME = "name"
+DAY_FILE = "day_file"  # partition column of day entries written here
 
 
 # --- path expressions ----------------------------------------------------------
@@ -45,10 +46,12 @@ def base_name(path: str | Column) -> Column:
 
 def entry_name(path: str | Column, suffix: str = S.DEFAULT_SUFFIX) -> Column:
     """Name of the day entry a path belongs to: the day directory for a part
-    file inside one, else the file's own name."""
+    file inside one (without a ``key=`` partition prefix), else the file's
+    own name."""
     p = F.col(path) if isinstance(path, str) else path
-    inside = F.regexp_extract(p, r"([^/]+\.parquet)/[^/]+$", 1)
-    return F.when(inside != "", inside).otherwise(base_name(p))
+    inside = F.regexp_extract(p, r"(?:[^/=]+=)?([^/=]+\.parquet)/[^/]+$", 1)
+    own = F.regexp_replace(base_name(p), r"^[^=]+=", "")
+    return F.when(inside != "", inside).otherwise(own)
 
 
 def in_file_range(path: str | Column, start: date | str, end: date | str, suffix: str = S.DEFAULT_SUFFIX) -> Column:
@@ -131,7 +134,7 @@ def list_entries(spark: SparkSession, folder: str, recursive: bool = False) -> D
             if name.startswith(("_", ".")):
                 continue
             if name.endswith(".parquet"):
-                found.append((st.getPath().toString(), name))
+                found.append((st.getPath().toString(), name.split("=", 1)[-1]))
             elif st.isDirectory() and recursive:
                 pending.append(st.getPath())
     if not found:
@@ -273,47 +276,26 @@ def split_summary(plan: DataFrame, sample: int = 10) -> DataFrame:
     )
 
 
-def write_day_files(
-    plan: DataFrame,
-    folder: str,
-    suffix: str = S.DEFAULT_SUFFIX,
-    staging: str | None = None,
-    keep: list[str] | None = None,
-) -> list[str]:
+def write_day_files(plan: DataFrame, folder: str, suffix: str = S.DEFAULT_SUFFIX) -> list[str]:
     """Write each day of a split plan as one day entry, replacing that day.
 
-    Days not in the plan stay as they are. Rows are spread with
-    ``REBALANCE(day_key)``: AQE splits a hot day over several tasks, so a
-    day holding a third of all rows is still written in parallel. Spark
-    writes ``day_key=...`` partitions into a staging folder; each is then
-    moved into place as ``YYYYMMDD_<SUFFIX>.parquet`` (one metadata call per
-    day). Returns the written entry names, sorted.
+    Days not in the plan stay as they are (dynamic partition overwrite on
+    ``day_file``; the commit swaps in exactly the days written). Rows are
+    spread with ``REBALANCE(day_file)``: AQE splits a hot day over several
+    tasks, so a day holding a third of all rows is still written in
+    parallel. The names written are observed during the write (one value
+    per day). Returns them sorted.
     """
-    spark = plan.sparkSession
-    folder = folder.rstrip("/")
-    stage = staging or f"{folder}/_staging-{uuid.uuid4().hex}"
-    columns = keep or [c for c in plan.columns if c not in ("day_key", "file_name")]
+    keep = [c for c in plan.columns if c not in ("day_key", "file_name", DAY_FILE)]
+    named = plan.withColumn(DAY_FILE, F.concat(F.col("day_key"), F.lit(f"_{suffix}.parquet")))
+    seen = Observation("day_files")
     (
-        plan.hint("rebalance", "day_key")
-        .select(*columns, "day_key")
+        named.observe(seen, F.collect_set(DAY_FILE).alias("names"))
+        .hint("rebalance", DAY_FILE)
+        .select(*keep, DAY_FILE)
         .write.mode("overwrite")
-        .partitionBy("day_key")
-        .parquet(stage)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DAY_FILE)
+        .parquet(folder)
     )
-    fs, stage_path = _fs(spark, stage)
-    _, out_path = _fs(spark, folder)
-    fs.mkdirs(out_path)
-    jvm = spark.sparkContext._jvm
-    written = []
-    for st in fs.listStatus(stage_path):
-        part = st.getPath().getName()
-        if not part.startswith("day_key="):
-            continue
-        name = f"{part.split('=', 1)[1]}_{suffix}.parquet"
-        target = jvm.org.apache.hadoop.fs.Path(out_path, name)
-        if fs.exists(target):
-            fs.delete(target, True)
-        fs.rename(st.getPath(), target)
-        written.append(name)
-    fs.delete(stage_path, True)
-    return sorted(written)
+    return sorted(seen.get["names"])

@@ -37,20 +37,21 @@ def landed(spark, folder: Path) -> Path:
 
 def test_split_writes_one_entry_per_day_and_keeps_other_days(spark, folder):
     landing = landed(spark, folder)
-    names = sorted(p.name for p in landing.iterdir() if not p.name.startswith("_"))
+    names = [r.name for r in L.list_entries(spark, str(landing)).collect()]
     assert names[0] == "20240101_OTA.parquet" and len(names) == 30
+    assert (landing / "day_file=20240101_OTA.parquet").is_dir()
     # re-split one day with other content: that day is replaced, the rest stays
     one = L.read_range(spark, str(landing), "2024-01-05", "2024-01-05").drop("source_file").limit(3)
     L.write_day_files(L.split_plan(one), str(landing))
     assert L.read_range(spark, str(landing), "2024-01-05", "2024-01-05").count() == 3
     assert L.read_range(spark, str(landing), "2024-01-06", "2024-01-06").count() > 3
-    assert len([p for p in landing.iterdir() if not p.name.startswith("_")]) == 30
+    assert L.list_entries(spark, str(landing)).count() == 30
 
 
 def test_range_read_opens_only_range_files(spark, folder):
     landing = landed(spark, folder)
     # a corrupt file in a day outside the range must never be opened
-    (landing / "20240120_OTA.parquet" / "part-corrupt.parquet").write_bytes(b"not parquet")
+    (landing / "day_file=20240120_OTA.parquet" / "part-corrupt.parquet").write_bytes(b"not parquet")
     n = L.read_range(spark, str(landing), "2024-01-10", "2024-01-12").count()
     assert n == X.ota_raw(spark, SF_SMALL, (X.DELIVERY_A,)).where(
         F.col("source_file").rlike("2024011[012]_OTA")).count()
