@@ -184,9 +184,10 @@ def write_upsert(updates: DataFrame, path: str, partition: str = "event_date") -
     The updates are staged once (they are used twice). Their row count, max
     timestamp and distinct dates (one value per calendar day) are observed
     during that write. The dates select the partitions to rewrite, so only
-    old rows of touched dates are read, by partition pruning. The merged
-    rows are staged too, since they read the partitions they replace, then
-    written by dynamic partition overwrite.
+    old rows of touched dates are read, by partition pruning. The merge is
+    written by dynamic partition overwrite, which may read the partitions it
+    replaces: new files go to a staging folder and are swapped in only when
+    every task has finished.
     """
     spark = updates.sparkSession
     seen = Observation("upsert")
@@ -208,7 +209,6 @@ def write_upsert(updates: DataFrame, path: str, partition: str = "event_date") -
         merged = upsert(old.select(*staged.columns), staged)
     else:
         merged = upsert(staged.limit(0), staged)
-    merged = TB.stage(merged, "upsert-merged")
     (
         merged.hint("rebalance", partition)
         .sortWithinPartitions(partition, *S.SERVING_KEY)

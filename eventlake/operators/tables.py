@@ -19,6 +19,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from eventlake import schema as S
 from eventlake import session as SESSION
@@ -68,17 +69,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _normalized(path: str) -> str:
-    return path.rstrip("/").replace("file://", "").replace("file:", "")
-
-
-def reads_from(df: DataFrame, path: str) -> bool:
-    """Whether a plan reads files under ``path`` (then it must be staged
-    before it may overwrite them)."""
-    root = _normalized(path) + "/"
-    return any(_normalized(f).startswith(root) for f in df.inputFiles())
-
-
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write a DataFrame to the shared staging folder and read it back.
 
@@ -130,13 +120,13 @@ def write_replace_range(
     The batch's rows of the range overwrite their day partitions (dynamic
     overwrite), then days of the range the batch did not hold are dropped.
     The days written are observed during the write itself (at most one
-    value per day of the range), so the batch is computed once.
+    value per day of the range), so the batch is computed once. A batch may
+    read the table it replaces: dynamic overwrite writes to a staging folder
+    and swaps days in only when every task has finished.
     """
     spark = batch.sparkSession
     start_d, end_d = R.parse_day(start), R.parse_day(end)
     fresh = batch.where(in_day_range(S.DAY_PARTITION, start_d, end_d))
-    if reads_from(fresh, path):
-        fresh = stage(fresh, "replace")
     seen = Observation("replace_range")
     observed = fresh.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(S.DAY_PARTITION).alias("days"))
     (
@@ -171,16 +161,27 @@ def drop_days(spark: SparkSession, path: str, days: list[date]) -> list[date]:
 
 def write_refresh(df: DataFrame, path: str, rebalance: bool = True) -> None:
     """S15 on storage: replace the whole table (static overwrite, whatever the
-    session's partition overwrite mode is)."""
-    if reads_from(df, path):
-        df = stage(df, "refresh")
-    (
-        _clustered(df, rebalance)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(S.DAY_PARTITION)
-        .parquet(path)
-    )
+    session's partition overwrite mode is).
+
+    Spark refuses a static overwrite of a path the plan reads; only then the
+    rows are first staged under the shared checkpoint folder.
+    """
+
+    def write(rows: DataFrame) -> None:
+        (
+            _clustered(rows, rebalance)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(S.DAY_PARTITION)
+            .parquet(path)
+        )
+
+    try:
+        write(df)
+    except AnalysisException as e:
+        if "UNSUPPORTED_OVERWRITE" not in (e.getCondition() or ""):
+            raise
+        write(stage(df, "refresh"))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
