@@ -46,6 +46,16 @@ def _typed(spark: SparkSession, sf_dir: str, deliveries=X.DELIVERIES) -> DataFra
     return TY.fixture_typed(X.ota_raw(spark, sf_dir, deliveries))
 
 
+def _raw_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All deliveries once, tagged; subsets are filters on it, so a query
+    that needs several subsets scans ``events`` once (the exchange is reused)."""
+    return X.ota_raw(spark, sf_dir, with_delivery=True)
+
+
+def _subset(raw_all: DataFrame, *deliveries: str) -> DataFrame:
+    return raw_all.where(F.col("delivery").isin(list(deliveries)))
+
+
 # --- P1..P13: cleaning rules ------------------------------------------------
 
 
@@ -313,8 +323,9 @@ def land_new_days(spark, sf_dir):
     """Days of the second delivery, landed unless already there."""
     from eventlake.sources import landing as L
 
-    candidates = L.listing_of(X.ota_raw(spark, sf_dir, (X.DELIVERY_B,)))
-    first = X.ota_raw(spark, sf_dir, (X.DELIVERY_A,))
+    raw = _raw_all(spark, sf_dir)
+    candidates = L.listing_of(_subset(raw, X.DELIVERY_B))
+    first = _subset(raw, X.DELIVERY_A)
     landed = L.listing_of(first.where(C.day_of_file("source_file") <= F.lit(X.LANDED_UNTIL).cast("date")))
     return L.landing_plan(candidates, landed, skip_if_exists=True)
 
@@ -337,7 +348,8 @@ def append_typed(spark, sf_dir):
     """The typed table after appending the second delivery to the first."""
     from eventlake.operators import tables as TB
 
-    return TB.append(_typed(spark, sf_dir, (X.DELIVERY_A,)), _typed(spark, sf_dir, (X.DELIVERY_B,)))
+    raw = _raw_all(spark, sf_dir)
+    return TB.append(TY.fixture_typed(_subset(raw, X.DELIVERY_A)), TY.fixture_typed(_subset(raw, X.DELIVERY_B)))
 
 
 @register(
@@ -349,8 +361,9 @@ def replace_range_typed(spark, sf_dir):
     """Typed table (first delivery) after replacing the range with later deliveries."""
     from eventlake.operators import tables as TB
 
-    target = _typed(spark, sf_dir, (X.DELIVERY_A,))
-    batch = _typed(spark, sf_dir, (X.DELIVERY_B, X.DELIVERY_D))
+    raw = _raw_all(spark, sf_dir)
+    target = TY.fixture_typed(_subset(raw, X.DELIVERY_A))
+    batch = TY.fixture_typed(_subset(raw, X.DELIVERY_B, X.DELIVERY_D))
     return TB.replace_range(target, batch, X.RANGE_START, X.RANGE_END)
 
 
@@ -524,8 +537,9 @@ def upsert_latest(spark, sf_dir):
     """Serving table of the first delivery after upserting the whole dedupe."""
     from eventlake.operators import serve as SV
 
-    old = SV.serving_projection(D.dedupe_full(_typed(spark, sf_dir, (X.DELIVERY_A,))))
-    new = SV.serving_projection(D.dedupe_full(_typed(spark, sf_dir)))
+    raw = _raw_all(spark, sf_dir)
+    old = SV.serving_projection(D.dedupe_full(TY.fixture_typed(_subset(raw, X.DELIVERY_A))))
+    new = SV.serving_projection(D.dedupe_full(TY.fixture_typed(raw)))
     return SV.upsert(old, new)
 
 
@@ -562,9 +576,9 @@ def recent_run(spark, sf_dir):
     from eventlake.sources import landing as L
 
     start, end = R.resolve_range(X.RANGE_START, X.RANGE_END)
-    first = _typed(spark, sf_dir, (X.DELIVERY_A,))
+    raw = _raw_all(spark, sf_dir)
+    first = TY.fixture_typed(_subset(raw, X.DELIVERY_A))
     deduped = D.dedupe_full(first)
-    raw = X.ota_raw(spark, sf_dir)
     batch = TY.fixture_typed(raw.where(L.in_file_range("source_file", start, end)))
     cursor = SV.cursor_start(override=start)
     return RUNS.recent_plan(first, deduped, SV.serving_projection(deduped), batch, start, end, cursor)

@@ -86,11 +86,14 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     path = f"{sf_dir.rstrip('/')}/events.parquet"
     df = spark.read.parquet(path)
-    want = spark.sparkContext.defaultParallelism
+    try:
+        want = spark.sparkContext.defaultParallelism
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    except Exception:  # no JVM gateway (e.g. a remote session): leave the scan as it is
+        return df
     split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
     if size < min(want * split, SMALL_INPUT_BYTES):
         df = df.repartition(want, "event_id")
     return df
