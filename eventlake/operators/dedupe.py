@@ -68,19 +68,21 @@ def dedupe_range(typed: DataFrame, start: date | str, end: date | str) -> DataFr
 def dedupe_keys(typed: DataFrame, start: date | str, end: date | str) -> DataFrame:
     """Newest copy of every event key that has at least one copy in the range.
 
-    The touched keys are a null-safe semi join (keys may hold NULLs and NULLs
-    match each other, as in the window's PARTITION BY). Before the join the
-    whole table is narrowed to the event-time span of the range's rows: the
-    two bounds come from one small aggregate over the range (partition
-    pruned) and enter the plan as literals, so the full-table scan pushes
+    The whole table is first narrowed to the event-time span of the range's
+    rows (every copy of a touched key has its timestamp there, since the key
+    holds it): the two bounds come from one small aggregate over the range
+    (partition pruned) and enter the plan as literals, so the scan pushes
     them to Parquet and skips row groups by their ``timestamp`` statistics.
+    The narrowed rows are deduplicated first (map-side pre-reduction, so a
+    hot key ships one row per task), then the winners are kept when their
+    key occurs in the range: a null-safe semi join (NULL key parts match, as
+    in PARTITION BY) between two sides that both hold one row per key.
     """
     in_range = typed.where(in_day_range(S.DAY_PARTITION, start, end))
     lo, hi = in_range.agg(F.min("timestamp"), F.max("timestamp")).first()
     if lo is None:
         return typed.where(F.lit(False))
     keys = in_range.select(*[F.col(c).alias(f"_k_{c}") for c in S.DEDUPE_KEY]).distinct()
-    candidates = typed.where(F.col("timestamp").between(F.lit(lo), F.lit(hi)))
+    winners = newest_first(typed.where(F.col("timestamp").between(F.lit(lo), F.lit(hi))))
     cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in S.DEDUPE_KEY]
-    touched = candidates.join(keys, on=cond, how="left_semi")
-    return newest_first(touched)
+    return winners.join(keys, on=cond, how="left_semi")
