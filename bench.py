@@ -13,7 +13,9 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
+from datetime import datetime, timezone
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -40,6 +42,36 @@ def sf_of(path: str) -> float | str:
         return name
 
 
+def storage_runs(spark, sf_dir: str, repeat: int) -> dict[str, float]:
+    """The historic run and then the recent run on storage, in a fresh
+    scratch folder per repetition: split the bulk file into day files, type
+    and append, rebuild the deduplicated table, load the serving table; then
+    replace three days and load again."""
+    from eventlake.plans import runs as RUNS
+    from eventlake.sources import fixture as X
+
+    root = Path(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    bulk = root / "bulk.parquet"
+    X.bulk_raw(spark, sf_dir).write.parquet(str(bulk))
+    hist, recent = [], []
+    for i in range(repeat):
+        base = root / f"r{i}"
+        lay = RUNS.Layout(
+            landing=str(base / "landing"), typed=str(base / "typed"), deduped=str(base / "deduped"),
+            serving=str(base / "serving"), cursor=str(base / "cursor"),
+        )
+        t0 = time.perf_counter()
+        RUNS.historic(spark, lay, str(bulk), loaded_at=datetime(2024, 3, 1, tzinfo=timezone.utc))
+        hist.append(time.perf_counter() - t0)
+        t0 = time.perf_counter()
+        RUNS.recent(spark, lay, X.RANGE_START, X.RANGE_END, loaded_at=datetime(2024, 3, 2, tzinfo=timezone.utc))
+        recent.append(time.perf_counter() - t0)
+    return {
+        "storage_historic_run": round(statistics.median(hist), 3),
+        "storage_recent_run": round(statistics.median(recent), 3),
+    }
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -55,6 +87,8 @@ def main() -> None:
             if i:
                 runs.append(time.perf_counter() - t0)
         timings[name] = round(statistics.median(runs), 3)
+    if not sys.argv[1:] and os.environ.get("BENCH_STORAGE", "1") == "1":
+        timings.update(storage_runs(spark, sf_dir, max(repeat, 1)))
     spark.stop()
     print(
         json.dumps(
