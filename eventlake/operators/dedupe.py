@@ -65,24 +65,54 @@ def dedupe_range(typed: DataFrame, start: date | str, end: date | str) -> DataFr
     return newest_first(typed.where(in_day_range(S.DAY_PARTITION, start, end)))
 
 
-def dedupe_keys(typed: DataFrame, start: date | str, end: date | str) -> DataFrame:
-    """Newest copy of every event key that has at least one copy in the range.
+KEY_PREFIX = "_k_"
+
+
+def key_match() -> list[Column]:
+    """Null-safe equality of the dedupe key with its ``_k_`` aliased copy
+    (NULL key parts match, as in PARTITION BY)."""
+    return [F.col(c).eqNullSafe(F.col(f"{KEY_PREFIX}{c}")) for c in S.DEDUPE_KEY]
 
-    The whole table is first narrowed to the event-time span of the range's
-    rows (every copy of a touched key has its timestamp there, since the key
-    holds it): the two bounds come from one small aggregate over the range
-    (partition pruned) and enter the plan as literals, so the scan pushes
-    them to Parquet and skips row groups by their ``timestamp`` statistics.
-    The narrowed rows are deduplicated first (map-side pre-reduction, so a
-    hot key ships one row per task), then the winners are kept when their
-    key occurs in the range: a null-safe semi join (NULL key parts match, as
-    in PARTITION BY) between two sides that both hold one row per key.
+
+def touched_keys(typed: DataFrame, start: date | str, end: date | str, also: DataFrame | None = None):
+    """Keys with a copy in the range (one row each, columns ``_k_*``) and the
+    event-time span of the range's rows, or None when the range is empty.
+
+    ``also`` adds the keys another table holds in the range: for a range
+    just replaced in the typed table, the deduplicated table's rows of the
+    range name the keys whose old winner may have been deleted.
+
+    Every copy of a touched key has its timestamp in that span, since the
+    key holds the timestamp. The two bounds come from one small aggregate
+    over the range (partition pruned) and enter later plans as literals, so
+    full-table scans push them to Parquet and skip row groups by their
+    ``timestamp`` statistics.
     """
-    in_range = typed.where(in_day_range(S.DAY_PARTITION, start, end))
+    in_range = typed.where(in_day_range(S.DAY_PARTITION, start, end)).select(*S.DEDUPE_KEY)
+    if also is not None:
+        in_range = in_range.unionByName(also.where(in_day_range(S.DAY_PARTITION, start, end)).select(*S.DEDUPE_KEY))
     lo, hi = in_range.agg(F.min("timestamp"), F.max("timestamp")).first()
     if lo is None:
+        return None
+    keys = in_range.select(*[F.col(c).alias(f"{KEY_PREFIX}{c}") for c in S.DEDUPE_KEY]).distinct()
+    return keys, lo, hi
+
+
+def in_span(lo, hi) -> Column:
+    return F.col("timestamp").between(F.lit(lo), F.lit(hi))
+
+
+def dedupe_keys(typed: DataFrame, start: date | str, end: date | str) -> DataFrame:
+    """Newest copy of every event key that has at least one copy in the range.
+
+    The whole table is narrowed to the range's event-time span, deduplicated
+    (map-side pre-reduction, so a hot key ships one row per task), and the
+    winners are kept when their key occurs in the range: a null-safe semi
+    join between two sides that both hold one row per key.
+    """
+    found = touched_keys(typed, start, end)
+    if found is None:
         return typed.where(F.lit(False))
-    keys = in_range.select(*[F.col(c).alias(f"_k_{c}") for c in S.DEDUPE_KEY]).distinct()
-    winners = newest_first(typed.where(F.col("timestamp").between(F.lit(lo), F.lit(hi))))
-    cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in S.DEDUPE_KEY]
-    return winners.join(keys, on=cond, how="left_semi")
+    keys, lo, hi = found
+    winners = newest_first(typed.where(in_span(lo, hi)))
+    return winners.join(keys, on=key_match(), how="left_semi")

@@ -24,7 +24,7 @@ from pyspark.errors import AnalysisException
 from eventlake import schema as S
 from eventlake import session as SESSION
 from eventlake.functions import ranges as R
-from eventlake.operators.dedupe import in_day_range
+from eventlake.operators.dedupe import in_day_range, in_span, key_match
 
 WRITE_APPEND = "WRITE_APPEND"
 WRITE_TRUNCATE = "WRITE_TRUNCATE"
@@ -142,6 +142,54 @@ def write_replace_range(
     return {"rows": metrics["rows"], "days_written": sorted(written), "days_emptied": dropped}
 
 
+def write_replace_keys(winners: DataFrame, keys: DataFrame, lo, hi, path: str, rebalance: bool = True) -> dict:
+    """D2 ``scope="keys"`` on storage: every row of the given event keys,
+    whichever day it sits in, is replaced by the keys' new winners.
+
+    ``keys`` holds one row per key (columns ``_k_*``); every row of those
+    keys has its timestamp in [lo, hi]. The days to rewrite are those of the
+    keys' old rows (found by a semi join on the time-narrowed table) and of
+    the winners (observed while staging them); only those day partitions
+    are read and written again (dynamic overwrite), and days left without
+    rows are dropped.
+    """
+    spark = winners.sparkSession
+    seen = Observation("replace_keys")
+    staged = stage(
+        in_table_order(winners).observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.collect_set(S.DAY_PARTITION).alias("days"),
+            F.max(F.col(S.DAY_PARTITION).isNull().cast("int")).alias("null_day"),
+        ),
+        "keys-new",
+    )
+    metrics = seen.get
+    old = read_table(spark, path)
+    old_days = [
+        r[0]
+        for r in old.where(in_span(lo, hi)).join(keys, on=key_match(), how="left_semi")
+        .select(S.DAY_PARTITION).distinct().collect()  # one row per day
+    ]
+    days = sorted({d for d in old_days if d is not None} | set(metrics["days"]))
+    null_day = None in old_days or bool(metrics["null_day"])
+    day = F.col(S.DAY_PARTITION)
+    chosen = day.isin(days) | (day.isNull() & F.lit(null_day))
+    kept = old.where(chosen).join(keys, on=key_match(), how="left_anti")
+    rebuilt = in_table_order(kept).unionByName(staged)
+    written = Observation("replace_keys_write")
+    (
+        _clustered(rebuilt.observe(written, F.collect_set(S.DAY_PARTITION).alias("days")), rebalance)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(S.DAY_PARTITION)
+        .parquet(path)
+    )
+    left = set(written.get["days"])
+    emptied = drop_days(spark, path, [d for d in days if d not in left])
+    return {"rows": metrics["rows"], "days_rewritten": days, "days_emptied": emptied}
+
+
 def _days(start: date, end: date) -> list[date]:
     return [start + timedelta(days=i) for i in range((end - start).days + 1)]
 

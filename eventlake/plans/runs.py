@@ -90,9 +90,20 @@ def recent(
     end_date: str | date | None = None,
     today: date | None = None,
     loaded_at: datetime | None = None,
+    scope: str = "range",
 ) -> dict:
     """The recent run. Returns a status dict; ``status`` is ``no_data`` when
-    the range has no day file (nothing downstream runs then)."""
+    the range has no day file (nothing downstream runs then).
+
+    ``scope="range"`` deduplicates the range's rows and replaces the range's
+    days in the deduplicated table, as the original job does (copies of an
+    event outside the range are not seen). ``scope="keys"`` re-deduplicates
+    every event key the range touches over all its copies and replaces
+    those keys wherever they sit, so the deduplicated table stays equal to a
+    full rebuild.
+    """
+    if scope not in ("range", "keys"):
+        raise ValueError(f"unknown scope {scope!r}")
     SESSION.configure(spark)
     start, end = R.resolve_range(start_date, end_date, today)
     status: dict = {"range": [start.isoformat(), end.isoformat()]}
@@ -104,8 +115,19 @@ def recent(
     raw = L.read_range(spark, layout.landing, start, end, layout.suffix)
     typed = TY.typed_events(raw, suffix=layout.suffix, ingested_at=loaded_at)
     status["typed"] = TB.write_replace_range(typed, layout.typed, start, end, rebalance=False)
-    batch = D.dedupe_range(TB.read_table(spark, layout.typed), start, end)
-    status["deduped"] = TB.write_replace_range(batch, layout.deduped, start, end)
+    typed_now = TB.read_table(spark, layout.typed)
+    if scope == "range":
+        batch = D.dedupe_range(typed_now, start, end)
+        status["deduped"] = TB.write_replace_range(batch, layout.deduped, start, end)
+    else:
+        fs, root = TB._fs(spark, layout.deduped)
+        before = TB.read_table(spark, layout.deduped) if fs.exists(root) else None
+        found = D.touched_keys(typed_now, start, end, also=before)
+        if found is not None:
+            keys, lo, hi = found
+            winners = D.newest_first(typed_now.where(D.in_span(lo, hi))).join(
+                keys, on=D.key_match(), how="left_semi")
+            status["deduped"] = TB.write_replace_keys(winners, keys, lo, hi, layout.deduped)
     given_start = R.parse_day(start_date)
     cursor = SV.cursor_start(override=given_start, stored=SV.read_cursor(spark, layout.cursor))
     status["load"] = load(spark, layout, cursor)

@@ -231,3 +231,26 @@ def test_streaming_load_equals_batch_load(spark, folder):
     batch = SV.upsert(spark.createDataFrame([], S.SERVING_SCHEMA),
                       SV.serving_projection(TB.read_table(spark, deduped)))
     assert rows_of(spark.read.parquet(serving)) == rows_of(batch.select(*spark.read.parquet(serving).columns))
+
+
+def test_recent_keys_scope_equals_full_rebuild(spark, folder):
+    lay = layout(folder)
+    raw = X.ota_raw(spark, SF_SMALL)
+    # landing holds every delivery's day files (redrop lane included)
+    lanes = raw.withColumn("lane", F.regexp_extract("source_file", r"landing/([a-z]+)/", 1))
+    for lane in ["daily", "redrop"]:
+        part = lanes.where(F.col("lane") == lane).drop("lane", "ingested_at")
+        plan = part.withColumn("day_key", F.regexp_extract("source_file", r"(\d{8})_OTA", 1)).drop("source_file")
+        L.write_day_files(plan, str(folder / lane))
+    # typed table and deduplicated table as the first load left them (daily lane only)
+    first = TY.typed_events(L.read_day_files(spark, str(folder / "daily")), ingested_at=LOADED)
+    TB.write_append(first, lay.typed)
+    TB.write_refresh(D.dedupe_full(TB.read_table(spark, lay.typed)), lay.deduped)
+    # the redrop lane arrives; a keys-scope recent run over three days
+    lay2 = RUNS.Layout(landing=str(folder / "redrop"), typed=lay.typed, deduped=lay.deduped,
+                       serving=lay.serving, cursor=lay.cursor)
+    out = RUNS.recent(spark, lay2, "2024-01-10", "2024-01-12", loaded_at=datetime(2024, 3, 2, tzinfo=timezone.utc),
+                      scope="keys")
+    assert out["status"] == "done"
+    want = rows_of(D.dedupe_full(TB.read_table(spark, lay.typed)))
+    assert rows_of(TB.read_table(spark, lay.deduped)) == want
