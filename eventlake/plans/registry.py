@@ -213,8 +213,8 @@ def date_range_days(spark, sf_dir):
         .groupBy(C.day_of_file("source_file").alias("day"))
         .agg(F.count_distinct("source_file").alias("n_files"), F.count("*").alias("n_rows"))
     )
-    # days: one row per day of the range, a size known on the driver
-    joined = stats.join(F.broadcast(days), on="day", how="right")
+    # stats: at most one row per day of the range, a size known on the driver
+    joined = days.join(F.broadcast(stats), on="day", how="left")
     return joined.select(
         "day",
         "day_key",
