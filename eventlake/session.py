@@ -26,6 +26,9 @@ REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.legacy.parquet.nanosAsLong": "true",
     "spark.sql.constraintPropagation.enabled": "false",
+    # Spark 4's default; strict parsing (an impossible day in a file name
+    # raises) depends on it
+    "spark.sql.ansi.enabled": "true",
 }
 
 PREFERRED = {

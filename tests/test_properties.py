@@ -62,3 +62,21 @@ def test_range_rerun_on_full_dedupe_keeps_keys(spark):
     # and the serving key collapses them to one row per (request_id, timestamp)
     served = SV.upsert(SV.serving_projection(full).limit(0), SV.serving_projection(after))
     assert served.count() == served.select(*S.SERVING_KEY).distinct().count() == 1000
+
+
+@settings(max_examples=5, deadline=None)
+@given(first=st.integers(min_value=1, max_value=30), span=st.integers(min_value=0, max_value=5))
+def test_range_replace_twice_is_once(spark, first, span):
+    from datetime import date, timedelta
+
+    from eventlake.operators import tables as TB
+
+    start = date(2024, 1, first)
+    end = start + timedelta(days=span)
+    typed = TY.fixture_typed(X.ota_raw(spark, SF_SMALL))
+    target = TY.fixture_typed(X.ota_raw(spark, SF_SMALL, (X.DELIVERY_A,)))
+    once = TB.replace_range(target, typed, start, end)
+    twice = TB.replace_range(once, typed, start, end)
+    assert keyed(once, S.TYPED_COLUMNS) == keyed(twice, S.TYPED_COLUMNS)
+    outside = F.coalesce(~F.col("source_day").between(F.lit(start), F.lit(end)), F.lit(True))
+    assert keyed(once.where(outside), S.TYPED_COLUMNS) == keyed(target.where(outside), S.TYPED_COLUMNS)
