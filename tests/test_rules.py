@@ -103,3 +103,26 @@ def test_range_days(spark):
     days = R.range_days(spark, date(2024, 1, 30), date(2024, 2, 2)).collect()
     assert [r.day_key for r in days] == ["20240130", "20240131", "20240201", "20240202"]
     assert R.range_days(spark, date(2024, 2, 2), date(2024, 1, 30)).count() == 0
+
+
+def test_cast_guards_change_no_result(spark):
+    """The pattern tests before integer and decimal casts only spare failed casts."""
+    texts = ["5.", ".5", "", "-", "5-", "1.234.56", "1.0000000005", "9" * 30, "12.50", "-7.25", ".", "-.5",
+             "--5", "-0", "00012", "1.", "9" * 40, " 12 ", "+5", "1e3", "0x1F", "\t3\n", "n/a", "1.5", None]
+    df = spark.createDataFrame([(v,) for v in texts], "v string")
+    got = df.select(
+        F.expr("TRY_CAST(v AS BIGINT)").alias("int_plain"), C.safe_bigint("v").alias("int_guarded"),
+        F.expr("TRY_CAST(replace(regexp_replace(v, '[^0-9,.-]', ''), ',', '.') AS DECIMAL(38,9))").alias("dec_plain"),
+        C.price_decimal("v").alias("dec_guarded"),
+    ).collect()
+    for r in got:
+        assert r.int_plain == r.int_guarded and r.dec_plain == r.dec_guarded
+
+
+def test_flag_trim_matches_whitespace_pattern(spark):
+    samples = ["\\t yes\\n", "\\u00a0No\\u3000", "\\u2028true\\u2029", "\\x0b1\\f", " maybe ", "y es", ""]
+    df = spark.createDataFrame([(v.encode().decode("unicode_escape"),) for v in samples], "v string")
+    got = df.select(
+        F.regexp_replace("v", C.EDGE_SPACE, "").alias("pattern"), F.expr(C.strip_all_sql("v")).alias("chars")
+    ).collect()
+    assert all(r.pattern == r.chars for r in got)
