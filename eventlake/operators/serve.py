@@ -45,7 +45,7 @@ def reject_reason_sql() -> str:
     return "CASE " + " ".join(f"WHEN {cond} THEN {C.text(label)}" for cond, label in checks) + " END"
 
 
-def reject_reason(df: DataFrame | None = None) -> Column:
+def reject_reason() -> Column:
     """First serving constraint a typed row violates, NULL if none."""
     return F.expr(reject_reason_sql())
 

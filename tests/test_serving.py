@@ -49,3 +49,17 @@ def test_split_rejects_unparsable_text(spark):
         L.split_plan(df).collect()
     with pytest.raises(ValueError):
         L.split_plan(df.withColumnRenamed("timestamp", "ts"))
+
+
+def test_serving_table_sql_text():
+    from eventlake import schema as S
+
+    ddl = SV.mysql_table_ddl("ota_events")
+    assert "`request_id` VARCHAR(128) NOT NULL" in ddl and "`timestamp` DATETIME(6) NOT NULL" in ddl
+    assert "`hotel_price` DECIMAL(18,6) NULL" in ddl and "`search_query` TEXT NULL" in ddl
+    assert "PRIMARY KEY (`request_id`, `timestamp`)" in ddl and ddl.count("` ") >= 32
+    merge = SV.mysql_merge_sql("ota_events", "ota_events_staging")
+    assert merge.startswith("INSERT INTO `ota_events`") and "FROM `ota_events_staging`" in merge
+    updated = merge.split("ON DUPLICATE KEY UPDATE", 1)[1]
+    assert "`request_id` =" not in updated and "`timestamp` =" not in updated
+    assert updated.count("= VALUES(") == len(S.TYPED_COLUMNS) - 2
