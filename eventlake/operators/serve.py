@@ -83,7 +83,7 @@ class Cursor:
 def parse_instant(text: str) -> datetime:
     """P20: ISO-8601 text -> aware UTC datetime; ``Z`` allowed, no offset = UTC."""
     try:
-        ts = datetime.fromisoformat(str(text).strip().replace("Z", "+00:00"))
+        ts = datetime.fromisoformat(str(text).strip())
     except ValueError as e:
         raise ValueError(f"invalid timestamp {text!r}: use ISO 8601") from e
     return ts.replace(tzinfo=timezone.utc) if ts.tzinfo is None else ts.astimezone(timezone.utc)
@@ -241,8 +241,8 @@ def mysql_table_ddl(table: str) -> str:
         lines.append(f"  `{f.name}` {t} {'NULL' if f.nullable else 'NOT NULL'}")
     keys = ", ".join(f"`{c}`" for c in S.SERVING_KEY)
     lines.append(f"  PRIMARY KEY ({keys})")
-    lines.append("  KEY idx_ts (`timestamp`)")
-    lines.append("  KEY idx_source_day (`source_day`)")
+    lines.append("  KEY by_event_time (`timestamp`)")
+    lines.append("  KEY by_file_day (`source_day`)")
     return f"CREATE TABLE IF NOT EXISTS `{table}` (\n" + ",\n".join(lines) + "\n)"
 
 
