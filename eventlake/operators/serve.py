@@ -142,14 +142,56 @@ def after_cursor(df: DataFrame, cursor: Cursor, lookback: timedelta | None = Non
     return df.where(ts.isNotNull() & cond)
 
 
+# Bucket widths, in microseconds, of the boundary search: day, minute,
+# second, millisecond, microsecond.
+_WIDTHS = (86_400_000_000, 60_000_000, 1_000_000, 1_000, 1)
+
+
+def chunk_boundary(sliced: DataFrame, size: int) -> datetime | None:
+    """Timestamp of the ``size``-th row of ``sliced`` in timestamp order, or
+    None when it has fewer rows.
+
+    An exact distributed selection: rows are counted per day, then per
+    minute, second, millisecond and microsecond inside the one bucket that
+    holds the ``size``-th row. Each level is an aggregate with map-side
+    partial counts; what reaches the driver is one row per day of the slice
+    at the first level and at most 1,440 rows after it, however many rows
+    or tasks there are. (An ``ORDER BY ... LIMIT`` would merge ``size`` rows
+    from every task in one task.) Each level reads only the bucket chosen
+    before, which the scan prunes by ``timestamp`` statistics.
+    """
+    micros = F.unix_micros("timestamp")
+    lo = hi = None
+    rest = size
+    for width in _WIDTHS:
+        part = sliced if lo is None else sliced.where((micros >= lo) & (micros < hi))
+        base = 0 if lo is None else lo
+        bucket = F.floor((micros - F.lit(base)) / F.lit(width)).cast("long")
+        counts = part.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect()
+        seen = 0
+        for row in counts:
+            if seen + row["n"] >= rest:
+                rest -= seen
+                lo = base + row["b"] * width
+                hi = lo + width
+                break
+            seen += row["n"]
+        else:
+            return None
+    return EPOCH + timedelta(microseconds=lo)
+
+
 def first_chunk(df: DataFrame, cursor: Cursor, size: int) -> DataFrame:
     """A1 with a cap: the first ``size`` rows after the cursor by timestamp,
     extended to the end of the last timestamp so that no row sharing the
-    boundary timestamp is skipped by the next chunk. The boundary is a
-    top-``size`` (TakeOrderedAndProject) inside a scalar subquery."""
+    boundary timestamp is skipped by the next chunk."""
     sliced = after_cursor(df, cursor)
-    boundary = sliced.select("timestamp").orderBy("timestamp").limit(size).agg(F.max("timestamp").alias("b"))
-    return sliced.where(F.col("timestamp") <= boundary.scalar())
+    # the search reads its input five times: stage the one column it needs
+    stamps = TB.stage(sliced.select("timestamp"), "chunk-stamps")
+    boundary = chunk_boundary(stamps, size)
+    if boundary is None:
+        return sliced
+    return sliced.where(F.col("timestamp") <= F.lit(boundary))
 
 
 def advance(loaded: DataFrame) -> DataFrame:
