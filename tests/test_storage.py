@@ -254,3 +254,20 @@ def test_recent_keys_scope_equals_full_rebuild(spark, folder):
     assert out["status"] == "done"
     want = rows_of(D.dedupe_full(TB.read_table(spark, lay.typed)))
     assert rows_of(TB.read_table(spark, lay.deduped)) == want
+
+
+def test_bulk_read_errors(spark, folder):
+    with pytest.raises(FileNotFoundError):
+        L.read_bulk(spark, str(folder / "missing.parquet"))
+    path = folder / "no_ts.parquet"
+    spark.range(3).write.parquet(str(path))
+    with pytest.raises(ValueError, match="timestamp"):
+        L.read_bulk(spark, str(path))
+
+
+def test_load_time_is_one_value_per_statement(spark, folder):
+    landing = landed(spark, folder)
+    typed = TY.typed_events(L.read_day_files(spark, str(landing)))  # ingested_at = current_timestamp()
+    assert typed.select("ingested_at").distinct().count() == 1
+    with pytest.raises(ValueError, match="lacks columns"):
+        TY.typed_events(L.read_day_files(spark, str(landing)).drop("nights"))
