@@ -72,6 +72,10 @@ def typed_events(
     """Typed rows of raw day-file rows.
 
     ``file_path`` defaults to the scanned file (``_metadata.file_path``);
+    when the reader already carries the path as a column (``source_file``
+    from ``landing.read_day_files``), pass that name: referencing the
+    metadata struct again after a projection makes the scan compute Parquet
+    row indexes it never uses (seen in explain);
     ``ingested_at`` defaults to the load time of the statement
     (``current_timestamp()``, one value per query) and may be a fixed
     datetime, SQL text or a Column. ``on_bad_day="null"`` turns an

@@ -113,7 +113,9 @@ def recent(
         return status
     status["files"] = files
     raw = L.read_range(spark, layout.landing, start, end, layout.suffix)
-    typed = TY.typed_events(raw, suffix=layout.suffix, ingested_at=loaded_at)
+    # source_file (added by the reader) rather than _metadata.file_path: the
+    # scan then needs no Parquet row index (checked with explain)
+    typed = TY.typed_events(raw, suffix=layout.suffix, file_path="source_file", ingested_at=loaded_at)
     status["typed"] = TB.write_replace_range(typed, layout.typed, start, end, rebalance=False)
     typed_now = TB.read_table(spark, layout.typed)
     if scope == "range":
@@ -209,7 +211,8 @@ def historic(
     written = L.write_day_files(plan, layout.landing, layout.suffix)
     status["split"] = {"num_files": len(written), "files_sample": written[:10]}
     raw = L.read_day_files(spark, layout.landing, layout.suffix)
-    TB.write_append(TY.typed_events(raw, suffix=layout.suffix, ingested_at=loaded_at), layout.typed)
+    typed = TY.typed_events(raw, suffix=layout.suffix, file_path="source_file", ingested_at=loaded_at)
+    TB.write_append(typed, layout.typed)
     TB.write_refresh(D.dedupe_full(TB.read_table(spark, layout.typed)), layout.deduped)
     cursor = SV.cursor_start(param=start_ts, stored=SV.read_cursor(spark, layout.cursor))
     status["load"] = load(spark, layout, cursor)
