@@ -187,8 +187,8 @@ def first_chunk(df: DataFrame, cursor: Cursor, size: int) -> DataFrame:
     boundary timestamp is skipped by the next chunk."""
     sliced = after_cursor(df, cursor)
     # the search reads its input five times: stage the one column it needs
-    stamps = TB.stage(sliced.select("timestamp"), "chunk-stamps")
-    boundary = chunk_boundary(stamps, size)
+    with TB.staged(sliced.select("timestamp"), "chunk-stamps") as stamps:
+        boundary = chunk_boundary(stamps, size)
     if boundary is None:
         return sliced
     return sliced.where(F.col("timestamp") <= F.lit(boundary))
@@ -239,26 +239,26 @@ def write_upsert(updates: DataFrame, path: str, partition: str = "event_date") -
         F.max("timestamp").alias("max_timestamp"),
         F.collect_set(partition).alias("dates"),
     )
-    staged = TB.stage(observed, "upsert-new")
-    metrics = seen.get
-    dates = sorted(metrics["dates"])
-    result = {"rows": metrics["rows"], "max_timestamp": metrics["max_timestamp"], "dates": dates}
-    if not metrics["rows"]:
-        return result
-    fs, root = TB._fs(spark, path)
-    if fs.exists(root):
-        old = spark.read.parquet(path).where(F.col(partition).isin(dates))
-        merged = upsert(old.select(*staged.columns), staged)
-    else:
-        merged = upsert(staged.limit(0), staged)
-    (
-        merged.hint("rebalance", partition)
-        .sortWithinPartitions(partition, *S.SERVING_KEY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    with TB.staged(observed, "upsert-new") as fresh:
+        metrics = seen.get
+        dates = sorted(metrics["dates"])
+        result = {"rows": metrics["rows"], "max_timestamp": metrics["max_timestamp"], "dates": dates}
+        if not metrics["rows"]:
+            return result
+        fs, root = TB._fs(spark, path)
+        if fs.exists(root):
+            old = spark.read.parquet(path).where(F.col(partition).isin(dates))
+            merged = upsert(old.select(*fresh.columns), fresh)
+        else:
+            merged = upsert(fresh.limit(0), fresh)
+        (
+            merged.hint("rebalance", partition)
+            .sortWithinPartitions(partition, *S.SERVING_KEY)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition)
+            .parquet(path)
+        )
     return result
 
 

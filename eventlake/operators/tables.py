@@ -14,6 +14,7 @@ the default partition, outside every range, and are never touched.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from datetime import date, timedelta
 from pathlib import Path
 
@@ -74,7 +75,8 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
 
     This cuts the lineage: the result no longer reads the tables the plan
     came from, so it may overwrite them, and a lost executor recomputes from
-    the staged files rather than from the start.
+    the staged files rather than from the start. Prefer ``staged``, which
+    also removes the files.
     """
     spark = df.sparkSession
     path = f"{SESSION.staging_root(spark)}/{label}-{uuid.uuid4().hex}"
@@ -82,6 +84,21 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+@contextmanager
+def staged(df: DataFrame, label: str = "stage"):
+    """``stage`` for the span of a ``with`` block; the staged files are
+    deleted when it ends (after the writes that consume them committed)."""
+    spark = df.sparkSession
+    path = f"{SESSION.staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    try:
+        df.write.mode("errorifexists").parquet(path)
+        yield spark.read.parquet(path)
+    finally:
+        fs, p = _fs(spark, path)
+        if fs.exists(p):
+            fs.delete(p, True)
+
+
 def ensure_table(
     spark: SparkSession, name: str, location: str, schema=S.TYPED_SCHEMA, partition: str = S.DAY_PARTITION
 ) -> None:
@@ -155,36 +172,34 @@ def write_replace_keys(winners: DataFrame, keys: DataFrame, lo, hi, path: str, r
     """
     spark = winners.sparkSession
     seen = Observation("replace_keys")
-    staged = stage(
-        in_table_order(winners).observe(
-            seen,
-            F.count(F.lit(1)).alias("rows"),
-            F.collect_set(S.DAY_PARTITION).alias("days"),
-            F.max(F.col(S.DAY_PARTITION).isNull().cast("int")).alias("null_day"),
-        ),
-        "keys-new",
-    )
-    metrics = seen.get
-    old = read_table(spark, path)
-    old_days = [
-        r[0]
-        for r in old.where(in_span(lo, hi)).join(keys, on=key_match(), how="left_semi")
-        .select(S.DAY_PARTITION).distinct().collect()  # one row per day
-    ]
-    days = sorted({d for d in old_days if d is not None} | set(metrics["days"]))
-    null_day = None in old_days or bool(metrics["null_day"])
-    day = F.col(S.DAY_PARTITION)
-    chosen = day.isin(days) | (day.isNull() & F.lit(null_day))
-    kept = old.where(chosen).join(keys, on=key_match(), how="left_anti")
-    rebuilt = in_table_order(kept).unionByName(staged)
-    written = Observation("replace_keys_write")
-    (
-        _clustered(rebuilt.observe(written, F.collect_set(S.DAY_PARTITION).alias("days")), rebalance)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(S.DAY_PARTITION)
-        .parquet(path)
+    observed = in_table_order(winners).observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.collect_set(S.DAY_PARTITION).alias("days"),
+        F.max(F.col(S.DAY_PARTITION).isNull().cast("int")).alias("null_day"),
     )
+    with staged(observed, "keys-new") as fresh:
+        metrics = seen.get
+        old = read_table(spark, path)
+        old_days = [
+            r[0]
+            for r in old.where(in_span(lo, hi)).join(keys, on=key_match(), how="left_semi")
+            .select(S.DAY_PARTITION).distinct().collect()  # one row per day
+        ]
+        days = sorted({d for d in old_days if d is not None} | set(metrics["days"]))
+        null_day = None in old_days or bool(metrics["null_day"])
+        day = F.col(S.DAY_PARTITION)
+        chosen = day.isin(days) | (day.isNull() & F.lit(null_day))
+        kept = old.where(chosen).join(keys, on=key_match(), how="left_anti")
+        rebuilt = in_table_order(kept).unionByName(fresh)
+        written = Observation("replace_keys_write")
+        (
+            _clustered(rebuilt.observe(written, F.collect_set(S.DAY_PARTITION).alias("days")), rebalance)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(S.DAY_PARTITION)
+            .parquet(path)
+        )
     left = set(written.get["days"])
     emptied = drop_days(spark, path, [d for d in days if d not in left])
     return {"rows": metrics["rows"], "days_rewritten": days, "days_emptied": emptied}
@@ -229,7 +244,8 @@ def write_refresh(df: DataFrame, path: str, rebalance: bool = True) -> None:
     except AnalysisException as e:
         if "UNSUPPORTED_OVERWRITE" not in (e.getCondition() or ""):
             raise
-        write(stage(df, "refresh"))
+        with staged(df, "refresh") as rows:
+            write(rows)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
