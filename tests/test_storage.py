@@ -271,3 +271,16 @@ def test_load_time_is_one_value_per_statement(spark, folder):
     assert typed.select("ingested_at").distinct().count() == 1
     with pytest.raises(ValueError, match="lacks columns"):
         TY.typed_events(L.read_day_files(spark, str(landing)).drop("nights"))
+
+
+def test_listing_an_empty_folder_is_an_error(spark, folder):
+    (folder / "empty").mkdir()
+    (folder / "empty" / "notes.txt").write_text("not parquet")
+    with pytest.raises(FileNotFoundError, match="no .parquet"):
+        L.list_entries(spark, str(folder / "empty"))
+    (folder / "empty" / "sub").mkdir()
+    spark.range(2).write.parquet(str(folder / "empty" / "sub" / "20240101_OTA.parquet"))
+    with pytest.raises(FileNotFoundError):
+        L.list_entries(spark, str(folder / "empty"))
+    assert [r.name for r in L.list_entries(spark, str(folder / "empty"), recursive=True).collect()] == [
+        "20240101_OTA.parquet"]
