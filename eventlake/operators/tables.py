@@ -111,6 +111,12 @@ def ensure_table(
     )
 
 
+def sync_table(spark: SparkSession, name: str) -> None:
+    """Make a catalog table over a path see the day partitions written or
+    dropped by the path-based operators here (partition metadata only)."""
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+
+
 def _clustered(df: DataFrame, rebalance: bool) -> DataFrame:
     out = in_table_order(df)
     if rebalance:

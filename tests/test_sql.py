@@ -44,3 +44,18 @@ def test_create_table_if_absent(spark, folder):
     TB.ensure_table(spark, "ota.events_typed", str(folder / "typed"))
     cols = [f.name for f in spark.table("ota.events_typed").schema.fields]
     assert cols[-1] == "source_day" and len(cols) == 32
+
+
+def test_catalog_table_sees_path_writes(spark, folder):
+    from eventlake.operators import dedupe as D
+
+    location = str(folder / "deduped")
+    TB.ensure_table(spark, "ota.events_deduped", location)
+    typed = TY.fixture_typed(X.ota_raw(spark, SF_SMALL))
+    TB.write_refresh(D.dedupe_full(typed), location)
+    TB.sync_table(spark, "ota.events_deduped")
+    assert spark.table("ota.events_deduped").count() == 1020
+    TB.write_replace_range(D.dedupe_range(typed, "2024-01-10", "2024-01-12"), location, "2024-01-10", "2024-01-12")
+    TB.sync_table(spark, "ota.events_deduped")
+    n = spark.sql("SELECT count(*) FROM ota.events_deduped WHERE source_day BETWEEN DATE'2024-01-10' AND DATE'2024-01-12'")
+    assert n.first()[0] == 131
