@@ -21,7 +21,6 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from eventlake import schema as S
 from eventlake.functions import cleaning as C
