@@ -203,13 +203,22 @@ def historic(
     start_ts: str | None = None,
     timestamp_col: str = "timestamp",
     loaded_at: datetime | None = None,
+    export: str | None = None,
 ) -> dict:
-    """The historic run (S1 -> S2/S3 -> S5/S12 -> S15 -> load)."""
+    """The historic run (S1 -> S2/S3 -> [S9] -> S5/S12 -> S15 -> load).
+
+    With ``export`` the bulk file is split into that folder first and its
+    day files are then landed, skipping days already landed (as the
+    original split-then-upload does); without it the split writes straight
+    into the landing folder, replacing the days it holds.
+    """
     SESSION.configure(spark)
     status: dict = {}
     plan = L.split_plan(L.read_bulk(spark, bulk_path, timestamp_col), timestamp_col, layout.suffix)
-    written = L.write_day_files(plan, layout.landing, layout.suffix)
+    written = L.write_day_files(plan, export or layout.landing, layout.suffix)
     status["split"] = {"num_files": len(written), "files_sample": written[:10]}
+    if export:
+        status["land"] = land(spark, export, layout.landing, skip_if_exists=True)
     raw = L.read_day_files(spark, layout.landing, layout.suffix)
     typed = TY.typed_events(raw, suffix=layout.suffix, file_path="source_file", ingested_at=loaded_at)
     TB.write_append(typed, layout.typed)

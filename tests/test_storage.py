@@ -284,3 +284,15 @@ def test_listing_an_empty_folder_is_an_error(spark, folder):
         L.list_entries(spark, str(folder / "empty"))
     assert [r.name for r in L.list_entries(spark, str(folder / "empty"), recursive=True).collect()] == [
         "20240101_OTA.parquet"]
+
+
+def test_historic_with_export_lands_only_new_days(spark, folder):
+    lay = layout(folder)
+    bulk = folder / "bulk.parquet"
+    X.bulk_raw(spark, SF_SMALL).coalesce(1).write.parquet(str(bulk))
+    first = RUNS.historic(spark, lay, str(bulk), loaded_at=LOADED, export=str(folder / "export"))
+    assert first["land"]["uploaded"] == 30 and first["land"]["skipped"] == 0
+    second = RUNS.historic(spark, lay, str(bulk), loaded_at=LOADED, export=str(folder / "export"))
+    assert second["land"]["uploaded"] == 0 and second["land"]["skipped"] == 30
+    assert TB.read_table(spark, lay.deduped).count() == 1000  # the re-run's duplicate raw rows deduplicate away
+    assert TB.read_table(spark, lay.typed).count() == 2000  # a historic re-run appends again
