@@ -166,6 +166,14 @@ def validate_day_bound(value: str | None, field: str) -> None:
         raise ValueError(f"{field} must be YYYYMMDD (e.g. 20260117), got {value!r}")
 
 
+def _name_pattern(pattern: str) -> tuple[str, int, int]:
+    """(Java pattern anchored at the start, day group, suffix group)."""
+    python_form = re.sub(r"\(\?<(?=[A-Za-z])", "(?P<", pattern)
+    groups = re.compile(python_form).groupindex
+    java = re.sub(r"\(\?P<", "(?<", pattern)
+    return f"^(?:{java})", groups.get("date", 1), groups.get("suffix", 2)
+
+
 def select_by_filters(
     listing: DataFrame,
     date_start: str | None = None,
@@ -173,14 +181,20 @@ def select_by_filters(
     suffix: str | None = None,
     pattern: str = NAME_PATTERN,
 ) -> DataFrame:
-    """Entries whose name matches the anchored pattern, with optional
-    suffix and inclusive day bounds (compared as YYYYMMDD text)."""
+    """Entries whose name matches the pattern at its start, with optional
+    suffix and inclusive day bounds (compared as YYYYMMDD text).
+
+    The pattern may name its groups ``date`` and ``suffix``, in Python
+    (``(?P<date>...)``) or Java (``(?<date>...)``) syntax; unnamed, group 1
+    is the day and group 2 the suffix.
+    """
     validate_day_bound(date_start, "date_start")
     validate_day_bound(date_end, "date_end")
+    java, day_group, suffix_group = _name_pattern(pattern)
     name = F.col(NAME)
-    day = F.regexp_extract(name, pattern, 1)
-    suf = F.regexp_extract(name, pattern, 2)
-    cond = name.rlike(pattern)
+    day = F.regexp_extract(name, java, day_group)
+    suf = F.regexp_extract(name, java, suffix_group)
+    cond = name.rlike(java)
     if suffix:
         cond = cond & (suf == suffix)
     if date_start:

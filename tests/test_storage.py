@@ -296,3 +296,16 @@ def test_historic_with_export_lands_only_new_days(spark, folder):
     assert second["land"]["uploaded"] == 0 and second["land"]["skipped"] == 30
     assert TB.read_table(spark, lay.deduped).count() == 1000  # the re-run's duplicate raw rows deduplicate away
     assert TB.read_table(spark, lay.typed).count() == 2000  # a historic re-run appends again
+
+
+def test_name_pattern_forms(spark):
+    listing = spark.createDataFrame(
+        [("x/20240101_OTA.parquet", "20240101_OTA.parquet"), ("x/OTA-20240102.parquet", "OTA-20240102.parquet"),
+         ("x/a20240103_OTA.parquet", "a20240103_OTA.parquet")], "path string, name string")
+    py = r"^(?P<date>\d{8})_(?P<suffix>[A-Za-z0-9]+)\.parquet$"
+    assert [r.name for r in L.select_by_filters(listing, suffix="OTA", pattern=py).collect()] == ["20240101_OTA.parquet"]
+    swapped = r"(?<suffix>[A-Z]+)-(?<date>\d{8})\.parquet"
+    got = L.select_by_filters(listing, date_start="20240102", pattern=swapped).collect()
+    assert [(r.file_date, r.file_suffix) for r in got] == [("20240102", "OTA")]
+    # matched from the start, as re.match does: "a2024..." does not match an unanchored day pattern
+    assert L.select_by_filters(listing, suffix="OTA", pattern=r"(\d{8})_([A-Z]+)\.parquet").count() == 1
