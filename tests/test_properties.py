@@ -80,3 +80,29 @@ def test_range_replace_twice_is_once(spark, first, span):
     assert keyed(once, S.TYPED_COLUMNS) == keyed(twice, S.TYPED_COLUMNS)
     outside = F.coalesce(~F.col("source_day").between(F.lit(start), F.lit(end)), F.lit(True))
     assert keyed(once.where(outside), S.TYPED_COLUMNS) == keyed(target.where(outside), S.TYPED_COLUMNS)
+
+
+def test_hot_key_with_a_third_of_all_rows(spark):
+    """One event key holding a third of all rows: one winner, the newest,
+    and the plan reduces it per task before the shuffle."""
+    typed = TY.fixture_typed(X.ota_raw(spark, SF_SMALL))
+    n = typed.count()
+    one = typed.limit(1).collect()[0].asDict()
+    hot = (
+        spark.range(n // 2)
+        .select(*[F.lit(v).alias(k) for k, v in one.items() if k not in ("ingested_at",)],
+                F.timestamp_micros(F.lit(1_800_000_000_000_000) + F.col("id")).alias("ingested_at"))
+        .select(*S.TYPED_COLUMNS)
+    )
+    skewed = typed.unionByName(hot).repartition(8)
+    out = D.dedupe_full(skewed)
+    key = [F.col(c).eqNullSafe(F.lit(one[c])) for c in S.DEDUPE_KEY]
+    cond = key[0]
+    for k in key[1:]:
+        cond = cond & k
+    winners = out.where(cond).collect()
+    assert len(winners) == 1
+    assert int(winners[0]["ingested_at"].timestamp() * 1_000_000) == 1_800_000_000_000_000 + n // 2 - 1
+    assert out.count() == D.dedupe_full(typed).count()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Partial" in plan and "WindowGroupLimit" in plan
