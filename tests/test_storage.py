@@ -309,3 +309,21 @@ def test_name_pattern_forms(spark):
     assert [(r.file_date, r.file_suffix) for r in got] == [("20240102", "OTA")]
     # matched from the start, as re.match does: "a2024..." does not match an unanchored day pattern
     assert L.select_by_filters(listing, suffix="OTA", pattern=r"(\d{8})_([A-Z]+)\.parquet").count() == 1
+
+
+def test_hot_day_is_written_by_several_tasks(spark, folder):
+    bulk = X.bulk_raw(spark, SF_SMALL)
+    hot = bulk.where(F.col("timestamp") < F.lit(1_704_153_600_000_000_000))  # the first day
+    n = bulk.count()
+    copies = max(1, (n // 2) // max(hot.count(), 1))
+    skewed = bulk.unionByName(hot.withColumn("_c", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("_c"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        L.write_day_files(L.split_plan(skewed), str(folder / "landing"))
+    finally:
+        spark.conf.set(key, before)
+    parts = [p for p in (folder / "landing" / "day_file=20240101_OTA.parquet").iterdir() if p.suffix == ".parquet"]
+    assert len(parts) > 1
+    assert L.read_range(spark, str(folder / "landing"), "2024-01-01", "2024-01-01").count() == hot.count() * (1 + copies)
