@@ -51,13 +51,22 @@ class Layout:
 def load(spark: SparkSession, layout: Layout, cursor: SV.Cursor) -> dict:
     """U1..U5: deduplicated rows after the cursor -> serving table; then the cursor.
 
-    Rejected rows go to ``layout.rejects`` when given. The cursor moves to
+    Rejected rows go to ``layout.rejects`` when given, in a partition named
+    by the load's start (a re-run of the same load replaces it). The cursor moves to
     the max timestamp loaded, and only after the serving table committed.
     """
     deduped = TB.read_table(spark, layout.deduped)
     sliced = SV.after_cursor(deduped, cursor)
     if layout.rejects:
-        SV.serving_rejects(sliced).write.mode("append").parquet(layout.rejects)
+        # one partition per load start: re-running a load replaces its rejects
+        (
+            SV.serving_rejects(sliced)
+            .withColumn("load_from", F.lit(cursor.ts.isoformat()))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("load_from")
+            .parquet(layout.rejects)
+        )
     rows = SV.serving_projection(sliced)
     result = SV.write_upsert(rows, layout.serving)
     if result["rows"]:

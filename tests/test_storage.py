@@ -327,3 +327,19 @@ def test_hot_day_is_written_by_several_tasks(spark, folder):
     parts = [p for p in (folder / "landing" / "day_file=20240101_OTA.parquet").iterdir() if p.suffix == ".parquet"]
     assert len(parts) > 1
     assert L.read_range(spark, str(folder / "landing"), "2024-01-01", "2024-01-01").count() == hot.count() * (1 + copies)
+
+
+def test_rejects_are_replaced_when_a_load_reruns(spark, folder):
+    lay = layout(folder)
+    typed = TY.fixture_typed(X.ota_raw(spark, SF_SMALL))
+    bad = (typed.limit(7).withColumn("currency", F.lit("X" * 20))
+           .withColumn("request_id", F.concat(F.lit("bad-"), F.monotonically_increasing_id().cast("string"))))
+    rows = spark.createDataFrame(typed.unionByName(bad).collect(), typed.schema)
+    TB.write_refresh(D.dedupe_full(rows), lay.deduped)
+    cursor = SV.cursor_start(param="2024-01-01T00:00:00Z")
+    first = RUNS.load(spark, lay, cursor)
+    RUNS.load(spark, lay, cursor)
+    rejects = spark.read.parquet(lay.rejects)
+    assert rejects.count() == 7 and rejects.select("load_from").distinct().count() == 1
+    assert first["rows"] == 1020  # deduplicated rows loaded ...
+    assert spark.read.parquet(lay.serving).count() == 1000  # ... one per serving key
