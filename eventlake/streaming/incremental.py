@@ -16,6 +16,7 @@ the same rows twice, which changes nothing.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventlake import schema as S
 from eventlake import session as SESSION
@@ -35,7 +36,15 @@ def load_batch(serving_path: str, rejects_path: str | None = None):
 
     def run(batch: DataFrame, batch_id: int) -> None:
         if rejects_path:
-            SV.serving_rejects(batch).write.mode("append").parquet(rejects_path)
+            # a batch that runs again (after a failure) replaces its own rejects
+            (
+                SV.serving_rejects(batch)
+                .withColumn("load_from", F.lit(f"batch-{batch_id}"))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("load_from")
+                .parquet(rejects_path)
+            )
         SV.write_upsert(SV.serving_projection(batch), serving_path)
 
     return run

@@ -221,7 +221,7 @@ def test_streaming_load_equals_batch_load(spark, folder):
     typed = TY.fixture_typed(X.ota_raw(spark, SF_SMALL))
     TB.write_replace_range(D.dedupe_range(typed, "2024-01-01", "2024-01-15"), deduped, "2024-01-01", "2024-01-15")
     serving, ckpt = str(folder / "serving"), str(folder / "ckpt")
-    first = INC.load_available(spark, deduped, serving, ckpt)
+    first = INC.load_available(spark, deduped, serving, ckpt, rejects_path=str(folder / "rejects"))
     assert first["rows"] > 0
     again = INC.load_available(spark, deduped, serving, ckpt)
     assert again["rows"] == 0  # nothing new
