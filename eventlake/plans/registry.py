@@ -81,8 +81,12 @@ def safe_cast_float(spark, sf_dir):
     )
 
 
-@register("nanos_to_timestamp", O.rule_query(["timestamp", "event_date"], extra=[]).replace(
-    '"event_date" AS "event_date_raw", ', ""))
+@register(
+    "nanos_to_timestamp",
+    O.prelude()
+    + f'SELECT "timestamp" AS timestamp_raw, {O.typed_rules()["timestamp"]} AS "timestamp", '
+    f'{O.typed_rules()["event_date"]} AS event_date FROM raw',
+)
 def nanos_to_timestamp(spark, sf_dir):
     """Epoch nanoseconds -> timestamp (micro precision) and its UTC day."""
     raw = X.ota_raw(spark, sf_dir)
