@@ -1,12 +1,28 @@
 """Operators for training-data pipelines, their queries and oracles."""
 
-from eventlake.llm import bpe, chat_format, decontamination, quality_rules, warc_archive
+from eventlake.llm import (
+    bpe,
+    chat_format,
+    decontamination,
+    kneser_ney,
+    near_dedup,
+    quality_rules,
+    recurrent_lm,
+    site_tree,
+    suffix_dedup,
+    warc_archive,
+)
 
 QUERIES = {
     "op1_warc_archive": warc_archive.query,
+    "op2_suffix_dedup": suffix_dedup.query,
+    "op3_recurrent_lm": recurrent_lm.query,
     "op4_decontamination": decontamination.query,
     "op5_chat_format": chat_format.query,
     "op6_bpe": bpe.query,
+    "op7_kneser_ney": kneser_ney.query,
+    "op8_site_tree": site_tree.query,
+    "op9_near_dedup": near_dedup.query,
     "op10_quality_rules": quality_rules.query,
 }
 
@@ -14,5 +30,6 @@ ORACLES = {
     "op1_warc_archive": warc_archive.ORACLE,
     "op4_decontamination": decontamination.ORACLE,
     "op5_chat_format": chat_format.ORACLE,
+    "op9_near_dedup": near_dedup.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
 }

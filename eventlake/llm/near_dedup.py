@@ -246,6 +246,20 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, num: int = 80, den:
     )
 
 
+def keep_one(docs: DataFrame, shingle_words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` with all columns and one row of each component: that of the
+    smallest doc_id (of equal rows, any). Rows without words all stay."""
+    found = near_duplicates(docs, shingle_words, num, den).filter("node is null or leader")
+    # rows with one (doc_id, text) are one choice; the text decides among equal doc_ids
+    first = found.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("least"))
+    kept = first.select(F.col("least.doc_id").alias("_keep"), F.col("least.text_hash").alias("_keephash"))
+    hashed = docs.withColumn("_hash", F.xxhash64("text")).withColumn("_words", F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")) & (F.col("_hash") == F.col("_keephash"))
+    joined = hashed.filter("_words").join(kept, same, "left_semi")
+    once = joined.dropDuplicates(["doc_id", "_hash"])
+    return once.unionByName(hashed.filter("not _words")).select(*docs.columns)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, num=85, den=100)
     return rows.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
