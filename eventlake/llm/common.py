@@ -61,3 +61,9 @@ def block_count(texts: DataFrame, column: str, block_bytes: int) -> int:
 
 def block_of(key: Column, blocks: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+
+
+def unwrapped(rows: DataFrame, like: DataFrame, **replaced: Column) -> DataFrame:
+    """The columns of ``like`` from the struct ``_row``; rows travel as one
+    struct where names of further columns could clash with an operator's own."""
+    return rows.select(*[replaced.get(c, F.col("_row").getField(c)).alias(c) for c in like.columns])

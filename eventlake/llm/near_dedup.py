@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import ship, staged, table
+from eventlake.llm.common import ship, staged, table, unwrapped
 from eventlake.llm.components import components
 
 K = 32
@@ -253,11 +253,15 @@ def keep_one(docs: DataFrame, shingle_words: int = 5, num: int = 80, den: int =
     # rows with one (doc_id, text) are one choice; the text decides among equal doc_ids
     first = found.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("least"))
     kept = first.select(F.col("least.doc_id").alias("_keep"), F.col("least.text_hash").alias("_keephash"))
-    hashed = docs.withColumn("_hash", F.xxhash64("text")).withColumn("_words", F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")) & (F.col("_hash") == F.col("_keephash"))
-    joined = hashed.filter("_words").join(kept, same, "left_semi")
-    once = joined.dropDuplicates(["doc_id", "_hash"])
-    return once.unionByName(hashed.filter("not _words")).select(*docs.columns)
+    rows = docs.select(
+        F.struct(*docs.columns).alias("_row"),
+        F.col("doc_id").cast("long").alias("_id"),
+        F.xxhash64("text").alias("_hash"),
+        F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)).alias("_words"),
+    )
+    same = F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_hash") == F.col("_keephash"))
+    once = rows.filter("_words").join(kept, same, "left_semi").dropDuplicates(["_id", "_hash"])
+    return unwrapped(once.unionByName(rows.filter("not _words")), docs)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

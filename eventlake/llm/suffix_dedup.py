@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.llm.common import block_count, block_of, ship, staged, table
+from eventlake.llm.common import block_count, block_of, ship, staged, table, unwrapped
 
 SPAN = 100
 SEED = 12
@@ -373,16 +373,17 @@ def _kept(text: bytes, runs: list[tuple[int, int]]) -> bytes:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with all columns and the repeated bytes cut out of ``text``; what
     a cut leaves of a character goes with it."""
-    schema = docs.schema
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", F.col("text").cast("string").alias("text"))
+    schema = T.StructType([rows.schema["_row"], T.StructField("text", T.StringType())])
 
-    def report(rows: pa.Table, spans: list) -> pa.Table:
+    def report(part: pa.Table, spans: list) -> pa.Table:
         texts = [
             _kept(t.as_py(), r).decode("utf-8", "ignore") if r else None if not t.is_valid else t.as_py().decode("utf-8", "replace")
-            for t, r in zip(rows["_text"], spans)
+            for t, r in zip(part["_text"], spans)
         ]
-        return rows.set_column(rows.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
+        return pa.table({"_row": part["_row"], "text": pa.array(texts, pa.string())})
 
-    return apply_spans(docs, report, schema)
+    return unwrapped(apply_spans(rows, report, schema), docs, text=F.col("text"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
