@@ -87,13 +87,26 @@ def archive(spark: SparkSession, headers: DataFrame, payloads: DataFrame, path:
     distinct_payloads(payloads).write.option("compression", "zstd").parquet(f"{path}/payloads")
 
 
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """(digest, payload) of the store; bytes that do not give their digest are
+    an error."""
+    payloads = spark.read.parquet(f"{path}/payloads")
+    damaged = F.raise_error(F.concat(F.lit("damaged payload "), F.col("digest"))).cast("binary")
+    return payloads.select("digest", F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(damaged).alias("payload"))
+
+
+def with_payload(headers: DataFrame, payloads: DataFrame) -> DataFrame:
+    """Headers joined with what ``payloads`` holds by digest; a record whose
+    payload is missing or has another length (``stored_bytes``) is an error."""
+    wrong = F.raise_error(F.concat(F.lit("no such payload "), F.col("digest"))).cast("long")
+    joined = headers.join(payloads, "digest", "left")
+    return joined.withColumn("n_bytes", F.when(F.col("n_bytes") == F.col("stored_bytes"), F.col("n_bytes")).otherwise(wrong))
+
+
 def reconstruct(spark: SparkSession, path: str) -> DataFrame:
-    """(record_id, header, payload): original records; a payload that is missing
-    or whose bytes do not give its digest is an error."""
-    headers, payloads = spark.read.parquet(f"{path}/headers"), spark.read.parquet(f"{path}/payloads")
-    whole = F.sha2("payload", 256).eqNullSafe(F.col("digest")) & (F.octet_length("payload") == F.col("n_bytes"))
-    checked = F.when(whole, F.col("payload")).otherwise(F.raise_error(F.concat(F.lit("damaged payload "), F.col("digest"))).cast("binary"))
-    return headers.join(payloads, "digest", "left").select("record_id", "header", checked.alias("payload"))
+    """(record_id, header, payload): the original records."""
+    payloads = stored(spark, path).withColumn("stored_bytes", F.octet_length("payload").cast("long"))
+    return with_payload(spark.read.parquet(f"{path}/headers"), payloads).filter("n_bytes >= 0").select("record_id", "header", "payload")
 
 
 def export_warc(records: DataFrame, path: str, compression: str = "gzip") -> None:
@@ -138,7 +151,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{staging_root(spark)}/llm-warc-{uuid.uuid4().hex}"
     archive(spark, page_records(pages), _hashed(pages).select("digest", "payload"), path)
     head = F.col("header").cast("string")
-    back = reconstruct(spark, path)
+    # the fields need each payload's length and digest, read once where it is stored; its bytes stay there
+    facts = stored(spark, path).select("digest", F.octet_length("payload").cast("long").alias("stored_bytes"))
+    back = with_payload(spark.read.parquet(f"{path}/headers"), facts)
 
     def field(pattern: str) -> Column:
         return F.nullif(F.regexp_extract(head, pattern, 1), F.lit(""))
@@ -148,7 +163,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return back.select(
         page("WARC-Record-ID").alias("page_id"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.col("n_bytes").alias("payload_bytes"),
         field(r"\r\nWARC-Payload-Digest: sha1:([0-9a-f]+)\r\n").alias("payload_digest"),
         field(r"\r\nWARC-Type: (\w+)\r\n").alias("record_type"),
         page("WARC-Refers-To").alias("refers_to"),
