@@ -50,6 +50,13 @@ def ident(name: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
 
+def projection_sql(columns: list[str], rules: dict[str, str]) -> list[str]:
+    """Output expressions in column order. A column without a rule passes as it
+    is, not under an alias of its own name: the optimizer restates every
+    known constraint for every alias, which doubles them each time."""
+    return [f"{rules[c]} AS {ident(c)}" if c in rules else ident(c) for c in columns]
+
+
 _INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)
 
 
@@ -110,7 +117,7 @@ def yes_no_sql(name: str) -> str:
     return f"CASE WHEN {v} IN ({yes}) THEN TRUE WHEN {v} IN ({no}) THEN FALSE END"
 
 
-def price_decimal_sql(name: str) -> str:
+def price_decimal_sql(name: str, source_type: T.DataType | None = None) -> str:
     """Free-text price -> decimal(38,9).
 
     Everything but digits, comma, dot and minus is dropped, a comma becomes
@@ -119,6 +126,9 @@ def price_decimal_sql(name: str) -> str:
     The shape test before the cast changes no result (tested) but spares
     the costly failed casts.
     """
+    if isinstance(source_type, (T.DoubleType, T.FloatType)):
+        # the text of a large float has an exponent; its plain digits come from a decimal
+        return f"TRY_CAST({ident(name)} AS {S.PRICE_TYPE.simpleString()})"
     kept = f"replace(regexp_replace(CAST({ident(name)} AS STRING), {text(PRICE_KEEP)}, ''), ',', '.')"
     return f"CASE WHEN {kept} RLIKE {text(DECIMAL_TEXT)} THEN TRY_CAST({kept} AS {S.PRICE_TYPE.simpleString()}) END"
 
@@ -206,14 +216,6 @@ def naive_utc(name: str) -> Column:
     return F.expr(naive_utc_sql(ident(name)))
 
 
-def text_time(c: str | Column) -> Column:
-    """Text -> TIMESTAMP; text without an offset is UTC (session zone UTC).
-
-    Raises on text that is not a timestamp (ANSI ``to_timestamp``).
-    """
-    return F.to_timestamp(F.col(c) if isinstance(c, str) else c)
-
-
 def day_of_file(path: str | Column, suffix: str = S.DEFAULT_SUFFIX, strict: bool = True) -> Column:
     """Day in a file path (Column form of ``day_of_file_sql``)."""
     p = F.col(path) if isinstance(path, str) else path

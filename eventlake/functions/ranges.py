@@ -71,3 +71,8 @@ def range_days(spark: SparkSession, start: date, end: date) -> DataFrame:
 def day_file_name(day_key: Column, suffix: str = S.DEFAULT_SUFFIX) -> Column:
     """'YYYYMMDD' -> 'YYYYMMDD_<suffix>.parquet'."""
     return F.concat(day_key, F.lit(f"_{suffix}.parquet"))
+
+
+def days_between(start: date, end: date) -> list[date]:
+    """The days of a range, on the driver; empty when it ends before it starts."""
+    return [start + timedelta(days=i) for i in range((end - start).days + 1)]

@@ -17,6 +17,7 @@ Scopes:
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,12 +42,13 @@ def newest_first(
 ) -> DataFrame:
     """One row per ``key``: the first by ``order`` (all descending, nulls last).
 
-    With ``tiebreak`` a hash of all columns ends the order, so rows that tie
-    on ``order`` still give the same winner on every run.
+    With ``tiebreak`` a hash of the columns that can still differ ends the
+    order, so rows that tie on ``order`` give the same winner on every run.
     """
     sort = [F.col(c).desc_nulls_last() for c in order]
     if tiebreak:
-        sort.append(F.xxhash64(*[F.col(c) for c in df.columns]).desc())
+        rest = [c for c in df.columns if c not in key and c not in order]
+        sort.append(F.xxhash64(*[F.col(c) for c in rest]).desc())
     w = Window.partitionBy(*[F.col(c) for c in key]).orderBy(*sort)
     return df.withColumn(RANK, F.row_number().over(w)).where(F.col(RANK) == 1).drop(RANK)
 
@@ -74,45 +76,61 @@ def key_match() -> list[Column]:
     return [F.col(c).eqNullSafe(F.col(f"{KEY_PREFIX}{c}")) for c in S.DEDUPE_KEY]
 
 
-def touched_keys(typed: DataFrame, start: date | str, end: date | str, also: DataFrame | None = None):
-    """Keys with a copy in the range (one row each, columns ``_k_*``) and the
-    event-time span of the range's rows, or None when the range is empty.
+@dataclass(frozen=True)
+class Touched:
+    """Event keys (one row each, columns ``_k_*``) and the event-time span of
+    all their copies: microseconds, and whether some have no timestamp."""
+
+    keys: DataFrame
+    lo: int | None
+    hi: int | None
+    nulls: bool
+
+    def in_span(self) -> Column:
+        ts = F.col("timestamp")
+        inside = F.lit(False)
+        if self.lo is not None:
+            inside = ts.between(F.timestamp_micros(F.lit(self.lo)), F.timestamp_micros(F.lit(self.hi)))
+        return inside | ts.isNull() if self.nulls else inside
+
+
+def touched_keys(typed: DataFrame, start: date | str, end: date | str, also: DataFrame | None = None) -> Touched | None:
+    """The keys with a copy in the range, or None when the range is empty.
 
     ``also`` adds the keys another table holds in the range: for a range
     just replaced in the typed table, the deduplicated table's rows of the
     range name the keys whose old winner may have been deleted.
 
-    Every copy of a touched key has its timestamp in that span, since the
-    key holds the timestamp. The two bounds come from one small aggregate
-    over the range (partition pruned) and enter later plans as literals, so
-    full-table scans push them to Parquet and skip row groups by their
-    ``timestamp`` statistics.
+    Every copy of a touched key has its timestamp in the span, since the key
+    holds the timestamp; copies without one belong to keys without one. The
+    bounds come from one small aggregate over the range (partition pruned), as
+    numbers, so no time zone of the driver matters, and enter later plans
+    as literals: full-table scans push them to Parquet and skip row groups by
+    their ``timestamp`` statistics.
     """
     in_range = typed.where(in_day_range(S.DAY_PARTITION, start, end)).select(*S.DEDUPE_KEY)
     if also is not None:
         in_range = in_range.unionByName(also.where(in_day_range(S.DAY_PARTITION, start, end)).select(*S.DEDUPE_KEY))
-    lo, hi = in_range.agg(F.min("timestamp"), F.max("timestamp")).first()
-    if lo is None:
+    micros = F.unix_micros("timestamp")
+    rows, dated, lo, hi = in_range.agg(F.count(F.lit(1)), F.count("timestamp"), F.min(micros), F.max(micros)).first()
+    if not rows:
         return None
     keys = in_range.select(*[F.col(c).alias(f"{KEY_PREFIX}{c}") for c in S.DEDUPE_KEY]).distinct()
-    return keys, lo, hi
+    return Touched(keys, lo, hi, dated < rows)
 
 
-def in_span(lo, hi) -> Column:
-    return F.col("timestamp").between(F.lit(lo), F.lit(hi))
+def winners_of(typed: DataFrame, touched: Touched) -> DataFrame:
+    """Newest copy of every touched key over all its copies in ``typed``.
 
+    The table is narrowed to the span and deduplicated (map-side
+    pre-reduction, so a hot key ships one row per task); the winners are kept
+    when their key is touched: a null-safe semi join between two sides that
+    both hold one row per key.
+    """
+    return newest_first(typed.where(touched.in_span())).join(touched.keys, on=key_match(), how="left_semi")
 
-def dedupe_keys(typed: DataFrame, start: date | str, end: date | str) -> DataFrame:
-    """Newest copy of every event key that has at least one copy in the range.
 
-    The whole table is narrowed to the range's event-time span, deduplicated
-    (map-side pre-reduction, so a hot key ships one row per task), and the
-    winners are kept when their key occurs in the range: a null-safe semi
-    join between two sides that both hold one row per key.
-    """
-    found = touched_keys(typed, start, end)
-    if found is None:
-        return typed.where(F.lit(False))
-    keys, lo, hi = found
-    winners = newest_first(typed.where(in_span(lo, hi)))
-    return winners.join(keys, on=key_match(), how="left_semi")
+def dedupe_keys(typed: DataFrame, start: date | str, end: date | str) -> DataFrame:
+    """Newest copy of every event key that has at least one copy in the range."""
+    touched = touched_keys(typed, start, end)
+    return typed.where(F.lit(False)) if touched is None else winners_of(typed, touched)

@@ -15,8 +15,10 @@ only the dates its rows touch.
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -56,7 +58,7 @@ def serving_sql() -> list[str]:
         "ingested_at": C.naive_utc_sql("ingested_at"),
         "hotel_price": f"TRY_CAST(hotel_price AS {S.SERVING_PRICE_TYPE.simpleString()})",
     }
-    return [f"{rules.get(c, C.ident(c))} AS {C.ident(c)}" for c in S.TYPED_COLUMNS]
+    return C.projection_sql(S.TYPED_COLUMNS, rules)
 
 
 def serving_projection(df: DataFrame) -> DataFrame:
@@ -70,6 +72,28 @@ def serving_rejects(df: DataFrame) -> DataFrame:
     return df.selectExpr(*cols, f"{reject_reason_sql()} AS {REASON}").where(f"{REASON} IS NOT NULL")
 
 
+def write_rejects(df: DataFrame, path: str, load_from: str) -> int:
+    """Rejects of one load as the partition ``load_from``; a load that runs again
+    replaces its own, also when it has none any more. Returns their number."""
+    seen = Observation("rejects")
+    (
+        serving_rejects(df)
+        .withColumn("load_from", F.lit(load_from))
+        .observe(seen, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("load_from")
+        .parquet(path)
+    )
+    rows = seen.get["rows"]
+    if not rows:
+        fs, root = TB._fs(df.sparkSession, path)
+        for st in fs.listStatus(root) if fs.exists(root) else []:
+            if unquote(st.getPath().getName()) == f"load_from={load_from}":
+                fs.delete(st.getPath(), True)
+    return rows
+
+
 # --- U2, U6, P20: the cursor ---------------------------------------------------
 
 
@@ -116,17 +140,75 @@ def cursor_start(param=None, override=None, stored=None) -> Cursor:
     return Cursor(EPOCH, False, "epoch")
 
 
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Complete versions of a small state folder, oldest first."""
+    fs, root = TB._fs(spark, path)
+    if not fs.exists(root):
+        return []
+    names = sorted(st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory())
+    return [n for n in names if n.startswith("v") and fs.exists(TB._fs(spark, f"{path}/{n}/_SUCCESS")[1])]
+
+
+def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The newest complete version of a state folder, None when there is none."""
+    versions = _versions(spark, path.rstrip("/"))
+    return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/{versions[-1]}") if versions else None
+
+
+def write_state(df: DataFrame, path: str) -> None:
+    """Store a new version beside the old one; an interrupted write leaves the
+    old version in force. Versions before the last two are removed."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    versions = _versions(spark, path)
+    number = int(versions[-1][1:]) + 1 if versions else 0
+    df.coalesce(1).write.mode("overwrite").parquet(f"{path}/v{number:012d}")
+    for old in versions[:-1]:
+        fs, p = TB._fs(spark, f"{path}/{old}")
+        fs.delete(p, True)
+
+
+CURSOR_SCHEMA = "cursor_us bigint"
+
+
 def read_cursor(spark: SparkSession, path: str) -> datetime | None:
-    """Stored cursor of a one-row state table, None when there is none yet."""
-    if not TB._fs(spark, path)[0].exists(TB._fs(spark, path)[1]):
-        return None
-    row = spark.read.parquet(path).agg(F.max("cursor").alias("c")).first()
-    return None if row is None or row["c"] is None else row["c"].replace(tzinfo=timezone.utc)
+    """Stored cursor, None when there is none yet. It is kept as microseconds,
+    so the driver's time zone does not matter."""
+    state = read_state(spark, path, CURSOR_SCHEMA)
+    us = state.agg(F.max("cursor_us")).first()[0] if state is not None else None
+    return None if us is None else EPOCH + timedelta(microseconds=us)
 
 
 def write_cursor(spark: SparkSession, path: str, ts: datetime) -> None:
     """Store the cursor (after the sink has committed)."""
-    spark.createDataFrame([(ts,)], "cursor timestamp").coalesce(1).write.mode("overwrite").parquet(path)
+    aware = ts if ts.tzinfo else ts.replace(tzinfo=timezone.utc)
+    write_state(spark.range(1).select(F.lit((aware - EPOCH) // timedelta(microseconds=1)).cast("long").alias("cursor_us")), path)
+
+
+DAYS_SCHEMA = "source_day date, max_us bigint"
+
+
+def write_day_stats(spark: SparkSession, deduped: DataFrame, path: str, days: list[date] | None = None) -> None:
+    """Keep the newest event time of each day of the deduplicated table; with
+    ``days`` only those are read anew (by partition), the others stay."""
+    day = F.col(S.DAY_PARTITION)
+    rows = deduped if days is None else deduped.where(day.isin(days))
+    fresh = rows.where(day.isNotNull()).groupBy(day.alias("source_day")).agg(F.max(F.unix_micros("timestamp")).alias("max_us"))
+    old = read_state(spark, path, DAYS_SCHEMA) if days is not None else None
+    if old is not None:
+        fresh = old.where(~F.col("source_day").isin(days)).unionByName(fresh)
+    write_state(fresh, path)
+
+
+def days_after(spark: SparkSession, path: str, cursor: Cursor) -> Column | None:
+    """Partition filter for the rows a load may need: days whose newest event is
+    not before the cursor, and rows without a day. None without statistics."""
+    stats = read_state(spark, path, DAYS_SCHEMA)
+    if stats is None:
+        return None
+    start = (cursor.ts - EPOCH) // timedelta(microseconds=1)
+    days = [r[0] for r in stats.where(F.col("max_us") >= start).select("source_day").collect()]  # one a day
+    day = F.col(S.DAY_PARTITION)
+    return day.isNull() | day.isin(days)
 
 
 # --- U3..U5: slice, chunk, advance ---------------------------------------------
@@ -142,56 +224,33 @@ def after_cursor(df: DataFrame, cursor: Cursor, lookback: timedelta | None = Non
     return df.where(ts.isNotNull() & cond)
 
 
-# Bucket widths, in microseconds, of the boundary search: day, minute,
-# second, millisecond, microsecond.
-_WIDTHS = (86_400_000_000, 60_000_000, 1_000_000, 1_000, 1)
-
-
-def chunk_boundary(sliced: DataFrame, size: int) -> datetime | None:
-    """Timestamp of the ``size``-th row of ``sliced`` in timestamp order, or
-    None when it has fewer rows.
-
-    An exact distributed selection: rows are counted per day, then per
-    minute, second, millisecond and microsecond inside the one bucket that
-    holds the ``size``-th row. Each level is an aggregate with map-side
-    partial counts; what reaches the driver is one row per day of the slice
-    at the first level and at most 1,440 rows after it, however many rows
-    or tasks there are. (An ``ORDER BY ... LIMIT`` would merge ``size`` rows
-    from every task in one task.) Each level reads only the bucket chosen
-    before, which the scan prunes by ``timestamp`` statistics.
-    """
-    micros = F.unix_micros("timestamp")
-    lo = hi = None
-    rest = size
-    for width in _WIDTHS:
-        part = sliced if lo is None else sliced.where((micros >= lo) & (micros < hi))
-        base = 0 if lo is None else lo
-        bucket = F.floor((micros - F.lit(base)) / F.lit(width)).cast("long")
-        counts = part.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect()
-        seen = 0
-        for row in counts:
-            if seen + row["n"] >= rest:
-                rest -= seen
-                lo = base + row["b"] * width
-                hi = lo + width
-                break
-            seen += row["n"]
-        else:
-            return None
-    return EPOCH + timedelta(microseconds=lo)
+_BOUNDARY = """
+WITH t AS (SELECT unix_micros(`timestamp`) AS us FROM {rows}),
+days AS (SELECT b, n, sum(n) OVER (ORDER BY b) AS upto
+         FROM (SELECT floor(us / 86400000000) AS b, count(*) AS n FROM t GROUP BY 1)),
+day AS (SELECT min_by(b, b) AS b, min_by(upto - n, b) AS before FROM days WHERE upto >= :size),
+minutes AS (SELECT b, n, (SELECT before FROM day) + sum(n) OVER (ORDER BY b) AS upto
+            FROM (SELECT floor(us / 60000000) AS b, count(*) AS n FROM t
+                  WHERE floor(us / 86400000000) = (SELECT b FROM day) GROUP BY 1)),
+minute AS (SELECT min_by(b, b) AS b, min_by(upto - n, b) AS before FROM minutes WHERE upto >= :size),
+moments AS (SELECT us, (SELECT before FROM minute) + sum(n) OVER (ORDER BY us) AS upto
+            FROM (SELECT us, count(*) AS n FROM t WHERE floor(us / 60000000) = (SELECT b FROM minute) GROUP BY 1))
+SELECT * FROM {rows}
+WHERE unix_micros(`timestamp`) <= coalesce((SELECT min(us) FROM moments WHERE upto >= :size), 9223372036854775807L)
+"""
 
 
 def first_chunk(df: DataFrame, cursor: Cursor, size: int) -> DataFrame:
     """A1 with a cap: the first ``size`` rows after the cursor by timestamp,
     extended to the end of the last timestamp so that no row sharing the
-    boundary timestamp is skipped by the next chunk."""
-    sliced = after_cursor(df, cursor)
-    # the search reads its input five times: stage the one column it needs
-    with TB.staged(sliced.select("timestamp"), "chunk-stamps") as stamps:
-        boundary = chunk_boundary(stamps, size)
-    if boundary is None:
-        return sliced
-    return sliced.where(F.col("timestamp") <= F.lit(boundary))
+    boundary timestamp is skipped by the next chunk.
+
+    One lazy plan: rows are counted by day, inside the boundary day by minute,
+    inside the boundary minute by moment. Each count is reduced per task, and
+    a running sum sees one row a day, 1,440 minutes, or the moments of one
+    minute; no task sorts the rows.
+    """
+    return df.sparkSession.sql(_BOUNDARY, args={"size": size}, rows=after_cursor(df, cursor))
 
 
 def advance(loaded: DataFrame) -> DataFrame:
@@ -220,18 +279,34 @@ def upsert(old: DataFrame, new: DataFrame, key: list[str] = S.SERVING_KEY) -> Da
     return both.withColumn(RANK, F.row_number().over(w)).where(F.col(RANK) == 1).drop(RANK, PRIORITY)
 
 
+def _swap_in(rows: DataFrame, path: str, partition: str) -> None:
+    (
+        rows.hint("rebalance", partition)
+        .sortWithinPartitions(partition, *S.SERVING_KEY)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
+    )
+
+
 def write_upsert(updates: DataFrame, path: str, partition: str = "event_date") -> dict:
     """U1 on storage: upsert serving rows into the table at ``path``.
 
     The updates are staged once (they are used twice). Their row count, max
     timestamp and distinct dates (one value per calendar day) are observed
     during that write. The dates select the partitions to rewrite, so only
-    old rows of touched dates are read, by partition pruning. The merge is
-    written by dynamic partition overwrite, which may read the partitions it
-    replaces: new files go to a staging folder and are swapped in only when
-    every task has finished.
+    old rows of touched dates are read, by partition pruning.
+
+    The merge is first written in full beside the table (``tables.redo``) and
+    then swapped in by dynamic partition overwrite. Spark's commit removes
+    the old date folders before it puts the new ones in place; a driver lost
+    in between leaves the complete merge, which the next call applies before
+    anything else, so no served row is lost. A first load has no old rows
+    and is written directly.
     """
     spark = updates.sparkSession
+    TB.redo(spark, path, lambda rows: _swap_in(rows, path, partition))
     seen = Observation("upsert")
     observed = updates.observe(
         seen,
@@ -239,27 +314,19 @@ def write_upsert(updates: DataFrame, path: str, partition: str = "event_date") -
         F.max("timestamp").alias("max_timestamp"),
         F.collect_set(partition).alias("dates"),
     )
+    fs, root = TB._fs(spark, path)
+    if not fs.exists(root):
+        _swap_in(upsert(observed.limit(0), observed), path, partition)
+        metrics = seen.get
+        return {"rows": metrics["rows"], "max_timestamp": metrics["max_timestamp"], "dates": sorted(metrics["dates"])}
     with TB.staged(observed, "upsert-new") as fresh:
         metrics = seen.get
         dates = sorted(metrics["dates"])
-        result = {"rows": metrics["rows"], "max_timestamp": metrics["max_timestamp"], "dates": dates}
-        if not metrics["rows"]:
-            return result
-        fs, root = TB._fs(spark, path)
-        if fs.exists(root):
+        if metrics["rows"]:
             old = spark.read.parquet(path).where(F.col(partition).isin(dates))
-            merged = upsert(old.select(*fresh.columns), fresh)
-        else:
-            merged = upsert(fresh.limit(0), fresh)
-        (
-            merged.hint("rebalance", partition)
-            .sortWithinPartitions(partition, *S.SERVING_KEY)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition)
-            .parquet(path)
-        )
-    return result
+            TB.write_pending(upsert(old.select(*fresh.columns), fresh), path)
+            TB.redo(spark, path, lambda rows: _swap_in(rows, path, partition))
+    return {"rows": metrics["rows"], "max_timestamp": metrics["max_timestamp"], "dates": dates}
 
 
 # --- S17 / U1 against a relational serving table over JDBC ------------------------
@@ -289,20 +356,28 @@ def mysql_table_ddl(table: str) -> str:
 
 
 def mysql_merge_sql(table: str, staging: str) -> str:
-    """One server-side upsert from a staging table into the serving table."""
-    cols = ", ".join(f"`{c}`" for c in S.TYPED_COLUMNS)
-    updates = ", ".join(f"`{c}` = VALUES(`{c}`)" for c in S.TYPED_COLUMNS if c not in S.SERVING_KEY)
-    return f"INSERT INTO `{table}` ({cols}) SELECT {cols} FROM `{staging}` ON DUPLICATE KEY UPDATE {updates}"
+    """One server-side upsert from a staging table into the serving table: the
+    staged row, named by an alias, wins on a key that is there already."""
+    names = [f"`{f.name}`" for f in S.SERVING_SCHEMA.fields]
+    changes = [f"{n} = fresh.{n}" for n in names if n.strip("`") not in S.SERVING_KEY]
+    return (
+        f"INSERT INTO `{table}` ({', '.join(names)})\n"
+        f"SELECT * FROM (SELECT {', '.join(names)} FROM `{staging}`) AS fresh\n"
+        f"ON DUPLICATE KEY UPDATE {', '.join(changes)}"
+    )
 
 
-def jdbc_upsert(rows: DataFrame, url: str, table: str, properties: dict, batchsize: int = 10_000) -> None:
-    """Write serving rows to a staging table in parallel (one connection per
-    task, batched inserts), then run one merge statement on the server.
+def jdbc_upsert(
+    rows: DataFrame, url: str, table: str, properties: dict, batchsize: int = 10_000, connections: int = 16
+) -> None:
+    """Write serving rows to a staging table of this load in parallel (at most
+    ``connections``, batched inserts), then run one merge statement on the
+    server and drop the staging table.
 
     Rows must already be unique per key (``upsert(rows.limit(0), rows)``).
     Untested here: no database server may run in this environment.
     """
-    staging = f"{table}_staging"
+    staging = f"{table}_staging_{uuid.uuid4().hex[:12]}"
     widths = ", ".join(
         f"{c} VARCHAR({n})" for c, n in S.SERVING_VARCHAR.items()
     )
@@ -310,7 +385,7 @@ def jdbc_upsert(rows: DataFrame, url: str, table: str, properties: dict, batchsi
         rows.write.mode("overwrite")
         .option("createTableColumnTypes", widths)
         .option("batchsize", batchsize)
-        .option("truncate", "true")
+        .option("numPartitions", connections)
         .jdbc(url, staging, properties=properties)
     )
     spark = rows.sparkSession
@@ -325,5 +400,6 @@ def jdbc_upsert(rows: DataFrame, url: str, table: str, properties: dict, batchsi
         stmt.execute(mysql_table_ddl(table))
         stmt.execute(mysql_merge_sql(table, staging))
         conn.commit()
+        stmt.execute(f"DROP TABLE `{staging}`")
     finally:
         conn.close()

@@ -16,16 +16,14 @@ from __future__ import annotations
 import uuid
 from contextlib import contextmanager
 from datetime import date, timedelta
-from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from eventlake import schema as S
 from eventlake import session as SESSION
 from eventlake.functions import ranges as R
-from eventlake.operators.dedupe import in_day_range, in_span, key_match
+from eventlake.operators.dedupe import Touched, in_day_range, key_match
 
 WRITE_APPEND = "WRITE_APPEND"
 WRITE_TRUNCATE = "WRITE_TRUNCATE"
@@ -70,24 +68,13 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write a DataFrame to the shared staging folder and read it back.
-
-    This cuts the lineage: the result no longer reads the tables the plan
-    came from, so it may overwrite them, and a lost executor recomputes from
-    the staged files rather than from the start. Prefer ``staged``, which
-    also removes the files.
-    """
-    spark = df.sparkSession
-    path = f"{SESSION.staging_root(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
-
-
 @contextmanager
 def staged(df: DataFrame, label: str = "stage"):
-    """``stage`` for the span of a ``with`` block; the staged files are
-    deleted when it ends (after the writes that consume them committed)."""
+    """Write a DataFrame to the shared staging folder and read it back, for the
+    span of a ``with`` block; the files go when it ends (after the writes that
+    consume them committed). This cuts the lineage: the result no longer
+    reads the tables the plan came from, so it may overwrite them, and a
+    lost executor recomputes from the staged files."""
     spark = df.sparkSession
     path = f"{SESSION.staging_root(spark)}/{label}-{uuid.uuid4().hex}"
     try:
@@ -99,6 +86,31 @@ def staged(df: DataFrame, label: str = "stage"):
             fs.delete(p, True)
 
 
+def _beside(path: str, label: str) -> str:
+    return f"{path.rstrip('/')}__{label}"
+
+
+def write_pending(rows: DataFrame, path: str) -> None:
+    """Write rows that are to replace partitions of the table at ``path`` in
+    full beside it; ``redo`` puts them in place."""
+    rows.write.mode("overwrite").parquet(_beside(path, "pending"))
+
+
+def redo(spark: SparkSession, path: str, apply) -> bool:
+    """Put a complete pending replacement in place and remove it; an incomplete
+    one (its write was interrupted) is removed. Doing it twice is the same as
+    once, so a run that was lost in the middle is finished by the next."""
+    pending = _beside(path, "pending")
+    fs, p = _fs(spark, pending)
+    if not fs.exists(p):
+        return False
+    whole = fs.exists(_fs(spark, f"{pending}/_SUCCESS")[1])
+    if whole:
+        apply(spark.read.parquet(pending))
+    fs.delete(p, True)
+    return whole
+
+
 def ensure_table(
     spark: SparkSession, name: str, location: str, schema=S.TYPED_SCHEMA, partition: str = S.DAY_PARTITION
 ) -> None:
@@ -125,6 +137,17 @@ def _clustered(df: DataFrame, rebalance: bool) -> DataFrame:
     return out.sortWithinPartitions(S.DAY_PARTITION, *S.CLUSTER_COLUMNS)
 
 
+def _overwrite_days(rows: DataFrame, path: str, rebalance: bool) -> None:
+    """Replace exactly the day partitions that ``rows`` hold."""
+    (
+        _clustered(rows, rebalance)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(S.DAY_PARTITION)
+        .parquet(path)
+    )
+
+
 def write_append(df: DataFrame, path: str, rebalance: bool = False) -> None:
     """S12 on storage: append a batch to the table at ``path``."""
     (
@@ -152,31 +175,25 @@ def write_replace_range(
     fresh = batch.where(in_day_range(S.DAY_PARTITION, start_d, end_d))
     seen = Observation("replace_range")
     observed = fresh.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(S.DAY_PARTITION).alias("days"))
-    (
-        _clustered(observed, rebalance)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(S.DAY_PARTITION)
-        .parquet(path)
-    )
+    _overwrite_days(observed, path, rebalance)
     metrics = seen.get
     written = {d for d in metrics["days"]}
     dropped = drop_days(spark, path, [d for d in _days(start_d, end_d) if d not in written])
     return {"rows": metrics["rows"], "days_written": sorted(written), "days_emptied": dropped}
 
 
-def write_replace_keys(winners: DataFrame, keys: DataFrame, lo, hi, path: str, rebalance: bool = True) -> dict:
+def write_replace_keys(winners: DataFrame, touched: Touched, path: str, rebalance: bool = True) -> dict:
     """D2 ``scope="keys"`` on storage: every row of the given event keys,
     whichever day it sits in, is replaced by the keys' new winners.
 
-    ``keys`` holds one row per key (columns ``_k_*``); every row of those
-    keys has its timestamp in [lo, hi]. The days to rewrite are those of the
+    Every row of the touched keys has its timestamp in their span. The days to rewrite are those of the
     keys' old rows (found by a semi join on the time-narrowed table) and of
     the winners (observed while staging them); only those day partitions
     are read and written again (dynamic overwrite), and days left without
     rows are dropped.
     """
     spark = winners.sparkSession
+    redo(spark, path, lambda rows: _overwrite_days(rows, path, rebalance))
     seen = Observation("replace_keys")
     observed = in_table_order(winners).observe(
         seen,
@@ -189,24 +206,24 @@ def write_replace_keys(winners: DataFrame, keys: DataFrame, lo, hi, path: str, r
         old = read_table(spark, path)
         old_days = [
             r[0]
-            for r in old.where(in_span(lo, hi)).join(keys, on=key_match(), how="left_semi")
+            for r in old.where(touched.in_span()).join(touched.keys, on=key_match(), how="left_semi")
             .select(S.DAY_PARTITION).distinct().collect()  # one row per day
         ]
         days = sorted({d for d in old_days if d is not None} | set(metrics["days"]))
         null_day = None in old_days or bool(metrics["null_day"])
         day = F.col(S.DAY_PARTITION)
         chosen = day.isin(days) | (day.isNull() & F.lit(null_day))
-        kept = old.where(chosen).join(keys, on=key_match(), how="left_anti")
+        kept = old.where(chosen).join(touched.keys, on=key_match(), how="left_anti")
         rebuilt = in_table_order(kept).unionByName(fresh)
+        write_pending(rebuilt, path)
+    left = set()
+
+    def swap(rows: DataFrame) -> None:
         written = Observation("replace_keys_write")
-        (
-            _clustered(rebuilt.observe(written, F.collect_set(S.DAY_PARTITION).alias("days")), rebalance)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(S.DAY_PARTITION)
-            .parquet(path)
-        )
-    left = set(written.get["days"])
+        _overwrite_days(rows.observe(written, F.collect_set(S.DAY_PARTITION).alias("days")), path, rebalance)
+        left.update(written.get["days"])
+
+    redo(spark, path, swap)
     emptied = drop_days(spark, path, [d for d in days if d not in left])
     return {"rows": metrics["rows"], "days_rewritten": days, "days_emptied": emptied}
 
@@ -229,51 +246,56 @@ def drop_days(spark: SparkSession, path: str, days: list[date]) -> list[date]:
 
 
 def write_refresh(df: DataFrame, path: str, rebalance: bool = True) -> None:
-    """S15 on storage: replace the whole table (static overwrite, whatever the
-    session's partition overwrite mode is).
+    """S15 on storage: replace the whole table.
 
-    Spark refuses a static overwrite of a path the plan reads; only then the
-    rows are first staged under the shared checkpoint folder.
+    The new version is written in full beside the old one, which stays
+    readable meanwhile (``df`` may read it), and takes its place by two
+    renames. ``finish_refresh`` completes a switch that was interrupted.
     """
-
-    def write(rows: DataFrame) -> None:
-        (
-            _clustered(rows, rebalance)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(S.DAY_PARTITION)
-            .parquet(path)
-        )
-
-    try:
-        write(df)
-    except AnalysisException as e:
-        if "UNSUPPORTED_OVERWRITE" not in (e.getCondition() or ""):
-            raise
-        with staged(df, "refresh") as rows:
-            write(rows)
+    spark = df.sparkSession
+    finish_refresh(spark, path)
+    new = _beside(path, "new")
+    _clustered(df, rebalance).write.mode("overwrite").partitionBy(S.DAY_PARTITION).parquet(new)
+    finish_refresh(spark, path)
+
+
+def finish_refresh(spark: SparkSession, path: str) -> None:
+    """Switch to a complete new version of a table, if there is one. Each step
+    can be repeated: old aside, new in place, old removed."""
+    fs, here = _fs(spark, path)
+    new, old = (_fs(spark, _beside(path, label))[1] for label in ("new", "old"))
+    if fs.exists(new) and fs.exists(_fs(spark, f"{_beside(path, 'new')}/_SUCCESS")[1]):
+        if fs.exists(here):
+            if fs.exists(old):
+                fs.delete(old, True)
+            fs.rename(here, old)
+        fs.rename(new, here)
+    if fs.exists(old) and fs.exists(here):
+        fs.delete(old, True)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A typed/deduplicated table, columns in table order."""
+    """A typed/deduplicated table, columns in table order (after a switch of
+    versions that an earlier run did not complete)."""
+    finish_refresh(spark, path)
     return in_table_order(spark.read.schema(S.TYPED_SCHEMA).parquet(path))
 
 
 # --- S16: SQL text into a table -----------------------------------------------
 
 
-def sql_text(sql: str, base_dir: str | None = None) -> str:
-    """Inline SQL, or the content of a ``.sql`` file (any case); relative
-    paths are taken under ``base_dir``. A missing file is an error."""
-    text = (sql or "").strip()
-    if text.lower().endswith(".sql"):
-        p = Path(text)
-        if not p.is_absolute() and base_dir:
-            p = Path(base_dir) / p
-        if not p.exists():
-            raise FileNotFoundError(f"SQL file not found: {sql} (resolved: {p})")
-        return p.read_text(encoding="utf-8").strip()
-    return text
+def sql_source(spark: SparkSession, sql: str, folder: str | None = None) -> str:
+    """The statement text: ``sql`` itself or, when it names a ``.sql`` file, the
+    file's content, read by Spark so that any file system will do. A name
+    that is not a full path is looked up in ``folder``."""
+    name = (sql or "").strip()
+    if not name[-4:].lower() == ".sql":
+        return name
+    full = name if folder is None or name.startswith("/") or "://" in name else f"{folder.rstrip('/')}/{name}"
+    fs, path = _fs(spark, full)
+    if not fs.exists(path):
+        raise FileNotFoundError(f"no SQL script at {full}")
+    return spark.read.text(full, wholetext=True).first()[0].strip()
 
 
 def run_sql(
@@ -284,19 +306,26 @@ def run_sql(
     write_disposition: str = WRITE_APPEND,
     create_disposition: str = CREATE_IF_NEEDED,
     base_dir: str | None = None,
+    location: str | None = None,
     **frames: DataFrame,
 ) -> tuple[DataFrame, dict]:
     """Run parameterized SQL, optionally into a destination table.
 
-    Values are bound as named parameters (``:name``), table names with
-    ``IDENTIFIER(:name)``, DataFrames as ``{name}`` references. Returns the
-    result DataFrame and a summary (state, destination, rows). With a
-    destination, the row count is observed during the write.
+    Text of several statements runs as one Spark SQL script (DECLARE, SET,
+    CREATE, INSERT ...; variables live in the script); its result is that of
+    the last statement. Values are bound as named parameters (``:name``),
+    table names with ``IDENTIFIER(:name)``, DataFrames as ``{name}``
+    references. Returns the result and a summary (state, destination, rows):
+    the rows written to the destination, or else those of the result.
+    ``location`` makes a created destination an external table there.
     """
-    text = sql_text(sql, base_dir)
+    text = sql_source(spark, sql, base_dir).rstrip().rstrip(";")
+    if ";" in text and text.split(None, 1)[0].upper() != "BEGIN":
+        text = f"BEGIN\n{text};\nEND"
     df = spark.sql(text, args=args or None, **frames)
     summary = {"state": "DONE", "destination": destination, "rows": None}
     if destination is None:
+        summary["rows"] = df.count()
         return df, summary
     if "." in destination and create_disposition == CREATE_IF_NEEDED:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{destination.rsplit('.', 1)[0]}`")
@@ -309,6 +338,7 @@ def run_sql(
     if write_disposition == WRITE_EMPTY and present and not spark.table(destination).isEmpty():
         raise ValueError(f"destination {destination} is not empty")
     seen = Observation("sql_to_table")
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(modes[write_disposition]).saveAsTable(destination)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(modes[write_disposition])
+    (writer.option("path", location) if location else writer).saveAsTable(destination)
     summary["rows"] = seen.get["rows"]
     return spark.table(destination), summary

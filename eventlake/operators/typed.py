@@ -53,12 +53,12 @@ def typed_sql(
         "timestamp": f"timestamp_micros({micros})",
         "event_date": C.utc_date_sql(micros),
         "hotel_price_raw": f"CAST({C.ident('hotel_price')} AS STRING)",
-        "hotel_price": C.price_decimal_sql("hotel_price"),
+        "hotel_price": C.price_decimal_sql("hotel_price", types["hotel_price"]),
         "source_day": C.day_of_file_sql(file_path, suffix, strict=(on_bad_day == "error")),
         "source_file": file_path,
         "ingested_at": _load_time_sql(ingested_at),
     }
-    return [f"{rules.get(c, C.ident(c))} AS {C.ident(c)}" for c in S.TYPED_COLUMNS]
+    return C.projection_sql(S.TYPED_COLUMNS, rules)
 
 
 def typed_events(

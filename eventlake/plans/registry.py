@@ -8,7 +8,9 @@ Fixed parameters (range, cursor, load times) live in ``sources.fixture``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +29,11 @@ ORACLES: dict[str, str] = {}
 
 
 def register(name: str, oracle: str | None):
+    """Queries run in a session of their own; the caller's keeps its settings."""
+
     def wrap(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            SESSION.configure(spark)
-            return fn(spark, sf_dir)
+            return fn(SESSION.scoped(spark), sf_dir)
 
         run.__name__ = name
         run.__doc__ = fn.__doc__
@@ -42,14 +45,13 @@ def register(name: str, oracle: str | None):
     return wrap
 
 
-def _typed(spark: SparkSession, sf_dir: str, deliveries=X.DELIVERIES) -> DataFrame:
+def _typed(spark: SparkSession, sf_dir: str, deliveries=X.ALL_DELIVERIES) -> DataFrame:
     return TY.fixture_typed(X.ota_raw(spark, sf_dir, deliveries))
 
 
 def _raw_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All deliveries once, tagged; subsets are filters on it, so a query
-    that needs several subsets scans ``events`` once (the exchange is reused)."""
-    return X.ota_raw(spark, sf_dir, with_delivery=True)
+    """All deliveries, tagged; subsets are filters on it."""
+    return X.ota_raw(spark, sf_dir, X.ALL_DELIVERIES, with_delivery=True)
 
 
 def _subset(raw_all: DataFrame, *deliveries: str) -> DataFrame:
@@ -62,7 +64,7 @@ def _subset(raw_all: DataFrame, *deliveries: str) -> DataFrame:
 @register("safe_cast_int", O.rule_query(S.BIGINT_COLUMNS))
 def safe_cast_int(spark, sf_dir):
     """Seven loose columns -> bigint (whole numbers only, else NULL)."""
-    raw = X.ota_raw(spark, sf_dir)
+    raw = X.ota_raw(spark, sf_dir, X.ALL_DELIVERIES)
     types = {f.name: f.dataType for f in raw.schema.fields}
     return raw.select(
         *[F.col(c).alias(f"{c}_raw") for c in S.BIGINT_COLUMNS],
@@ -73,7 +75,7 @@ def safe_cast_int(spark, sf_dir):
 @register("safe_cast_float", O.rule_query(S.DOUBLE_COLUMNS))
 def safe_cast_float(spark, sf_dir):
     """Two loose columns -> double."""
-    raw = X.ota_raw(spark, sf_dir)
+    raw = X.ota_raw(spark, sf_dir, X.ALL_DELIVERIES)
     types = {f.name: f.dataType for f in raw.schema.fields}
     return raw.select(
         *[F.col(c).alias(f"{c}_raw") for c in S.DOUBLE_COLUMNS],
@@ -89,7 +91,7 @@ def safe_cast_float(spark, sf_dir):
 )
 def nanos_to_timestamp(spark, sf_dir):
     """Epoch nanoseconds -> timestamp (micro precision) and its UTC day."""
-    raw = X.ota_raw(spark, sf_dir)
+    raw = X.ota_raw(spark, sf_dir, X.ALL_DELIVERIES)
     micros = C.micros_of("timestamp", raw.schema["timestamp"].dataType)
     return raw.select(
         F.col("timestamp").alias("timestamp_raw"),
@@ -101,7 +103,7 @@ def nanos_to_timestamp(spark, sf_dir):
 @register("permission_flags", O.rule_query(S.FLAG_COLUMNS))
 def permission_flags(spark, sf_dir):
     """yes/no text -> boolean."""
-    raw = X.ota_raw(spark, sf_dir)
+    raw = X.ota_raw(spark, sf_dir, X.ALL_DELIVERIES)
     return raw.select(
         *[F.col(c).alias(f"{c}_raw") for c in S.FLAG_COLUMNS],
         *[C.yes_no(c).alias(c) for c in S.FLAG_COLUMNS],
@@ -114,7 +116,7 @@ def permission_flags(spark, sf_dir):
 )
 def price_parse(spark, sf_dir):
     """Keep the price text, parse it into decimal(38,9)."""
-    raw = X.ota_raw(spark, sf_dir)
+    raw = X.ota_raw(spark, sf_dir, X.ALL_DELIVERIES)
     return raw.select(
         F.col("hotel_price").alias("hotel_price_raw"),
         C.price_decimal("hotel_price").alias("hotel_price"),
@@ -127,7 +129,7 @@ def price_parse(spark, sf_dir):
 )
 def source_day_from_name(spark, sf_dir):
     """File path and the day in its name."""
-    raw = X.ota_raw(spark, sf_dir)
+    raw = X.ota_raw(spark, sf_dir, X.ALL_DELIVERIES)
     return raw.select("source_file", C.day_of_file("source_file").alias("source_day"))
 
 
@@ -211,7 +213,7 @@ def date_range_days(spark, sf_dir):
 
     start, end = R.resolve_range(DAYS_START, DAYS_END)
     days = R.range_days(spark, start, end)
-    raw = X.ota_raw(spark, sf_dir)
+    raw = X.ota_raw(spark, sf_dir, X.ALL_DELIVERIES)
     stats = (
         raw.where(L.in_file_range("source_file", start, end))
         .groupBy(C.day_of_file("source_file").alias("day"))
@@ -261,7 +263,7 @@ def files_in_range(spark, sf_dir):
     """Rows of the day files whose day lies in the range."""
     from eventlake.sources import landing as L
 
-    raw = X.ota_raw(spark, sf_dir)
+    raw = X.ota_raw(spark, sf_dir, X.ALL_DELIVERIES)
     return raw.where(L.in_file_range("source_file", X.RANGE_START, X.RANGE_END)).select(
         *S.RAW_COLUMNS, "source_file", C.day_of_file("source_file").alias("source_day")
     )
@@ -275,7 +277,7 @@ def wildcard_scan(spark, sf_dir):
     """Rows of every day file named *_OTA.parquet."""
     from eventlake.sources import landing as L
 
-    raw = X.ota_raw(spark, sf_dir)
+    raw = X.ota_raw(spark, sf_dir, X.ALL_DELIVERIES)
     return raw.where(L.has_suffix("source_file")).select(*S.RAW_COLUMNS, "source_file")
 
 
@@ -290,7 +292,7 @@ def select_by_name(spark, sf_dir):
     """Day files by exact name (every wanted name is present)."""
     from eventlake.sources import landing as L
 
-    return L.pick_files(L.listing_of(X.ota_raw(spark, sf_dir)), names=NAME_PICK)
+    return L.pick_files(L.listing_of(X.ota_raw(spark, sf_dir, X.ALL_DELIVERIES)), names=NAME_PICK)
 
 
 _PAT = r"^(\d{8})_([A-Za-z0-9]+)\.parquet$"
@@ -308,7 +310,7 @@ def select_by_range(spark, sf_dir):
     """Day files by anchored name pattern, suffix and first day."""
     from eventlake.sources import landing as L
 
-    return L.select_by_filters(L.listing_of(X.ota_raw(spark, sf_dir)), date_start=FILTER_START, suffix="OTA")
+    return L.select_by_filters(L.listing_of(X.ota_raw(spark, sf_dir, X.ALL_DELIVERIES)), date_start=FILTER_START, suffix="OTA")
 
 
 @register(
@@ -393,19 +395,24 @@ SQL_DIR = __import__("pathlib").Path(__file__).resolve().parents[1] / "sql"
     O.prelude(extra={"rng": f"SELECT * FROM typed WHERE {_RNG}"}) + "SELECT * FROM (" + O.dedupe_sql("rng") + ")",
 )
 def sql_to_table(spark, sf_dir):
-    """A parameterized SQL file run over the typed rows (range dedupe)."""
+    """A parameterized SQL file (range dedupe) into a table, read back."""
     from datetime import date
 
     from eventlake.operators import tables as TB
 
-    df, _ = TB.run_sql(
+    name = f"newest_in_range_{uuid.uuid4().hex}"
+    location = f"{SESSION.staging_root(spark)}/{name}"
+    TB.run_sql(
         spark,
         "newest_in_range.sql",
         args={"start_date": date.fromisoformat(X.RANGE_START), "end_date": date.fromisoformat(X.RANGE_END)},
         base_dir=str(SQL_DIR),
+        destination=name,
+        location=location,
         typed=_typed(spark, sf_dir),
     )
-    return df
+    spark.sql(f"DROP TABLE {name}")  # the catalog's entry; the rows stay at their location
+    return TB.in_table_order(spark.read.parquet(location))
 
 
 # --- P17..P20, U1..U6: serving -------------------------------------------------
@@ -451,28 +458,21 @@ def cursor_start(spark, sf_dir):
     and a first run with nothing stored."""
     from eventlake.operators import serve as SV
 
-    dedup = D.dedupe_full(_typed(spark, sf_dir))
-    stored = dedup.where(F.col("source_day") <= F.lit(STORED_UNTIL).cast("date")).agg(
-        F.max("timestamp").alias("s")
-    )
-    fixed = [
-        ("param", SV.cursor_start(param=PARAM_TS, override=X.RANGE_START)),
-        ("backfill", SV.cursor_start(param=None, override=X.RANGE_START)),
-        ("first_run", SV.cursor_start()),
-    ]
-    rows = [
-        F.struct(F.lit(n).alias("scenario"), F.lit(c.ts).alias("cursor_ts"), F.lit(c.inclusive).alias("inclusive"),
-                 F.lit(c.source).alias("source"))
-        for n, c in fixed
+    # an earlier load stores its cursor; the next one reads it back
+    state = f"{SESSION.staging_root(spark)}/cursor-{uuid.uuid4().hex}"
+    loaded = D.dedupe_full(_typed(spark, sf_dir)).where(F.col("source_day") <= F.lit(STORED_UNTIL).cast("date"))
+    newest = loaded.agg(F.max(F.unix_micros("timestamp"))).first()[0]
+    if newest is not None:
+        SV.write_cursor(spark, state, SV.EPOCH + timedelta(microseconds=newest))
+    starts = [
+        ("param", SV.cursor_start(param=PARAM_TS, override=X.RANGE_START, stored=SV.read_cursor(spark, state))),
+        ("backfill", SV.cursor_start(override=X.RANGE_START, stored=SV.read_cursor(spark, state))),
+        ("stored", SV.cursor_start(stored=SV.read_cursor(spark, state))),
+        ("first_run", SV.cursor_start(stored=SV.read_cursor(spark, f"{state}-none"))),
     ]
-    # the stored cursor is data: precedence resolved in the plan, as coalesce
-    rows.insert(2, F.struct(
-        F.lit("stored").alias("scenario"),
-        F.coalesce(F.col("s"), F.lit(SV.EPOCH)).alias("cursor_ts"),
-        F.lit(False).alias("inclusive"),
-        F.when(F.col("s").isNull(), F.lit("epoch")).otherwise(F.lit("state")).alias("source"),
-    ))
-    return stored.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    rows = [(n, (c.ts - SV.EPOCH) // timedelta(microseconds=1), c.inclusive, c.source) for n, c in starts]
+    out = spark.createDataFrame(rows, "scenario string, us bigint, inclusive boolean, source string")
+    return out.select("scenario", F.timestamp_micros("us").alias("cursor_ts"), "inclusive", "source")
 
 
 def _cursor():
@@ -532,7 +532,7 @@ def _upsert_sql(old: str, new: str) -> str:
             "ta": _typed_of("a"),
             "da": O.dedupe_sql("ta"),
             "old": O.serving_select("da"),
-            "new": O.serving_select("dedup"),
+            "new": O.serving_select(f"(SELECT * FROM dedup WHERE {O.reject_reason_sql()} IS NULL)"),
         }
     )
     + _upsert_sql("old", "new"),

@@ -15,9 +15,8 @@ directories.
 
 from __future__ import annotations
 
-import re
-from dataclasses import dataclass
-from datetime import date, datetime, timezone
+from dataclasses import dataclass, replace
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,29 +47,25 @@ class Layout:
 # --- the load -----------------------------------------------------------------------
 
 
-def load(spark: SparkSession, layout: Layout, cursor: SV.Cursor) -> dict:
+def load(spark: SparkSession, layout: Layout, cursor: SV.Cursor, lookback: timedelta | None = None) -> dict:
     """U1..U5: deduplicated rows after the cursor -> serving table; then the cursor.
 
-    Rejected rows go to ``layout.rejects`` when given, in a partition named
-    by the load's start (a re-run of the same load replaces it). The cursor moves to
-    the max timestamp loaded, and only after the serving table committed.
+    Only days whose newest event is not before the cursor are read (partition
+    filter from the day statistics kept beside the cursor); ``lookback``
+    reaches back for late rows. Rejected rows go to ``layout.rejects`` when
+    given, in a partition named by the load's start (a re-run of the same
+    load replaces it). The cursor moves to the max timestamp loaded, and only
+    after the serving table committed.
     """
     deduped = TB.read_table(spark, layout.deduped)
-    sliced = SV.after_cursor(deduped, cursor)
+    reach = replace(cursor, ts=cursor.ts - lookback) if lookback else cursor
+    days = SV.days_after(spark, day_stats(layout), reach)
+    sliced = SV.after_cursor(deduped if days is None else deduped.where(days), cursor, lookback)
     if layout.rejects:
-        # one partition per load start: re-running a load replaces its rejects
-        (
-            SV.serving_rejects(sliced)
-            .withColumn("load_from", F.lit(cursor.ts.isoformat()))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("load_from")
-            .parquet(layout.rejects)
-        )
-    rows = SV.serving_projection(sliced)
-    result = SV.write_upsert(rows, layout.serving)
+        SV.write_rejects(sliced, layout.rejects, cursor.ts.isoformat())
+    result = SV.write_upsert(SV.serving_projection(sliced), layout.serving)
     if result["rows"]:
-        new_cursor = result["max_timestamp"].replace(tzinfo=timezone.utc)
+        new_cursor = max(result["max_timestamp"].replace(tzinfo=timezone.utc), cursor.ts)
         SV.write_cursor(spark, layout.cursor, new_cursor)
         result["cursor"] = new_cursor.isoformat()
     else:
@@ -78,18 +73,22 @@ def load(spark: SparkSession, layout: Layout, cursor: SV.Cursor) -> dict:
     return result
 
 
-# --- recent ----------------------------------------------------------------------------
+def day_stats(layout: Layout) -> str:
+    return f"{layout.cursor.rstrip('/')}__days"
 
 
-def range_entries(spark: SparkSession, layout: Layout, start: date, end: date) -> list[str]:
-    """names of the range's day files that exist (one per day at most)."""
-    try:
-        listing = L.list_entries(spark, layout.landing)
-    except FileNotFoundError:
-        return []
-    picked = listing.where(L.in_file_range(F.col(L.NAME), start, end, layout.suffix))
-    picked = picked.where(F.col(L.NAME).rlike(L.NAME_PATTERN))
-    return sorted(r[0] for r in picked.select(L.NAME).collect())
+def typed_entries(spark: SparkSession, paths: list[str], suffix: str, loaded_at: datetime | None) -> DataFrame:
+    """Typed rows of day entries; entries of differing types are typed apart."""
+    out = None
+    for raw in L.read_entries(spark, paths):
+        # source_file (added by the reader) rather than _metadata.file_path: the
+        # scan then needs no Parquet row index (checked with explain)
+        typed = TY.typed_events(raw, suffix=suffix, file_path="source_file", ingested_at=loaded_at)
+        out = typed if out is None else out.unionByName(typed)
+    return out
+
+
+# --- recent ----------------------------------------------------------------------------
 
 
 def recent(
@@ -116,15 +115,13 @@ def recent(
     SESSION.configure(spark)
     start, end = R.resolve_range(start_date, end_date, today)
     status: dict = {"range": [start.isoformat(), end.isoformat()]}
-    files = range_entries(spark, layout, start, end) if start <= end else []
+    entries = L.range_entries(spark, layout.landing, R.days_between(start, end), layout.suffix)
+    files = [name for name, _ in entries]
     if not files:
         status["status"] = "no_data"
         return status
     status["files"] = files
-    raw = L.read_range(spark, layout.landing, start, end, layout.suffix)
-    # source_file (added by the reader) rather than _metadata.file_path: the
-    # scan then needs no Parquet row index (checked with explain)
-    typed = TY.typed_events(raw, suffix=layout.suffix, file_path="source_file", ingested_at=loaded_at)
+    typed = typed_entries(spark, [path for _, path in entries], layout.suffix, loaded_at)
     status["typed"] = TB.write_replace_range(typed, layout.typed, start, end, rebalance=False)
     typed_now = TB.read_table(spark, layout.typed)
     if scope == "range":
@@ -133,12 +130,12 @@ def recent(
     else:
         fs, root = TB._fs(spark, layout.deduped)
         before = TB.read_table(spark, layout.deduped) if fs.exists(root) else None
-        found = D.touched_keys(typed_now, start, end, also=before)
-        if found is not None:
-            keys, lo, hi = found
-            winners = D.newest_first(typed_now.where(D.in_span(lo, hi))).join(
-                keys, on=D.key_match(), how="left_semi")
-            status["deduped"] = TB.write_replace_keys(winners, keys, lo, hi, layout.deduped)
+        touched = D.touched_keys(typed_now, start, end, also=before)
+        if touched is not None:
+            status["deduped"] = TB.write_replace_keys(D.winners_of(typed_now, touched), touched, layout.deduped)
+    changed = status.get("deduped", {}).get("days_rewritten") or R.days_between(start, end)
+    first_stats = SV.read_state(spark, day_stats(layout), SV.DAYS_SCHEMA) is None
+    SV.write_day_stats(spark, TB.read_table(spark, layout.deduped), day_stats(layout), None if first_stats else changed)
     given_start = R.parse_day(start_date)
     cursor = SV.cursor_start(override=given_start, stored=SV.read_cursor(spark, layout.cursor))
     status["load"] = load(spark, layout, cursor)
@@ -172,32 +169,25 @@ def land(
     date_end: str | None = None,
     suffix: str | None = None,
     recursive: bool = False,
+    pattern: str = L.NAME_PATTERN,
 ) -> dict:
-    """S6..S9: land day files of a folder into the landing folder.
+    """S6..S9: land the Parquet entries of a folder into the landing folder.
 
-    The entries to land are read and written by Spark (in parallel, one
-    day entry each); entries already landed are skipped unless
-    ``skip_if_exists`` is off.
+    The entries to land, whatever their names, are read and written by Spark
+    in one job, each under its own name; entries already landed, and all but
+    the first of several with one name, are skipped unless ``skip_if_exists``
+    is off (then they are written together).
     """
-    candidates = L.pick_files(L.list_entries(spark, source_folder, recursive), names, date_start, date_end, suffix)
+    listing = L.list_entries(spark, source_folder, recursive)
+    candidates = L.pick_files(listing, names, date_start, date_end, suffix, pattern)
     try:
         landed = L.list_entries(spark, landing)
     except FileNotFoundError:
         landed = spark.createDataFrame([], f"{L.PATH} string, {L.NAME} string")
     plan = [r.asDict() for r in L.landing_plan(candidates, landed, skip_if_exists).collect()]  # one row per day
     todo = [r for r in plan if r["action"] == "uploaded"]
-    if todo:
-        rows = spark.read.parquet(*[r[L.PATH] for r in todo])
-        rows = rows.drop(L.DAY_FILE)
-        day_of = F.regexp_extract(L.entry_name(F.col("_metadata.file_path")), r"^(\d{8})_", 1)
-        days = rows.withColumn("day_key", day_of)
-        by_suffix = {}
-        for r in todo:
-            m = re.match(r"^(\d{8})_(.+)\.parquet$", r[L.NAME])
-            if m:
-                by_suffix.setdefault(m.group(2), []).append(m.group(1))
-        for suf, keys in by_suffix.items():
-            L.write_day_files(days.where(F.col("day_key").isin(keys)), landing, suf)
+    for rows in L.read_entries(spark, [r[L.PATH] for r in todo]) if todo else []:
+        L.write_entries(rows.withColumn(L.DAY_FILE, L.entry_name("source_file")).drop("source_file"), landing)
     return {
         "uploaded": len(todo),
         "skipped": len(plan) - len(todo),
@@ -228,10 +218,10 @@ def historic(
     status["split"] = {"num_files": len(written), "files_sample": written[:10]}
     if export:
         status["land"] = land(spark, export, layout.landing, skip_if_exists=True)
-    raw = L.read_day_files(spark, layout.landing, layout.suffix)
-    typed = TY.typed_events(raw, suffix=layout.suffix, file_path="source_file", ingested_at=loaded_at)
+    typed = typed_entries(spark, L.day_entries(spark, layout.landing, layout.suffix), layout.suffix, loaded_at)
     TB.write_append(typed, layout.typed)
     TB.write_refresh(D.dedupe_full(TB.read_table(spark, layout.typed)), layout.deduped)
+    SV.write_day_stats(spark, TB.read_table(spark, layout.deduped), day_stats(layout))
     cursor = SV.cursor_start(param=start_ts, stored=SV.read_cursor(spark, layout.cursor))
     status["load"] = load(spark, layout, cursor)
     status["status"] = "done"

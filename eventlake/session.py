@@ -5,14 +5,10 @@
   TIMESTAMP(NANOS), which Spark refuses unless it may read it as a long.
 * AQE on, with skew handling, so that hot keys and hot days are split at
   run time.
-* Constraint propagation off: the cleaning rules give plans with many
-  aliased expressions, on which inferring constraints takes the optimizer
-  tens of seconds and can exhaust the driver heap (measured on the keyed
-  upsert); the null filters it would infer are written explicitly where
-  they matter.
-
-``configure`` only sets what the caller has not set; on a cluster the
-deployment's values win.
+
+``configure`` sets what the jobs' results depend on, and the preferences only
+where the caller has not set them. ``scoped`` leaves the caller's session
+alone: it gives a session of its own with the caller's settings and these.
 """
 
 from __future__ import annotations
@@ -25,7 +21,6 @@ from pyspark.sql import SparkSession
 REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.legacy.parquet.nanosAsLong": "true",
-    "spark.sql.constraintPropagation.enabled": "false",
     # Spark 4's default; strict parsing (an impossible day in a file name
     # raises) depends on it
     "spark.sql.ansi.enabled": "true",
@@ -50,6 +45,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def scoped(spark: SparkSession) -> SparkSession:
+    """A session of its own on the same application, with the caller's settings
+    and those of this package."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return configure(own)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "eventlake") -> SparkSession:
     """A local session for tests and benchmarks (UI off, UTC)."""
     builder = (
@@ -71,14 +76,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for staged intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``. Only when it is unset (local
-    tests) a fresh local folder is created and registered as the checkpoint
-    directory.
+    Uses the cluster's ``spark.checkpoint.dir``; on a cluster it must be set.
+    Only a local master (tests) gets a fresh local folder, which is then
+    registered as the checkpoint directory.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="eventlake-ckpt-"))
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")

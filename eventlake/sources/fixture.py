@@ -65,8 +65,11 @@ DELIVERY_B = "b"  # event_id % 5 = 0, redelivered
 DELIVERY_C = "c"  # event_id % 50 = 3, page_name checkout
 DELIVERY_D = "d"  # event_id % 11 = 0, redrop lane
 DELIVERIES = (DELIVERY_A, DELIVERY_B, DELIVERY_C, DELIVERY_D)
+# event_id % 97 = 5, in turn (event_id % 5): no time, no request id, text too
+# long, price too large, a file without a day
+DELIVERY_E = "e"
+ALL_DELIVERIES = (*DELIVERIES, DELIVERY_E)
 LANDING_PREFIX = "landing/"
-SMALL_INPUT_BYTES = 1 << 30
 
 # The three-day range, the cursor and the early landed cut-off used by queries.
 RANGE_START = "2024-01-10"
@@ -76,34 +79,8 @@ LANDED_UNTIL = "2024-01-15"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` table, spread over at least the cluster's parallelism.
-
-    A small file of one row group is read by one task; everything up to the
-    first shuffle would then run on one core. Only a small input (under
-    parallelism x split size, and under 1 GiB) is hash-spread on
-    ``event_id`` (deterministic on retry); a large table already has as many
-    splits as it needs and is never reshuffled here.
-    """
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    df = spark.read.parquet(path)
-    try:
-        want = spark.sparkContext.defaultParallelism
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-    except Exception:  # no JVM gateway (e.g. a remote session): leave the scan as it is
-        return df
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    if size < min(want * split, SMALL_INPUT_BYTES):
-        df = df.repartition(want, "event_id")
-    return df
-
-
-def _bytes(value: str) -> int:
-    """'134217728b', '128m', '1g' -> bytes."""
-    text = value.strip().lower().rstrip("b")
-    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(text[-1:], 1)
-    return int(float(text[:-1] if scale > 1 else text) * scale)
+    """The ``events`` table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def _instant_sql(ts: datetime) -> str:
@@ -132,20 +109,26 @@ def ota_raw(
     fanned = base.selectExpr("*", f"explode(array({wanted})) AS delivery")
     belongs = (
         f"CASE delivery WHEN '{DELIVERY_A}' THEN TRUE WHEN '{DELIVERY_B}' THEN _event_id % 5 = 0 "
-        f"WHEN '{DELIVERY_C}' THEN _event_id % 50 = 3 WHEN '{DELIVERY_D}' THEN _event_id % 11 = 0 ELSE FALSE END"
+        f"WHEN '{DELIVERY_C}' THEN _event_id % 50 = 3 WHEN '{DELIVERY_D}' THEN _event_id % 11 = 0 "
+        f"WHEN '{DELIVERY_E}' THEN _event_id % 97 = 5 ELSE FALSE END"
     )
     source_day = f"CASE WHEN delivery = '{DELIVERY_B}' AND _event_id % 2 = 1 THEN date_add(_day, 1) ELSE _day END"
-    lane = f"CASE WHEN delivery = '{DELIVERY_D}' THEN 'redrop' ELSE 'daily' END"
+    lane = f"CASE delivery WHEN '{DELIVERY_D}' THEN 'redrop' WHEN '{DELIVERY_E}' THEN 'odd' ELSE 'daily' END"
+
+    odd = f"delivery = '{DELIVERY_E}' AND _event_id % 5"
     changed = {
         "utm_source": f"CASE delivery WHEN '{DELIVERY_B}' THEN 'redelivered' WHEN '{DELIVERY_D}' THEN 'redrop' "
         "ELSE utm_source END",
+        "timestamp": f"CASE WHEN {odd} = 0 THEN NULL ELSE `timestamp` END",
+        "request_id": f"CASE WHEN {odd} = 1 THEN NULL WHEN delivery = '{DELIVERY_E}' "
+        "THEN concat('odd', CAST(_event_id AS STRING)) ELSE request_id END",
+        "currency": f"CASE WHEN {odd} = 2 THEN repeat(currency, 100) ELSE currency END",
+        "hotel_price": f"CASE WHEN {odd} = 3 THEN '99999999999999.5' ELSE hotel_price END",
         "page_name": f"CASE WHEN delivery = '{DELIVERY_C}' THEN 'checkout' ELSE page_name END",
     }
-    out = [f"{changed.get(c, C.ident(c))} AS {C.ident(c)}" for c in S.RAW_COLUMNS]
-    out.append(
-        f"concat('{LANDING_PREFIX}', {lane}, '/', date_format({source_day}, 'yyyyMMdd'), "
-        f"'_{S.DEFAULT_SUFFIX}.parquet') AS source_file"
-    )
+    out = C.projection_sql(S.RAW_COLUMNS, changed)
+    file_day = f"CASE WHEN delivery = '{DELIVERY_E}' AND _event_id % 5 = 4 THEN 'notes' ELSE date_format({source_day}, 'yyyyMMdd') END"
+    out.append(f"concat('{LANDING_PREFIX}', {lane}, '/', {file_day}, '_{S.DEFAULT_SUFFIX}.parquet') AS source_file")
     out.append(
         f"CASE WHEN delivery = '{DELIVERY_B}' AND _event_id % 10 = 0 THEN {_instant_sql(SECOND_LOAD)} "
         f"ELSE {_instant_sql(FIRST_LOAD)} END AS ingested_at"
@@ -201,5 +184,18 @@ def duckdb_raw_sql(deliveries: tuple[str, ...] = DELIVERIES) -> str:
         ),
         DELIVERY_C: part(DELIVERY_C, "_event_id % 50 = 3", "_day", "daily", first, {"page_name": "'checkout'"}),
         DELIVERY_D: part(DELIVERY_D, "_event_id % 11 = 0", "_day", "redrop", first, {"utm_source": "'redrop'"}),
+        DELIVERY_E: part(
+            DELIVERY_E,
+            "_event_id % 97 = 5",
+            "(CASE WHEN _event_id % 5 = 4 THEN 'notes' ELSE CAST(_day AS STRING) END)",
+            "odd",
+            first,
+            {
+                "timestamp": "(CASE WHEN _event_id % 5 <> 0 THEN \"timestamp\" END)",
+                "request_id": "(CASE WHEN _event_id % 5 <> 1 THEN 'odd' || _event_id END)",
+                "currency": "(CASE WHEN _event_id % 5 = 2 THEN repeat(currency, 100) ELSE currency END)",
+                "hotel_price": "(CASE WHEN _event_id % 5 = 3 THEN '99999999999999.5' ELSE hotel_price END)",
+            },
+        ),
     }
     return "\n  UNION ALL\n  ".join(parts[d] for d in deliveries)

@@ -19,11 +19,12 @@ from __future__ import annotations
 import re
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventlake import schema as S
 from eventlake.functions import cleaning as C
+from eventlake.functions import ranges as R
 
 # Fixed value: default name pattern of a day file, anchored; group 1 is the
 # day, group 2 the suffix.
@@ -81,34 +82,90 @@ def exists(spark: SparkSession, path: str) -> bool:
 def read_bulk(spark: SparkSession, path: str, timestamp_col: str = "timestamp") -> DataFrame:
     """The bulk Parquet file; errors if it or its timestamp column is missing."""
     if not exists(spark, path):
-        raise FileNotFoundError(f"input parquet not found: {path}")
+        raise FileNotFoundError(f"there is no bulk file at {path}")
     df = spark.read.parquet(path)
     if timestamp_col not in df.columns:
-        raise ValueError(f"column {timestamp_col!r} not found in {path}")
+        raise ValueError(f"{path} has no event time column {timestamp_col!r}")
     return df
 
 
+def _with_file(df: DataFrame) -> DataFrame:
+    return df.withColumn("source_file", F.col("_metadata.file_path"))
+
+
+def read_entries(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
+    """Rows of the given day entries plus ``source_file``, one DataFrame per
+    schema: usually one. The columns are loose, so a day may hold text where
+    another holds numbers; such entries are grouped by their own schema (read
+    from the entry's footer), and each group can be typed by its rules."""
+    try:
+        return [_with_file(spark.read.option("mergeSchema", "true").parquet(*paths))]
+    except Exception as e:  # the entries' schemas do not merge
+        if "CANNOT_MERGE_SCHEMAS" not in str(e) and "CANNOT_MERGE_INCOMPATIBLE" not in str(e):
+            raise
+    groups: dict[str, list[str]] = {}
+    for path in paths:
+        groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    return [_with_file(spark.read.parquet(*group)) for _, group in sorted(groups.items())]
+
+
+def day_entries(spark: SparkSession, folder: str, suffix: str = S.DEFAULT_SUFFIX) -> list[str]:
+    """Paths of all entries named ``*_<suffix>.parquet``, by a glob."""
+    fs, pattern = _fs(spark, f"{folder.rstrip('/')}/*_{suffix}.parquet")
+    return sorted(st.getPath().toString() for st in fs.globStatus(pattern) or [])
+
+
+def range_entries(spark: SparkSession, folder: str, days: list[date], suffix: str = S.DEFAULT_SUFFIX) -> list[tuple[str, str]]:
+    """(name, path) of the days' entries that exist: one test a day and
+    form, so neither other days nor odd names in the folder matter."""
+    found = []
+    for day in days:
+        name = f"{day:%Y%m%d}_{suffix}.parquet"
+        for entry in (name, f"{DAY_FILE}={name}"):
+            fs, p = _fs(spark, f"{folder.rstrip('/')}/{entry}")
+            if fs.exists(p):
+                found.append((name, p.toString()))
+                break
+    return found
+
+
+def _one(frames: list[DataFrame]) -> DataFrame:
+    """One DataFrame of groups of differing types: their columns as text."""
+    if len(frames) == 1:
+        return frames[0]
+    out = None
+    for f in frames:
+        f = f.select(*[F.col(c).cast("string").alias(c) for c in f.columns])
+        out = f if out is None else out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
 def read_day_files(spark: SparkSession, folder: str, suffix: str = S.DEFAULT_SUFFIX) -> DataFrame:
     """Every day file with the suffix, plus ``source_file`` (full path).
 
-    An empty or missing folder gives an error from the scan, as a wildcard
-    table over no files does.
+    A folder without one is an error, as a wildcard over no files is.
     """
-    glob = f"{folder.rstrip('/')}/*_{suffix}.parquet"
-    df = spark.read.parquet(glob)
-    return df.withColumn("source_file", F.col("_metadata.file_path"))
+    paths = day_entries(spark, folder, suffix)
+    if not paths:
+        raise FileNotFoundError(f"{folder} holds no day file with suffix {suffix}")
+    return _one(read_entries(spark, paths))
 
 
 def read_range(
-    spark: SparkSession, folder: str, start: date | str, end: date | str, suffix: str = S.DEFAULT_SUFFIX
+    spark: SparkSession, folder: str, start: date | str, end: date | str, suffix: str = S.DEFAULT_SUFFIX,
+    view: str | None = None,
 ) -> DataFrame:
-    """Rows of the day files of [start, end] that exist.
-
-    Missing days are simply absent. The day predicate is on the file path,
-    so Catalyst lists all entries but opens only the files of the range.
-    """
-    df = read_day_files(spark, folder, suffix)
-    return df.where(in_file_range(F.col("_metadata.file_path"), start, end, suffix))
+    """Rows of the day files of [start, end] that exist; missing days are
+    simply absent, no day at all is an error. ``view`` also names the rows as
+    a temporary view, created or replaced."""
+    first, last = R.parse_day(start), R.parse_day(end)
+    entries = range_entries(spark, folder, R.days_between(first, last), suffix)
+    if not entries:
+        raise FileNotFoundError(f"{folder} holds no day file from {first} to {last}")
+    df = _one(read_entries(spark, [p for _, p in entries]))
+    if view:
+        df.createOrReplaceTempView(view)
+    return df
 
 
 # --- listing and selection -----------------------------------------------------
@@ -123,7 +180,7 @@ def list_entries(spark: SparkSession, folder: str, recursive: bool = False) -> D
     """
     fs, root = _fs(spark, folder)
     if not fs.exists(root):
-        raise FileNotFoundError(f"folder not found: {folder}")
+        raise FileNotFoundError(f"cannot list {folder}: it does not exist")
     found: list[tuple[str, str]] = []
     pending = [root]
     while pending:
@@ -137,7 +194,7 @@ def list_entries(spark: SparkSession, folder: str, recursive: bool = False) -> D
             elif st.isDirectory() and recursive:
                 pending.append(st.getPath())
     if not found:
-        raise FileNotFoundError(f"no .parquet entries in {folder} (recursive={recursive})")
+        raise FileNotFoundError(f"{folder} holds no .parquet entry" + (" at any depth" if recursive else ""))
     found.sort()
     return spark.createDataFrame(found, f"{PATH} string, {NAME} string")
 
@@ -163,7 +220,7 @@ def missing_names(selected: DataFrame, names: list[str]) -> list[str]:
 
 def validate_day_bound(value: str | None, field: str) -> None:
     if value is not None and not DAY_TEXT.fullmatch(value):
-        raise ValueError(f"{field} must be YYYYMMDD (e.g. 20260117), got {value!r}")
+        raise ValueError(f"{field}: eight digits of a day are expected, not {value!r}")
 
 
 def _name_pattern(pattern: str) -> tuple[str, int, int]:
@@ -218,14 +275,13 @@ def pick_files(
         selected = select_by_name(listing, names)
         gone = missing_names(selected, names)
         if gone:
-            raise FileNotFoundError(f"requested files not found: {gone}")
+            raise FileNotFoundError(f"wanted by name but absent: {', '.join(gone)}")
         return selected
     if date_start or date_end or suffix:
         selected = select_by_filters(listing, date_start, date_end, suffix, pattern).select(PATH, NAME)
         if selected.isEmpty():
-            raise FileNotFoundError(
-                f"no matching parquet files for range=[{date_start},{date_end}] suffix={suffix}"
-            )
+            wanted = {"from": date_start, "to": date_end, "suffix": suffix}
+            raise FileNotFoundError(f"nothing to pick with {({k: v for k, v in wanted.items() if v})}")
         return selected
     return listing
 
@@ -234,24 +290,18 @@ def landing_plan(candidates: DataFrame, landed: DataFrame, skip_if_exists: bool
     """Per candidate entry, whether it is landed now or skipped.
 
     ``landed`` is the listing of the target folder. Matching is by entry
-    name. Output: name, source path, action ('uploaded' | 'skipped').
+    name; of several candidates with one name the first by path is landed
+    and the others are skipped. Output: name, source path, action
+    ('uploaded' | 'skipped').
     """
     there = landed.select(F.col(NAME).alias("_landed")).distinct()
-    joined = candidates.join(there, candidates[NAME] == there["_landed"], "left")
-    skip = F.col("_landed").isNotNull() & F.lit(skip_if_exists)
+    ranked = candidates.withColumn("_turn", F.row_number().over(Window.partitionBy(NAME).orderBy(PATH)))
+    joined = ranked.join(there, ranked[NAME] == there["_landed"], "left")
+    skip = (F.col("_landed").isNotNull() | (F.col("_turn") > 1)) if skip_if_exists else F.lit(False)
     action = F.when(skip, F.lit("skipped")).otherwise(F.lit("uploaded"))
     return joined.select(F.col(NAME), F.col(PATH), action.alias("action"))
 
 
-def landing_counts(plan: DataFrame) -> DataFrame:
-    """A4: uploaded and skipped counts of a landing plan, one row."""
-    return plan.agg(
-        F.count_if(F.col("action") == "uploaded").alias("uploaded"),
-        F.count_if(F.col("action") == "skipped").alias("skipped"),
-        F.count("*").alias("targets"),
-    )
-
-
 # --- splitting and writing -----------------------------------------------------
 
 
@@ -265,7 +315,7 @@ def split_plan(
     a timestamp belong to no day and are dropped.
     """
     if timestamp_col not in df.columns:
-        raise ValueError(f"column {timestamp_col!r} not found")
+        raise ValueError(f"the rows have no event time column {timestamp_col!r}")
     kind = df.schema[timestamp_col].dataType
     key = F.expr(f"date_format({C.utc_date_sql(C.micros_sql(timestamp_col, kind))}, 'yyyyMMdd')")
     return (
@@ -299,11 +349,16 @@ def write_day_files(plan: DataFrame, folder: str, suffix: str = S.DEFAULT_SUFFIX
     parallel. The names written are observed during the write (one value
     per day). Returns them sorted.
     """
-    keep = [c for c in plan.columns if c not in ("day_key", "file_name", DAY_FILE)]
-    named = plan.withColumn(DAY_FILE, F.concat(F.col("day_key"), F.lit(f"_{suffix}.parquet")))
+    return write_entries(plan.withColumn(DAY_FILE, F.concat(F.col("day_key"), F.lit(f"_{suffix}.parquet"))), folder)
+
+
+def write_entries(rows: DataFrame, folder: str) -> list[str]:
+    """Write rows as the entries their column ``day_file`` names, replacing
+    those entries; returns the names written, sorted."""
+    keep = [c for c in rows.columns if c not in ("day_key", "file_name", DAY_FILE)]
     seen = Observation("day_files")
     (
-        named.observe(seen, F.collect_set(DAY_FILE).alias("names"))
+        rows.observe(seen, F.collect_set(DAY_FILE).alias("names"))
         .hint("rebalance", DAY_FILE)
         .select(*keep, DAY_FILE)
         .write.mode("overwrite")

@@ -1,46 +1,14 @@
--- Newest copy of every event among the typed rows of a file-day range.
--- Parameters: :start_date, :end_date (DATE). Table: {typed}.
-SELECT
-  `request_id`,
-  `funnel_id`,
-  `session_id`,
-  `user_id`,
-  `user_agent`,
-  `device_type`,
-  `ip_address`,
-  `timestamp`,
-  `event_date`,
-  `page_name`,
-  `subscriber_id`,
-  `has_email_contact_permission`,
-  `has_phone_contact_permission`,
-  `hotel_price_raw`,
-  `hotel_price`,
-  `hotel_id`,
-  `currency`,
-  `country`,
-  `utm_source`,
-  `search_query`,
-  `num_guests`,
-  `destination_id`,
-  `hotel_name`,
-  `hotel_rating`,
-  `selected_room_id`,
-  `nights`,
-  `price_per_night`,
-  `payment_status`,
-  `confirmation_number`,
-  `source_day`,
-  `source_file`,
-  `ingested_at`
-FROM (
-  SELECT
-    t.*,
-    row_number() OVER (
-      PARTITION BY request_id, funnel_id, session_id, page_name, `timestamp`
-      ORDER BY ingested_at DESC NULLS LAST, source_day DESC NULLS LAST, source_file DESC NULLS LAST
-    ) AS rn
-  FROM {typed} t
-  WHERE t.source_day BETWEEN :start_date AND :end_date
+-- The winner among the copies of each event in the file days
+-- :start_date to :end_date (DATE) of {typed}: latest load, then latest file
+-- day, then file name. max_by carries whole rows, so no column is listed.
+WITH copies AS (
+  SELECT struct(d.*) AS whole, d.*
+  FROM {typed} AS d
+  WHERE d.source_day >= :start_date AND d.source_day <= :end_date
+),
+winners AS (
+  SELECT max_by(whole, struct(ingested_at, source_day, source_file)) AS whole
+  FROM copies
+  GROUP BY request_id, funnel_id, session_id, page_name, `timestamp`
 )
-WHERE rn = 1
+SELECT whole.* FROM winners

@@ -16,19 +16,17 @@ the same rows twice, which changes nothing.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from eventlake import schema as S
 from eventlake import session as SESSION
 from eventlake.operators import serve as SV
 
 
-def deduped_stream(spark: SparkSession, deduped_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The deduplicated table as a stream of newly written files."""
-    reader = spark.readStream.schema(S.TYPED_SCHEMA).option("basePath", deduped_path)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(deduped_path)
+def deduped_stream(spark: SparkSession, deduped_path: str) -> DataFrame:
+    """The deduplicated table as a stream of newly written files. All that is
+    new comes in one batch, so the newest copy of a serving key wins whichever
+    file it is in."""
+    return spark.readStream.schema(S.TYPED_SCHEMA).option("basePath", deduped_path).parquet(deduped_path)
 
 
 def load_batch(serving_path: str, rejects_path: str | None = None):
@@ -37,14 +35,7 @@ def load_batch(serving_path: str, rejects_path: str | None = None):
     def run(batch: DataFrame, batch_id: int) -> None:
         if rejects_path:
             # a batch that runs again (after a failure) replaces its own rejects
-            (
-                SV.serving_rejects(batch)
-                .withColumn("load_from", F.lit(f"batch-{batch_id}"))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("load_from")
-                .parquet(rejects_path)
-            )
+            SV.write_rejects(batch, rejects_path, f"batch-{batch_id}")
         SV.write_upsert(SV.serving_projection(batch), serving_path)
 
     return run
@@ -56,7 +47,6 @@ def load_available(
     serving_path: str,
     checkpoint: str,
     rejects_path: str | None = None,
-    max_files_per_trigger: int | None = None,
 ) -> dict:
     """Load every deduplicated file not loaded before, then stop.
 
@@ -65,7 +55,7 @@ def load_available(
     """
     SESSION.configure(spark)
     query = (
-        deduped_stream(spark, deduped_path, max_files_per_trigger)
+        deduped_stream(spark, deduped_path)
         .writeStream.foreachBatch(load_batch(serving_path, rejects_path))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

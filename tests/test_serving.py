@@ -62,4 +62,4 @@ def test_serving_table_sql_text():
     assert merge.startswith("INSERT INTO `ota_events`") and "FROM `ota_events_staging`" in merge
     updated = merge.split("ON DUPLICATE KEY UPDATE", 1)[1]
     assert "`request_id` =" not in updated and "`timestamp` =" not in updated
-    assert updated.count("= VALUES(") == len(S.TYPED_COLUMNS) - 2
+    assert updated.count("= fresh.") == len(S.TYPED_COLUMNS) - 2

@@ -31,7 +31,7 @@ def norm(v):
             return "nan"
         return f"{v:.9g}"
     if isinstance(v, decimal.Decimal):
-        return f"{float(v):.9g}"
+        return format(v.normalize(), "f")
     if isinstance(v, dt.datetime):
         if v.tzinfo is not None:
             v = v.astimezone(dt.timezone.utc).replace(tzinfo=None)
