@@ -1,18 +1,20 @@
 """Main text of web pages with a site style tree.
 
 Pages of one host are merged by element path (tag, class and id with digits
-folded). Every branch that may be noise gets an importance from two
-entropies over the host's distinct pages: of its child sequences
-(presentation) and of the texts below it (content), each divided by its
-maximum, so a branch that looks or reads the same everywhere is near 0:
+folded) into one tree. Every branch gets an importance from two entropies over
+the host's distinct pages: of its child sequences (presentation) and of the
+texts below it (content: the mean over the elements below, by their texts),
+each divided by its maximum, so a branch that looks or reads the same
+everywhere is near 0:
 
     importance = (1 - g^l) * presentation + g^l * content
 
 with l the number of child sequences seen. Branches below ``LEAST`` are
-removed from the host's pages. Elements whose name, class or id states that
-they are no article (``NOISE_TAGS``, ``NOISE_WORDS``) are removed on any
-host, as one page of a site has no entropy. What stays inside the article or
-main element is never weighed unless it has a class or id of its own.
+removed from the host's pages, but in an article or main element only those
+with a class or id of their own, so that an article that many pages share
+stays whole. Elements whose name, class or id states that they are no article
+(``NOISE_TAGS``, ``NOISE_WORDS``) are removed on any host, as one page of a
+site has no entropy.
 
 Text: character references are decoded, white space inside a block becomes
 one blank, empty blocks go, blocks are joined in page order by line feeds.
@@ -45,6 +47,8 @@ from eventlake.llm.common import ship, staged, table
 LEAST = 0.3
 DECAY = 0.9
 MIN_PAGES = 5
+#: Levels of a page that are branches of their own.
+DEPTH = 64
 SENT_ROWS = 50_000
 
 BLOCK_TAGS = frozenset(
@@ -81,7 +85,7 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("tag", "up", "key", "noise", "root", "open", "named", "kids")
+    __slots__ = ("tag", "up", "key", "noise", "root", "named", "kids", "depth", "anchor")
 
     def __init__(self, tag: str, label: str, words: frozenset[str], up: Node | None):
         self.tag, self.up = tag, up
@@ -92,7 +96,9 @@ class Node:
         #: The outermost article element above, or this one.
         self.root = up.root if inside else self if tag in ("article", "main") or "main" in words and label.startswith(("div", "section")) else None
         self.noise = (own and tag not in ("html", "body", "main")) or (up.noise if up else False)
-        self.open = True
+        self.depth = up.depth + 1 if up else 0
+        #: Deeper elements belong to the branch of the last one that counts.
+        self.anchor = self if self.depth <= DEPTH else up.anchor
         self.named = "." in label or "#" in label
         self.kids: list[str] = []
 
@@ -189,7 +195,8 @@ def _noise_below(node: Node, root: Node) -> bool:
 
 
 def branches(node: Node, marked: bool) -> Iterator[Node]:
-    """The elements around a block that the tree may remove."""
+    """The elements around a block that may be removed for low importance."""
+    node = node.anchor
     while node is not None and node.up is not None and node.tag != "body" and not (marked and node is node.root):
         if not marked or node.named:
             yield node
@@ -205,24 +212,44 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
+def around(node: Node) -> list[Node]:
+    """The branches that a block's element is in, itself first, below the body."""
+    out, node = [], node.anchor
+    while node.up is not None and node.tag != "body":
+        out.append(node)
+        node = node.up
+    return out
+
+
+#: Kinds of rows: a child sequence, a text, a branch above.
+_KIDS, _TEXT, _ABOVE = 0, 1, 2
+
+
 def site_rows(pages: DataFrame) -> DataFrame:
-    """(host, branch, kind, value, page): of each page's branches, the child
-    sequence (kind 0) and the texts below (kind 1), as hashes."""
+    """(host, branch, kind, value, page) of every element with text, as hashes:
+    its child sequence, the texts that stand directly in it, and the branches
+    above it (these are the same on every page, ``page`` is 0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
+            rows: set[tuple] = set()
             for url, page in zip(batch.column("url").to_pylist(), batch.column("html")):
                 page = page.as_py() or ""
                 host, own = host_of(url), _signed(xxhash.xxh64_intdigest(page))
-                blocks, marked = article(*parse(page))
-                seen: dict[int, Node] = {}
-                for node, text in blocks:
-                    value = _signed(xxhash.xxh64_intdigest(text))
-                    for b in branches(node, marked):
-                        seen[id(b)] = b
-                        rows.append((host, _signed(b.key), 1, value, own))
-                rows += [(host, _signed(b.key), 0, _signed(xxhash.xxh64_intdigest(" ".join(b.kids))), own) for b in seen.values()]
+                done: set[int] = set()
+                for node, text in parse(page)[0]:
+                    chain = around(node)
+                    if not chain:
+                        continue
+                    key = _signed(chain[0].key)
+                    rows.add((host, key, _TEXT, _signed(xxhash.xxh64_intdigest(text)), own))
+                    if (host, key, _ABOVE, key, 0) not in rows:
+                        rows |= {(host, key, _ABOVE, _signed(b.key), 0) for b in chain}
+                    for b in chain:
+                        if id(b) in done:
+                            break  # what is above has been seen with it
+                        done.add(id(b))
+                        rows.add((host, _signed(b.key), _KIDS, _signed(xxhash.xxh64_intdigest(" ".join(b.kids))), own))
             columns = list(zip(*rows)) or [()] * 5
             kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "branch", "kind", "value", "page"])
@@ -230,18 +257,25 @@ def site_rows(pages: DataFrame) -> DataFrame:
     return pages.select("url", "html").mapInArrow(run, "host string, branch bigint, kind int, value bigint, page bigint")
 
 
-def unimportant(pages: DataFrame, least: float = LEAST, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, branch) of the branches whose importance is below ``least``."""
+def style_tree(pages: DataFrame) -> DataFrame:
+    """(host, branch, pages, importance) of every branch of every host."""
     values = site_rows(pages).distinct().groupBy("host", "branch", "kind", "value").agg(F.count(F.lit(1)).alias("c"))
     c = F.col("c").cast("double")
-    sums = values.groupBy("host", "branch").agg(
-        *[x for k in (0, 1) for x in (
-            F.sum(F.when(F.col("kind") == k, c)).alias(f"n{k}"), F.sum(F.when(F.col("kind") == k, c * F.log(c))).alias(f"s{k}"), F.sum(F.when(F.col("kind") == k, 1)).alias(f"v{k}"),
-        )]
-    )
-    spread = lambda k: F.when(F.col(f"n{k}") > 1, (F.log(f"n{k}") - F.col(f"s{k}") / F.col(f"n{k}")) / F.log(f"n{k}")).otherwise(1.0)
-    own = F.pow(F.lit(DECAY), F.col("v0"))
-    return sums.filter(F.col("n0") >= min_pages).filter((1 - own) * spread(0) + own * spread(1) < least).select("host", "branch")
+    counts = values.filter(F.col("kind") != _ABOVE).groupBy("host", "branch", "kind").agg(F.sum(c).alias("n"), F.sum(c * F.log(c)).alias("s"), F.count(F.lit(1)).alias("v"))
+    # entropy over its maximum; one row alone has nothing to compare with
+    spread = F.when(F.col("n") > 1, (F.log("n") - F.col("s") / F.col("n")) / F.log("n")).otherwise(1.0)
+    spreads = counts.select("host", "branch", "kind", "n", "v", spread.alias("e"))
+    texts = spreads.filter(F.col("kind") == _TEXT).select("host", "branch", "n", "e")
+    above = values.filter(F.col("kind") == _ABOVE).select("host", "branch", F.col("value").alias("top"))
+    content = texts.join(above, ["host", "branch"]).groupBy("host", F.col("top").alias("branch")).agg((F.sum(F.col("n") * F.col("e")) / F.sum("n")).alias("content"))
+    kids = spreads.filter(F.col("kind") == _KIDS).select("host", "branch", F.col("n").alias("pages"), F.col("e").alias("presentation"), F.pow(F.lit(DECAY), F.col("v")).alias("w"))
+    tree = kids.join(content, ["host", "branch"])
+    return tree.select("host", "branch", "pages", ((1 - F.col("w")) * F.col("presentation") + F.col("w") * F.col("content")).alias("importance"))
+
+
+def unimportant(pages: DataFrame, least: float = LEAST, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, branch) of the branches whose importance is below ``least``."""
+    return style_tree(pages).filter((F.col("pages") >= min_pages) & (F.col("importance") < least)).select("host", "branch")
 
 
 def page_branches(pages: DataFrame) -> DataFrame:
