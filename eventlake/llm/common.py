@@ -7,6 +7,7 @@ executors share) and read again; nothing is kept on one machine.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -45,10 +46,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder of the shared checkpoint folder and read it."""
     path = f"{staging_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now. It does so when
+    the driver has collected its garbage, which a driver with little to do may
+    not do for long; jobs that follow each other ask for it."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def block_count(texts: DataFrame, column: str, block_bytes: int) -> int:
     """Number of blocks of about ``block_bytes`` that the whole column fills.
 

@@ -7,7 +7,7 @@ Sampled suffixes: every ``SPAN``-byte window is filed under its minimiser, the
 ``SEED`` bytes inside it with the least hash. Windows that follow each other
 under one minimiser form one region; a region is the stretch of text around
 one sampled suffix, and equal windows always meet under an equal seed. So one
-suffix in about 45 is enough, and no match of ``SPAN`` bytes is missed. The
+suffix in about 39 is enough, and no match of ``SPAN`` bytes is missed. The
 suffixes of a batch, in the order of (fingerprint of the seed, fingerprint of
 the region), are its suffix array; the fingerprints stand for the bytes, which
 keeps rows short and gives the same neighbours.
@@ -19,7 +19,9 @@ merged with it in the same pass and move up a rank (1, 2, 4 ...), other levels
 are only scanned. A level holds the first place of each region.
 
 Regions that share a seed but differ (at the edges of a match) are compared
-window by window, once, on their texts.
+window by window, once, on their texts: the regions of a seed meet in one
+task. A seed with very many of them sends each window as a row of its own
+instead, which Spark ranks.
 
 Skew: a task reports a region it has seen before in the same Arrow batch as a
 match at once, under a key of its own, so a passage in a third of all
@@ -42,16 +44,21 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.llm.common import block_count, block_of, ship, staged, table, unwrapped
+from eventlake.llm.common import block_count, block_of, release, ship, staged, table, unwrapped
 
 SPAN = 100
-SEED = 12
+SEED = 24
+#: Distinct regions of one seed from which they are compared window by window
+#: as rows, so that no task holds them together.
+MANY_REGIONS = 2000
 BLOCK_BYTES = 8 << 20
 #: Shares of the documents in the batches of ``remove_repeats``: with two equal
 #: batches and one as large as both, every level is scanned about once.
 BATCHES = (0.25, 0.25, 0.5)
-#: Text handled at once in a task.
-SEGMENT = 1 << 20
+#: Text handled at once in a task; a buffer of two segments has fewer places
+#: than ``_PLACE_BITS`` bits tell apart.
+SEGMENT = 1 << 18
+_PLACE_BITS = 20
 
 _RANDOM = np.random.RandomState(20240102)
 _LETTER = _RANDOM.randint(0, 2**63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -95,15 +102,15 @@ class Hashed:
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
-    """Index of the leftmost smallest of every ``width`` neighbours."""
-    at, size = np.arange(len(values), dtype=np.int32), 1
+    """Index of the leftmost smallest of every ``width`` neighbours. Values are
+    compared by their upper bits; the lower ones hold the place."""
+    low = _U((1 << _PLACE_BITS) - 1)
+    least, size = (values & ~low) | np.arange(len(values), dtype=np.uint64), 1
     while size < width:
         step = min(size, width - size)
-        left = values[:-step] <= values[step:]
-        values = np.where(left, values[:-step], values[step:])
-        at = np.where(left, at[:-step], at[step:])
+        least = np.minimum(least[:-step], least[step:])
         size += step
-    return at
+    return (least & low).astype(np.int64)
 
 
 def regions(texts: list[bytes]) -> tuple[np.ndarray, ...]:
@@ -210,9 +217,10 @@ class Family:
         self.merges = 0
 
     def add(self, batch: DataFrame, keep: bool = True) -> DataFrame:
-        """(d, at, whole) of the batch's matches: regions that occur earlier
-        (``whole``) and the first places of regions that share a seed with
-        another one (not ``whole``). ``keep``: the batch becomes a level."""
+        """(seed, d, at, whole, many) of the batch's matches: regions that occur
+        earlier (``whole``) and the first places of regions that share a seed
+        with another one (not ``whole``; ``many``: with very many).
+        ``keep``: the batch becomes a level."""
         rank, merging = 0, []
         while keep and rank in self.levels:
             merging.append(self.levels.pop(rank))
@@ -229,70 +237,90 @@ class Family:
             rows.repartition("seed")
             .withColumn("first", F.rank().over(of_region) == 1)
             .withColumn("mixed", (F.min("region").over(of_seed) != F.max("region").over(of_seed)) & (F.min("src").over(of_seed) == 0))
+            .withColumn("many", F.sum(F.col("first").cast("int")).over(of_seed) > MANY_REGIONS)
             .withColumn("done", F.expr("at & 1 = 1"))
         )
         match = F.col("done") | ~F.col("first")
         wanted = (match & (F.col("src") == 0)) | (F.col("mixed") & F.col("first"))
         if keep:
             wanted = wanted | (F.col("src") < 2)
-        scanned = staged(self.spark, scanned.filter(wanted).select("seed", "region", "d", "at", "src", "mixed", match.alias("match")), "level")
+        scanned = staged(self.spark, scanned.filter(wanted).select("seed", "region", "d", "at", "src", "mixed", "many", match.alias("match")), "level")
         if keep:
             self.levels[rank] = scanned.filter("src < 2 and not match").select("seed", "region", "d", "at")
-        return scanned.filter("(match and src = 0) or (mixed and not match)").select("d", "at", F.col("match").alias("whole"))
+        return scanned.filter("(match and src = 0) or (mixed and not match)").select("seed", "d", "at", F.col("match").alias("whole"), "many")
 
 
-def _windows(blocks: DataFrame, edges: DataFrame) -> DataFrame:
-    """(window, d, at) of every window of the regions ``edges``; the lowest bit
-    of ``at`` is set for one met earlier in the same block."""
+_PLACES = "seed bigint, d bigint, at bigint, region binary"
+
+
+def _region_texts(blocks: DataFrame, edges: DataFrame) -> DataFrame:
+    """(seed, d, at, region) with the text of every region of ``edges``; for a
+    seed with many regions a row for each window, under a key of its own and
+    without a text."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = []
-        if len(right):
-            d, at = right["d"].to_numpy(), right["at"].to_numpy()
-            key = np.stack((d, at >> 50))
-            places = {}
-            for k, x in enumerate(zip(*key.tolist())):
-                places.setdefault(x, []).append(k)
-            ids = zip(left["_d"].to_pylist(), left["_sub"].to_pylist())
-            for i, x in enumerate(ids):
-                mine = places.pop(x, None)
-                if mine is None:
+        parts: list[tuple] = []
+        seed, d, at, many = (right[c].to_numpy() for c in ("seed", "d", "at", "many"))
+        places: dict[tuple[int, int], list[int]] = {}
+        for k, x in enumerate(zip(d.tolist(), (at >> 50).tolist())):
+            places.setdefault(x, []).append(k)
+        for i, x in enumerate(zip(left["_d"].to_pylist(), left["_sub"].to_pylist()) if places else ()):
+            if (mine := places.pop(x, None)) is None:
+                continue
+            data = left["_text"][i].as_py()
+            for k in mine:
+                start, n = (int(at[k]) >> 12) & ((1 << 38) - 1), (int(at[k]) >> 1) & 2047
+                region = data[start : start + n]
+                if not many[k]:
+                    parts.append(([int(seed[k])], [x[0]], [int(at[k])], [region]))
                     continue
-                data = left["_text"][i].as_py()
-                start, n = (at[mine] >> 12) & ((1 << 38) - 1), (at[mine] >> 1) & 2047
-                for s, e in _stretches(start, start + n):
-                    hashed = Hashed(data[s:e])
-                    inside = (start >= s) & (start < e)
-                    j = np.unique(np.concatenate([np.arange(a, a + m - SPAN + 1) for a, m in zip(start[inside], n[inside])]))
-                    parts.append((hashed.of(j - s, SPAN), np.full(len(j), x[0]), _pack(j, np.full(len(j), SPAN), np.full(len(j), x[1]))))
-        if not parts:
-            return pa.table({"window": pa.array([], pa.int64()), "d": pa.array([], pa.int64()), "at": pa.array([], pa.int64())})
-        window, d, at = (np.concatenate(x) for x in zip(*parts))
-        again = _first_of(window, d, at)
-        window = np.where(again, _mix(d.astype(np.uint64) * _U(_BASE) ^ at.astype(np.uint64)), window)
-        return pa.table({"window": window.view(np.int64), "d": d, "at": at | again})
-
-    return (
-        blocks.select("_block", "_d", "_sub", "_text")
-        .groupBy("_block")
-        .cogroup(edges.groupBy("_block"))
-        .applyInArrow(run, "window bigint, d bigint, at bigint")
-    )
+                j = np.arange(n - SPAN + 1)
+                own = _mix(Hashed(region).of(j, SPAN) ^ _mix(seed[k : k + 1].view(np.uint64)))
+                parts.append((own.view(np.int64).tolist(), [x[0]] * len(j), _pack(start + j, np.full(len(j), SPAN), np.full(len(j), x[1])).tolist(), [None] * len(j)))
+        columns = [[v for p in parts for v in p[c]] for c in range(4)]
+        return pa.table({n: pa.array(c, t) for n, c, t in zip(("seed", "d", "at", "region"), columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))})
+
+    return blocks.groupBy("_block").cogroup(edges.groupBy("_block")).applyInArrow(run, _PLACES)
+
+
+def _repeated_windows(texts: DataFrame) -> DataFrame:
+    """(d, at) of the stretches of regions whose windows occur earlier in another
+    region of their seed."""
+
+    def compared(rows: pa.Table) -> pa.RecordBatch:
+        seed, d, at = (rows[c].to_numpy() for c in ("seed", "d", "at"))
+        data = [x.as_py() for x in rows["region"]]
+        sizes = np.array([len(x) for x in data])
+        count = sizes - SPAN + 1
+        row = np.repeat(np.arange(len(data)), count)
+        inside = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        place = (np.cumsum(sizes) - sizes)[row] + inside
+        window = Hashed(b"".join(data)).of(place, SPAN) ^ _mix(seed.view(np.uint64))[row]
+        sub, start = at >> 50, (at >> 12) & ((1 << 38) - 1)
+        again = np.flatnonzero(_first_of(window, d[row], _pack(start[row] + inside, np.full(len(row), SPAN), sub[row])))
+        # windows next to each other are one stretch
+        cut = np.flatnonzero((row[again][1:] != row[again][:-1]) | (again[1:] != again[:-1] + 1)) + 1 if len(again) else np.empty(0, np.int64)
+        first = again[np.concatenate((np.zeros(min(1, len(again)), np.int64), cut))]
+        last = again[np.concatenate((cut - 1, np.full(min(1, len(again)), len(again) - 1)))]
+        r = row[first]
+        return pa.RecordBatch.from_arrays([pa.array(d[r]), pa.array(_pack(start[r] + inside[first], last - first + SPAN, sub[r]))], ["d", "at"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the seed that the batch before ended in, at most MANY_REGIONS rows
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            seeds = rows["seed"].to_numpy()
+            cut = int(np.searchsorted(seeds, seeds[-1])) if len(seeds) else 0
+            held = rows.slice(cut).combine_chunks()
+            if cut:
+                yield compared(rows.slice(0, cut).combine_chunks())
+        if held is not None and len(held):
+            yield compared(held)
 
-def _stretches(start: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Stretches of text that the spans lie in, short gaps included, cut at
-    about a segment."""
-    order = np.argsort(start, kind="stable")
-    a = e = None
-    for s, t in zip(start[order].tolist(), end[order].tolist()):
-        if a is None or s > e + SPAN or s - a > SEGMENT:
-            if a is not None:
-                yield a, e
-            a, e = s, t
-        e = max(e, t)
-    if a is not None:
-        yield a, e
+    whole = texts.filter("region is not null").repartition("seed").sortWithinPartitions("seed")
+    alone = texts.filter("region is null").withColumn("r", F.rank().over(Window.partitionBy("seed").orderBy("d", "at"))).filter("r > 1")
+    return whole.mapInArrow(run, "d bigint, at bigint").unionByName(alone.select("d", "at"))
 
 
 def united(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
@@ -310,7 +338,7 @@ def _numbered(docs: DataFrame) -> DataFrame:
     """Adds ``_d`` (doc_id, null first) and ``_sub``, which is 0 but for rows
     that share their doc_id with another text."""
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
-    docs = docs.withColumn("_d", order).withColumn("_hash", F.xxhash64("text"))
+    docs = docs.withColumn("_d", order).withColumn("_hash", F.xxhash64("_text"))
     clashing = docs.groupBy("_d").agg(F.min("_hash").alias("lo"), F.max("_hash").alias("hi")).filter("lo != hi").select("_d")
     if clashing.isEmpty():
         return docs.drop("_hash").withColumn("_sub", F.lit(0).cast("int"))
@@ -320,10 +348,9 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 
 def apply_spans(docs: DataFrame, report: Callable[[pa.Table, list], pa.Table], schema: T.StructType) -> DataFrame:
-    """``report(rows, spans)`` for the rows of each block, ``spans`` holding the
-    removed runs [start, end) of every row."""
+    """``report(rows, spans)`` for the rows (doc_id, _text, ...) of each block,
+    ``spans`` holding the removed runs [start, end) of every row."""
     spark = ship(docs.sparkSession)
-    docs = docs.withColumn("_text", F.col("text").cast("binary"))
     blocks = block_count(docs, "_text", BLOCK_BYTES)
     docs = _numbered(docs)
     shares, done = [0.0], 0.0
@@ -339,12 +366,12 @@ def apply_spans(docs: DataFrame, report: Callable[[pa.Table, list], pa.Table], s
         if i < len(shares) - 1:
             part = part.filter(F.col("_d") <= bounds[i])
         found = family.add(suffixes(part), keep=i < len(shares) - 1)
+        release(spark)
         matches = found if matches is None else matches.unionByName(found)
     placed = docs.withColumn("_block", block_of(F.col("_d"), blocks)).repartition("_block")
-    edges = matches.filter("not whole").select("d", "at").distinct().withColumn("_block", block_of(F.col("d"), blocks))
-    windows = _windows(placed, edges)
-    earlier = F.rank().over(Window.partitionBy("window").orderBy("d", "at")) > 1
-    again = windows.withColumn("again", earlier | F.expr("at & 1 = 1")).filter("again").select("d", "at")
+    edges = matches.filter("not whole").groupBy("seed", "d", "at").agg(F.max("many").alias("many")).withColumn("_block", block_of(F.col("d"), blocks))
+    again = _repeated_windows(staged(spark, _region_texts(placed, edges), "regions"))
+    release(spark)
     spans = matches.filter("whole").select("d", "at").unionByName(again).withColumn("_block", block_of(F.col("d"), blocks))
     names = [f.name for f in schema.fields]
 
@@ -373,7 +400,8 @@ def _kept(text: bytes, runs: list[tuple[int, int]]) -> bytes:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with all columns and the repeated bytes cut out of ``text``; what
     a cut leaves of a character goes with it."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", F.col("text").cast("string").alias("text"))
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*others).alias("_row"), "doc_id", F.col("text").cast("binary").alias("_text"))
     schema = T.StructType([rows.schema["_row"], T.StructField("text", T.StringType())])
 
     def report(part: pa.Table, spans: list) -> pa.Table:
@@ -403,5 +431,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
             }
         )
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("binary").alias("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("binary").alias("_text"))
     return apply_spans(docs, report, schema)

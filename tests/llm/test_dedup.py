@@ -49,10 +49,10 @@ def random_docs(seed, n=120):
     return rows + [(len(rows) + i, " ".join(rng.choice("abc") for _ in range(rng.randint(1, 7)))) for i in range(40)]
 
 
-@pytest.mark.parametrize("long_list", [64, 2])
-def test_components_equal_all_pairs(spark, monkeypatch, long_list):
-    monkeypatch.setattr(near_dedup, "LONG_LIST", long_list)
-    rows = random_docs(long_list)
+@pytest.mark.parametrize("turns", [2, 0])
+def test_components_equal_all_pairs(spark, monkeypatch, turns):
+    monkeypatch.setattr(near_dedup, "STAR_TURNS", turns)
+    rows = random_docs(turns)
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert near_rows(df, 3, 85, 100) == plain_components(rows, 3, 85, 100)
 
@@ -115,7 +115,7 @@ def repeat_docs(seed):
     return rows + [(500, "ab" * 400), (501, "b" * 99), (502, "c" * 350), (503, rows[5][1]), (504, None), (505, "")]
 
 
-@pytest.mark.parametrize("segment", [1 << 20, 150])
+@pytest.mark.parametrize("segment", [1 << 18, 150])
 def test_removed_bytes_equal_brute_force(spark, folder, monkeypatch, segment):
     monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 4000)
     rows = repeat_docs(segment)
@@ -144,7 +144,7 @@ def test_levels_merge_geometrically(spark):
     df = spark.createDataFrame([(i, f"{i} " * 60) for i in range(8)], "doc_id bigint, text string")
     from eventlake.llm.common import ship
 
-    rows = suffix_dedup._numbered(df.selectExpr("doc_id", "text", "cast(text as binary) as _text"))
+    rows = suffix_dedup._numbered(df.selectExpr("doc_id", "cast(text as binary) as _text"))
     ship(spark)
     family, ranks = suffix_dedup.Family(spark), []
     for i in range(4):
