@@ -28,6 +28,7 @@ base has its 0.1 only. A word or text may have any length.
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -42,11 +43,11 @@ from eventlake.llm.common import block_count, block_of, ship, staged, table
 
 SHORTLIST = 1024
 CLASSES = 32
-HIDDEN = 24
+HIDDEN = 16
 EMBED = 16
 #: Steps of a window, documents trained side by side, scored side by side.
-STEPS, TRAIN_LANES, SCORE_LANES = 32, 64, 256
-ROUNDS = 2
+STEPS, TRAIN_LANES, SCORE_LANES = 32, 64, 512
+ROUNDS = 1
 #: Share of a training text in its run of one round; runs have two windows at least.
 RUN_SHARE = 1 / 16
 RATE = 0.01
@@ -58,7 +59,7 @@ END = b"\n"
 _ENDS = {46: 1, 44: 2, 33: 3, 63: 3}
 #: Letters that tell languages apart, as UTF-8 continuations of C3.
 _MARKS = [b"\xc3\xa4\xc3\xb6\xc3\xbc\xc3\x9f", b"\xc3\xb1\xc3\xad\xc3\xb3\xc3\xba\xc3\xa1", b"\xc3\xa8\xc3\xaa\xc3\xa7\xc3\xa0\xc3\xa2\xc3\xb9\xc3\xae\xc3\xb4"]
-GROUPS = 4 * 5 * 3
+GROUPS = 4 * 5 * 2
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -69,7 +70,7 @@ def group_of(word: bytes) -> int:
     """Spelling group: how the word ends, which marked letters it has, its length."""
     end = _ENDS.get(word[-1], 0)
     n = len(word) - (end > 0)
-    size = 0 if n <= 4 else 1 if n <= 9 else 2
+    size = int(n > 8)
     mark = 0
     if not word.isascii():
         mark = 4
@@ -77,7 +78,7 @@ def group_of(word: bytes) -> int:
             if any(letters[i : i + 2] in word for i in range(0, len(letters), 2)):
                 mark = k + 1
                 break
-    return (end * 5 + mark) * 3 + size
+    return (end * 5 + mark) * 2 + size
 
 
 @dataclass
@@ -195,7 +196,8 @@ def _gru(x: np.ndarray, h: np.ndarray, reset: np.ndarray, U: np.ndarray, keep: b
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
+    if x.size and max(x.max(), -x.min()) > 60:  # beyond it exp() could leave the range of floats
+        x = x - x.max(axis=1, keepdims=True)
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
@@ -288,13 +290,14 @@ def lanes_of(runs: list[np.ndarray], lanes: int, end: int):
     sizes = np.array([len(r) + 1 for r in runs])
     order = np.argsort(-sizes, kind="stable")
     lanes = max(1, min(lanes, len(runs)))
-    fill, at = np.zeros(lanes, np.int64), np.zeros(len(runs), np.int64)
+    at = np.zeros(len(runs), np.int64)
     lane_of = np.zeros(len(runs), np.int64)
+    free = [(0, lane) for lane in range(lanes)]
     for k in order.tolist():
-        lane = int(fill.argmin())
-        lane_of[k], at[k] = lane, fill[lane]
-        fill[lane] += sizes[k]
-    steps = int(fill.max())
+        used, lane = heapq.heappop(free)
+        lane_of[k], at[k] = lane, used
+        heapq.heappush(free, (used + int(sizes[k]), lane))
+    steps = max(used for used, _ in free)
     ids, target = np.full((lanes, steps), end, np.int64), np.full((lanes, steps), -1, np.int64)
     reset, owner = np.zeros((lanes, steps), bool), np.zeros((lanes, steps), np.int64)
     for k, run in enumerate(runs):
@@ -373,21 +376,40 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> dict[str,
     return w
 
 
-def score_texts(w: dict, vocab: Vocabulary, texts: list[list[bytes]], counts: dict[bytes, int]):
-    """Per text: known tokens, base score, model score (log10)."""
+class Counts:
+    """Counts and token ids of the words of a block, by place in two arrays."""
+
+    def __init__(self, vocab: Vocabulary, words: list[bytes], n: np.ndarray, groups: list[int | None]):
+        get, first = vocab.ids.get, len(vocab.ids)
+        self.place = dict(zip(words, range(len(words))))
+        self.n = n.astype(np.float64)
+        self.ids = np.array(
+            [vocab.end_id if w == END else i if (i := get(w, -1)) >= 0 else first + (group_of(w) if g is None else g) for w, g in zip(words, groups)], np.int64
+        )
+
+    @classmethod
+    def of(cls, vocab: Vocabulary, counts: dict[bytes, int]) -> "Counts":
+        return cls(vocab, list(counts), np.array(list(counts.values())), [None] * len(counts))
+
+
+def score_texts(w: dict, vocab: Vocabulary, texts: list[list[bytes]], counts: Counts):
+    """Per text: known tokens, base score, model score (log10). ``counts`` has
+    every word of the texts and the end."""
     known, base, model = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts))
-    denominator = vocab.total + 0.1 * (vocab.distinct + 1)
-    ends = counts.get(END, 0)
-    runs, n = [], len(vocab.ids)
+    denominator = np.log10(vocab.total + 0.1 * (vocab.distinct + 1))
+    end, first = counts.place[END], len(vocab.ids)
+    # the share of a word inside its spelling group; 0 for words of the network
+    logs = np.log10(counts.n + 0.1)
+    rare = (counts.ids >= first) & (counts.ids < vocab.end_id)
+    share = np.zeros(len(logs))
+    share[rare] = logs[rare] - vocab.group_log[counts.ids[rare] - first]
+    runs = []
     for k, words in enumerate(texts):
-        c = np.array([*map(counts.__getitem__, words), ends], np.float64)
-        known[k] = int((c > 0).sum())
-        logs = np.log10(c + 0.1)
-        base[k] = logs.sum() - len(c) * np.log10(denominator)
-        ids = token_ids(vocab, words)
-        rare = np.flatnonzero(ids >= n)
-        model[k] = (logs[rare] - vocab.group_log[ids[rare] - n]).sum()
-        runs.append(ids)
+        at = np.fromiter(map(counts.place.__getitem__, words), np.int64, len(words))
+        known[k] = int((counts.n[at] > 0).sum()) + int(counts.n[end] > 0)
+        base[k] = logs[at].sum() + logs[end] - (len(words) + 1) * denominator
+        model[k] = share[at].sum()
+        runs.append(counts.ids[at])
     if not runs:
         return known, base, model
     ids, target, reset, owner = lanes_of(runs, SCORE_LANES, vocab.end_id)
@@ -422,7 +444,7 @@ def score(docs: DataFrame, w: dict, vocab: Vocabulary, counts: DataFrame) -> Dat
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         weights, v = sent.value
-        counts_ = dict(zip(right["word"].to_pylist(), right["n"].to_pylist()))
+        counts_ = Counts(v, right["word"].to_pylist(), right["n"].to_numpy(), right["grp"].to_pylist())
         texts = [words_of(t.as_py()) for t in left["_text"]]
         known, base, model = score_texts(weights, v, texts, counts_)
         return pa.table(
@@ -433,7 +455,7 @@ def score(docs: DataFrame, w: dict, vocab: Vocabulary, counts: DataFrame) -> Dat
         )
 
     words = placed.groupBy("_block").applyInArrow(needed, "_block int, word binary")
-    found = words.join(counts.select("word", "n"), "word", "left").select("_block", "word", F.coalesce("n", F.lit(0)).alias("n"))
+    found = words.join(counts.select("word", "n", "grp"), "word", "left").select("_block", "word", F.coalesce("n", F.lit(0)).alias("n"), "grp")
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     return placed.groupBy("_block").cogroup(found.groupBy("_block")).applyInArrow(scored, schema)
 

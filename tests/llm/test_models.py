@@ -60,7 +60,7 @@ def test_state_is_carried_and_lanes_do_not_matter(net, monkeypatch):
     w, vocab, words = net
     rng = np.random.RandomState(3)
     texts = [[words[i] for i in rng.randint(0, 20, n)] + [b"rare"] * (n % 3) for n in (0, 1, 70, 5, 200, 33)]
-    counts = {x: 3 for x in words} | {b"rare": 1, recurrent_lm.END: 5}
+    counts = recurrent_lm.Counts.of(vocab, {x: 3 for x in words} | {b"rare": 1, recurrent_lm.END: 5})
     whole = recurrent_lm.score_texts(w, vocab, texts, counts)
     monkeypatch.setattr(recurrent_lm, "STEPS", 7)
     monkeypatch.setattr(recurrent_lm, "SCORE_LANES", 2)
