@@ -27,8 +27,10 @@ HEADLINE = [
     "typed_events",        # typed projection, 27 -> 32 columns
     "dedupe_full",         # newest copy per event, whole table
     "dedupe_range",        # newest copy per event, three-day range
+    "dedupe_keys",         # newest copy of every key the range touches
     "replace_range_typed", # three-day range replace
     "cursor_slice",        # rows after the cursor
+    "cursor_chunk",        # capped chunk after the cursor
     "upsert_latest",       # keyed upsert into the serving table
     "recent_run",          # the recent run end to end, as one plan
 ]
