@@ -9,13 +9,15 @@
    list among the first K - T + 1 of both. Only these lists are merged; the
    T - 1 longest of a document are skipped and looked up only when a pair's
    matches are counted on the signatures.
-4. Linear pass: the members of a list are tried with its smallest and its
-   largest member, pairs with T matches are confirmed on the full texts, and
-   components are formed. Exact pass: what remains are pairs of one list in
-   different components; lists with many such members are posted again under
-   a second coordinate (a pair has T - 1 more matches), so a value that many
-   unlike documents share gives no quadratic work. These pairs are counted
-   and confirmed alike, and components are formed again.
+4. Linear passes: the members of a list are tried with one of them, chosen by
+   hash for each list anew; pairs with T matches are confirmed on the full
+   texts, and components are formed. As a class is in many lists, most members
+   of a group of copies meet, however large it is, and pairs grow only as the
+   postings do.
+5. Exact pass: what remains are pairs of one list in different components. The
+   members outside the largest component of a list are tried with all others;
+   a pair is made once, and only if it has T matches. Components are formed
+   again, and no link between different components is left.
 
 Defined results: null or empty texts and texts without words have the empty
 set and no links; texts shorter than a shingle are one shingle; null doc_ids
@@ -35,13 +37,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import ship, staged, table, unwrapped
+from eventlake.llm.common import release, ship, staged, table, unwrapped
 from eventlake.llm.components import components
 
 K = 32
 MISS = 1e-7
-#: Residual members from which a list is posted again under a second coordinate.
-LONG_LIST = 64
+#: Linear passes before the exact one.
+STAR_TURNS = 2
 
 _STATE = np.random.RandomState(20240101)
 _A = _STATE.randint(0, 2**63, K, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -127,22 +129,25 @@ def _near_size(a: str, b: str, num: int, den: int) -> Column:
 
 
 def postings(classes: DataFrame, t: int) -> DataFrame:
-    """(node, n, entries): the lists of a class that others share, shortest
-    first, with ``used``, the places of the prefix taken by lists of its own."""
+    """(node, n, keys, width): the lists that a class shares with others, in the
+    global order (shortest first); its prefix are the first ``width`` of them.
+    Lists of its own come first in the order and take places of the prefix."""
     rows = classes.select("node", "n", F.posexplode("sig").alias("c", "v")).select(
         "node", "n", F.expr("shiftleft(cast(c as bigint), 32) | (cast(v as bigint) & 4294967295L)").alias("key")
     )
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    shared = rows.join(sizes, "key").groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("size", "key"))).alias("entries"))
-    return shared.withColumn("used", F.lit(K) - F.size("entries")).withColumn("width", F.greatest(F.lit(0), F.lit(K - t + 1) - F.col("used")))
+    shared = rows.join(sizes, "key").groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("size", "key"))).alias("e"))
+    shared = shared.filter(F.size("e") >= t).select("node", "n", F.expr("transform(e, x -> x.key)").alias("keys"))
+    return shared.withColumn("width", F.size("keys") - t + 1)
 
 
-def counted(pairs: DataFrame, classes: DataFrame, t: int) -> DataFrame:
-    """Pairs whose signatures match in at least ``t`` coordinates."""
-    left = classes.select(F.col("node").alias("a"), F.col("sig").alias("_sa"))
-    right = classes.select(F.col("node").alias("b"), F.col("sig").alias("_sb"))
-    matches = F.expr("aggregate(zip_with(_sa, _sb, (x, y) -> if(x = y, 1, 0)), 0, (s, x) -> s + x)")
-    return pairs.join(left, "a").join(right, "b").filter(matches >= t).select("a", "b")
+def in_lists(posted: DataFrame) -> DataFrame:
+    return posted.withColumn("key", F.explode(F.expr("slice(keys, 1, width)")))
+
+
+def matching(t: int, a: str = "a", b: str = "b") -> Column:
+    """Whether two classes match in ``t`` coordinates; lists of their own never do."""
+    return F.size(F.array_intersect(f"{a}.keys", f"{b}.keys")) >= t
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle_words: int, num: int, den: int) -> DataFrame:
@@ -166,33 +171,58 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle_words: int, num: int,
     return rows.select("a", "b", "_ta", "_tb").mapInArrow(run, "a binary, b binary")
 
 
-def star_pairs(lists: DataFrame, num: int, den: int) -> DataFrame:
-    """Each member of a list with the smallest and the largest one."""
-    ends = lists.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi"))
-    rows = lists.join(ends, "key").select("node", "n", F.explode(F.array("lo", "hi")).alias("e")).select("node", "n", F.col("e.node").alias("other"), F.col("e.n").alias("m"))
-    rows = rows.filter(F.col("node") != F.col("other")).filter(_near_size("n", "m", num, den))
-    return rows.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+def linkable(posted: DataFrame, texts: DataFrame, shingle_words: int, num: int, den: int) -> DataFrame:
+    """``posted`` without the classes that can have no partner: a shingle that no
+    other posted class has is in no intersection, so a class with too large
+    a share of such shingles reaches the similarity with nobody."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(shingle_words)
+        for batch in batches:
+            sets = [shingler.hashes(words_of(t.as_py())).view(np.int64) for t in batch.column("text")]
+            ids = np.repeat(batch.column("id").to_numpy(), [len(g) for g in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate([*sets, np.empty(0, np.int64)]))], ["id", "g"])
 
-def residual_pairs(posted: DataFrame, labels: DataFrame, t: int, num: int, den: int) -> DataFrame:
-    """Pairs of one prefix list that are not yet in one component."""
-    named = posted.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    lists = named.select("node", "n", "label", "entries", F.explode(F.expr("slice(entries, 1, width)")).alias("e")).select("node", "n", "label", "entries", F.col("e.key").alias("key"))
-    open_lists = (
-        lists.groupBy("key")
-        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("members"))
-        .filter("lo != hi")
-        .select("key", "members")
-    )
-    rows = lists.join(open_lists, "key")
-    short = rows.filter(F.col("members") <= LONG_LIST).select("key", F.lit(0).cast("long").alias("key2"), "node", "n", "label")
-    # the rest of a long list's member, in the same global order, one match less
-    rest = F.expr(f"slice(filter(entries, e -> e.key != key), 1, greatest(0, {K - t + 1} - ({K} - size(entries))))")
-    long = rows.filter(F.col("members") > LONG_LIST).select("key", F.explode(rest).alias("e"), "node", "n", "label").select("key", F.col("e.key").alias("key2"), "node", "n", "label")
-    every = short.unionByName(long)
-    left = every.select("key", "key2", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    right = every.select("key", "key2", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    return left.join(right, ["key", "key2"]).filter("a < b and la != lb").filter(_near_size("na", "nb", num, den)).select("a", "b").distinct()
+    texts = texts.withColumn("id", F.xxhash64("node"))
+    places = texts.select("id", "text").mapInArrow(run, "id bigint, g bigint")
+    alone = places.groupBy("g").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("id")).filter("c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+    own = texts.select("node", "id").join(alone, "id").select("node", "own")
+    hopeless = posted.select("node", "n").join(own, "node").filter(den * (F.col("n") - F.col("own")) < num * F.col("n")).select("node")
+    return posted.join(hopeless, "node", "left_anti")
+
+
+_MEMBER = ("node", "n", "label", "keys", "width")
+
+
+def star_pairs(lists: DataFrame, t: int, num: int, den: int, turn: int) -> DataFrame:
+    """The members of each list with one of them, chosen by hash anew for every
+    list and turn from its largest component. A class is in many lists, so it
+    meets many others, and still the pairs grow as the postings do."""
+    pick = F.struct("size", "label", F.xxhash64("node", "key", F.lit(turn)).alias("by"), F.struct(*_MEMBER).alias("b"))
+    heads = lists.groupBy("key").agg(F.max(pick).alias("h")).select("key", F.col("h.b").alias("b"))
+    rows = lists.select("key", F.struct(*_MEMBER).alias("a")).join(heads, "key")
+    return _pairs(rows.filter("a.label != b.label"), t, num, den).distinct()
+
+
+def _pairs(rows: DataFrame, t: int, num: int, den: int) -> DataFrame:
+    rows = rows.filter(_near_size("a.n", "b.n", num, den)).filter(matching(t))
+    return rows.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b"))
+
+
+def residual_pairs(lists: DataFrame, t: int, num: int, den: int) -> DataFrame:
+    """All pairs of a list that are in different components, each once: members
+    outside the list's largest component against all. A pair is made by the
+    first list that both prefixes have."""
+    largest = lists.groupBy("key").agg(F.max(F.struct("size", "label")).alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    largest = largest.filter("lo != hi").select("key", F.col("m.label").alias("most"))
+    rows = lists.select("key", F.struct(*_MEMBER).alias("a")).join(largest, "key")
+    few, every = rows.filter("a.label != most"), rows.select("key", F.col("a").alias("b"))
+    first = F.expr("element_at(array_intersect(slice(a.keys, 1, a.width), slice(b.keys, 1, b.width)), 1) = l.key")
+    once = F.expr("a.label != b.label and (b.label = most or a.node < b.node)")
+    near = _near_size("a.n", "b.n", num, den)
+    left, right = few.alias("l"), every.alias("r")
+    joined = left.join(right, (F.col("l.key") == F.col("r.key")) & once & near & matching(t) & first)
+    return joined.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -213,25 +243,41 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, num: int = 80, den:
         "classes",
     )
     posted = staged(spark, postings(classes, t), "postings")
-    lists = posted.select("node", "n", F.explode(F.expr("slice(entries, 1, width)")).alias("e")).select("node", "n", F.col("e.key").alias("key"))
-    # every class that is in a counted pair is fetched once with its text
-    stars = staged(spark, counted(star_pairs(lists, num, den), classes, t), "stars")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
 
-    def with_text(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = nodes.join(classes.select("node", "doc_id", "text_hash"), "node")
-        same = wanted["doc_id"].eqNullSafe(texts["doc_id"]) & (wanted["text_hash"] == texts["text_hash"])
-        return wanted.join(texts, same).groupBy("node").agg(F.first("text").alias("text"))
-
-    links = staged(spark, confirmed(stars, staged(spark, with_text(stars), "texts"), shingle_words, num, den), "links")
-    labels = components(spark, links)
-    rest = residual_pairs(posted, labels, t, num, den).join(stars, ["a", "b"], "left_anti")
-    rest = staged(spark, counted(rest, classes, t), "rest")
-    if not rest.isEmpty():
-        more = staged(spark, confirmed(rest, staged(spark, with_text(rest), "texts"), shingle_words, num, den), "links")
+    # a class that shares fewer than T lists has no partner; of the others, one text each
+    wanted = posted.select("node").join(classes.select("node", "doc_id", "text_hash"), "node")
+    same = wanted["doc_id"].eqNullSafe(texts["doc_id"]) & (wanted["text_hash"] == texts["text_hash"])
+    fetched = staged(spark, wanted.join(texts, same).groupBy("node").agg(F.first("text").alias("text")), "texts")
+    release(spark)
+    posted = staged(spark, linkable(posted, fetched, shingle_words, num, den), "linkable")
+    release(spark)
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        """The links among ``pairs``."""
+        found = staged(spark, confirmed(pairs, fetched, shingle_words, num, den), "links")
+        release(spark)
+        return found
+
+    def lists_now() -> DataFrame:
+        """The prefix lists with the component of each member and its size."""
+        named = posted.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+        return in_lists(named.join(sizes, "label", "left").withColumn("size", F.coalesce("size", F.lit(1))))
+
+    labels = classes.select("node", F.col("node").alias("label")).limit(0)
+    links = tried = None
+    for turn in range(STAR_TURNS + 1):
+        fresh = residual_pairs(lists_now(), t, num, den) if turn == STAR_TURNS else star_pairs(lists_now(), t, num, den, turn)
+        fresh = staged(spark, fresh.join(tried, ["a", "b"], "left_anti") if tried is not None else fresh, "pairs")
+        release(spark)
+        if fresh.isEmpty():
+            continue
+        tried = fresh if tried is None else tried.unionByName(fresh)
+        more = confirm(fresh)
         if not more.isEmpty():
-            labels = components(spark, links.unionByName(more))
+            links = more if links is None else links.unionByName(more)
+            labels = components(spark, links)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node"))
     named = classes.select("node", "doc_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     heads = named.groupBy("label").agg(least.alias("least"))
