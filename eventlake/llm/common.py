@@ -54,8 +54,9 @@ def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs now. It does so when
     the driver has collected its garbage, which a driver with little to do may
     not do for long; jobs that follow each other ask for it."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what the first round frees refers to what the second one finds
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def block_count(texts: DataFrame, column: str, block_bytes: int) -> int:

@@ -52,9 +52,10 @@ SEED = 24
 #: as rows, so that no task holds them together.
 MANY_REGIONS = 2000
 BLOCK_BYTES = 8 << 20
-#: Shares of the documents in the batches of ``remove_repeats``: with two equal
-#: batches and one as large as both, every level is scanned about once.
-BATCHES = (0.25, 0.25, 0.5)
+#: Shares of the documents in the batches of ``remove_repeats``: two equal ones,
+#: whose levels merge, and the rest. Every row is in one shuffle as part of its
+#: batch, and the rows of the small levels are in one or two more.
+BATCHES = (0.125, 0.125, 0.75)
 #: Text handled at once in a task; a buffer of two segments has fewer places
 #: than ``_PLACE_BITS`` bits tell apart.
 SEGMENT = 1 << 18
