@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.llm.common import ship, table
+from eventlake.llm.common import held, ship, table
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Words up to so many bytes are merged by scanning, longer ones with a heap.
@@ -264,14 +264,8 @@ class Codec:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-_CODECS: dict[int, Codec] = {}
-
-
 def _codec(sent, key: int) -> Codec:
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(sent.value)
-    return _CODECS[key]
+    return held(("bpe", key), lambda: Codec(sent.value))
 
 
 def encode(docs: DataFrame, path: str | None = None, ids: bool = True) -> DataFrame:

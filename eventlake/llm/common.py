@@ -23,6 +23,21 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
 _SHIPPED: set[str] = set()
+_HELD: dict = {}
+
+
+def held(key, build):
+    """In a Python worker: the one large object it keeps from task to task. A
+    worker serves all operators of an application in turn, so another key, or
+    ``drop_held``, lets go of the one before."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
+def drop_held() -> None:
+    _HELD.clear()
 
 
 def ship(spark: SparkSession) -> SparkSession:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import ship, table
+from eventlake.llm.common import held, ship, table
 
 WINDOW = 13
 #: A document is contaminated if hits are at least one word in so many.
@@ -176,11 +176,7 @@ def _automata(spark: SparkSession, benchmark: DataFrame, window: int, block_byte
 
     def loader(sent) -> Callable[[], Automaton]:
         def load() -> Automaton:
-            have = _BUILT.get(sent.id)
-            if have is None:
-                _BUILT.clear()
-                have = _BUILT[sent.id] = Automaton(sent.value, window)
-            return have
+            return held(("automaton", sent.id), lambda: Automaton(sent.value, window))
 
         return load
 
@@ -205,8 +201,6 @@ class _Sent:
         return self.sent.value
 
 
-_BUILT: dict[int, Automaton] = {}
-
 _HITS = "doc_id bigint, n_words bigint, runs array<struct<a: bigint, b: bigint>>, items array<string>"
 
 

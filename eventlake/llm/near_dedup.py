@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import release, ship, staged, table, unwrapped
+from eventlake.llm.common import drop_held, release, ship, staged, table, unwrapped
 from eventlake.llm.components import components
 
 K = 32
@@ -107,6 +107,7 @@ def signatures(docs: DataFrame, shingle_words: int) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held()
         shingler = Shingler(shingle_words)
         for batch in batches:
             sizes, nodes, sigs = [], [], []
@@ -157,6 +158,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle_words: int, num: int,
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held()
         last, kept = None, set()
         for batch in batches:
             keep = []
@@ -177,6 +179,7 @@ def linkable(posted: DataFrame, texts: DataFrame, shingle_words: int, num: int,
     a share of such shingles reaches the similarity with nobody."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held()
         shingler = Shingler(shingle_words)
         for batch in batches:
             sets = [shingler.hashes(words_of(t.as_py())).view(np.int64) for t in batch.column("text")]

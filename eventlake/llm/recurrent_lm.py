@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import block_count, block_of, ship, staged, table
+from eventlake.llm.common import block_count, block_of, drop_held, ship, staged, table
 
 SHORTLIST = 1024
 CLASSES = 32
@@ -111,6 +111,7 @@ def count_words(docs: DataFrame) -> DataFrame:
     """(word, n, grp) over all training documents; the end is a word of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held()
         counts: Counter[bytes] = Counter()
 
         def flush() -> pa.RecordBatch:

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.llm.common import block_count, block_of, release, ship, staged, table, unwrapped
+from eventlake.llm.common import block_count, block_of, drop_held, release, ship, staged, table, unwrapped
 
 SPAN = 100
 SEED = 24
@@ -182,6 +182,7 @@ def suffixes(docs: DataFrame) -> DataFrame:
     has a seed of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held()
         for batch in batches:
             ids = batch.column("_d").to_numpy()
             sub = batch.column("_sub").to_numpy()
