@@ -31,7 +31,7 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -51,7 +51,7 @@ ROUNDS = 1
 #: Share of a training text in its run of one round; runs have two windows at least.
 RUN_SHARE = 1 / 16
 RATE = 0.01
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 24 << 20
 #: Words a task counts before it hands the counts on.
 COUNTER_WORDS = 300_000
 END = b"\n"
@@ -290,7 +290,8 @@ def lanes_of(runs: list[np.ndarray], lanes: int, end: int):
     (-1: padding), resets and the run of every place, as (steps, lanes)."""
     sizes = np.array([len(r) + 1 for r in runs])
     order = np.argsort(-sizes, kind="stable")
-    lanes = max(1, min(lanes, len(runs)))
+    # no more lanes than the longest run fills: the padding stays below the tokens
+    lanes = max(1, min(lanes, len(runs), -(-int(sizes.sum()) // int(sizes.max()))))
     at = np.zeros(len(runs), np.int64)
     lane_of = np.zeros(len(runs), np.int64)
     free = [(0, lane) for lane in range(lanes)]
@@ -299,8 +300,8 @@ def lanes_of(runs: list[np.ndarray], lanes: int, end: int):
         lane_of[k], at[k] = lane, used
         heapq.heappush(free, (used + int(sizes[k]), lane))
     steps = max(used for used, _ in free)
-    ids, target = np.full((lanes, steps), end, np.int64), np.full((lanes, steps), -1, np.int64)
-    reset, owner = np.zeros((lanes, steps), bool), np.zeros((lanes, steps), np.int64)
+    ids, target = np.full((lanes, steps), end, np.int32), np.full((lanes, steps), -1, np.int32)
+    reset, owner = np.zeros((lanes, steps), bool), np.zeros((lanes, steps), np.int32)
     for k, run in enumerate(runs):
         lane, a = lane_of[k], at[k]
         b = a + len(run)
@@ -393,10 +394,10 @@ class Counts:
         return cls(vocab, list(counts), np.array(list(counts.values())), [None] * len(counts))
 
 
-def score_texts(w: dict, vocab: Vocabulary, texts: list[list[bytes]], counts: Counts):
-    """Per text: known tokens, base score, model score (log10). ``counts`` has
-    every word of the texts and the end."""
-    known, base, model = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts))
+def score_texts(w: dict, vocab: Vocabulary, texts: Iterable[list[bytes]], counts: Counts):
+    """Per text: tokens, known tokens, base score, model score (log10).
+    ``counts`` has every word of the texts and the end. Words are turned into
+    numbers text by text, so only one text's words are in memory."""
     denominator = np.log10(vocab.total + 0.1 * (vocab.distinct + 1))
     end, first = counts.place[END], len(vocab.ids)
     # the share of a word inside its spelling group; 0 for words of the network
@@ -404,15 +405,18 @@ def score_texts(w: dict, vocab: Vocabulary, texts: list[list[bytes]], counts: Co
     rare = (counts.ids >= first) & (counts.ids < vocab.end_id)
     share = np.zeros(len(logs))
     share[rare] = logs[rare] - vocab.group_log[counts.ids[rare] - first]
-    runs = []
-    for k, words in enumerate(texts):
+    seen, small = counts.n > 0, counts.ids.astype(np.int32)
+    runs, known, base, model = [], [], [], []
+    for words in texts:
         at = np.fromiter(map(counts.place.__getitem__, words), np.int64, len(words))
-        known[k] = int((counts.n[at] > 0).sum()) + int(counts.n[end] > 0)
-        base[k] = logs[at].sum() + logs[end] - (len(words) + 1) * denominator
-        model[k] = share[at].sum()
-        runs.append(counts.ids[at])
+        known.append(int(seen[at].sum()) + int(seen[end]))
+        base.append(float(logs[at].sum() + logs[end] - (len(words) + 1) * denominator))
+        model.append(float(share[at].sum()))
+        runs.append(small[at])
+    tokens = np.array([len(r) + 1 for r in runs], np.int64)
+    known, base, model = np.array(known, np.int64), np.array(base, float), np.array(model, float)
     if not runs:
-        return known, base, model
+        return tokens, known, base, model
     ids, target, reset, owner = lanes_of(runs, SCORE_LANES, vocab.end_id)
     project = w["E"] @ w["W"] + w["b"]
     h = np.zeros((ids.shape[1], w["U"].shape[0]), np.float32)
@@ -423,8 +427,8 @@ def score_texts(w: dict, vocab: Vocabulary, texts: list[list[bytes]], counts: Co
         states, h[lanes], _ = _gru(project[ids[part][:, lanes]], h[lanes], reset[part][:, lanes], w["U"], False)
         live, want = live[:, lanes], target[part][:, lanes]
         logs = log_probs(w, vocab, states[live], want[live])
-        model += np.bincount(owner[part][:, lanes][live], logs, len(texts)) / np.log(10)
-    return known, base, model
+        model += np.bincount(owner[part][:, lanes][live], logs, len(runs)) / np.log(10)
+    return tokens, known, base, model
 
 
 def score(docs: DataFrame, w: dict, vocab: Vocabulary, counts: DataFrame) -> DataFrame:
@@ -446,12 +450,11 @@ def score(docs: DataFrame, w: dict, vocab: Vocabulary, counts: DataFrame) -> Dat
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         weights, v = sent.value
         counts_ = Counts(v, right["word"].to_pylist(), right["n"].to_numpy(), right["grp"].to_pylist())
-        texts = [words_of(t.as_py()) for t in left["_text"]]
-        known, base, model = score_texts(weights, v, texts, counts_)
+        tokens, known, base, model = score_texts(weights, v, (words_of(t.as_py()) for t in left["_text"]), counts_)
         return pa.table(
             {
-                "doc_id": left["doc_id"], "held_out": left["held_out"], "n_tokens": pa.array([len(t) + 1 for t in texts], pa.int64()), "n_known": pa.array(known, pa.int64()),
-                "train_tokens": pa.array([v.total] * len(texts), pa.int64()), "base_score": pa.array(base), "score": pa.array(model),
+                "doc_id": left["doc_id"], "held_out": left["held_out"], "n_tokens": pa.array(tokens), "n_known": pa.array(known, pa.int64()),
+                "train_tokens": pa.array([v.total] * len(tokens), pa.int64()), "base_score": pa.array(base), "score": pa.array(model),
             }
         )
 

@@ -65,8 +65,9 @@ def test_state_is_carried_and_lanes_do_not_matter(net, monkeypatch):
     monkeypatch.setattr(recurrent_lm, "STEPS", 7)
     monkeypatch.setattr(recurrent_lm, "SCORE_LANES", 2)
     parts = recurrent_lm.score_texts(w, vocab, texts, counts)
-    alone = [recurrent_lm.score_texts(w, vocab, [t], counts)[2][0] for t in texts]
-    assert np.allclose(whole[2], parts[2], rtol=1e-5) and np.allclose(whole[2], alone, rtol=1e-5)
+    alone = [recurrent_lm.score_texts(w, vocab, [t], counts)[3][0] for t in texts]
+    assert np.allclose(whole[3], parts[3], rtol=1e-5) and np.allclose(whole[3], alone, rtol=1e-5)
+    assert whole[0].tolist() == [len(t) + 1 for t in texts]
 
 
 def test_scores(spark, docs):
