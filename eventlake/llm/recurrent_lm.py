@@ -9,11 +9,12 @@ Network: embedding, one GRU layer, and an output softmax factored by class:
 P(word) = P(class | state) * P(word | class, state); spelling groups and the
 end of a text are classes of their own.
 
-Training: truncated backpropagation. Every training document contributes a run
-of consecutive windows at a place chosen by hash; the state is carried from
-one window of a run to the next and the gradient stops at the window. Tasks
-start a round from the same weights, and Spark averages what they learn,
-weighted by tokens.
+Training: truncated backpropagation. A round learns from every window of every
+training document; the state is carried from one window of a text to the next
+and the gradient stops at the window. Tasks start a round from the same
+weights, and Spark averages what they learn, weighted by tokens. A task's
+share of the texts follows their bytes, not the number of input partitions,
+and grows with the corpus as the number of tasks does.
 
 Scoring: whole documents lie end to end in lanes; the state is carried across
 windows and reset where a document begins, so a score is the complete log10
@@ -29,7 +30,7 @@ base has its 0.1 only. A word or text may have any length.
 from __future__ import annotations
 
 import heapq
-import zlib
+import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -43,13 +44,15 @@ from eventlake.llm.common import block_count, block_of, drop_held, ship, staged,
 
 SHORTLIST = 1024
 CLASSES = 32
-HIDDEN = 16
+HIDDEN = 24
 EMBED = 16
 #: Steps of a window, documents trained side by side, scored side by side.
 STEPS, TRAIN_LANES, SCORE_LANES = 32, 64, 512
-ROUNDS = 1
-#: Share of a training text in its run of one round; runs have two windows at least.
-RUN_SHARE = 1 / 16
+ROUNDS = 2
+#: Text of a training task where the corpus has no more.
+TASK_BYTES = 2 << 20
+#: Tokens laid out in lanes at once, at most (but for a longer text).
+GROUP_TOKENS = 1 << 21
 RATE = 0.01
 BLOCK_BYTES = 24 << 20
 #: Words a task counts before it hands the counts on.
@@ -59,7 +62,7 @@ END = b"\n"
 _ENDS = {46: 1, 44: 2, 33: 3, 63: 3}
 #: Letters that tell languages apart, as UTF-8 continuations of C3.
 _MARKS = [b"\xc3\xa4\xc3\xb6\xc3\xbc\xc3\x9f", b"\xc3\xb1\xc3\xad\xc3\xb3\xc3\xba\xc3\xa1", b"\xc3\xa8\xc3\xaa\xc3\xa7\xc3\xa0\xc3\xa2\xc3\xb9\xc3\xae\xc3\xb4"]
-GROUPS = 4 * 5 * 2
+GROUPS = 4 * 5 * 3
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -70,7 +73,7 @@ def group_of(word: bytes) -> int:
     """Spelling group: how the word ends, which marked letters it has, its length."""
     end = _ENDS.get(word[-1], 0)
     n = len(word) - (end > 0)
-    size = int(n > 8)
+    size = 0 if n <= 4 else 1 if n <= 9 else 2
     mark = 0
     if not word.isascii():
         mark = 4
@@ -78,7 +81,7 @@ def group_of(word: bytes) -> int:
             if any(letters[i : i + 2] in word for i in range(0, len(letters), 2)):
                 mark = k + 1
                 break
-    return (end * 5 + mark) * 2 + size
+    return (end * 5 + mark) * 3 + size
 
 
 @dataclass
@@ -172,26 +175,30 @@ def first_weights(vocab: Vocabulary, hidden: int = HIDDEN, embed: int = EMBED) -
     }
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 def _gru(x: np.ndarray, h: np.ndarray, reset: np.ndarray, U: np.ndarray, keep: bool):
     """States of a window: ``x`` (steps, lanes, 3H) is the projected input."""
     steps, lanes, width = x.shape
     H = width // 3
     out = np.empty((steps, lanes, H), np.float32)
-    tape = []
+    tape = np.empty((5, steps, lanes, H), x.dtype) if keep else None
+    resets = reset.any(axis=1)
     for t in range(steps):
-        if reset[t].any():
+        if resets[t]:
             h = np.where(reset[t][:, None], np.float32(0), h)
         g = h @ U
-        zr = _sigmoid(x[t, :, : 2 * H] + g[:, : 2 * H])
+        zr = x[t, :, : 2 * H] + g[:, : 2 * H]
+        np.exp(np.negative(zr, out=zr), out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
         z, r = zr[:, :H], zr[:, H:]
-        n = np.tanh(x[t, :, 2 * H :] + r * g[:, 2 * H :])
+        n = r * g[:, 2 * H :]
+        n += x[t, :, 2 * H :]
+        np.tanh(n, out=n)
         if keep:
-            tape.append((h, z, r, n, g[:, 2 * H :]))
-        h = n + z * (h - n)
+            tape[0, t], tape[1, t], tape[2, t], tape[3, t], tape[4, t] = h, z, r, n, g[:, 2 * H :]
+        h = h - n
+        h *= z
+        h += n
         out[t] = h
     return out, h, tape
 
@@ -202,6 +209,14 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    if x.size and max(x.max(), -x.min()) > 60:
+        x = x - x.max(axis=1, keepdims=True)
+    x = np.exp(x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
 def _members(vocab: Vocabulary) -> list[slice]:
     """The shortlist is sorted by count, so a class is a stretch of it."""
     edges = np.searchsorted(vocab.class_of, np.arange(vocab.n_classes + 1))
@@ -239,35 +254,46 @@ def gradients(w: dict, vocab: Vocabulary, ids: np.ndarray, target: np.ndarray, r
     s, want = flat[live], want[live]
     scale = np.float32(1 / max(1, len(live)))
     cls = _classes(vocab, want)
-    p = np.exp(_log_softmax(s @ w["C"] + w["c"]))
+    p = _softmax(s @ w["C"] + w["c"])
     p[np.arange(len(cls)), cls] -= 1
     p *= scale
     grad = {k: np.zeros_like(v) for k, v in w.items()}
     grad["C"], grad["c"] = s.T @ p, p.sum(axis=0)
     ds = p @ w["C"].T
+    order = np.argsort(cls, kind="stable")
+    edges = np.searchsorted(cls[order], np.arange(vocab.n_classes + 1)).tolist()
+    by_class, target_of, ds_of = s[order], want[order], np.zeros_like(s)
     for k, part in enumerate(_members(vocab)):
-        at = np.flatnonzero(cls == k)
-        if len(at) and part.stop - part.start > 1:
-            q = np.exp(_log_softmax(s[at] @ w["O"][:, part] + w["o"][part]))
-            q[np.arange(len(at)), want[at] - part.start] -= 1
+        a, b = edges[k], edges[k + 1]
+        if b > a and part.stop - part.start > 1:
+            mine, out = by_class[a:b], w["O"][:, part]
+            q = _softmax(mine @ out + w["o"][part])
+            q[np.arange(b - a), target_of[a:b] - part.start] -= 1
             q *= scale
-            grad["O"][:, part], grad["o"][part] = s[at].T @ q, q.sum(axis=0)
-            ds[at] += q @ w["O"][:, part].T
+            grad["O"][:, part], grad["o"][part] = mine.T @ q, q.sum(axis=0)
+            ds_of[a:b] = q @ out.T
+    ds[order] += ds_of
     back = np.zeros_like(flat)
     back[live] = ds
     back = back.reshape(states.shape)
-    dx, dh = np.empty_like(x), np.zeros_like(h)
+    before, z, r, n, gn = tape
+    # a step's gates' gradients are these shares of its state's gradient
+    share = np.empty((*x.shape[:2], 3, H), x.dtype)
+    share[:, :, 2] = (1 - z) * (1 - n * n)
+    share[:, :, 0] = (before - n) * z * (1 - z)
+    share[:, :, 1] = share[:, :, 2] * gn * r * (1 - r)
+    to_input = share[:, :, 2].copy()
+    share[:, :, 2] *= r
+    d, dh, back_u, resets = np.empty_like(z), np.zeros_like(h), w["U"].T.copy(), reset.any(axis=1)
     for t in range(len(ids) - 1, -1, -1):
-        before, z, r, n, gn = tape[t]
-        d = dh + back[t]
-        dn = d * (1 - z) * (1 - n * n)
-        dz = d * (before - n) * z * (1 - z)
-        dr = dn * gn * r * (1 - r)
-        dx[t, :, :H], dx[t, :, H : 2 * H], dx[t, :, 2 * H :] = dz, dr, dn
-        dg = np.concatenate((dz, dr, dn * r), axis=1)
-        grad["U"] += before.T @ dg
-        dh = d * z + dg @ w["U"].T
-        dh[reset[t]] = 0
+        d[t] = dh + back[t]
+        share[t] *= d[t][:, None]
+        dh = d[t] * z[t] + share[t].reshape(len(dh), 3 * H) @ back_u
+        if resets[t]:
+            dh[reset[t]] = 0
+    grad["U"] = before.reshape(-1, H).T @ share.reshape(-1, 3 * H)
+    share[:, :, 2] = to_input * d
+    dx = share
     dx = dx.reshape(-1, 3 * H)
     # sums of the projected inputs by token, then through the projection
     by_token = np.zeros((len(w["E"]), 3 * H), np.float32)
@@ -280,9 +306,22 @@ def gradients(w: dict, vocab: Vocabulary, ids: np.ndarray, target: np.ndarray, r
     return grad, last
 
 
-def token_ids(vocab: Vocabulary, words: list[bytes]) -> np.ndarray:
-    get, base = vocab.ids.get, len(vocab.ids)
-    return np.array([i if (i := get(x, -1)) >= 0 else base + group_of(x) for x in words], np.int64)
+class TokenIds(dict):
+    """Token ids by word; those of rare words are kept as they are met."""
+
+    def __init__(self, vocab: Vocabulary):
+        super().__init__(vocab.ids)
+        self.ids = vocab.ids
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > COUNTER_WORDS:
+            self.clear()
+            self.update(self.ids)
+        out = self[word] = len(self.ids) + group_of(word)
+        return out
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
 
 def lanes_of(runs: list[np.ndarray], lanes: int, end: int):
@@ -329,36 +368,38 @@ def train_runs(w: dict, vocab: Vocabulary, runs: list[np.ndarray], adam: dict) -
     return int((target >= 0).sum())
 
 
-def run_of(words: list[bytes], key: int) -> list[bytes]:
-    """The stretch of a training text that one round learns from."""
-    n = max(2 * STEPS, int(len(words) * RUN_SHARE))
-    spare = len(words) - n
-    at = key % (spare + 1) if spare > 0 else 0
-    return words[at : at + n]
+def train_tasks(docs: DataFrame, column: str) -> int:
+    """Number of training tasks. With more text there are more tasks to average
+    and each makes more steps from the common start (by the cube root)."""
+    return math.ceil(block_count(docs, column, TASK_BYTES) ** (2 / 3))
 
 
 def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """Weights after ``rounds`` of training on all training documents."""
+    """Weights after ``rounds`` of training on all words of all training documents."""
     spark = ship(docs.sparkSession)
     w = first_weights(vocab)
     names, shapes = list(w), [v.shape for v in w.values()]
-    rows = docs.filter(~held_out()).select(F.xxhash64("doc_id", "text").alias("_key"), F.col("text").cast("binary").alias("_text"))
-    for turn in range(rounds):
+    rows = docs.filter(~held_out()).select(F.col("text").cast("binary").alias("_text"))
+    rows = rows.coalesce(train_tasks(rows, "_text"))
+    for _ in range(rounds):
         sent = spark.sparkContext.broadcast((w, vocab))
 
-        def run(batches: Iterator[pa.RecordBatch], turn: int = turn, sent=sent) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            drop_held()
             first, v = sent.value
             own = {k: x.copy() for k, x in first.items()}
             adam = {k: [np.zeros_like(x), np.zeros_like(x)] for k, x in own.items()} | {"t": 0}
-            seen, runs, tokens = 0, [], 0
+            ids = TokenIds(v)
+            seen, runs, tokens, longest = 0, [], 0, 1024
             for batch in batches:
-                for key, text in zip(batch.column("_key").to_pylist(), batch.column("_text")):
-                    words = words_of(text.as_py())
-                    runs.append(token_ids(v, run_of(words, zlib.crc32(b"%d %d" % (turn, key)))))
+                for text in batch.column("_text"):
+                    runs.append(ids.of(words_of(text.as_py())))
                     tokens += len(runs[-1]) + 1
-                    if tokens >= TRAIN_LANES * 1024:
+                    longest = max(longest, len(runs[-1]) + 1)
+                    # the longest text is a lane, and the others fill the rest
+                    if tokens >= min(TRAIN_LANES * longest, GROUP_TOKENS):
                         seen += train_runs(own, v, runs, adam)
-                        runs, tokens = [], 0
+                        runs, tokens, longest = [], 0, 1024
             if runs:
                 seen += train_runs(own, v, runs, adam)
             if seen:

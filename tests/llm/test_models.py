@@ -1,6 +1,7 @@
 """The two language models and the pipeline."""
 
 import math
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -97,6 +98,29 @@ def test_scores(spark, docs):
     assert {r["base_score"] for r in recurrent_lm.score(docs.filter("doc_id = 4"), w, vocab, counts).collect()} == {math.log10(0.1 / 0.1)}
 
 
+def test_every_window_is_learned(spark):
+    """Each word of a long text has a stretch of its own; all of them change."""
+    key = next(i for i in range(99) if zlib.crc32(b"%d" % i) % 10)
+    words = [f"w{i:02}" for i in range(40)]
+    rows = spark.createDataFrame([(key, " ".join(w for w in words for _ in range(100)))], "doc_id bigint, text string").repartition(8)
+    recurrent_lm.ship(spark)
+    vocab = recurrent_lm.vocabulary(recurrent_lm.count_words(rows))
+    first, w = recurrent_lm.first_weights(vocab), recurrent_lm.train(rows, vocab, rounds=1)
+    moved = np.abs(w["E"] - first["E"]).max(axis=1)
+    assert sorted(vocab.ids) == sorted(x.encode() for x in words)
+    assert (moved[[*vocab.ids.values()]] > 0).all()
+
+
+def test_training_tasks_follow_the_text(spark):
+    """The learned weights do not thin out with the number of input partitions."""
+    docs = table(spark, SF_SMALL, "documents")
+    recurrent_lm.ship(spark)
+    vocab = recurrent_lm.vocabulary(recurrent_lm.count_words(docs))
+    first = recurrent_lm.first_weights(vocab)["U"]
+    one, many = (np.abs(recurrent_lm.train(docs.repartition(n), vocab, rounds=1)["U"] - first).sum() for n in (1, 40))
+    assert 0.7 < many / one < 1.4
+
+
 def plain_model(texts):
     """Interpolated modified Kneser-Ney over 4-gram numbers."""
     bits, order = kneser_ney.BITS, kneser_ney.ORDER
