@@ -88,6 +88,13 @@ def block_of(key: Column, blocks: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
 
 
+def row_block(blocks: int, *columns: str) -> Column:
+    """Block of a row where no block needs certain rows together: by the columns
+    and the partition the row is read from, so that neither rows that share an
+    id nor copies of one row gather in a block."""
+    return block_of(F.xxhash64(*columns, F.spark_partition_id()), blocks)
+
+
 def unwrapped(rows: DataFrame, like: DataFrame, **replaced: Column) -> DataFrame:
     """The columns of ``like`` from the struct ``_row``; rows travel as one
     struct where names of further columns could clash with an operator's own."""

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import block_count, block_of, drop_held, ship, staged, table
+from eventlake.llm.common import block_count, drop_held, row_block, ship, staged, table
 
 SHORTLIST = 1024
 CLASSES = 32
@@ -477,9 +477,8 @@ def score(docs: DataFrame, w: dict, vocab: Vocabulary, counts: DataFrame) -> Dat
     spark = ship(docs.sparkSession)
     sent = spark.sparkContext.broadcast((w, vocab))
     blocks = block_count(docs, "text", BLOCK_BYTES)
-    key = docs.schema["doc_id"].dataType
     placed = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("binary").alias("_text"), block_of(F.coalesce(F.col("doc_id"), F.lit(0).cast(key)), blocks).alias("_block")
+        F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("binary").alias("_text"), row_block(blocks, "doc_id", "text").alias("_block")
     ).repartition("_block")
 
     def needed(rows: pa.Table) -> pa.Table:

@@ -121,6 +121,28 @@ def test_training_tasks_follow_the_text(spark):
     assert 0.7 < many / one < 1.4
 
 
+@pytest.mark.parametrize("key", ["cast(null as bigint)", "7L"])
+def test_rows_of_one_id_spread_over_blocks(spark, monkeypatch, key):
+    """No task gets the rows of one doc_id, not even copies of one row."""
+    monkeypatch.setattr(recurrent_lm, "BLOCK_BYTES", 1000)
+    monkeypatch.setattr(kneser_ney, "BLOCK_BYTES", 1000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for text in ("concat('some words and ', id)", "'the same words in all of the rows'"):
+            rows = spark.range(0, 1200, 1, 40).selectExpr(f"{key} as doc_id", f"{text} as text", "'en' as lang")
+            recurrent_lm.ship(spark)
+            counts = recurrent_lm.staged(spark, recurrent_lm.count_words(rows), "words")
+            vocab = recurrent_lm.vocabulary(counts)
+            scores = recurrent_lm.score(rows, recurrent_lm.first_weights(vocab), vocab, counts)
+            ids = spark.range(9).selectExpr("id as doc_id", "false as held_out")
+            entropy = kneser_ney.cross_entropy(rows, kneser_ney.Model(kneser_ney.gram_counts(rows, ids).cache()))
+            for out in (scores, entropy):
+                sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+                assert sum(sizes) == 1200 and max(sizes) < 800
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def plain_model(texts):
     """Interpolated modified Kneser-Ney over 4-gram numbers."""
     bits, order = kneser_ney.BITS, kneser_ney.ORDER
