@@ -40,7 +40,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,13 +160,13 @@ def _pieces(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], list[byt
         yield who, base, part
 
 
-def _first_of(key: np.ndarray, d: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """For every row whether a row with its key comes earlier (d, at)."""
-    order = np.lexsort((at, d, key))
-    k, dd, aa = key[order], d[order], at[order]
+def _first_of(key: np.ndarray, d: np.ndarray, sub: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For every row whether a row with its key comes earlier (d, sub, at)."""
+    order = np.lexsort((at, sub, d, key))
+    k, dd, ss, aa = key[order], d[order], sub[order], at[order]
     again = np.zeros(len(key), bool)
-    same = (k[1:] == k[:-1]) & ((dd[1:] != dd[:-1]) | (aa[1:] != aa[:-1]))
-    # equal rows (d, at) are one place: they share the answer of the first
+    same = (k[1:] == k[:-1]) & ((dd[1:] != dd[:-1]) | (ss[1:] != ss[:-1]) | (aa[1:] != aa[:-1]))
+    # equal rows (d, sub, at) are one place: they share the answer of the first
     tie = np.concatenate(([False], (k[1:] == k[:-1]) & ~same))
     again[order[1:][same]] = True
     for i in np.flatnonzero(tie).tolist():
@@ -175,7 +175,7 @@ def _first_of(key: np.ndarray, d: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def suffixes(docs: DataFrame) -> DataFrame:
-    """The rows (seed, region, d, at) of the documents' suffix array, unsorted.
+    """The rows (seed, region, d, sub, at) of the documents' suffix array, unsorted.
 
     ``at`` packs start, length and, in the lowest bit, whether the same region
     was met earlier in the same Arrow batch; such a row is already a match and
@@ -191,24 +191,20 @@ def suffixes(docs: DataFrame) -> DataFrame:
             for who, base, part in _pieces(texts):
                 owner, start, n, seed, region = regions(part)
                 doc = np.array(who)[owner]
-                parts.append((seed, region, ids[doc], _pack(start + np.array(base)[owner], n, sub[doc])))
+                parts.append((seed, region, ids[doc], sub[doc], _pack(start + np.array(base)[owner], n)))
             if not parts:
                 continue
-            seed, region, d, at = (np.concatenate(x) for x in zip(*parts))
-            again = _first_of(_mix(seed) ^ region, d, at)
-            seed = np.where(again, _mix(d.astype(np.uint64) * _U(_BASE) ^ at.astype(np.uint64)), seed)
-            columns = [pa.array(seed.view(np.int64)), pa.array(region.view(np.int64)), pa.array(d), pa.array(at | again)]
-            yield from pa.Table.from_arrays(columns, ["seed", "region", "d", "at"]).to_batches(50_000)
+            seed, region, d, s, at = (np.concatenate(x) for x in zip(*parts))
+            again = _first_of(_mix(seed) ^ region, d, s, at)
+            seed = np.where(again, _mix(d.astype(np.uint64) * _U(_BASE) ^ _mix(s.view(np.uint64)) ^ at.astype(np.uint64)), seed)
+            columns = [pa.array(seed.view(np.int64)), pa.array(region.view(np.int64)), pa.array(d), pa.array(s), pa.array(at | again)]
+            yield from pa.Table.from_arrays(columns, ["seed", "region", "d", "sub", "at"]).to_batches(50_000)
 
-    return docs.select("_d", "_sub", "_text").mapInArrow(run, "seed bigint, region bigint, d bigint, at bigint")
+    return docs.select("_d", "_sub", "_text").mapInArrow(run, "seed bigint, region bigint, d bigint, sub bigint, at bigint")
 
 
-def _pack(start: np.ndarray, n: np.ndarray, sub: np.ndarray) -> np.ndarray:
-    return (sub.astype(np.int64) << 50) | (start.astype(np.int64) << 12) | (n.astype(np.int64) << 1)
-
-
-#: Unpacked in SQL: the place without the flag orders, the others are fields.
-_START, _LENGTH, _SUB = "((at >> 12) & ((1L << 38) - 1))", "((at >> 1) & 2047)", "(at >> 50)"
+def _pack(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return (start.astype(np.int64) << 12) | (n.astype(np.int64) << 1)
 
 
 class Family:
@@ -219,7 +215,7 @@ class Family:
         self.merges = 0
 
     def add(self, batch: DataFrame, keep: bool = True) -> DataFrame:
-        """(seed, d, at, whole, many) of the batch's matches: regions that occur
+        """(seed, d, sub, at, whole, many) of the batch's matches: regions that occur
         earlier (``whole``) and the first places of regions that share a seed
         with another one (not ``whole``; ``many``: with very many).
         ``keep``: the batch becomes a level."""
@@ -234,7 +230,7 @@ class Family:
         for df in self.levels.values():
             rows = rows.unionByName(df.withColumn("src", F.lit(2)))
         of_seed = Window.partitionBy("seed")
-        of_region = Window.partitionBy("seed", "region").orderBy("d", "at")
+        of_region = Window.partitionBy("seed", "region").orderBy("d", "sub", "at")
         scanned = (
             rows.repartition("seed")
             .withColumn("first", F.rank().over(of_region) == 1)
@@ -246,25 +242,25 @@ class Family:
         wanted = (match & (F.col("src") == 0)) | (F.col("mixed") & F.col("first"))
         if keep:
             wanted = wanted | (F.col("src") < 2)
-        scanned = staged(self.spark, scanned.filter(wanted).select("seed", "region", "d", "at", "src", "mixed", "many", match.alias("match")), "level")
+        scanned = staged(self.spark, scanned.filter(wanted).select("seed", "region", "d", "sub", "at", "src", "mixed", "many", match.alias("match")), "level")
         if keep:
-            self.levels[rank] = scanned.filter("src < 2 and not match").select("seed", "region", "d", "at")
-        return scanned.filter("(match and src = 0) or (mixed and not match)").select("seed", "d", "at", F.col("match").alias("whole"), "many")
+            self.levels[rank] = scanned.filter("src < 2 and not match").select("seed", "region", "d", "sub", "at")
+        return scanned.filter("(match and src = 0) or (mixed and not match)").select("seed", "d", "sub", "at", F.col("match").alias("whole"), "many")
 
 
-_PLACES = "seed bigint, d bigint, at bigint, region binary"
+_PLACES = "seed bigint, d bigint, sub bigint, at bigint, region binary"
 
 
 def _region_texts(blocks: DataFrame, edges: DataFrame) -> DataFrame:
-    """(seed, d, at, region) with the text of every region of ``edges``; for a
+    """(seed, d, sub, at, region) with the text of every region of ``edges``; for a
     seed with many regions a row for each window, under a key of its own and
     without a text."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         parts: list[tuple] = []
-        seed, d, at, many = (right[c].to_numpy() for c in ("seed", "d", "at", "many"))
+        seed, d, sub, at, many = (right[c].to_numpy() for c in ("seed", "d", "sub", "at", "many"))
         places: dict[tuple[int, int], list[int]] = {}
-        for k, x in enumerate(zip(d.tolist(), (at >> 50).tolist())):
+        for k, x in enumerate(zip(d.tolist(), sub.tolist())):
             places.setdefault(x, []).append(k)
         for i, x in enumerate(zip(left["_d"].to_pylist(), left["_sub"].to_pylist()) if places else ()):
             if (mine := places.pop(x, None)) is None:
@@ -274,23 +270,23 @@ def _region_texts(blocks: DataFrame, edges: DataFrame) -> DataFrame:
                 start, n = (int(at[k]) >> 12) & ((1 << 38) - 1), (int(at[k]) >> 1) & 2047
                 region = data[start : start + n]
                 if not many[k]:
-                    parts.append(([int(seed[k])], [x[0]], [int(at[k])], [region]))
+                    parts.append(([int(seed[k])], [x[0]], [x[1]], [int(at[k])], [region]))
                     continue
                 j = np.arange(n - SPAN + 1)
                 own = _mix(Hashed(region).of(j, SPAN) ^ _mix(seed[k : k + 1].view(np.uint64)))
-                parts.append((own.view(np.int64).tolist(), [x[0]] * len(j), _pack(start + j, np.full(len(j), SPAN), np.full(len(j), x[1])).tolist(), [None] * len(j)))
-        columns = [[v for p in parts for v in p[c]] for c in range(4)]
-        return pa.table({n: pa.array(c, t) for n, c, t in zip(("seed", "d", "at", "region"), columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))})
+                parts.append((own.view(np.int64).tolist(), [x[0]] * len(j), [x[1]] * len(j), _pack(start + j, np.full(len(j), SPAN)).tolist(), [None] * len(j)))
+        columns = [[v for p in parts for v in p[c]] for c in range(5)]
+        return pa.table({n: pa.array(c, t) for n, c, t in zip(("seed", "d", "sub", "at", "region"), columns, (*[pa.int64()] * 4, pa.binary()))})
 
     return blocks.groupBy("_block").cogroup(edges.groupBy("_block")).applyInArrow(run, _PLACES)
 
 
 def _repeated_windows(texts: DataFrame) -> DataFrame:
-    """(d, at) of the stretches of regions whose windows occur earlier in another
+    """(d, sub, at) of the stretches of regions whose windows occur earlier in another
     region of their seed."""
 
     def compared(rows: pa.Table) -> pa.RecordBatch:
-        seed, d, at = (rows[c].to_numpy() for c in ("seed", "d", "at"))
+        seed, d, sub, at = (rows[c].to_numpy() for c in ("seed", "d", "sub", "at"))
         data = [x.as_py() for x in rows["region"]]
         sizes = np.array([len(x) for x in data])
         count = sizes - SPAN + 1
@@ -298,14 +294,14 @@ def _repeated_windows(texts: DataFrame) -> DataFrame:
         inside = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
         place = (np.cumsum(sizes) - sizes)[row] + inside
         window = Hashed(b"".join(data)).of(place, SPAN) ^ _mix(seed.view(np.uint64))[row]
-        sub, start = at >> 50, (at >> 12) & ((1 << 38) - 1)
-        again = np.flatnonzero(_first_of(window, d[row], _pack(start[row] + inside, np.full(len(row), SPAN), sub[row])))
+        start = (at >> 12) & ((1 << 38) - 1)
+        again = np.flatnonzero(_first_of(window, d[row], sub[row], _pack(start[row] + inside, np.full(len(row), SPAN))))
         # windows next to each other are one stretch
         cut = np.flatnonzero((row[again][1:] != row[again][:-1]) | (again[1:] != again[:-1] + 1)) + 1 if len(again) else np.empty(0, np.int64)
         first = again[np.concatenate((np.zeros(min(1, len(again)), np.int64), cut))]
         last = again[np.concatenate((cut - 1, np.full(min(1, len(again)), len(again) - 1)))]
         r = row[first]
-        return pa.RecordBatch.from_arrays([pa.array(d[r]), pa.array(_pack(start[r] + inside[first], last - first + SPAN, sub[r]))], ["d", "at"])
+        return pa.RecordBatch.from_arrays([pa.array(d[r]), pa.array(sub[r]), pa.array(_pack(start[r] + inside[first], last - first + SPAN))], ["d", "sub", "at"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the seed that the batch before ended in, at most MANY_REGIONS rows
@@ -321,8 +317,8 @@ def _repeated_windows(texts: DataFrame) -> DataFrame:
             yield compared(held)
 
     whole = texts.filter("region is not null").repartition("seed").sortWithinPartitions("seed")
-    alone = texts.filter("region is null").withColumn("r", F.rank().over(Window.partitionBy("seed").orderBy("d", "at"))).filter("r > 1")
-    return whole.mapInArrow(run, "d bigint, at bigint").unionByName(alone.select("d", "at"))
+    alone = texts.filter("region is null").withColumn("r", F.rank().over(Window.partitionBy("seed").orderBy("d", "sub", "at"))).filter("r > 1")
+    return whole.mapInArrow(run, "d bigint, sub bigint, at bigint").unionByName(alone.select("d", "sub", "at"))
 
 
 def united(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
@@ -337,16 +333,20 @@ def united(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """Adds ``_d`` (doc_id, null first) and ``_sub``, which is 0 but for rows
-    that share their doc_id with another text."""
+    """Adds ``_d`` (doc_id, null first) and ``_sub``, the hash of the text, which
+    is 0 but for rows that share their doc_id with another text."""
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
     docs = docs.withColumn("_d", order).withColumn("_hash", F.xxhash64("_text"))
     clashing = docs.groupBy("_d").agg(F.min("_hash").alias("lo"), F.max("_hash").alias("hi")).filter("lo != hi").select("_d")
     if clashing.isEmpty():
-        return docs.drop("_hash").withColumn("_sub", F.lit(0).cast("int"))
-    subs = docs.select("_d", "_hash").join(clashing, "_d").distinct()
-    subs = subs.withColumn("_sub", (F.row_number().over(Window.partitionBy("_d").orderBy("_hash")) - 1).cast("int"))
-    return docs.join(subs, ["_d", "_hash"], "left").drop("_hash").withColumn("_sub", F.coalesce("_sub", F.lit(0)))
+        return docs.drop("_hash").withColumn("_sub", F.lit(0).cast("long"))
+    docs = docs.join(clashing.withColumn("_clash", F.lit(True)), "_d", "left")
+    return docs.withColumn("_sub", F.when(F.col("_clash"), F.col("_hash")).otherwise(F.lit(0).cast("long"))).drop("_hash", "_clash")
+
+
+def _block(d: str, sub: str, blocks: int) -> Column:
+    """Texts of one doc_id spread over the blocks."""
+    return block_of(F.xxhash64(d, sub), blocks)
 
 
 def apply_spans(docs: DataFrame, report: Callable[[pa.Table, list], pa.Table], schema: T.StructType) -> DataFrame:
@@ -370,16 +370,16 @@ def apply_spans(docs: DataFrame, report: Callable[[pa.Table, list], pa.Table], s
         found = family.add(suffixes(part), keep=i < len(shares) - 1)
         release(spark)
         matches = found if matches is None else matches.unionByName(found)
-    placed = docs.withColumn("_block", block_of(F.col("_d"), blocks)).repartition("_block")
-    edges = matches.filter("not whole").groupBy("seed", "d", "at").agg(F.max("many").alias("many")).withColumn("_block", block_of(F.col("d"), blocks))
+    placed = docs.withColumn("_block", _block("_d", "_sub", blocks)).repartition("_block")
+    edges = matches.filter("not whole").groupBy("seed", "d", "sub", "at").agg(F.max("many").alias("many")).withColumn("_block", _block("d", "sub", blocks))
     again = _repeated_windows(staged(spark, _region_texts(placed, edges), "regions"))
     release(spark)
-    spans = matches.filter("whole").select("d", "at").unionByName(again).withColumn("_block", block_of(F.col("d"), blocks))
+    spans = matches.filter("whole").select("d", "sub", "at").unionByName(again).withColumn("_block", _block("d", "sub", blocks))
     names = [f.name for f in schema.fields]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        d, at = right["d"].to_numpy(), right["at"].to_numpy()
-        sub, start, n = at >> 50, (at >> 12) & ((1 << 38) - 1), (at >> 1) & 2047
+        d, sub, at = (right[c].to_numpy() for c in ("d", "sub", "at"))
+        start, n = (at >> 12) & ((1 << 38) - 1), (at >> 1) & 2047
         order = np.lexsort((start, sub, d))
         d, sub, start, n = d[order], sub[order], start[order], n[order]
         cut = np.flatnonzero((d[1:] != d[:-1]) | (sub[1:] != sub[:-1])) + 1 if len(d) else np.empty(0, np.int64)

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventlake.llm import near_dedup, suffix_dedup
 from eventlake.llm.components import components
@@ -126,6 +127,20 @@ def test_removed_bytes_equal_brute_force(spark, folder, monkeypatch, segment):
     assert got == plain_removed(rows)
 
 
+@pytest.mark.parametrize("key", [None, 7])
+def test_many_texts_of_one_id(spark, key):
+    """Equal to brute force for more texts of a doc_id than 13 bits number."""
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage = word(130)
+    rows = spark.createDataFrame([(key, word(12) + passage + word(12), i) for i in range(9000)], "doc_id bigint, text string, i int").repartition(4, "i").cache()
+    order = [(r["i"], r["text"]) for r in rows.orderBy(F.xxhash64(F.col("text").cast("binary"))).collect()]
+    got = {r["i"]: hashlib.sha256(r["text"].encode()).hexdigest() for r in suffix_dedup.remove_repeats(rows).collect()}
+    assert got == {i: want[3] for i, want in plain_removed(order).items()}
+    numbered = suffix_dedup._numbered(rows.selectExpr("doc_id", "cast(text as binary) as _text"))
+    assert numbered.select(suffix_dedup._block("_d", "_sub", 8)).distinct().count() == 8
+
+
 def test_segments_cover_every_window_once(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 130)
     texts = [b"a" * 400, b"short", bytes(range(256)) * 3, b""]
