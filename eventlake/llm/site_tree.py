@@ -175,15 +175,16 @@ def parse(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
 
 def article(blocks: list[tuple[Node, str]], nodes: list[Node]) -> tuple[list[tuple[Node, str]], bool]:
     """The blocks that belong to an article by the page's own marks, and
-    whether it has such marks. Without an article element, the outermost
-    element named as content; without that, the body without noise."""
+    whether it has such marks. Without an article element outside noise, the
+    body without noise; only if that has no text, the articles in noise."""
     roots = [n for n in nodes if n.root is n]
     good = {id(n) for n in roots if not n.noise}
     if good:
         return [(n, t) for n, t in blocks if n.root is not None and id(n.root) in good and not n.noise], True
-    if roots:  # every article stands in an element named as noise: the names above it don't count
+    plain = [(n, t) for n, t in blocks if not n.noise]
+    if roots and not plain:  # all text stands in elements named as noise: the names above an article don't count
         return [(n, t) for n, t in blocks if n.root is not None and not _noise_below(n, n.root)], True
-    return [(n, t) for n, t in blocks if not n.noise], False
+    return plain, False
 
 
 def _noise_below(node: Node, root: Node) -> bool:

@@ -148,6 +148,11 @@ def test_odd_pages(page, text):
     assert site_tree.main_text(page, ()) == text
 
 
+def test_text_outside_teasers_stays():
+    page = "<div><p>the text</p></div><aside><article>teaser</article></aside><div class='related'><article>other</article></div>"
+    assert site_tree.main_text(page, ()) == "the text"
+
+
 def site(n=12):
     """A site without helpful names: one changing and two fixed branches."""
     words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
