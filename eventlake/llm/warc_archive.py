@@ -146,14 +146,12 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archive every page, then read each record's fields from the archive."""
+    """Archive every page, then rebuild every record and read its fields from it."""
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     path = f"{staging_root(spark)}/llm-warc-{uuid.uuid4().hex}"
     archive(spark, page_records(pages), _hashed(pages).select("digest", "payload"), path)
     head = F.col("header").cast("string")
-    # the fields need each payload's length and digest, read once where it is stored; its bytes stay there
-    facts = stored(spark, path).select("digest", F.octet_length("payload").cast("long").alias("stored_bytes"))
-    back = with_payload(spark.read.parquet(f"{path}/headers"), facts)
+    back = reconstruct(spark, path)
 
     def field(pattern: str) -> Column:
         return F.nullif(F.regexp_extract(head, pattern, 1), F.lit(""))
@@ -163,8 +161,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return back.select(
         page("WARC-Record-ID").alias("page_id"),
-        F.col("n_bytes").alias("payload_bytes"),
-        field(r"\r\nWARC-Payload-Digest: sha1:([0-9a-f]+)\r\n").alias("payload_digest"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"),
         field(r"\r\nWARC-Type: (\w+)\r\n").alias("record_type"),
         page("WARC-Refers-To").alias("refers_to"),
     )

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventlake.llm import chat_format, quality_rules, warc_archive
 
@@ -134,6 +135,16 @@ def test_damaged_payload_is_an_error(spark, folder):
         warc_archive.reconstruct(spark, path).collect()
 
 
+def test_query_hashes_the_rebuilt_payloads(spark, folder, monkeypatch):
+    """The digests are those of the bytes read back, whatever the headers say."""
+    pages_of(spark, PAGES).write.parquet(f"{folder}/pages.parquet")
+    wrong = F.regexp_replace(F.col("header").cast("string"), "sha1:[0-9a-f]+", "sha1:0").cast("binary")
+    write = warc_archive.archive
+    monkeypatch.setattr(warc_archive, "archive", lambda spark, headers, payloads, path: write(spark, headers.withColumn("header", wrong), payloads, path))
+    got = Counter(r["payload_digest"] for r in warc_archive.query(spark, str(folder)).collect())
+    assert got == Counter(hashlib.sha1((p[2] or "").encode()).hexdigest() for p in PAGES)
+
+
 def test_empty_archive(spark, folder):
     pages_of(spark, PAGES).limit(0).write.parquet(f"{folder}/pages.parquet")
     assert warc_archive.query(spark, str(folder)).count() == 0
