@@ -7,10 +7,7 @@ import pytest
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "tools"))
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
-
+sys.path.insert(0, str(ROOT / "tests"))
 
 @pytest.fixture(scope="session")
 def scratch() -> Path:

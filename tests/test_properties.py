@@ -11,7 +11,7 @@ from eventlake.operators import dedupe as D
 from eventlake.operators import serve as SV
 from eventlake.operators import typed as TY
 from eventlake.sources import fixture as X
-from conftest import SF_SMALL
+from scales import SF_SMALL
 
 
 def keyed(df, cols):

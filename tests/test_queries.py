@@ -3,7 +3,7 @@
 import pytest
 
 from eventlake.plans.registry import ORACLES, QUERIES
-from conftest import SF_SMALL
+from scales import SF_SMALL
 
 import oracle_check
 
@@ -23,11 +23,11 @@ def test_query_matches_oracle(spark, name):
 @pytest.mark.parametrize(
     "name,rows",
     [
-        ("typed_events", 1311),
-        ("dedupe_full", 1020),
-        ("dedupe_range", 131),
-        ("cursor_slice", 516),
-        ("upsert_latest", 1000),
+        ("typed_events", 1322),
+        ("dedupe_full", 1031),
+        ("dedupe_range", 132),
+        ("cursor_slice", 520),
+        ("upsert_latest", 1002),
     ],
 )
 def test_known_sizes(spark, name, rows):
@@ -38,5 +38,7 @@ def test_entry_runs(spark):
     import __spark_entry__ as entry
 
     df = entry.entry(spark)
-    assert df.count() == 1020
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert df.count() == 1031
+    # what has no SQL is registered by the training-data operators alone
+    assert not set(QUERIES) & (set(entry.queries()) - set(entry.oracle_sql()))
+    assert set(entry.oracle_sql()) <= set(entry.queries())

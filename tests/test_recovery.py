@@ -17,7 +17,7 @@ from eventlake.operators import typed as TY
 from eventlake.plans import runs as RUNS
 from eventlake.sources import fixture as X
 from eventlake.sources import landing as L
-from conftest import SF_SMALL
+from scales import SF_SMALL
 
 UTC = timezone.utc
 

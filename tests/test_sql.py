@@ -8,7 +8,7 @@ from eventlake.operators import tables as TB
 from eventlake.operators import typed as TY
 from eventlake.plans.registry import SQL_DIR
 from eventlake.sources import fixture as X
-from conftest import SF_SMALL
+from scales import SF_SMALL
 
 
 def test_sql_file_with_parameters_into_table(spark):
