@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from eventlake.llm import kneser_ney, recurrent_lm
 from eventlake.llm.common import table
-from tests.conftest import SF_CHECK, SF_SMALL
+from scales import SF_CHECK, SF_SMALL
 
 
 @pytest.fixture(scope="module")
