@@ -2,6 +2,7 @@
 
 from eventlake.llm import (
     bpe,
+    centroid_clustering,
     chat_format,
     decontamination,
     kneser_ney,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_site_tree": site_tree.query,
     "op9_near_dedup": near_dedup.query,
     "op10_quality_rules": quality_rules.query,
+    "op13_centroid_clustering": centroid_clustering.query,
 }
 
 ORACLES = {
@@ -32,4 +34,5 @@ ORACLES = {
     "op5_chat_format": chat_format.ORACLE,
     "op9_near_dedup": near_dedup.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
+    "op13_centroid_clustering": centroid_clustering.ORACLE,
 }
