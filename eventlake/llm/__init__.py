@@ -11,6 +11,7 @@ from eventlake.llm import (
     recurrent_lm,
     site_tree,
     suffix_dedup,
+    token_alignment,
     warc_archive,
 )
 
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_site_tree": site_tree.query,
     "op9_near_dedup": near_dedup.query,
     "op10_quality_rules": quality_rules.query,
+    "op12_token_alignment": token_alignment.query,
     "op13_centroid_clustering": centroid_clustering.query,
 }
 
