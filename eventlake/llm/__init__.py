@@ -7,6 +7,7 @@ from eventlake.llm import (
     decontamination,
     kneser_ney,
     near_dedup,
+    prefix_join,
     quality_rules,
     recurrent_lm,
     site_tree,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_site_tree": site_tree.query,
     "op9_near_dedup": near_dedup.query,
     "op10_quality_rules": quality_rules.query,
+    "op11_prefix_join": prefix_join.query,
     "op12_token_alignment": token_alignment.query,
     "op13_centroid_clustering": centroid_clustering.query,
 }
@@ -36,5 +38,6 @@ ORACLES = {
     "op5_chat_format": chat_format.ORACLE,
     "op9_near_dedup": near_dedup.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
+    "op11_prefix_join": prefix_join.ORACLE,
     "op13_centroid_clustering": centroid_clustering.ORACLE,
 }
