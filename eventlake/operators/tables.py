@@ -86,6 +86,17 @@ def staged(df: DataFrame, label: str = "stage"):
             fs.delete(p, True)
 
 
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """Write a DataFrame to the shared staging folder and read it. The files stay,
+    as the lazy result that reads them needs them; the cluster's clean-up of that
+    folder removes them. What must be evaluated once (counts that bound a
+    later filter, range partitions whose limits are sampled) goes through here."""
+    spark = df.sparkSession
+    path = f"{SESSION.staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _beside(path: str, label: str) -> str:
     return f"{path.rstrip('/')}__{label}"
 

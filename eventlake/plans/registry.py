@@ -586,3 +586,6 @@ def recent_run(spark, sf_dir):
     batch = TY.fixture_typed(raw.where(L.in_file_range("source_file", start, end)))
     cursor = SV.cursor_start(override=start)
     return RUNS.recent_plan(first, deduped, SV.serving_projection(deduped), batch, start, end, cursor)
+
+
+from eventlake.plans import storage_queries  # noqa: E402, F401  registers its queries here

@@ -2,3 +2,4 @@
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
+SF_LARGE = "/root/testdata/sf0.1"
