@@ -187,28 +187,51 @@ def write_cursor(spark: SparkSession, path: str, ts: datetime) -> None:
 DAYS_SCHEMA = "source_day date, max_us bigint"
 
 
+def forget_days(spark: SparkSession, path: str, days: list[date] | None = None) -> None:
+    """Mark days as unknown (all days without ``days``), before they are replaced:
+    a run that is lost before it has stored their new times leaves them to be
+    read."""
+    old = read_state(spark, path, DAYS_SCHEMA)
+    if old is None:
+        return
+    if days is None:
+        write_state(old.limit(0), path)
+        return
+    # a row a day
+    gone = spark.createDataFrame([(d, None) for d in days], DAYS_SCHEMA)
+    write_state(old.where(~F.col("source_day").isin(days)).unionByName(gone), path)
+
+
 def write_day_stats(spark: SparkSession, deduped: DataFrame, path: str, days: list[date] | None = None) -> None:
     """Keep the newest event time of each day of the deduplicated table; with
-    ``days`` only those are read anew (by partition), the others stay."""
+    ``days`` only those, and days that an earlier run left unknown, are read anew
+    (by partition), the others stay."""
     day = F.col(S.DAY_PARTITION)
+    old = read_state(spark, path, DAYS_SCHEMA) if days is not None else None
+    if old is None or old.isEmpty():
+        days = None
+    else:
+        days = sorted({*days, *(r[0] for r in old.where("max_us IS NULL").select("source_day").collect())})
     rows = deduped if days is None else deduped.where(day.isin(days))
     fresh = rows.where(day.isNotNull()).groupBy(day.alias("source_day")).agg(F.max(F.unix_micros("timestamp")).alias("max_us"))
-    old = read_state(spark, path, DAYS_SCHEMA) if days is not None else None
-    if old is not None:
+    # a day whose rows all lack a time has nothing that any cursor could reach
+    fresh = fresh.withColumn("max_us", F.coalesce("max_us", F.lit(-(1 << 62))))
+    if days is not None:
         fresh = old.where(~F.col("source_day").isin(days)).unionByName(fresh)
     write_state(fresh, path)
 
 
 def days_after(spark: SparkSession, path: str, cursor: Cursor) -> Column | None:
-    """Partition filter for the rows a load may need: days whose newest event is
-    not before the cursor, and rows without a day. None without statistics."""
+    """Partition filter for the rows a load may need: all but the days whose
+    newest event is known to be before the cursor. Days that the statistics do
+    not name, or name without a time, are read. None without statistics."""
     stats = read_state(spark, path, DAYS_SCHEMA)
     if stats is None:
         return None
     start = (cursor.ts - EPOCH) // timedelta(microseconds=1)
-    days = [r[0] for r in stats.where(F.col("max_us") >= start).select("source_day").collect()]  # one a day
+    days = [r[0] for r in stats.where(F.col("max_us") < start).select("source_day").collect()]  # one a day
     day = F.col(S.DAY_PARTITION)
-    return day.isNull() | day.isin(days)
+    return day.isNull() | ~day.isin(days)
 
 
 # --- U3..U5: slice, chunk, advance ---------------------------------------------
@@ -225,18 +248,16 @@ def after_cursor(df: DataFrame, cursor: Cursor, lookback: timedelta | None = Non
 
 
 _BOUNDARY = """
-WITH t AS (SELECT unix_micros(`timestamp`) AS us FROM {rows}),
-days AS (SELECT b, n, sum(n) OVER (ORDER BY b) AS upto
-         FROM (SELECT floor(us / 86400000000) AS b, count(*) AS n FROM t GROUP BY 1)),
+WITH days AS (SELECT b, n, sum(n) OVER (ORDER BY b) AS upto
+              FROM (SELECT floor(us / 86400000000) AS b, sum(n) AS n FROM {counts} GROUP BY 1)),
 day AS (SELECT min_by(b, b) AS b, min_by(upto - n, b) AS before FROM days WHERE upto >= :size),
 minutes AS (SELECT b, n, (SELECT before FROM day) + sum(n) OVER (ORDER BY b) AS upto
-            FROM (SELECT floor(us / 60000000) AS b, count(*) AS n FROM t
+            FROM (SELECT floor(us / 60000000) AS b, sum(n) AS n FROM {counts}
                   WHERE floor(us / 86400000000) = (SELECT b FROM day) GROUP BY 1)),
 minute AS (SELECT min_by(b, b) AS b, min_by(upto - n, b) AS before FROM minutes WHERE upto >= :size),
 moments AS (SELECT us, (SELECT before FROM minute) + sum(n) OVER (ORDER BY us) AS upto
-            FROM (SELECT us, count(*) AS n FROM t WHERE floor(us / 60000000) = (SELECT b FROM minute) GROUP BY 1))
-SELECT * FROM {rows}
-WHERE unix_micros(`timestamp`) <= coalesce((SELECT min(us) FROM moments WHERE upto >= :size), 9223372036854775807L)
+            FROM {counts} WHERE floor(us / 60000000) = (SELECT b FROM minute))
+SELECT min(us) AS us FROM moments WHERE upto >= :size
 """
 
 
@@ -245,12 +266,16 @@ def first_chunk(df: DataFrame, cursor: Cursor, size: int) -> DataFrame:
     extended to the end of the last timestamp so that no row sharing the
     boundary timestamp is skipped by the next chunk.
 
-    One lazy plan: rows are counted by day, inside the boundary day by minute,
-    inside the boundary minute by moment. Each count is reduced per task, and
-    a running sum sees one row a day, 1,440 minutes, or the moments of one
-    minute; no task sorts the rows.
+    Rows are counted by moment once, and the counts (two numbers a moment) are
+    staged. The boundary is found on them by day, inside the boundary day by
+    minute, inside the boundary minute by moment: a running sum sees one row a
+    day, 1,440 minutes, or the moments of one minute. The rows are then read
+    with the boundary as a literal, which scans can push down.
     """
-    return df.sparkSession.sql(_BOUNDARY, args={"size": size}, rows=after_cursor(df, cursor))
+    rows = after_cursor(df, cursor)
+    counts = TB.kept(rows.groupBy(F.unix_micros("timestamp").alias("us")).agg(F.count(F.lit(1)).alias("n")), "moments")
+    end = df.sparkSession.sql(_BOUNDARY, args={"size": size}, counts=counts).first()["us"]
+    return rows if end is None else rows.where(F.col("timestamp") <= F.timestamp_micros(F.lit(end)))
 
 
 def advance(loaded: DataFrame) -> DataFrame:

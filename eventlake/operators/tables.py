@@ -14,6 +14,7 @@ the default partition, outside every range, and are never touched.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 from datetime import date, timedelta
 
@@ -193,7 +194,9 @@ def write_replace_range(
     return {"rows": metrics["rows"], "days_written": sorted(written), "days_emptied": dropped}
 
 
-def write_replace_keys(winners: DataFrame, touched: Touched, path: str, rebalance: bool = True) -> dict:
+def write_replace_keys(
+    winners: DataFrame, touched: Touched, path: str, rebalance: bool = True, changing: Callable[[list[date]], None] = lambda days: None,
+) -> dict:
     """D2 ``scope="keys"`` on storage: every row of the given event keys,
     whichever day it sits in, is replaced by the keys' new winners.
 
@@ -201,7 +204,7 @@ def write_replace_keys(winners: DataFrame, touched: Touched, path: str, rebalanc
     keys' old rows (found by a semi join on the time-narrowed table) and of
     the winners (observed while staging them); only those day partitions
     are read and written again (dynamic overwrite), and days left without
-    rows are dropped.
+    rows are dropped. ``changing`` is told the days before any is written.
     """
     spark = winners.sparkSession
     redo(spark, path, lambda rows: _overwrite_days(rows, path, rebalance))
@@ -226,6 +229,7 @@ def write_replace_keys(winners: DataFrame, touched: Touched, path: str, rebalanc
         chosen = day.isin(days) | (day.isNull() & F.lit(null_day))
         kept = old.where(chosen).join(touched.keys, on=key_match(), how="left_anti")
         rebuilt = in_table_order(kept).unionByName(fresh)
+        changing(days)
         write_pending(rebuilt, path)
     left = set()
 

@@ -50,7 +50,7 @@ class Layout:
 def load(spark: SparkSession, layout: Layout, cursor: SV.Cursor, lookback: timedelta | None = None) -> dict:
     """U1..U5: deduplicated rows after the cursor -> serving table; then the cursor.
 
-    Only days whose newest event is not before the cursor are read (partition
+    Days whose newest event is known to be before the cursor are not read (partition
     filter from the day statistics kept beside the cursor); ``lookback``
     reaches back for late rows. Rejected rows go to ``layout.rejects`` when
     given, in a partition named by the load's start (a re-run of the same
@@ -126,16 +126,19 @@ def recent(
     typed_now = TB.read_table(spark, layout.typed)
     if scope == "range":
         batch = D.dedupe_range(typed_now, start, end)
+        SV.forget_days(spark, day_stats(layout), R.days_between(start, end))
         status["deduped"] = TB.write_replace_range(batch, layout.deduped, start, end)
     else:
         fs, root = TB._fs(spark, layout.deduped)
         before = TB.read_table(spark, layout.deduped) if fs.exists(root) else None
         touched = D.touched_keys(typed_now, start, end, also=before)
         if touched is not None:
-            status["deduped"] = TB.write_replace_keys(D.winners_of(typed_now, touched), touched, layout.deduped)
+            status["deduped"] = TB.write_replace_keys(
+                D.winners_of(typed_now, touched), touched, layout.deduped,
+                changing=lambda days: SV.forget_days(spark, day_stats(layout), days),
+            )
     changed = status.get("deduped", {}).get("days_rewritten") or R.days_between(start, end)
-    first_stats = SV.read_state(spark, day_stats(layout), SV.DAYS_SCHEMA) is None
-    SV.write_day_stats(spark, TB.read_table(spark, layout.deduped), day_stats(layout), None if first_stats else changed)
+    SV.write_day_stats(spark, TB.read_table(spark, layout.deduped), day_stats(layout), changed)
     given_start = R.parse_day(start_date)
     cursor = SV.cursor_start(override=given_start, stored=SV.read_cursor(spark, layout.cursor))
     status["load"] = load(spark, layout, cursor)
@@ -220,6 +223,7 @@ def historic(
         status["land"] = land(spark, export, layout.landing, skip_if_exists=True)
     typed = typed_entries(spark, L.day_entries(spark, layout.landing, layout.suffix), layout.suffix, loaded_at)
     TB.write_append(typed, layout.typed)
+    SV.forget_days(spark, day_stats(layout))
     TB.write_refresh(D.dedupe_full(TB.read_table(spark, layout.typed)), layout.deduped)
     SV.write_day_stats(spark, TB.read_table(spark, layout.deduped), day_stats(layout))
     cursor = SV.cursor_start(param=start_ts, stored=SV.read_cursor(spark, layout.cursor))

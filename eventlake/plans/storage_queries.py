@@ -68,3 +68,33 @@ def replace_range_versioned(spark, sf_dir):
     spark.sql(f"DROP VIEW {name}")
     spark.sql(f"DROP TABLE {name}_files")  # the catalog's entries
     return shown
+
+
+# --- U5: all chunks of a load ----------------------------------------------------
+
+_CHUNK = 300
+_AFTER = "\"timestamp\" > TIMESTAMP '2024-01-15 00:00:00'"
+
+
+@register(
+    "chunks_in_one_pass",
+    O.prelude(extra={"sl": f"SELECT * FROM dedup WHERE {_AFTER}"}).replace("WITH base", "WITH RECURSIVE base", 1)
+    + f""", m AS (SELECT "timestamp" AS t, sum(count(*)) OVER (ORDER BY "timestamp") AS upto FROM sl GROUP BY 1),
+tot AS (SELECT max(upto) AS total FROM m),
+ends AS (
+  SELECT CAST(-1 AS BIGINT) AS chunk, CAST(0 AS HUGEINT) AS upto
+  UNION ALL
+  SELECT e.chunk + 1, CAST(min(m.upto) AS HUGEINT) FROM ends e, m, tot
+  WHERE e.upto < total AND m.upto >= least(e.upto + {_CHUNK}, total) GROUP BY e.chunk),
+spans AS (SELECT e.chunk, lag(e.upto) OVER (ORDER BY e.chunk) AS lo, e.upto AS hi, m.t AS new_cursor FROM ends e LEFT JOIN m ON m.upto = e.upto)
+SELECT sl.*, spans.chunk, spans.new_cursor, CAST(hi - lo AS BIGINT) AS chunk_rows
+FROM sl JOIN m ON m.t = sl."timestamp" JOIN spans ON m.upto > spans.lo AND m.upto <= spans.hi""",
+)
+def chunks_in_one_pass(spark, sf_dir):
+    """Every deduplicated row after the cursor with the number of the chunk a
+    load would fetch it in, that chunk's rows and the cursor it leaves."""
+    from eventlake.operators import chunks as CH
+    from eventlake.operators import serve as SV
+
+    rows, ends = CH.in_chunks(D.dedupe_full(_typed(spark, sf_dir)), SV.cursor_start(param=X.CURSOR), _CHUNK)
+    return rows.join(ends.withColumnRenamed("rows", "chunk_rows"), "chunk")

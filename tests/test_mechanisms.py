@@ -1,6 +1,7 @@
 """Order along a curve, visible versions, filters by day, changes, chunks."""
 
-from datetime import date
+import random
+from datetime import date, timezone
 
 import pyarrow.parquet as pq
 import pytest
@@ -140,3 +141,113 @@ def test_a_reader_sees_the_old_or_the_new_range(spark, folder):
     assert "PartitionFilters: [" in plan and "version" in plan
     scan = spark.table("seen.days").where("source_day = DATE'2024-01-11'")
     assert {p.split("version=")[1].split("/")[0] for p in scan.inputFiles()} == {"4"}
+
+
+# --- chunks ---------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("size,blocks,together,top", [(7, 256, 64, 100_000), (7, 2, 2, 3), (1, 3, 2, 1), (40, 1, 3, 5), (1000, 1, 2, 1)])
+def test_chunks_equal_the_loop(spark, monkeypatch, size, blocks, together, top):
+    from eventlake.operators import chunks as CH
+    from eventlake.operators import serve as SV
+
+    monkeypatch.setattr(CH, "BLOCK_CHUNKS", blocks)
+    monkeypatch.setattr(CH, "TOGETHER", together)
+    monkeypatch.setattr(CH, "TOP_ROWS", top)
+    rng = random.Random(size)
+    seconds = [rng.choice([rng.randrange(200), 50, 51]) for _ in range(400)] + [77] * 60
+    df = spark.createDataFrame([(s, i) for i, s in enumerate(seconds)], "s int, i int").selectExpr("CASE WHEN i = 3 THEN NULL ELSE timestamp_seconds(1700000000 + s) END AS timestamp", "i")
+    cursor = SV.cursor_start(param="2023-11-14T22:13:25Z")
+    rows, ends = CH.in_chunks(df, cursor, size)
+    got = {r["i"]: r["chunk"] for r in rows.collect()}
+    told = {r["chunk"]: (r["rows"], r["new_cursor"]) for r in ends.collect()}
+    after = sorted((1700000000 + s, i) for i, s in enumerate(seconds) if i != 3 and 1700000000 + s > cursor.ts.timestamp())
+    chunk, at = 0, 0
+    while at < len(after):  # the loop: a chunk after another
+        end = min(at + size, len(after))
+        while end < len(after) and after[end][0] == after[end - 1][0]:
+            end += 1
+        assert {got[i] for _, i in after[at:end]} == {chunk}
+        assert told[chunk][0] == end - at and told[chunk][1].replace(tzinfo=timezone.utc).timestamp() == after[end - 1][0]
+        at, chunk = end, chunk + 1
+    assert len(got) == len(after) and len(told) == chunk
+    none, no_ends = CH.in_chunks(df, SV.cursor_start(param="2099-01-01T00:00:00Z"), size)
+    assert none.count() == no_ends.count() == 0
+
+
+# --- day statistics ---------------------------------------------------------------
+
+
+@pytest.mark.parametrize("lost_at", ["forget_days", "write_replace_range", "write_day_stats", "load", None])
+def test_no_row_is_lost_with_a_run(spark, folder, monkeypatch, lost_at):
+    """A recent run is lost at each of its steps, and the next covers other days."""
+    from eventlake.operators import serve as SV
+    from eventlake.plans import runs as RUNS
+    from eventlake.sources import landing as L
+
+    lay = RUNS.Layout(**{k: str(folder / k) for k in ("landing", "typed", "deduped", "serving", "cursor")})
+    bulk = X.bulk_raw(spark, SF_SMALL)
+    early = bulk.where(F.expr("timestamp < unix_micros(timestamp'2024-01-03') * 1000"))
+    L.write_day_files(L.split_plan(early), lay.landing)
+    RUNS.recent(spark, lay, "2024-01-01", "2024-01-02")
+    whole = bulk.where(F.expr("timestamp < unix_micros(timestamp'2024-01-05') * 1000"))
+    # the second day comes again, with its rows moved to the end of that day; then two new days
+    late = whole.withColumn("timestamp", F.expr("CASE WHEN timestamp < unix_micros(timestamp'2024-01-02') * 1000 THEN timestamp ELSE timestamp END"))
+    L.write_day_files(L.split_plan(late.where(F.expr("timestamp >= unix_micros(timestamp'2024-01-03') * 1000"))), lay.landing)
+    SV.write_day_stats(spark, TB.read_table(spark, lay.deduped), RUNS.day_stats(lay))
+    # the statistics name the third day with an old time, as after an earlier delivery of it
+    stats = SV.read_state(spark, RUNS.day_stats(lay), SV.DAYS_SCHEMA)
+    SV.write_state(stats.unionByName(spark.createDataFrame([(date(2024, 1, 3), 1)], SV.DAYS_SCHEMA)), RUNS.day_stats(lay))
+    if lost_at:
+        holder = {"forget_days": SV, "write_replace_range": TB, "write_day_stats": SV, "load": RUNS}[lost_at]
+        real, calls = getattr(holder, lost_at), []
+
+        def dies(*a, **k):
+            calls.append(1)
+            if lost_at == "write_replace_range":
+                real(*a, **k)
+                if len(calls) < 2:
+                    return {}
+            raise Lost(lost_at)
+
+        with monkeypatch.context() as m:
+            m.setattr(holder, lost_at, dies)
+            with pytest.raises(Lost):
+                RUNS.recent(spark, lay, "2024-01-03", "2024-01-03")
+    else:
+        RUNS.recent(spark, lay, "2024-01-03", "2024-01-03")
+    if lost_at == "forget_days":  # nothing was replaced yet: the day is as missing as before the run
+        RUNS.recent(spark, lay, "2024-01-03", "2024-01-03")
+    RUNS.recent(spark, lay, "2024-01-04", "2024-01-04")  # without its start as cursor it would be a backfill
+    cursor = SV.read_cursor(spark, lay.cursor)
+    assert cursor is not None
+    served = {(r[0], r[1]) for r in spark.read.parquet(lay.serving).select("request_id", "timestamp").collect()}
+    missing = TB.read_table(spark, lay.deduped).where("source_day <> DATE'2024-01-03'").count()
+    assert missing <= len(served)
+    RUNS.load(spark, lay, SV.cursor_start(override="2024-01-01"))
+    everything = spark.read.parquet(lay.serving).count()
+    assert everything == TB.read_table(spark, lay.deduped).count()
+
+
+def test_a_lost_run_leaves_its_days_to_be_read(spark, folder):
+    from eventlake.operators import serve as SV
+
+    typed = TY.fixture_typed(X.ota_raw(spark, SF_SMALL, (X.DELIVERY_A,)))
+    table, stats = str(folder / "deduped"), str(folder / "stats")
+    TB.write_refresh(D.dedupe_full(typed), table)
+    SV.write_day_stats(spark, TB.read_table(spark, table), stats)
+    cursor = SV.cursor_start(param="2024-01-20T00:00:00Z")
+    read = lambda: {r[0] for r in TB.read_table(spark, table).where(SV.days_after(spark, stats, cursor)).select("source_day").distinct().collect()}
+    after = {date(2024, 1, d) for d in range(20, 31)}
+    assert read() == after
+    SV.forget_days(spark, stats, [date(2024, 1, 5)])
+    assert read() == after | {date(2024, 1, 5)}
+    # a day that the statistics have never heard of
+    TB.write_append(typed.limit(3).withColumn("source_day", F.lit("2023-12-01").cast("date")), table)
+    assert read() == after | {date(2024, 1, 5), date(2023, 12, 1)}
+    SV.write_day_stats(spark, TB.read_table(spark, table), stats, [date(2023, 12, 1)])  # and the unknown one with it
+    assert read() == after
+    SV.forget_days(spark, stats)
+    assert len(read()) == 31
+    SV.write_day_stats(spark, TB.read_table(spark, table), stats, [date(2024, 1, 5)])
+    assert read() == after
