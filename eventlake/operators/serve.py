@@ -304,6 +304,27 @@ def upsert(old: DataFrame, new: DataFrame, key: list[str] = S.SERVING_KEY) -> Da
     return both.withColumn(RANK, F.row_number().over(w)).where(F.col(RANK) == 1).drop(RANK, PRIORITY)
 
 
+STATUS = "status"
+INSERTED, CHANGED, UNCHANGED = "inserted", "changed", "unchanged"
+
+
+def changes(old: DataFrame, new: DataFrame, key: list[str] = S.SERVING_KEY) -> DataFrame:
+    """U1 as the server counts it: the row of every key in ``new`` (of several the
+    newest, as in ``upsert``) and what an upsert does to the key: inserted,
+    changed, or unchanged when all its columns are as they were.
+
+    The old side of the join is a key and a hash of the row; old rows travel no
+    further. Keys only in ``old`` are not touched and not returned."""
+    fresh = upsert(new.limit(0), new, key)
+    rest = [c for c in fresh.columns if c not in key]
+    # a NULL is hashed as a place of its own, so that it differs from the value next to it
+    mark = lambda: F.xxhash64(*[F.struct(F.col(c).isNull(), F.col(c)) for c in rest])
+    was = old.select(*[F.col(c).alias(f"_old_{c}") for c in key], mark().alias("_was"), F.lit(True).alias("_there"))
+    same = [F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in key]
+    status = F.when(F.col("_there").isNull(), INSERTED).when(F.col("_was") == mark(), UNCHANGED).otherwise(CHANGED)
+    return fresh.join(was, on=same, how="left").select(*fresh.columns, status.alias(STATUS))
+
+
 def _swap_in(rows: DataFrame, path: str, partition: str) -> None:
     (
         rows.hint("rebalance", partition)
@@ -316,12 +337,15 @@ def _swap_in(rows: DataFrame, path: str, partition: str) -> None:
 
 
 def write_upsert(updates: DataFrame, path: str, partition: str = "event_date") -> dict:
-    """U1 on storage: upsert serving rows into the table at ``path``.
+    """U1 on storage: upsert serving rows into the table at ``path``. Returns rows
+    given, their max timestamp, keys inserted, changed and unchanged, and the
+    dates rewritten.
 
-    The updates are staged once (they are used twice). Their row count, max
-    timestamp and distinct dates (one value per calendar day) are observed
-    during that write. The dates select the partitions to rewrite, so only
-    old rows of touched dates are read, by partition pruning.
+    The updates are staged once; their row count, max timestamp and distinct
+    dates (one value per calendar day) are observed during that write. Old rows
+    of these dates, by partition pruning, tell what an update does (``changes``);
+    what does something is staged, and only the dates of such rows are written
+    again. Updates that change nothing write nothing.
 
     The merge is first written in full beside the table (``tables.redo``) and
     then swapped in by dynamic partition overwrite. Spark's commit removes
@@ -341,17 +365,29 @@ def write_upsert(updates: DataFrame, path: str, partition: str = "event_date") -
     )
     fs, root = TB._fs(spark, path)
     if not fs.exists(root):
-        _swap_in(upsert(observed.limit(0), observed), path, partition)
+        wrote = Observation("first")
+        _swap_in(upsert(observed.limit(0), observed).observe(wrote, F.count(F.lit(1)).alias("rows")), path, partition)
         metrics = seen.get
-        return {"rows": metrics["rows"], "max_timestamp": metrics["max_timestamp"], "dates": sorted(metrics["dates"])}
+        return {
+            "rows": metrics["rows"], "max_timestamp": metrics["max_timestamp"], "dates": sorted(metrics["dates"]),
+            INSERTED: wrote.get["rows"], CHANGED: 0, UNCHANGED: 0,
+        }
+    counts, dates = {INSERTED: 0, CHANGED: 0, UNCHANGED: 0}, []
     with TB.staged(observed, "upsert-new") as fresh:
         metrics = seen.get
-        dates = sorted(metrics["dates"])
         if metrics["rows"]:
-            old = spark.read.parquet(path).where(F.col(partition).isin(dates))
-            TB.write_pending(upsert(old.select(*fresh.columns), fresh), path)
-            TB.redo(spark, path, lambda rows: _swap_in(rows, path, partition))
-    return {"rows": metrics["rows"], "max_timestamp": metrics["max_timestamp"], "dates": dates}
+            old = spark.read.parquet(path).select(*fresh.columns)
+            told = changes(old.where(F.col(partition).isin(sorted(metrics["dates"]))), fresh)
+            done = Observation("changes")
+            is_ = lambda name: F.coalesce(F.sum((F.col(STATUS) == name).cast("long")), F.lit(0)).alias(name)
+            counted = told.observe(done, *[is_(c) for c in counts])
+            with TB.staged(counted.where(F.col(STATUS) != UNCHANGED), "upsert-changes") as doing:
+                counts = {c: done.get[c] for c in counts}
+                dates = sorted(r[0] for r in doing.select(partition).distinct().collect())  # one a day
+                if dates:
+                    TB.write_pending(upsert(old.where(F.col(partition).isin(dates)), doing.drop(STATUS)), path)
+                    TB.redo(spark, path, lambda rows: _swap_in(rows, path, partition))
+    return {"rows": metrics["rows"], "max_timestamp": metrics["max_timestamp"], "dates": dates, **counts}
 
 
 # --- S17 / U1 against a relational serving table over JDBC ------------------------
@@ -377,7 +413,8 @@ def mysql_table_ddl(table: str) -> str:
     lines.append(f"  PRIMARY KEY ({keys})")
     lines.append("  KEY by_event_time (`timestamp`)")
     lines.append("  KEY by_file_day (`source_day`)")
-    return f"CREATE TABLE IF NOT EXISTS `{table}` (\n" + ",\n".join(lines) + "\n)"
+    # four-byte characters (emoji, some scripts) need this character set
+    return f"CREATE TABLE IF NOT EXISTS `{table}` (\n" + ",\n".join(lines) + "\n) ENGINE=InnoDB DEFAULT CHARACTER SET utf8mb4"
 
 
 def mysql_merge_sql(table: str, staging: str) -> str:

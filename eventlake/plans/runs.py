@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from eventlake import schema as S
 from eventlake import session as SESSION
 from eventlake.functions import ranges as R
+from eventlake.operators import day_filters as DF
 from eventlake.operators import dedupe as D
 from eventlake.operators import serve as SV
 from eventlake.operators import tables as TB
@@ -122,6 +123,7 @@ def recent(
         return status
     status["files"] = files
     typed = typed_entries(spark, [path for _, path in entries], layout.suffix, loaded_at)
+    DF.forget(spark, layout.typed, R.days_between(start, end))
     status["typed"] = TB.write_replace_range(typed, layout.typed, start, end, rebalance=False)
     typed_now = TB.read_table(spark, layout.typed)
     if scope == "range":
@@ -133,8 +135,12 @@ def recent(
         before = TB.read_table(spark, layout.deduped) if fs.exists(root) else None
         touched = D.touched_keys(typed_now, start, end, also=before)
         if touched is not None:
+            DF.build(spark, layout.typed, R.days_between(start, end))
+            # only days that may hold a copy of a touched event are read
+            requests = touched.keys.select(F.col(f"{D.KEY_PREFIX}{DF.KEY}").alias(DF.KEY))
+            near = typed_now.where(DF.may_hold(spark, layout.typed, requests))
             status["deduped"] = TB.write_replace_keys(
-                D.winners_of(typed_now, touched), touched, layout.deduped,
+                D.winners_of(near, touched), touched, layout.deduped,
                 changing=lambda days: SV.forget_days(spark, day_stats(layout), days),
             )
     changed = status.get("deduped", {}).get("days_rewritten") or R.days_between(start, end)
@@ -222,6 +228,7 @@ def historic(
     if export:
         status["land"] = land(spark, export, layout.landing, skip_if_exists=True)
     typed = typed_entries(spark, L.day_entries(spark, layout.landing, layout.suffix), layout.suffix, loaded_at)
+    DF.forget(spark, layout.typed)
     TB.write_append(typed, layout.typed)
     SV.forget_days(spark, day_stats(layout))
     TB.write_refresh(D.dedupe_full(TB.read_table(spark, layout.typed)), layout.deduped)

@@ -98,3 +98,135 @@ def chunks_in_one_pass(spark, sf_dir):
 
     rows, ends = CH.in_chunks(D.dedupe_full(_typed(spark, sf_dir)), SV.cursor_start(param=X.CURSOR), _CHUNK)
     return rows.join(ends.withColumnRenamed("rows", "chunk_rows"), "chunk")
+
+
+# --- U1: what an upsert does to each key -----------------------------------------
+
+
+def _serving_of(*deliveries: str) -> dict[str, str]:
+    return {"ta": _typed_of(*deliveries), "da": O.dedupe_sql("ta"), "old0": O.serving_select(f"(SELECT * FROM da WHERE {O.reject_reason_sql()} IS NULL)")}
+
+
+_SKEY = ", ".join(f'"{c}"' for c in S.SERVING_KEY)
+_SORDER = ", ".join(f'"{c}" DESC NULLS LAST' for c in S.SERVING_ORDER)
+_ONE = "SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {o}) AS _rn FROM {t}) WHERE _rn = 1"
+_DIFFERS = " OR ".join(f'o."{c}" IS DISTINCT FROM n."{c}"' for c in S.TYPED_COLUMNS if c not in S.SERVING_KEY)
+
+
+@register(
+    "upsert_changes",
+    O.prelude(
+        extra={
+            **_serving_of("a", "e"),
+            "old1": _ONE.format(k=_SKEY, o=_SORDER, t="old0"),
+            "new0": O.serving_select(f"(SELECT * FROM dedup WHERE {O.reject_reason_sql()} IS NULL)"),
+            "new1": _ONE.format(k=_SKEY, o=_SORDER, t="new0"),
+        }
+    )
+    + f"SELECT n.*, CASE WHEN o.request_id IS NULL THEN 'inserted' WHEN {_DIFFERS} THEN 'changed' ELSE 'unchanged' END AS status "
+    'FROM new1 n LEFT JOIN old1 o ON o.request_id = n.request_id AND o."timestamp" = n."timestamp"',
+)
+def upsert_changes(spark, sf_dir):
+    """Every key that the whole dedupe upserts into the serving table of the first
+    delivery, with what that does to it: inserted, changed or unchanged."""
+    from eventlake.operators import serve as SV
+
+    raw = _raw_all(spark, sf_dir)
+    first = SV.serving_projection(D.dedupe_full(TY.fixture_typed(_subset(raw, X.DELIVERY_A, X.DELIVERY_E))))
+    new = SV.serving_projection(D.dedupe_full(TY.fixture_typed(raw)))
+    return SV.changes(SV.upsert(first.limit(0), first), new)
+
+
+# --- D2 by day filters -----------------------------------------------------------
+
+_KEYS_JOIN = " AND ".join(f't."{c}" IS NOT DISTINCT FROM k."{c}"' for c in S.DEDUPE_KEY)
+
+
+@register(
+    "dedupe_keys_by_filters",
+    O.prelude(
+        extra={
+            "rng": f"SELECT * FROM typed WHERE {_RNG}",
+            "touched": "SELECT t.* FROM typed t WHERE EXISTS (SELECT 1 FROM rng k WHERE " + _KEYS_JOIN + ")",
+        }
+    )
+    + "SELECT * FROM (" + O.dedupe_sql("touched") + ")",
+)
+def dedupe_keys_by_filters(spark, sf_dir):
+    """D2 scope="keys" on a stored table: only days whose filter may hold a touched
+    request are read."""
+    from eventlake.operators import day_filters as DF
+    from eventlake.operators import tables as TB
+
+    path = _place(spark, "typed")
+    TB.write_append(_typed(spark, sf_dir), path)
+    DF.build(spark, path)
+    table = TB.read_table(spark, path)
+    touched = table.where(D.in_day_range(S.DAY_PARTITION, X.RANGE_START, X.RANGE_END))
+    found = D.touched_keys(table, X.RANGE_START, X.RANGE_END)
+    if found is None:
+        return table.limit(0)
+    return D.winners_of(table.where(DF.may_hold(spark, path, touched)), found)
+
+
+# --- D1 as a stream -----------------------------------------------------------------
+
+
+@register("dedupe_stream", O.prelude() + "SELECT * FROM dedup")
+def dedupe_stream(spark, sf_dir):
+    """D1 kept up to date by a stateful stream over three deliveries: the late one
+    first, the first load second, the rest last."""
+    from eventlake.operators import tables as TB
+    from eventlake.streaming import latest as LT
+
+    raw, typed, live, state = _raw_all(spark, sf_dir), _place(spark, "typed"), _place(spark, "live"), _place(spark, "state")
+    for some in ((X.DELIVERY_B,), (X.DELIVERY_A,), (X.DELIVERY_C, X.DELIVERY_D, X.DELIVERY_E)):
+        TB.write_append(TY.fixture_typed(_subset(raw, *some)), typed)
+        LT.keep_latest(spark, typed, live, state)
+    return LT.read_live(spark, live)
+
+
+# --- D1 and U1 on bucketed tables -------------------------------------------------
+
+_BUCKETS = 8
+
+
+@register("dedupe_bucketed", O.prelude() + "SELECT * FROM dedup")
+def dedupe_bucketed(spark, sf_dir):
+    """D1 over a table bucketed by request: no exchange."""
+    from eventlake.operators import bucketed as B
+    from eventlake.operators import tables as TB
+
+    name = f"typed_{uuid.uuid4().hex}"
+    B.write_bucketed(_typed(spark, sf_dir), name, _place(spark, "bucketed"), _BUCKETS)
+    out = TB.kept(B.newest_in_buckets(spark, name), "newest")
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+@register(
+    "upsert_bucketed",
+    O.prelude(
+        extra={
+            **_serving_of("a", "e"),
+            "old1": _ONE.format(k=_SKEY, o=_SORDER, t="old0"),
+            "new0": O.serving_select(f"(SELECT * FROM dedup WHERE {O.reject_reason_sql()} IS NULL)"),
+            "new1": _ONE.format(k=_SKEY, o=_SORDER, t="new0"),
+        }
+    )
+    + f"SELECT * FROM new1 UNION ALL SELECT * FROM old1 WHERE ({_SKEY}) NOT IN (SELECT ({_SKEY}) FROM new1)",
+)
+def upsert_bucketed(spark, sf_dir):
+    """U1 over two tables bucketed by request: a merge without an exchange."""
+    from eventlake.operators import bucketed as B
+    from eventlake.operators import serve as SV
+    from eventlake.operators import tables as TB
+
+    raw = _raw_all(spark, sf_dir)
+    old, new = f"old_{uuid.uuid4().hex}", f"new_{uuid.uuid4().hex}"
+    for name, rows in ((old, _subset(raw, X.DELIVERY_A, X.DELIVERY_E)), (new, raw)):
+        B.write_bucketed(SV.serving_projection(D.dedupe_full(TY.fixture_typed(rows))), name, _place(spark, "bucketed"), _BUCKETS, S.SERVING_KEY)
+    out = TB.kept(B.upsert_in_buckets(spark, old, new), "upserted")
+    for name in (old, new):
+        spark.sql(f"DROP TABLE {name}")
+    return out

@@ -1,6 +1,7 @@
 """Order along a curve, visible versions, filters by day, changes, chunks."""
 
 import random
+import re
 from datetime import date, timezone
 
 import pyarrow.parquet as pq
@@ -251,3 +252,134 @@ def test_a_lost_run_leaves_its_days_to_be_read(spark, folder):
     assert len(read()) == 31
     SV.write_day_stats(spark, TB.read_table(spark, table), stats, [date(2024, 1, 5)])
     assert read() == after
+
+
+# --- changes ----------------------------------------------------------------------
+
+
+def test_only_dates_with_changes_are_written(spark, folder):
+    from eventlake.operators import serve as SV
+
+    served = str(folder / "serving")
+    first = SV.serving_projection(D.dedupe_full(TY.fixture_typed(X.ota_raw(spark, SF_SMALL, (X.DELIVERY_A,)))))
+    one = SV.write_upsert(first, served)
+    assert (one["inserted"], one["changed"], one["unchanged"]) == (1000, 0, 0)
+    files = lambda: {p: p.stat().st_mtime_ns for p in (folder / "serving").rglob("*.parquet")}
+    before = files()
+    again = SV.write_upsert(first, served)
+    assert (again["inserted"], again["changed"], again["unchanged"], again["dates"]) == (0, 0, 1000, [])
+    assert files() == before  # nothing was written
+    rows = first.where("event_date IN (DATE'2024-01-03', DATE'2024-01-04')")
+    other = rows.withColumn("page_name", F.expr("CASE WHEN event_date = DATE'2024-01-03' THEN NULL ELSE page_name END"))
+    new = rows.limit(1).withColumn("request_id", F.lit("new")).withColumn("event_date", F.lit(date(2025, 1, 1)))
+    third = SV.write_upsert(spark.createDataFrame(other.unionByName(new).collect(), first.schema), served)
+    n = rows.where("event_date = DATE'2024-01-03'").count()
+    assert (third["inserted"], third["changed"]) == (1, n) and third["unchanged"] == rows.count() - n
+    assert third["dates"] == [date(2024, 1, 3), date(2025, 1, 1)]
+    after = files()
+    kept = [p for p in before if "event_date=2024-01-03" not in str(p)]
+    assert all(after[p] == before[p] for p in kept)
+    back = spark.read.parquet(served)
+    assert back.count() == 1001 and back.where("page_name IS NULL").count() == n
+
+
+# --- filters by day ----------------------------------------------------------------
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_a_filter_never_hides_a_day(spark, folder, seed):
+    from eventlake.operators import day_filters as DF
+
+    rng = random.Random(seed)
+    days = [None] + [date(2024, 3, d) for d in range(1, 9)]
+    rows = [(rng.choice([None, f"r{rng.randrange(300)}", "é" * rng.randrange(4)]), rng.choice(days)) for _ in range(900)]
+    cols = [F.col("request_id"), F.col("source_day")] + [F.lit(None).cast(f.dataType).alias(f.name) for f in S.TYPED_SCHEMA.fields if f.name not in ("request_id", "source_day")]
+    df = spark.createDataFrame(rows, "request_id string, source_day date").select(*cols)
+    path = str(folder / "typed")
+    TB.write_append(df, path)
+    DF.build(spark, path)
+    wanted = [None, ""] + [f"r{rng.randrange(600)}" for _ in range(5)]
+    for some in (wanted, wanted[:1], wanted[-2:], []):
+        keys = spark.createDataFrame([(k,) for k in some], "request_id string")
+        hold = {d for k, d in rows if k in some and d is not None}
+        table = TB.read_table(spark, path)
+        seen = {r[0] for r in table.where(DF.may_hold(spark, path, keys)).select("source_day").distinct().collect()} - {None}
+        assert hold <= seen and len(seen) <= len(hold) + 1  # a false yes is rare
+    DF.forget(spark, path, [date(2024, 3, 4)])
+    none = spark.createDataFrame([], "request_id string")
+    read = lambda: {r[0] for r in TB.read_table(spark, path).where(DF.may_hold(spark, path, none)).select("source_day").distinct().collect()}
+    assert read() == {None, date(2024, 3, 4)}
+    DF.build(spark, path, [])  # builds what has none
+    assert read() == {None}
+    DF.forget(spark, path)
+    assert len(read()) == 9
+
+
+def test_keys_scope_opens_only_days_that_may_hold_a_key(spark, folder):
+    from eventlake.operators import day_filters as DF
+
+    path = str(folder / "typed")
+    TB.write_append(TY.fixture_typed(X.ota_raw(spark, SF_SMALL)), path)
+    DF.build(spark, path)
+    table = TB.read_table(spark, path)
+    some = table.where("source_day = DATE'2024-01-10'").limit(3)
+    narrowed = table.where(DF.may_hold(spark, path, some.select("request_id")))
+    filters = re.search(r"PartitionFilters: \[[^\]]*", plan_of(narrowed)).group()
+    assert "source_day" in filters
+    opened = {r[0] for r in narrowed.select("source_day").distinct().collect()}
+    holds = {r[0] for r in table.join(some.select("request_id").distinct(), "request_id").select("source_day").distinct().collect()}
+    assert holds <= opened and len(opened) < 8
+
+
+# --- the newest copy as a stream ----------------------------------------------------
+
+
+def test_state_equals_the_full_rebuild_after_any_deliveries(spark, folder):
+    from eventlake.streaming import latest as LT
+
+    order = list(X.ALL_DELIVERIES)
+    random.Random(7).shuffle(order)
+    typed, live, state = (str(folder / n) for n in ("typed", "live", "state"))
+    for i, some in enumerate([order[:1], order[1:3], order[3:]]):
+        rows = TY.fixture_typed(X.ota_raw(spark, SF_SMALL, tuple(some)))
+        TB.write_append(rows, typed)
+        assert LT.keep_latest(spark, typed, live, state) == rows.count()
+        assert rows_of(LT.read_live(spark, live)) == rows_of(D.dedupe_full(TB.read_table(spark, typed)))
+    assert LT.keep_latest(spark, typed, live, state) == 0
+    # an older copy that comes late changes nothing
+    before = rows_of(LT.read_live(spark, live))
+    old = TB.read_table(spark, typed).limit(20).withColumn("ingested_at", F.lit("2001-01-01").cast("timestamp"))
+    TB.write_append(spark.createDataFrame(old.collect(), old.schema), typed)
+    assert LT.keep_latest(spark, typed, live, state) == 20
+    assert rows_of(LT.read_live(spark, live)) == before
+    # a replacement lost between its two steps is finished by the next
+    TB.write_pending(LT.read_live(spark, live), live)
+    fs, gone = TB._fs(spark, f"{live}/event_date=2024-01-02")
+    assert fs.delete(gone, True)
+    LT.put_winners(LT.read_live(spark, live).limit(0), live)
+    assert rows_of(LT.read_live(spark, live)) == before
+
+
+# --- buckets -------------------------------------------------------------------------
+
+
+def test_bucketed_plans_have_no_exchange(spark, folder):
+    from eventlake.operators import bucketed as B
+    from eventlake.operators import serve as SV
+
+    typed = TY.fixture_typed(X.ota_raw(spark, SF_SMALL))
+    B.write_bucketed(typed, "b_typed", str(folder / "typed"), 4)
+    newest = B.newest_in_buckets(spark, "b_typed")
+    assert "Exchange" not in plan_of(newest) and rows_of(newest) == rows_of(D.dedupe_full(typed))
+    B.write_bucketed(typed, "b_newest", str(folder / "newest"), 4, newest=True)
+    assert spark.table("b_newest").count() == 1020
+    first = SV.serving_projection(D.dedupe_full(TY.fixture_typed(X.ota_raw(spark, SF_SMALL, (X.DELIVERY_A,)))))
+    whole = SV.serving_projection(D.dedupe_full(typed))
+    for name, rows in (("b_old", first), ("b_new", whole)):
+        B.write_bucketed(rows, name, str(folder / name), 4, S.SERVING_KEY)
+    merged = B.upsert_in_buckets(spark, "b_old", "b_new")
+    assert "Exchange" not in plan_of(merged)
+    assert rows_of(merged) == rows_of(SV.upsert(first, whole))
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    for name in ("b_typed", "b_newest", "b_old", "b_new"):
+        spark.sql(f"DROP TABLE {name}")
