@@ -13,6 +13,7 @@ the default partition, outside every range, and are never touched.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
@@ -357,3 +358,74 @@ def run_sql(
     (writer.option("path", location) if location else writer).saveAsTable(destination)
     summary["rows"] = seen.get["rows"]
     return spark.table(destination), summary
+
+
+class ScriptFailed(RuntimeError):
+    """A statement of a script failed; ``summary`` tells which, and what the
+    statements before it did."""
+
+    def __init__(self, message: str, summary: list[dict]):
+        super().__init__(message)
+        self.summary = summary
+
+
+# What may stand in a statement with a semicolon in it: text, names, comments.
+_QUOTED = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/"""
+_PART = re.compile(rf"(?:{_QUOTED}|[^;])+", re.S)
+
+
+def statements(script: str) -> list[str]:
+    """The statements of a script, separated by semicolons."""
+    parts = [p.strip() for p in _PART.findall(script)]
+    return [p for p in parts if re.sub(r"--[^\n]*|/\*.*?\*/", "", p, flags=re.S).strip()]
+
+
+def _rows_written(df: DataFrame) -> int | None:
+    """Rows that a command wrote, as Spark's metrics of it say."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() != "CommandResultExec":
+        return None
+    pending = [plan.commandPhysicalPlan()]
+    while pending:
+        node = pending.pop()
+        found = node.metrics().get("numOutputRows")
+        if found.isDefined():
+            return int(found.get().value())
+        children = node.children()
+        pending += [children.apply(i) for i in range(children.size())]
+    return None
+
+
+def run_script(spark: SparkSession, script: str, args: dict | None = None, base_dir: str | None = None, **frames: DataFrame) -> tuple[DataFrame | None, list[dict]]:
+    """Run the statements of a script (or ``.sql`` file) one by one, with a
+    summary of each: number, first word, state, rows (written by a command,
+    returned by a query). ``DECLARE`` makes variables that later statements see;
+    they end with the script. Returns the last query's result.
+
+    If statement k fails, ``ScriptFailed`` names k; its summary has the counts of
+    the statements before it, which stay done."""
+    text = sql_source(spark, script, base_dir)
+    summary: list[dict] = []
+    result, declared = None, []
+    try:
+        for k, statement in enumerate(statements(text), 1):
+            words = re.sub(r"--[^\n]*|/\*.*?\*/", " ", statement, flags=re.S).split()
+            entry = {"statement": k, "kind": words[0].upper(), "state": "RUNNING", "rows": None}
+            summary.append(entry)
+            try:
+                if entry["kind"] == "DECLARE":
+                    names = [w for w in words[1:] if w.upper() not in ("OR", "REPLACE", "VARIABLE")]
+                    declared.append(names[0])
+                df = spark.sql(statement, args=args or None, **frames)
+                if df.columns and df._jdf.queryExecution().executedPlan().getClass().getSimpleName() != "CommandResultExec":
+                    entry["rows"], result = df.count(), df
+                else:
+                    entry["rows"] = _rows_written(df)
+            except Exception as e:
+                entry.update(state="FAILED", error=str(e).split("\n")[0])
+                raise ScriptFailed(f"statement {k} ({entry['kind']}) failed: {entry['error']}", summary) from e
+            entry["state"] = "DONE"
+        return result, summary
+    finally:
+        for name in declared:
+            spark.sql(f"DROP TEMPORARY VARIABLE IF EXISTS {name}")

@@ -230,3 +230,91 @@ def upsert_bucketed(spark, sf_dir):
     for name in (old, new):
         spark.sql(f"DROP TABLE {name}")
     return out
+
+
+# --- S4/W1 and S9 on day files --------------------------------------------------
+
+_NAME = "regexp_extract(source_file, '([^/]+)/?$', 1)"
+_RAW27 = ", ".join(f'"{c}"' for c in S.RAW_COLUMNS)
+
+
+@register(
+    "files_in_range_by_join",
+    O.prelude()
+    + f"SELECT {_RAW27}, {_NAME} AS day_file, {O.typed_rules()['source_day']} AS source_day FROM raw "
+    f"WHERE COALESCE({O.typed_rules()['source_day']} BETWEEN DATE '{X.RANGE_START}' AND DATE '{X.RANGE_END}', FALSE)",
+)
+def files_in_range_by_join(spark, sf_dir):
+    """Rows of the range's day files, written as entries and read through the
+    catalog by a join with the days, which prunes the scan."""
+    from eventlake.sources import landing as L
+
+    folder, name = _place(spark, "landing"), f"landing_{uuid.uuid4().hex}"
+    raw = X.ota_raw(spark, sf_dir, X.ALL_DELIVERIES)
+    rows = raw.withColumn(L.DAY_FILE, L.entry_name("source_file")).select(*S.RAW_COLUMNS, L.DAY_FILE)
+    L.write_entries(rows, folder)
+    L.landing_table(spark, name, folder, rows.schema)
+    from eventlake.operators import tables as TB
+
+    out = TB.kept(L.range_of_table(spark, name, X.RANGE_START, X.RANGE_END), "in-range")
+    spark.sql(f"DROP TABLE {name}")  # the catalog's entry
+    return out
+
+
+@register(
+    "land_new_files",
+    O.prelude(extra={"n": f"SELECT *, {_NAME} AS day_file FROM raw"})
+    + f"SELECT {_RAW27}, day_file FROM n WHERE delivery = 'a' AND day_file LIKE '%\\_OTA.parquet' ESCAPE '\\' "
+    f"UNION ALL SELECT {_RAW27}, day_file FROM n WHERE delivery = 'b' AND day_file LIKE '%\\_OTA.parquet' ESCAPE '\\' "
+    "AND day_file NOT IN (SELECT day_file FROM n WHERE delivery = 'a')",
+)
+def land_new_files(spark, sf_dir):
+    """The first delivery's day files landed by a stream, then those of the second
+    that are not landed yet; rows of the landed entries."""
+    from eventlake.sources import landing as L
+    from eventlake.streaming import landing as SL
+
+    raw, source, target, state = _raw_all(spark, sf_dir), _place(spark, "incoming"), _place(spark, "landing"), _place(spark, "state")
+    for delivery in (X.DELIVERY_A, X.DELIVERY_B):
+        rows = _subset(raw, delivery).withColumn(L.DAY_FILE, L.entry_name("source_file")).select(*S.RAW_COLUMNS, L.DAY_FILE)
+        L.write_entries(rows, f"{source}/{delivery}")
+        SL.land_new(spark, source, target, state, rows.drop(L.DAY_FILE).schema)
+    return spark.read.parquet(target).select(*S.RAW_COLUMNS, L.DAY_FILE)
+
+
+# --- S16: a script, statement by statement ------------------------------------------
+
+
+@register(
+    "script_recent_range",
+    O.prelude(extra={"rng": f"SELECT * FROM typed WHERE {_RNG}", "ta": _typed_of("a", "e"), "da": O.dedupe_sql("ta")})
+    + f"SELECT * FROM da WHERE NOT {_RNG} UNION ALL SELECT * FROM (" + O.dedupe_sql("rng") + ")",
+)
+def script_recent_range(spark, sf_dir):
+    """The recent run as a script with a summary of each statement; the
+    deduplicated table afterwards."""
+    from datetime import date
+
+    from eventlake.operators import tables as TB
+    from eventlake.plans.registry import SQL_DIR
+
+    raw = _raw_all(spark, sf_dir)
+    first = TY.fixture_typed(_subset(raw, X.DELIVERY_A, X.DELIVERY_E))
+    tag, folders = uuid.uuid4().hex, [_place(spark, n) for n in ("typed", "deduped")]
+    names = [f"typed_{tag}", f"deduped_{tag}"]
+    for name, folder, rows in zip(names, folders, (first, D.dedupe_full(first))):
+        TB.write_append(rows, folder)
+        TB.ensure_table(spark, name, folder)
+        TB.sync_table(spark, name)
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")  # this session is the query's own
+    args = {"typed": names[0], "deduped": names[1], "start_date": date.fromisoformat(X.RANGE_START), "end_date": date.fromisoformat(X.RANGE_END)}
+    TB.run_script(spark, "recent_range.sql", args, str(SQL_DIR), batch=TB.in_table_order(TY.fixture_typed(raw)).select(*_TABLE_ORDER))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+    return TB.read_table(spark, folders[1])
+
+
+#: A catalog table has its partition column last.
+_TABLE_ORDER = [*[c for c in S.TYPED_COLUMNS if c != S.DAY_PARTITION], S.DAY_PARTITION]

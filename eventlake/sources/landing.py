@@ -21,6 +21,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventlake import schema as S
 from eventlake.functions import cleaning as C
@@ -168,6 +169,30 @@ def read_range(
     return df
 
 
+# --- the landing folder as a catalog table -------------------------------------
+
+
+def landing_table(spark: SparkSession, name: str, folder: str, schema: T.StructType) -> None:
+    """Name the landing folder's entries (those written here, as partition folders)
+    as a catalog table partitioned by entry, created if absent; entries landed or
+    removed since are taken up (partition metadata only)."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != DAY_FILE)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {DAY_FILE} STRING) USING parquet PARTITIONED BY ({DAY_FILE}) LOCATION '{folder}'")
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+
+
+def range_of_table(spark: SparkSession, name: str, start: date | str, end: date | str, suffix: str = S.DEFAULT_SUFFIX) -> DataFrame:
+    """S4/W1 on the catalog table: its rows of the days from ``start`` to ``end``, by a
+    join with the list of days. The join prunes: Spark sends the days' entries to
+    the scan (dynamic partition pruning), which reads only these partitions. Days
+    without an entry are absent. Adds ``source_day``."""
+    first, last = R.parse_day(start), R.parse_day(end)
+    days = R.range_days(spark, first, last).where(F.col("day").between(F.lit(first), F.lit(last)))
+    wanted = days.select(R.day_file_name(F.col("day_key"), suffix).alias(DAY_FILE), F.col("day").alias("source_day"))
+    # wanted: a row for each day of the range, a number known here
+    return spark.table(name).join(F.broadcast(wanted), DAY_FILE)
+
+
 # --- listing and selection -----------------------------------------------------
 
 

@@ -383,3 +383,80 @@ def test_bucketed_plans_have_no_exchange(spark, folder):
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
     for name in ("b_typed", "b_newest", "b_old", "b_new"):
         spark.sql(f"DROP TABLE {name}")
+
+
+# --- day files: join, stream -----------------------------------------------------
+
+
+def test_a_join_with_days_reads_only_their_entries(spark, folder):
+    from eventlake.sources import landing as L
+
+    raw = X.bulk_raw(spark, SF_SMALL)
+    L.write_day_files(L.split_plan(raw), str(folder / "landing"))
+    (folder / "landing" / "day_file=20240120_OTA.parquet" / "part-corrupt.parquet").write_bytes(b"not parquet")
+    L.landing_table(spark, "landed_days", str(folder / "landing"), raw.schema)
+    got = L.range_of_table(spark, "landed_days", "2024-01-10", "2024-01-12")
+    n = got.count()
+    assert n == L.read_range(spark, str(folder / "landing"), "2024-01-10", "2024-01-12").count() > 0
+    assert "dynamicpruning" in plan_of(got)
+    assert L.range_of_table(spark, "landed_days", "2023-01-10", "2023-01-12").count() == 0
+    assert L.range_of_table(spark, "landed_days", "2024-01-12", "2024-01-10").count() == 0
+    with pytest.raises(Exception):
+        spark.table("landed_days").select("request_id").where("request_id > ''").collect()
+    spark.sql("DROP TABLE landed_days")
+
+
+def test_a_stream_lands_each_file_once(spark, folder):
+    from eventlake.sources import landing as L
+    from eventlake.streaming import landing as SL
+
+    schema = "request_id string, timestamp bigint"
+    put = lambda name, n: spark.range(n).selectExpr(f"concat('{name}', id) AS request_id", "id AS timestamp").coalesce(1).write.parquet(str(folder / "in" / name))
+    run = lambda **k: SL.land_new(spark, str(folder / "in"), str(folder / "out"), str(folder / "state"), schema, **k)
+    put("20240101_OTA.parquet", 3)
+    put("20240102_XYZ.parquet", 9)
+    assert run() == ["20240101_OTA.parquet"]
+    assert run() == []
+    put("sub/20240103_OTA.parquet", 4)
+    put("sub/20240101_OTA.parquet", 5)  # that entry is landed already
+    assert run() == ["20240103_OTA.parquet"]
+    rows = spark.read.parquet(str(folder / "out")).groupBy(L.DAY_FILE).count().collect()
+    assert {r[0]: r[1] for r in rows} == {"20240101_OTA.parquet": 3, "20240103_OTA.parquet": 4}
+    put("more/20240101_OTA.parquet", 6)
+    assert run(replace=True) == ["20240101_OTA.parquet"]
+    assert spark.read.parquet(str(folder / "out")).count() == 10
+    # a batch lost after its write lands nothing twice when it runs again
+    again = SL._land(str(folder / "out"), "OTA", False, told := [])
+    again(spark.read.parquet(str(folder / "out")), 0)
+    assert told == [] and spark.read.parquet(str(folder / "out")).count() == 10
+
+
+# --- scripts ---------------------------------------------------------------------
+
+
+def test_statements_are_cut_at_semicolons_outside_quotes():
+    text = "SELECT 'a;b' AS x; -- c; d\nSELECT `;` FROM t /* ; */;\n\n-- only a remark;\n;SELECT \"it\\\";s\""
+    assert [s.split("\n")[-1] for s in TB.statements(text)] == ["SELECT 'a;b' AS x", "SELECT `;` FROM t /* ; */", 'SELECT "it\\";s"']
+
+
+def test_a_script_reports_each_statement(spark, folder):
+    script = """
+    DECLARE most INT DEFAULT :most;
+    CREATE TABLE s_rows (id INT) USING parquet;
+    INSERT INTO s_rows SELECT id FROM {ids} WHERE id < most;
+    INSERT INTO s_rows SELECT id + 100 FROM {ids} WHERE id >= most AND 'a;' <> 'b';
+    SELECT count(*) AS n FROM s_rows;
+    """
+    ids = spark.range(10).selectExpr("CAST(id AS INT) AS id")
+    df, told = TB.run_script(spark, script, {"most": 4}, ids=ids)
+    assert df.first()["n"] == 10
+    assert [(t["statement"], t["kind"], t["state"], t["rows"]) for t in told] == [
+        (1, "DECLARE", "DONE", None), (2, "CREATE", "DONE", None), (3, "INSERT", "DONE", 4), (4, "INSERT", "DONE", 6), (5, "SELECT", "DONE", 1)]
+    bad = "INSERT INTO s_rows SELECT 1; INSERT INTO s_rows SELECT CAST('x' AS INT); INSERT INTO s_rows SELECT 2"
+    with pytest.raises(TB.ScriptFailed, match="statement 2") as e:
+        TB.run_script(spark, bad)
+    assert [(t["statement"], t["state"], t["rows"]) for t in e.value.summary] == [(1, "DONE", 1), (2, "FAILED", None)]
+    assert spark.table("s_rows").count() == 11
+    with pytest.raises(Exception):
+        spark.sql("SELECT most")  # the script's variable is gone
+    spark.sql("DROP TABLE s_rows")
