@@ -20,7 +20,10 @@ longest text, of which about 60 bytes are held a byte).
 
 The byte-level vocabulary (``tokenizers`` JSON) and the piece model
 (``sentencepiece``) are parameters, read on the driver and broadcast after a
-check of their size. Pieces of words are kept by task up to a bound.
+check of their size. No token of either goes on over a blank that follows other
+text, so what the libraries make of a blank and a word is checked against the
+word's bytes and kept, up to a bound; texts with other blanks are encoded as a
+whole.
 
 Defined results: null and empty texts have no tokens and zeros, as have texts
 that either side does not give back byte for byte (one with U+2581, say); names
@@ -31,7 +34,7 @@ further columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-import re
+import os
 from array import array
 from collections.abc import Iterator
 from pathlib import Path
@@ -48,26 +51,47 @@ PIECES = "piece_bpe_32k.model"
 MAX_MODEL_BYTES = 64 << 20
 #: Text of a block, and of what a task aligns at a time.
 BLOCK_BYTES, GROUP_BYTES = 8 << 20, 1 << 20
-CACHE_WORDS = 300_000
+CACHE_WORDS = 350_000
 #: Longer stretches without a blank are not kept.
 CACHE_CHARS = 64
 #: Groups of up to so many links are written out, larger ones counted by id.
 SMALL = 64
-_STRETCH = re.compile(" +[^ ]*")
 _MARK = "▁"
 
 
-def load_pieces(path: str) -> bytes:
+def load(path: str) -> bytes:
+    """A tokenizer's file, which all tasks get."""
     raw = Path(path).read_bytes()
     if len(raw) > MAX_MODEL_BYTES:
-        raise ValueError(f"{path}: {len(raw)} bytes are more than a piece model may have")
+        raise ValueError(f"{path}: {len(raw)} bytes are more than a tokenizer may have")
     return raw
 
 
+class Bytewise:
+    """A byte-level vocabulary, and the bytes of its tokens."""
+
+    def __init__(self, spec: bytes):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        import tokenizers
+
+        self.model = tokenizers.Tokenizer.from_str(spec.decode())
+        self.model.encode_special_tokens = True  # their names are plain text
+        self.model.no_truncation()
+        self.model.no_padding()
+        letters, vocabulary = bpe._byte_letters(), self.model.get_vocab()
+        self.token = [b""] * (max(vocabulary.values()) + 1)
+        for name, i in vocabulary.items():
+            self.token[i] = bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids."""
+        return [array("I", e.ids).tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 class Pieces:
     """A piece model, and the bytes of its tokens."""
 
-    def __init__(self, model: bytes, cache_words: int = CACHE_WORDS):
+    def __init__(self, model: bytes):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -75,31 +99,10 @@ class Pieces:
         self.token = [bytes([int(s[3:5], 16)]) if self.model.is_byte(i) else s.replace(_MARK, " ").encode() for i, s in enumerate(names)]
         # no piece goes on over a blank: words are encoded each on their own
         self.by_word = not any(_MARK in s.lstrip(_MARK) for s in names)
-        self.blank = self.model.piece_to_id(_MARK)
-        self.cache_words = cache_words
-        self.known: dict[str, bytes] = {}
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        """Of stretches that begin with the blank that the model adds."""
-        ids = self.model.encode([w[1:] for w in words], num_threads=1)
-        return [array("I", i if len(w) > 1 else [self.blank]).tobytes() for w, i in zip(words, ids)]
-
-    def whole(self, text: str) -> bytes:
-        return array("I", self.model.encode(text)).tobytes()
-
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text; none is empty."""
-        if not self.by_word:
-            return [self.whole(t) for t in texts]
-        split = [_STRETCH.findall(" " + t) for t in texts]
-        if len(self.known) > self.cache_words:
-            self.known = {}
-        new = list(set().union(*split).difference(self.known)) if split else []
-        kept = [w for w in new if len(w) <= CACHE_CHARS]
-        self.known |= zip(kept, self._encode(kept))
-        long = [w for w in new if len(w) > CACHE_CHARS]
-        get = (self.known | dict(zip(long, self._encode(long)))).__getitem__ if long else self.known.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids; the model puts a blank before each text."""
+        return [array("I", i).tobytes() for i in self.model.encode(texts, num_threads=1)]
 
 
 def common_ends(ea: np.ndarray, eb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,22 +111,21 @@ def common_ends(ea: np.ndarray, eb: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     ea, eb = np.ascontiguousarray(ea, np.int64), np.ascontiguousarray(eb, np.int64)
     a, b, la, lb = ea.tobytes(), eb.tobytes(), ea.tolist(), eb.tolist()
     n = len(la)
-    starts, shifts, sizes = [], [], []
+    runs: list[int] = []  # start in a, start in b, length
     i = j = 0
     while i < n:
-        run, step = 0, 1
-        while i + run < n and a[8 * (i + run) : 8 * (i + run + step)] == b[8 * (j + run) : 8 * (j + run + step)]:
-            run += step
+        x, y, step, most = 8 * i, 8 * j, 8, 8 * n  # in bytes
+        while x < most and a[x : x + step] == b[y : y + step]:
+            x += step
+            y += step
             step *= 2
-        while step > 1:  # the first difference is in the last probe
+        while step > 8:  # the first difference is in the last probe
             step //= 2
-            if a[8 * (i + run) : 8 * (i + run + step)] == b[8 * (j + run) : 8 * (j + run + step)]:
-                run += step
-        run = min(run, n - i)
-        if run:
-            starts.append(i)
-            shifts.append(j - i)
-            sizes.append(run)
+            if a[x : x + step] == b[y : y + step]:
+                x += step
+                y += step
+        run = min(x, most) // 8 - i
+        runs += (i, j, run)
         i, j = i + run, j + run
         if i < n:
             x, y = la[i], lb[j]
@@ -134,10 +136,9 @@ def common_ends(ea: np.ndarray, eb: np.ndarray) -> tuple[np.ndarray, np.ndarray]
                 else:
                     j += 1
                     y = lb[j]
-    sizes = np.array(sizes, np.int64)
-    before = np.cumsum(sizes) - sizes
-    at = np.repeat(np.array(starts, np.int64) - before, sizes) + np.arange(int(sizes.sum()))
-    return at, at + np.repeat(np.array(shifts, np.int64), sizes)
+    starts, others, sizes = np.array(runs, np.int64).reshape(-1, 3).T
+    at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+    return at, at + np.repeat(others - starts, sizes)
 
 
 def linked(a: np.ndarray, b: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -164,32 +165,57 @@ def linked(a: np.ndarray, b: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[
 
 
 class Aligner:
-    def __init__(self, tables: dict, model: bytes):
-        self.codec = bpe.Codec({**tables, "added": {}})  # names of added tokens are plain text
-        self.pieces = Pieces(model)
-        most = max(self.codec.token) + 1
-        self.a_bytes = [self.codec.token.get(i, b"") for i in range(most)]
-        self.b_bytes = self.pieces.token
+    def __init__(self, vocabulary: bytes, model: bytes, cache_words: int = CACHE_WORDS):
+        self.bytewise, self.pieces = Bytewise(vocabulary), Pieces(model)
+        self.a_bytes, self.b_bytes = self.bytewise.token, self.pieces.token
+        most = len(self.a_bytes)
         self.a_size, self.b_size = (np.array([len(t) for t in x], np.int64) for x in (self.a_bytes, self.b_bytes))
         # ids as text, with what follows them: in a group, at its end
         self.said = [b"%d%s" % (i, end) for n, ends in ((most, (b",", b"|")), (len(self.b_bytes), (b",", b";"))) for end in ends for i in range(n)]
         self.most = most
+        self.cache_words = cache_words
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.aged: dict[str, tuple[bytes, bytes] | None] = {}
+
+    def _checked(self, spaced: str, x: bytes, y: bytes) -> tuple[bytes, bytes] | None:
+        """The ids of both sides, if both give the text back."""
+        want = spaced.encode()
+        return (x, y) if self._joined(x, self.a_bytes) == want == self._joined(y, self.b_bytes) else None
+
+    def _learn(self, words: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
+        """What both sides make of a blank and each word; None where the word has
+        to be seen with the text around it."""
+        found = dict.fromkeys(words)
+        good = [w for w in words if w and w.strip(bpe.BLANKS) == w] if self.pieces.by_word else []
+        if good:
+            spaced = [" " + w for w in good]
+            found |= {w: self._checked(*c) for w, c in zip(good, zip(spaced, self.bytewise.encode(spaced), self.pieces.encode(good)))}
+        return found
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """Ids of both sides; none where either side does not give the text back."""
-        full = [" " + t for t in texts]
+        split = [t.split(" ") for t in texts]
+        if len(self.known) > self.cache_words:
+            self.known, self.aged = {}, self.known
+        new = set().union(*split).difference(self.known)
+        self.known |= {w: self.aged[w] for w in new if w in self.aged}
+        new.difference_update(self.known)
+        self.known |= self._learn([w for w in new if len(w) <= CACHE_CHARS])
+        long = [w for w in new if len(w) > CACHE_CHARS]
+        get = (self.known | self._learn(long)).__getitem__ if long else self.known.__getitem__
         out = []
-        for t, spaced, x, y in zip(texts, full, self.codec.encode_batch(full), self.pieces.encode_batch(texts)):
-            want = spaced.encode()
-            if self._joined(y, self.b_bytes) != want:
-                y = self.pieces.whole(t)
-            same = t and self._joined(y, self.b_bytes) == want and self._joined(x, self.a_bytes) == want
-            out.append((x, y) if same else (b"", b""))
+        for t, words in zip(texts, split):
+            parts = list(map(get, words))
+            if None in parts:
+                whole = self._checked(" " + t, *self.bytewise.encode([" " + t]), *self.pieces.encode([t])) if t else None
+                out.append(whole or (b"", b""))
+            else:
+                out.append((b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])))
         return out
 
     @staticmethod
     def _joined(ids: bytes, tokens: list[bytes]) -> bytes:
-        return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return b"".join([tokens[i] for i in memoryview(ids).cast("I")])
 
     def align(self, texts: list[str]) -> list[tuple]:
         """(n_a, n_b, n_groups, n_links, groups_sha256, pairs, times) of each text."""
@@ -228,12 +254,12 @@ class Aligner:
         return out
 
 
-def _groups(texts: list[str]) -> Iterator[list[str]]:
+def _groups(texts: pa.Array) -> Iterator[list[str]]:
     """Texts in their order, about ``GROUP_BYTES`` at a time."""
     group, size = [], 0
     for t in texts:
-        group.append(t)
-        size += len(t)
+        group.append(t.as_py() or "")
+        size += len(group[-1])
         if size >= GROUP_BYTES:
             yield group
             group, size = [], 0
@@ -248,7 +274,7 @@ def aligned(docs: DataFrame, vocabulary: str | None = None, pieces: str | None =
     """(doc_id, block, n_a, n_b, n_groups, n_links, groups_sha256, pairs, times) of
     each row: the distinct pairs of ids that it links, and how often."""
     spark = ship(docs.sparkSession)
-    sent = spark.sparkContext.broadcast((bpe.load_vocabulary(vocabulary or bpe.vocabulary_path()), load_pieces(pieces or bpe.vocabulary_path(PIECES))))
+    sent = spark.sparkContext.broadcast((load(vocabulary or bpe.vocabulary_path()), load(pieces or bpe.vocabulary_path(PIECES))))
     key = sent._jbroadcast.id()
     blocks = block_count(docs, "text", BLOCK_BYTES)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
@@ -259,7 +285,7 @@ def aligned(docs: DataFrame, vocabulary: str | None = None, pieces: str | None =
         aligner = held(("align", key), lambda: Aligner(*sent.value))
         for batch in batches:
             at = 0
-            for group in _groups([t or "" for t in batch.column("text").to_pylist()]):
+            for group in _groups(batch.column("text")):
                 found = aligner.align(group)
                 head = batch.slice(at, len(group))
                 at += len(group)
@@ -310,6 +336,8 @@ def scored(rows: DataFrame) -> DataFrame:
         added = [pa.array(np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64)) for x in sums]
         return pa.Table.from_arrays([*(left.column(c) for c in names[:6]), *added], names)
 
+    blocks = max(1, rows.select("block").distinct().count())
+    rows, facts = rows.repartition(blocks, "block"), facts.repartition(blocks, "block")
     return rows.groupBy("block").cogroup(facts.groupBy("block")).applyInArrow(run, f"doc_id bigint, {_FACTS}, n_best bigint, count_sum bigint")
 
 

@@ -108,11 +108,14 @@ def test_odd_texts_equal_the_libraries(spark, docs, libraries, monkeypatch):
 
 
 def test_words_forgotten_and_long_ones(libraries):
-    texts = ["one two three " * 5 + "y" * 200, "four five  six", "one two"]
-    pieces = TA.Pieces(TA.load_pieces(bpe.vocabulary_path(TA.PIECES)), cache_words=2)
+    texts = ["one two three " * 5 + "y" * 200, "four five  six", "one two", " one two", "two", "a\nb c\u3000d ▁ e", "漢字 🙂 " + "z" * 90]
+    aligner = TA.Aligner(TA.load(bpe.vocabulary_path()), TA.load(bpe.vocabulary_path(TA.PIECES)), cache_words=2)
+    t, sp = libraries
     for _ in range(3):
-        assert [np.frombuffer(x, "<u4").tolist() for x in pieces.encode_batch(texts)] == [libraries[1].encode(t) for t in texts]
-    assert not any(len(w) > TA.CACHE_CHARS for w in pieces.known)
+        for text, (a, b) in zip(texts, aligner.encode(texts)):
+            want = ([], []) if "▁" in text else (t.encode(" " + text, add_special_tokens=False).ids, sp.encode(text))
+            assert (np.frombuffer(a, "<u4").tolist(), np.frombuffer(b, "<u4").tolist()) == want
+    assert not any(len(w) > TA.CACHE_CHARS for w in aligner.known)
 
 
 def test_query_equals_the_libraries(spark, libraries):
