@@ -182,20 +182,76 @@ def test_probabilities_equal_plain_kneser_ney(spark):
     model = kneser_ney.Model(kneser_ney.gram_counts(rows, ids).cache())
     p = plain_model(texts)
     asked = sorted({int(g) for t in [*texts, "a new text: the cod, ñ 漢 #1"] for g in kneser_ney.grams_of(t)})
-    got = {r["g"]: r["lp"] for r in model.log_probs(spark.createDataFrame([(g,) for g in asked], "g int")).collect()}
+    got = {r["g"]: r["lp"] for r in model.log_probs(spark.createDataFrame([(g,) for g in asked], "g bigint")).collect()}
     assert set(got) == set(asked)
     for g in asked:
         assert abs(got[g] - math.log(p(g))) < 1e-4
-    start = asked[3] & ~63
+    start = asked[3] & ~(kneser_ney.ALPHABET - 1)
     assert abs(sum(p(start | c) for c in range(kneser_ney.ALPHABET)) - 1) < 1e-9
 
 
-def test_good_documents_stay_and_junk_goes(spark):
+def test_decisions_equal_a_plain_version(spark):
+    """Bounds from held-out trusted texts, per language, drawn towards the common ones."""
+    rng = np.random.default_rng(9)
+    words = ["ba", "lo", "mi", "ru", "ten", "sol"]
+    rows = [(i, " ".join(rng.choice(words, rng.integers(1, 30))), ["en", "de", None][i % 3]) for i in range(240)]
+    rows += [(500, "ba lo mi qqzzxx lo", "en"), (501, "ba lo mi qqzzxx lo", "xx"), (502, "", "de"), (503, None, "en"), (None, "ba lo", "en")]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(200)] + [(i, 1, 1) for i in range(200, 220)], "doc_id bigint, quality int, toxic int")
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    out = {r["doc_id"]: r for r in kneser_ney.judged(df, labels).collect()}
+    held = {r["doc_id"]: r["held_out"] for r in kneser_ney.trusted_ids(labels).collect()}
+    assert set(held) == set(range(200))
+    p = plain_model([t for i, t, _ in rows if held.get(i) is False])
+    facts = {}
+    for i, t, lang in rows:
+        nats = [-math.log(p(g)) for g in kneser_ney.grams_of(t).tolist()]
+        peak = max(sum(nats[k : k + kneser_ney.WINDOW]) for k in range(max(1, len(nats) - kneser_ney.WINDOW + 1)))
+        facts[i] = (sum(nats), len(nats), peak - math.log(len(nats)), lang)
+    at = lambda values, q: sorted(values)[max(0, math.ceil(q * len(values)) - 1)]
+
+    def bounds(chosen):
+        mu = at([facts[i][0] / facts[i][1] for i in chosen], 0.5)
+        drawn = lambda i: (facts[i][0] + kneser_ney.PRIOR * mu) / (facts[i][1] + kneser_ney.PRIOR)
+        return mu, at([drawn(i) for i in chosen], kneser_ney.QUANTILE), at([facts[i][2] for i in chosen], kneser_ney.QUANTILE)
+
+    every = [i for i, h in held.items() if h]
+    common = bounds(every)
+    for i, (nats, n, peak, lang) in facts.items():
+        mine = [j for j in every if facts[j][3] == lang and lang is not None]
+        share = len(mine) / (len(mine) + kneser_ney.PRIOR_DOCS)
+        mu, top, most = [share * o + (1 - share) * c for o, c in zip(bounds(mine) if mine else common, common)]
+        r = out[i]
+        assert abs(math.log(r["perplexity"]) - nats / n) < 1e-3 and abs(r["peak"] - peak) < 1e-2 and abs(r["peak_bound"] - most) < 1e-2
+        level = (nats + kneser_ney.PRIOR * mu) / (n + kneser_ney.PRIOR)
+        if min(abs(level - top), abs(peak - most)) > 1e-2:
+            assert r["kept"] == (level <= top and peak <= most)
+    assert not out[500]["kept"] and not out[501]["kept"]
+
+
+def test_letters_of_all_scripts_count(spark):
+    """Junk in a script is told from its texts, whatever the script."""
+    rng = np.random.default_rng(4)
+    for letters in ("的一是不了人我在有他这", "αβγδεζηθικλ", "абвгдежзикл"):
+        pairs = [letters[k] + letters[k + 1] for k in range(0, 10, 2)]
+        text = lambda: " ".join("".join(rng.choice(pairs, 4)) for _ in range(20))
+        junk = lambda: " ".join("".join(rng.choice(list(letters), 8)) for _ in range(20))
+        rows = [(i, text(), "x") for i in range(120)] + [(200 + i, junk(), "x") for i in range(10)]
+        df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+        labels = spark.createDataFrame([(i, 1, 0) for i in range(100)], "doc_id bigint, quality int, toxic int")
+        kept = {r["doc_id"] for r in kneser_ney.keep_good(df, labels).collect()}
+        assert not any(i >= 200 for i in kept) and len(kept) >= 110
+
+
+def test_good_documents_stay_and_junk_and_abuse_go(spark):
     docs, labels = table(spark, SF_CHECK, "documents"), table(spark, SF_CHECK, "labels")
     kept = kneser_ney.keep_good(docs, labels)
     assert kept.columns == docs.columns
-    share = {r["quality"]: r["s"] for r in labels.join(kept.select("doc_id").withColumn("k", F.lit(1)), "doc_id", "left").groupBy("quality").agg((F.count("k") / F.count(F.lit(1))).alias("s")).collect()}
-    assert share[1] > 0.97 and share[0] < 0.25
+    # labelled toxic, and abusive words are in the text (other languages' texts have none)
+    abusive = F.col("text").rlike("(?i)trash|pathetic|idiot|disgusting|worthless|stupid|clown|loser|scum|moron")
+    told = labels.join(docs, "doc_id").join(kept.select("doc_id").withColumn("k", F.lit(1)), "doc_id", "left")
+    share = told.groupBy("quality", abusive.alias("abusive")).agg((F.count("k") / F.count(F.lit(1))).alias("s")).collect()
+    share = {(r["quality"], r["abusive"]): r["s"] for r in share}
+    assert share[1, False] > 0.97 and share[1, True] < 0.1 and share[0, False] < 0.15, share
 
 
 def test_classifier_on_odd_rows(spark, docs):
