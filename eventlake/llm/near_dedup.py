@@ -9,20 +9,24 @@
    list among the first K - T + 1 of both. Only these lists are merged; the
    T - 1 longest of a document are skipped and looked up only when a pair's
    matches are counted on the signatures.
-4. Linear passes: the members of a list are tried with one of them, chosen by
-   hash for each list anew; pairs with T matches are confirmed on the full
-   texts, and components are formed. As a class is in many lists, most members
-   of a group of copies meet, however large it is, and pairs grow only as the
-   postings do.
+4. Linear passes: each member of a list may be tried with one of them, chosen by
+   hash for each list anew, and takes of those of all its lists the one that
+   it matches best; pairs are confirmed on the full texts, and components are
+   formed. A pass makes a pair a class at most, however large its groups are.
 5. Exact pass: what remains are pairs of one list in different components. The
    members outside the largest component of a list are tried with all others;
-   a pair is made once, and only if it has T matches. Components are formed
-   again, and no link between different components is left.
+   a pair is made once, and only if it has T matches, and if what either class
+   has for itself leaves enough to share: shingles that no other class with
+   lists has are counted over the full sets, and no pair can share them. Texts
+   that differ from each other in words of their own, be they ever so many and
+   just under the similarity, so make no pairs. Components are formed again, and
+   no link between different components is left.
 
 Defined results: null or empty texts and texts without words have the empty
 set and no links; texts shorter than a shingle are one shingle; null doc_ids
 never name a component that has another id; repeated rows share a component;
-extra columns are ignored; an empty table gives no rows.
+extra columns are ignored; an empty table gives no rows. A very long text is one
+row of one task, whose hashes take about twice its bytes.
 """
 
 from __future__ import annotations
@@ -43,7 +47,7 @@ from eventlake.llm.components import components
 K = 32
 MISS = 1e-7
 #: Linear passes before the exact one.
-STAR_TURNS = 2
+STAR_TURNS = 3
 
 _STATE = np.random.RandomState(20240101)
 _A = _STATE.randint(0, 2**63, K, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -174,9 +178,9 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle_words: int, num: int,
 
 
 def linkable(posted: DataFrame, texts: DataFrame, shingle_words: int, num: int, den: int) -> DataFrame:
-    """``posted`` without the classes that can have no partner: a shingle that no
-    other posted class has is in no intersection, so a class with too large
-    a share of such shingles reaches the similarity with nobody."""
+    """``posted`` with the number ``own`` of each class's shingles that no other
+    posted class has, which are in no intersection, and without the classes that
+    have too many of them to reach the similarity with anybody."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_held()
@@ -190,26 +194,30 @@ def linkable(posted: DataFrame, texts: DataFrame, shingle_words: int, num: int,
     places = texts.select("id", "text").mapInArrow(run, "id bigint, g bigint")
     alone = places.groupBy("g").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("id")).filter("c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own"))
     own = texts.select("node", "id").join(alone, "id").select("node", "own")
-    hopeless = posted.select("node", "n").join(own, "node").filter(den * (F.col("n") - F.col("own")) < num * F.col("n")).select("node")
-    return posted.join(hopeless, "node", "left_anti")
+    counted = posted.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    return counted.filter(den * (F.col("n") - F.col("own")) >= num * F.col("n"))
 
 
-_MEMBER = ("node", "n", "label", "keys", "width")
+_MEMBER = ("node", "n", "own", "label", "keys", "width")
 
 
-def star_pairs(lists: DataFrame, t: int, num: int, den: int, turn: int) -> DataFrame:
-    """The members of each list with one of them, chosen by hash anew for every
-    list and turn from its largest component. A class is in many lists, so it
-    meets many others, and still the pairs grow as the postings do."""
-    pick = F.struct("size", "label", F.xxhash64("node", "key", F.lit(turn)).alias("by"), F.struct(*_MEMBER).alias("b"))
-    heads = lists.groupBy("key").agg(F.max(pick).alias("h")).select("key", F.col("h.b").alias("b"))
-    rows = lists.select("key", F.struct(*_MEMBER).alias("a")).join(heads, "key")
-    return _pairs(rows.filter("a.label != b.label"), t, num, den).distinct()
+def _may_link(a: str, b: str, num: int, den: int) -> Column:
+    """Sets whose sizes allow the similarity, and so does what they may share."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    rest = F.least(n - F.col(f"{a}.own"), m - F.col(f"{b}.own"))
+    return _near_size(f"{a}.n", f"{b}.n", num, den) & ((num + den) * rest >= num * (n + m))
 
 
-def _pairs(rows: DataFrame, t: int, num: int, den: int) -> DataFrame:
-    rows = rows.filter(_near_size("a.n", "b.n", num, den)).filter(matching(t))
-    return rows.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b"))
+def star_pairs(lists: DataFrame, t: int, num: int, den: int, turn: int) -> DataFrame:
+    """Each class with the head of one of its lists, that which it has most matches
+    with. A list's head is chosen by hash, anew for every list and turn, from its
+    largest component. At most one pair a class."""
+    pick = F.struct("size", "label", F.xxhash64("node", "key", F.lit(turn)).alias("by"), F.struct(*_MEMBER).alias("b"))
+    heads = lists.groupBy("key").agg(F.max(pick).alias("h")).select("key", F.col("h.b").alias("b"), F.col("h.size").alias("size"))
+    rows = lists.select("key", F.struct(*_MEMBER).alias("a")).join(heads, "key").filter("a.label != b.label").filter(_may_link("a", "b", num, den))
+    rows = rows.select("a.node", F.col("b.node").alias("other"), F.size(F.array_intersect("a.keys", "b.keys")).alias("same"), "size").filter(F.col("same") >= t)
+    best = rows.groupBy("node").agg(F.max(F.struct("same", "size", "other")).alias("m"))
+    return best.select(F.least("node", "m.other").alias("a"), F.greatest("node", "m.other").alias("b")).distinct()
 
 
 def residual_pairs(lists: DataFrame, t: int, num: int, den: int) -> DataFrame:
@@ -222,7 +230,7 @@ def residual_pairs(lists: DataFrame, t: int, num: int, den: int) -> DataFrame:
     few, every = rows.filter("a.label != most"), rows.select("key", F.col("a").alias("b"))
     first = F.expr("element_at(array_intersect(slice(a.keys, 1, a.width), slice(b.keys, 1, b.width)), 1) = l.key")
     once = F.expr("a.label != b.label and (b.label = most or a.node < b.node)")
-    near = _near_size("a.n", "b.n", num, den)
+    near = _may_link("a", "b", num, den)
     left, right = few.alias("l"), every.alias("r")
     joined = left.join(right, (F.col("l.key") == F.col("r.key")) & once & near & matching(t) & first)
     return joined.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b"))

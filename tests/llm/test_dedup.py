@@ -58,6 +58,22 @@ def test_components_equal_all_pairs(spark, monkeypatch, turns):
     assert near_rows(df, 3, 85, 100) == plain_components(rows, 3, 85, 100)
 
 
+@pytest.mark.parametrize("changed,together", [(13, False), (2, True)])
+def test_pairs_of_large_groups_stay_linear(spark, monkeypatch, changed, together):
+    """2,000 texts that are near misses at 0.8, or near copies."""
+    rng, base, rows = random.Random(3), [f"b{i}" for i in range(400)], []
+    for k in range(2000):
+        text = list(base)
+        for j, at in enumerate(rng.sample(range(0, 400, 3), changed)):
+            text[at] = f"own{k}x{j}"
+        rows.append((k, " ".join(text)))
+    seen, real = [], near_dedup.confirmed
+    monkeypatch.setattr(near_dedup, "confirmed", lambda pairs, *a: (seen.append(pairs.count()), real(pairs, *a))[1])
+    out = near_rows(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 85, 100)
+    assert len({c for _, _, c in out}) == (1 if together else 2000)
+    assert sum(seen) <= 4 * len(rows)
+
+
 def test_components_of_odd_rows(docs):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     assert near_rows(docs, 5, 80, 100) == plain_components(rows, 5, 80, 100)
