@@ -43,6 +43,7 @@ class Layout:
     cursor: str
     rejects: str | None = None
     suffix: str = S.DEFAULT_SUFFIX
+    catalog: str | None = None  # database that names the typed and deduplicated tables
 
 
 # --- the load -----------------------------------------------------------------------
@@ -78,6 +79,17 @@ def day_stats(layout: Layout) -> str:
     return f"{layout.cursor.rstrip('/')}__days"
 
 
+def publish(spark: SparkSession, layout: Layout) -> list[str]:
+    """The typed and the deduplicated table in the catalog, created if
+    absent, with the partitions that the run wrote or dropped."""
+    names = []
+    for name, path in (("typed", layout.typed), ("deduped", layout.deduped)) if layout.catalog else ():
+        names.append(f"{layout.catalog}.{name}")
+        TB.ensure_table(spark, names[-1], path)
+        TB.sync_table(spark, names[-1])
+    return names
+
+
 def typed_entries(spark: SparkSession, paths: list[str], suffix: str, loaded_at: datetime | None) -> DataFrame:
     """Typed rows of day entries; entries of differing types are typed apart."""
     out = None
@@ -100,6 +112,7 @@ def recent(
     today: date | None = None,
     loaded_at: datetime | None = None,
     scope: str = "range",
+    lookback: timedelta | None = None,
 ) -> dict:
     """The recent run. Returns a status dict; ``status`` is ``no_data`` when
     the range has no day file (nothing downstream runs then).
@@ -109,7 +122,8 @@ def recent(
     event outside the range are not seen). ``scope="keys"`` re-deduplicates
     every event key the range touches over all its copies and replaces
     those keys wherever they sit, so the deduplicated table stays equal to a
-    full rebuild.
+    full rebuild. ``lookback`` lets the load reach back behind its cursor, for
+    rows whose time is before what was loaded last.
     """
     if scope not in ("range", "keys"):
         raise ValueError(f"unknown scope {scope!r}")
@@ -145,9 +159,10 @@ def recent(
             )
     changed = status.get("deduped", {}).get("days_rewritten") or R.days_between(start, end)
     SV.write_day_stats(spark, TB.read_table(spark, layout.deduped), day_stats(layout), changed)
+    status["catalog"] = publish(spark, layout)
     given_start = R.parse_day(start_date)
     cursor = SV.cursor_start(override=given_start, stored=SV.read_cursor(spark, layout.cursor))
-    status["load"] = load(spark, layout, cursor)
+    status["load"] = load(spark, layout, cursor, lookback)
     status["status"] = "done"
     return status
 
@@ -185,17 +200,19 @@ def land(
     The entries to land, whatever their names, are read and written by Spark
     in one job, each under its own name; entries already landed, and all but
     the first of several with one name, are skipped unless ``skip_if_exists``
-    is off (then they are written together).
+    is off (then the last of them by path is what stays).
     """
     listing = L.list_entries(spark, source_folder, recursive)
     candidates = L.pick_files(listing, names, date_start, date_end, suffix, pattern)
-    try:
-        landed = L.list_entries(spark, landing)
-    except FileNotFoundError:
-        landed = spark.createDataFrame([], f"{L.PATH} string, {L.NAME} string")
+    # a test for each candidate's name: what else the landing folder holds does not matter
+    wanted = sorted({r[0] for r in candidates.select(L.NAME).collect()})  # a name a day
+    there = [(n,) for n in wanted if any(L.exists(spark, f"{landing.rstrip('/')}/{p}{n}") for p in ("", f"{L.DAY_FILE}="))]
+    landed = spark.createDataFrame(there, f"{L.NAME} string")
     plan = [r.asDict() for r in L.landing_plan(candidates, landed, skip_if_exists).collect()]  # one row per day
     todo = [r for r in plan if r["action"] == "uploaded"]
-    for rows in L.read_entries(spark, [r[L.PATH] for r in todo]) if todo else []:
+    # of several entries with one name the last by path is what a landing in order leaves
+    last = {r[L.NAME]: r[L.PATH] for r in sorted(todo, key=lambda r: r[L.PATH])}
+    for rows in L.read_entries(spark, sorted(last.values())) if todo else []:
         L.write_entries(rows.withColumn(L.DAY_FILE, L.entry_name("source_file")).drop("source_file"), landing)
     return {
         "uploaded": len(todo),
@@ -212,6 +229,7 @@ def historic(
     timestamp_col: str = "timestamp",
     loaded_at: datetime | None = None,
     export: str | None = None,
+    lookback: timedelta | None = None,
 ) -> dict:
     """The historic run (S1 -> S2/S3 -> [S9] -> S5/S12 -> S15 -> load).
 
@@ -233,7 +251,8 @@ def historic(
     SV.forget_days(spark, day_stats(layout))
     TB.write_refresh(D.dedupe_full(TB.read_table(spark, layout.typed)), layout.deduped)
     SV.write_day_stats(spark, TB.read_table(spark, layout.deduped), day_stats(layout))
+    status["catalog"] = publish(spark, layout)
     cursor = SV.cursor_start(param=start_ts, stored=SV.read_cursor(spark, layout.cursor))
-    status["load"] = load(spark, layout, cursor)
+    status["load"] = load(spark, layout, cursor, lookback)
     status["status"] = "done"
     return status

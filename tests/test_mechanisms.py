@@ -460,3 +460,34 @@ def test_a_script_reports_each_statement(spark, folder):
     with pytest.raises(Exception):
         spark.sql("SELECT most")  # the script's variable is gone
     spark.sql("DROP TABLE s_rows")
+
+
+# --- runs ------------------------------------------------------------------------
+
+
+def test_runs_keep_the_catalog_and_reach_back(spark, folder):
+    from datetime import timedelta
+
+    from eventlake.plans import runs as RUNS
+    from eventlake.sources import landing as L
+
+    lay = RUNS.Layout(**{k: str(folder / k) for k in ("landing", "typed", "deduped", "serving", "cursor")}, catalog="kept_up")
+    bulk = X.bulk_raw(spark, SF_SMALL)
+    days = bulk.where(F.expr("timestamp < unix_micros(timestamp'2024-01-04') * 1000"))
+    L.write_day_files(L.split_plan(days.where("request_id <> 'r0'")), lay.landing)
+    out = RUNS.recent(spark, lay, "2024-01-01", "2024-01-02")
+    assert out["catalog"] == ["kept_up.typed", "kept_up.deduped"]
+    n = lambda: (spark.table("kept_up.typed").count(), spark.table("kept_up.deduped").count())
+    before = n()
+    assert before == (TB.read_table(spark, lay.typed).count(), TB.read_table(spark, lay.deduped).count())
+    RUNS.recent(spark, lay, "2024-01-03", "2024-01-03")
+    assert n()[0] == TB.read_table(spark, lay.typed).count() > before[0]
+    # rows that come late, with times before the cursor
+    served = spark.read.parquet(lay.serving).count()
+    L.write_day_files(L.split_plan(days), lay.landing)
+    late = TB.read_table(spark, lay.typed).count()
+    RUNS.recent(spark, lay, today=date(2024, 1, 3), lookback=timedelta(days=3))
+    assert TB.read_table(spark, lay.typed).count() > late
+    assert spark.read.parquet(lay.serving).count() > served
+    for name in out["catalog"]:
+        spark.sql(f"DROP TABLE {name}")

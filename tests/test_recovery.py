@@ -45,6 +45,10 @@ def test_entries_land_under_their_own_names(spark, folder):
     assert {r[0]: r[1] for r in rows} == {"20240102_OTA.parquet": 3, "20240102_HTL.parquet": 5, "notes.parquet": 2}
     again = RUNS.land(spark, str(folder / "in"), str(folder / "out"))
     assert (again["uploaded"], again["skipped"]) == (0, 3)
+    # landed again one after another: the last of a name stays, whatever its types
+    day_file(folder / "in/zz/20240102_OTA.parquet", 4, user_id=[1, 2, 3, 4])
+    RUNS.land(spark, str(folder / "in"), str(folder / "out"), skip_if_exists=False, recursive=True, suffix="OTA")
+    assert spark.read.parquet(str(folder / "out/day_file=20240102_OTA.parquet")).count() == 4
 
 
 def test_odd_names_and_types_in_the_landing_folder(spark, folder):
