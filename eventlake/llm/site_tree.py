@@ -176,7 +176,9 @@ def parse(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
 def article(blocks: list[tuple[Node, str]], nodes: list[Node]) -> tuple[list[tuple[Node, str]], bool]:
     """The blocks that belong to an article by the page's own marks, and
     whether it has such marks. Without an article element outside noise, the
-    body without noise; only if that has no text, the articles in noise."""
+    body without noise; only if that has no text, the articles in noise, and
+    without these what is outside noise by element: a class word does not take all
+    of a page's text."""
     roots = [n for n in nodes if n.root is n]
     good = {id(n) for n in roots if not n.noise}
     if good:
@@ -184,10 +186,12 @@ def article(blocks: list[tuple[Node, str]], nodes: list[Node]) -> tuple[list[tup
     plain = [(n, t) for n, t in blocks if not n.noise]
     if roots and not plain:  # all text stands in elements named as noise: the names above an article don't count
         return [(n, t) for n, t in blocks if n.root is not None and not _noise_below(n, n.root)], True
+    if not plain:
+        return [(n, t) for n, t in blocks if not _noise_below(n, None)], False
     return plain, False
 
 
-def _noise_below(node: Node, root: Node) -> bool:
+def _noise_below(node: Node | None, root: Node | None) -> bool:
     while node is not root:
         if node.tag in NOISE_TAGS:
             return True

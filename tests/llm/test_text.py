@@ -153,6 +153,19 @@ def test_text_outside_teasers_stays():
     assert site_tree.main_text(page, ()) == "the text"
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ('<div class="layout with-sidebar"><p>the text</p></div>', "the text"),
+        ('<body class="x"><div class="content-social-science"><p>one</p><nav>menu</nav><p>two</p></div></body>', "one\ntwo"),
+        ('<div class="sidebar">links</div><p>the text</p>', "the text"),
+        ("<nav>only a menu</nav>", ""),
+    ],
+)
+def test_a_class_word_does_not_take_all_of_the_text(page, text):
+    assert site_tree.main_text(page, ()) == text
+
+
 def site(n=12):
     """A site without helpful names: one changing and two fixed branches."""
     words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
