@@ -17,10 +17,11 @@
    members outside the largest component of a list are tried with all others;
    a pair is made once, and only if it has T matches, and if what either class
    has for itself leaves enough to share: shingles that no other class with
-   lists has are counted over the full sets, and no pair can share them. Texts
-   that differ from each other in words of their own, be they ever so many and
-   just under the similarity, so make no pairs. Components are formed again, and
-   no link between different components is left.
+   lists has are counted over the full sets, and no pair can share them; the
+   others are counted in ``LOADS`` parts of the hash range, and a pair shares at
+   most the smaller count of each part. Texts that differ from each other, be
+   they ever so many and just under the similarity, so make few pairs. Components
+   are formed again, and no link between different components is left.
 
 Defined results: null or empty texts and texts without words have the empty
 set and no links; texts shorter than a shingle are one shingle; null doc_ids
@@ -48,6 +49,8 @@ K = 32
 MISS = 1e-7
 #: Linear passes before the exact one.
 STAR_TURNS = 3
+#: Parts of the hash range in which a class's shared shingles are counted.
+LOADS = 64
 
 _STATE = np.random.RandomState(20240101)
 _A = _STATE.randint(0, 2**63, K, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -179,8 +182,9 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle_words: int, num: int,
 
 def linkable(posted: DataFrame, texts: DataFrame, shingle_words: int, num: int, den: int) -> DataFrame:
     """``posted`` with the number ``own`` of each class's shingles that no other
-    posted class has, which are in no intersection, and without the classes that
-    have too many of them to reach the similarity with anybody."""
+    posted class has, which are in no intersection, and the ``loads``, the others
+    counted in parts of the hash range; without the classes that have too many of
+    their own to reach the similarity with anybody."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_held()
@@ -190,12 +194,23 @@ def linkable(posted: DataFrame, texts: DataFrame, shingle_words: int, num: int,
             ids = np.repeat(batch.column("id").to_numpy(), [len(g) for g in sets])
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate([*sets, np.empty(0, np.int64)]))], ["id", "g"])
 
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held()
+        shingler = Shingler(shingle_words)
+        for batch in batches:
+            sets = [shingler.hashes(words_of(t.as_py())).view(np.int64) for t in batch.column("text")]
+            counts = [np.bincount(g % LOADS, minlength=LOADS).astype(np.int32) for g in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("id"), pa.array(counts, pa.list_(pa.int32()))], ["node", "id", "parts"])
+
     texts = texts.withColumn("id", F.xxhash64("node"))
     places = texts.select("id", "text").mapInArrow(run, "id bigint, g bigint")
-    alone = places.groupBy("g").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("id")).filter("c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own"))
-    own = texts.select("node", "id").join(alone, "id").select("node", "own")
-    counted = posted.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
-    return counted.filter(den * (F.col("n") - F.col("own")) >= num * F.col("n"))
+    alone = places.groupBy("g").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("id")).filter("c = 1")
+    by_part = alone.groupBy("id", F.pmod("g", F.lit(LOADS)).cast("int").alias("part")).agg(F.count(F.lit(1)).cast("int").alias("n"))
+    # at most LOADS entries a class
+    own = by_part.groupBy("id").agg(F.sum("n").alias("own"), F.map_from_entries(F.collect_list(F.struct("part", "n"))).alias("own_parts"))
+    counted = texts.select("node", "id", "text").mapInArrow(parts, "node binary, id bigint, parts array<int>").join(own, "id", "left")
+    counted = counted.select("node", F.coalesce("own", F.lit(0)).alias("own"), F.expr("transform(parts, (x, i) -> x - coalesce(try_element_at(own_parts, i), 0))").alias("loads"))
+    return posted.join(counted, "node").filter(den * (F.col("n") - F.col("own")) >= num * F.col("n"))
 
 
 _MEMBER = ("node", "n", "own", "label", "keys", "width")
@@ -226,11 +241,13 @@ def residual_pairs(lists: DataFrame, t: int, num: int, den: int) -> DataFrame:
     first list that both prefixes have."""
     largest = lists.groupBy("key").agg(F.max(F.struct("size", "label")).alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"))
     largest = largest.filter("lo != hi").select("key", F.col("m.label").alias("most"))
-    rows = lists.select("key", F.struct(*_MEMBER).alias("a")).join(largest, "key")
+    rows = lists.select("key", F.struct(*_MEMBER, "loads").alias("a")).join(largest, "key")
     few, every = rows.filter("a.label != most"), rows.select("key", F.col("a").alias("b"))
     first = F.expr("element_at(array_intersect(slice(a.keys, 1, a.width), slice(b.keys, 1, b.width)), 1) = l.key")
     once = F.expr("a.label != b.label and (b.label = most or a.node < b.node)")
-    near = _may_link("a", "b", num, den)
+    # what both may share at most, part by part
+    shared = F.expr("aggregate(zip_with(a.loads, b.loads, (x, y) -> least(x, y)), 0, (s, x) -> s + x)")
+    near = _may_link("a", "b", num, den) & ((num + den) * shared >= num * (F.col("a.n") + F.col("b.n")))
     left, right = few.alias("l"), every.alias("r")
     joined = left.join(right, (F.col("l.key") == F.col("r.key")) & once & near & matching(t) & first)
     return joined.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b"))

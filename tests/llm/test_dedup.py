@@ -58,7 +58,7 @@ def test_components_equal_all_pairs(spark, monkeypatch, turns):
     assert near_rows(df, 3, 85, 100) == plain_components(rows, 3, 85, 100)
 
 
-@pytest.mark.parametrize("changed,together", [(13, False), (2, True)])
+@pytest.mark.parametrize("changed,together", [(13, False), (9, False), (2, True)])
 def test_pairs_of_large_groups_stay_linear(spark, monkeypatch, changed, together):
     """2,000 texts that are near misses at 0.8, or near copies."""
     rng, base, rows = random.Random(3), [f"b{i}" for i in range(400)], []
