@@ -17,9 +17,12 @@
    the full texts. Only components are asked for, so this goes in turns: a group
    is tried with one head among those of its lists, from the largest component,
    and a member with the first of its group. A last, exact pass makes all pairs
-   of members that are still in different components, in lists that have some.
-   No link between different components is left, and a group of copies costs
-   its size, not its square.
+   of members that are still in different components, in lists that have some,
+   and whose loads allow the similarity: shingles that other documents have are
+   counted in ``LOADS`` parts of the hash range, and two sets share at most the
+   smaller count of each part. No link between different components is left; a
+   group of copies costs its size, not its square, and one of near misses makes
+   few pairs.
 
 Defined results: null and empty texts and texts without words have the empty
 set and no links; texts shorter than a shingle are one shingle; very long texts
@@ -47,7 +50,11 @@ from eventlake.llm.near_dedup import Shingler, confirmed, words_of
 #: Text of a block, and text whose shingles one shard counts.
 BLOCK_BYTES, SHARD_BYTES = 8 << 20, 16 << 20
 #: Turns in which a group is tried with one head; the exact pass follows.
-TURNS = 3
+TURNS = 2
+#: Parts of the hash range in which a set's shared shingles are counted.
+LOADS = 64
+#: Tasks that a shuffle is dealt to at most.
+MOST_TASKS = 50_000
 #: Frequencies up to this are told apart, higher ones by quarters of powers of two.
 EXACT = 64
 
@@ -72,7 +79,7 @@ def _sets(shingler: Shingler, texts: pa.ChunkedArray) -> list[np.ndarray]:
     return [shingler.hashes(words_of(t.as_py())) for t in texts]
 
 
-def frequencies(rows: DataFrame, shingle_words: int, bits: int) -> DataFrame:
+def frequencies(rows: DataFrame, shingle_words: int, bits: int, blocks: int = 1) -> DataFrame:
     """(block, shard, rarity): for every block the classes of its distinct
     shingles, in the order of their hashes, by shard."""
 
@@ -109,21 +116,27 @@ def frequencies(rows: DataFrame, shingle_words: int, bits: int) -> DataFrame:
             }
         )
 
-    asked = rows.groupBy("block").applyInArrow(ask, "block int, shard bigint, hashes binary, counts binary")
-    return asked.groupBy("shard").applyInArrow(answer, "block int, shard bigint, rarity binary")
+    asked = dealt(rows, "block", blocks).groupBy("block").applyInArrow(ask, "block int, shard bigint, hashes binary, counts binary")
+    return dealt(asked, "shard", 1 << bits).groupBy("shard").applyInArrow(answer, "block int, shard bigint, rarity binary")
+
+
+def dealt(df: DataFrame, column: str, groups: int) -> DataFrame:
+    """Rows with the groups of ``column`` spread over tasks, one each where there
+    are not very many; a task takes its groups one by one."""
+    return df.repartition(min(max(1, groups), MOST_TASKS), column)
 
 
 def prefix_size(n: int, num: int, den: int) -> int:
     return n - -(-n * num // den) + 1
 
 
-_SIGNED = "doc_id bigint, text_hash bigint, n_shingles bigint, node binary, grp binary, keys array<bigint>, places array<int>"
+_SIGNED = "doc_id bigint, text_hash bigint, n_shingles bigint, node binary, grp binary, keys array<bigint>, places array<int>, loads array<int>, text binary"
 
 
-def prefixes(rows: DataFrame, rarities: DataFrame, shingle_words: int, num: int, den: int) -> DataFrame:
+def prefixes(rows: DataFrame, rarities: DataFrame, shingle_words: int, num: int, den: int, blocks: int = 1) -> DataFrame:
     """Per document the size and digest of its set (``node``) and, if another
-    document has a shingle of its prefix, its group, those shingles and their
-    places in the order."""
+    document has a shingle of its prefix, its group, those shingles, their places
+    in the order, its loads and its text."""
     names = [x.split()[0] for x in _SIGNED.split(", ")]
 
     def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
@@ -133,9 +146,9 @@ def prefixes(rows: DataFrame, rarities: DataFrame, shingle_words: int, num: int,
         order = np.argsort(answers.column("shard").to_numpy()) if len(answers) else []
         told = answers.column("rarity")
         rarity = np.frombuffer(b"".join(told[int(i)].as_py() for i in order), np.uint8)
-        nodes, groups, keys, places = [], [], [], []
-        for mine in sets:
-            node = group = key = place = None
+        nodes, groups, keys, places, loads, texts = [], [], [], [], [], []
+        for mine, text in zip(sets, docs.column("text")):
+            node = group = key = place = load = kept = None
             if len(mine):
                 node = hashlib.blake2b(mine.tobytes(), digest_size=16).digest()
                 rare = rarity[np.searchsorted(hashes, mine)]
@@ -145,13 +158,17 @@ def prefixes(rows: DataFrame, rarities: DataFrame, shingle_words: int, num: int,
                     prefix = mine[first]
                     group = hashlib.blake2b(prefix.tobytes(), digest_size=16, key=len(mine).to_bytes(8, "little")).digest()
                     key, place = prefix[shared].view(np.int64), shared.astype(np.int32)
+                    load, kept = np.bincount((mine[rare > 1] % np.uint64(LOADS)).astype(np.int64), minlength=LOADS).astype(np.int32), text
             nodes.append(node)
             groups.append(group)
             keys.append(key)
             places.append(place)
+            loads.append(load)
+            texts.append(kept)
         columns = [docs.column("doc_id"), docs.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()), pa.array(groups, pa.binary())]
-        return pa.Table.from_arrays([*columns, pa.array(keys, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))], names)
+        return pa.Table.from_arrays([*columns, pa.array(keys, pa.list_(pa.int64())), *[pa.array(x, pa.list_(pa.int32())) for x in (places, loads)], pa.array(texts, pa.binary())], names)
 
+    rows, rarities = dealt(rows, "block", blocks), dealt(rarities, "block", blocks)
     return rows.groupBy("block").cogroup(rarities.groupBy("block")).applyInArrow(run, _SIGNED)
 
 
@@ -178,16 +195,19 @@ def head_pairs(lists: DataFrame, turn: int, num: int, den: int) -> DataFrame:
     return best.select(F.least("m.rep", "m.other").alias("a"), F.greatest("m.rep", "m.other").alias("b")).distinct()
 
 
-def other_pairs(lists: DataFrame, num: int, den: int) -> DataFrame:
+def other_pairs(lists: DataFrame, loads: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b) of all members of a list in different components, each once: those
     outside the list's largest component with all others. ``lists`` holds
     members: (key, node, n, place, label, size)."""
     largest = lists.groupBy("key").agg(F.max(F.struct("size", "label")).alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"))
     largest = largest.filter("lo != hi").select("key", F.col("m.label").alias("most"))
-    rows = lists.join(largest, "key").select("key", "most", F.struct("node", "n", "place", "label").alias("a"))
+    rows = lists.join(largest, "key").join(loads, "node").select("key", "most", F.struct("node", "n", "place", "label", "loads").alias("a"))
     few, every = rows.filter("a.label != most"), rows.select(F.col("key").alias("_key"), F.col("a").alias("b"))
     once = F.expr("a.label != b.label and (b.label = most or a.node < b.node)")
-    joined = few.join(every, (F.col("key") == F.col("_key")) & once & _possible("a", "b", num, den))
+    # what both may share at most, part by part
+    most = F.expr("aggregate(zip_with(a.loads, b.loads, (x, y) -> least(x, y)), 0, (s, x) -> s + x)")
+    enough = (num + den) * most >= num * (F.col("a.n") + F.col("b.n"))
+    joined = few.join(every, (F.col("key") == F.col("_key")) & once & _possible("a", "b", num, den) & enough)
     return joined.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
 
 
@@ -197,30 +217,31 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 5, num: int = 80, d
     spark = ship(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
     bits = _shard_bits(texts)
+    blocks = block_count(texts, "text", BLOCK_BYTES)
     # blocks are part of the rows from here on, so that both passes see the same ones
-    rows = staged(spark, texts.withColumn("block", row_block(block_count(texts, "text", BLOCK_BYTES), "doc_id", "text_hash")), "texts")
-    rarities = staged(spark, frequencies(rows, shingle_words, bits), "rarities")
+    rows = staged(spark, texts.withColumn("block", row_block(blocks, "doc_id", "text_hash")), "texts")
+    rarities = staged(spark, frequencies(rows, shingle_words, bits, blocks), "rarities")
     release(spark)
-    signed = staged(spark, prefixes(rows, rarities, shingle_words, num, den), "signed")
+    signed = staged(spark, prefixes(rows, rarities, shingle_words, num, den, blocks), "signed")
     release(spark)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("least")
-    first = [F.first(c).alias(c) for c in ("n_shingles", "grp", "keys", "places")]
-    classes = staged(spark, signed.filter("node is not null").groupBy("node").agg(least, *first).withColumnRenamed("n_shingles", "n"), "classes")
+    classes = staged(spark, signed.filter("node is not null").groupBy("node").agg(least), "classes")
+    # a class's rows are alike in all that follows
+    first = [F.first(c).alias(c) for c in ("grp", "n_shingles", "keys", "places", "loads", "text")]
+    members = staged(spark, signed.filter("grp is not null").groupBy("node").agg(*first).withColumnRenamed("n_shingles", "n"), "members")
+    release(spark)
 
     # groups, posted where another group is
-    members = classes.filter("grp is not null").select("node", "grp", "n", "keys", "places", "least")
     groups = members.groupBy("grp").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("members"), *[F.first(c).alias(c) for c in ("n", "keys", "places")])
     posts = groups.select("grp", "rep", "n", F.explode(F.arrays_zip("keys", "places")).alias("p")).select("grp", "rep", "n", F.col("p.keys").alias("key"), F.col("p.places").alias("place"))
     shared = posts.groupBy("key").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).filter("lo != hi").select("key")
     lists = staged(spark, posts.join(shared, "key"), "lists")
     several = groups.filter("members > 1").select("grp", "rep")
     inside = staged(spark, members.join(several, "grp").select("grp", "node", "rep", "n"), "inside")
-    wanted = staged(spark, lists.select("grp").union(inside.select("grp")).distinct().join(members, "grp").select("node", "grp", "least"), "wanted")
-    same = F.col("least.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("least.text_hash") == F.col("text_hash"))
-    fetched = staged(spark, wanted.join(rows.select("doc_id", "text_hash", "text"), same).groupBy("node").agg(F.first("text").alias("text")), "fetched")
+    fetched = members.select("node", "text")
     release(spark)
 
-    labels = wanted.select("node", F.col("node").alias("label")).limit(0)
+    labels = members.select("node", F.col("node").alias("label")).limit(0)
 
     def named(df: DataFrame, node: str) -> DataFrame:
         """``df`` with the component of its column ``node`` and that one's size."""
@@ -235,11 +256,11 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 5, num: int = 80, d
             if turn == 0:
                 pairs = pairs.union(inside.filter("node != rep").select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")))
         else:
-            apart = named(wanted.select("node", "grp"), "node")
+            apart = named(members.select("node", "grp"), "node")
             by_member = lists.select("grp", "key", "place", "n").join(apart, "grp")
             # a group's members have their whole prefix in common, from its first place on
             own = inside.select("node", F.col("grp").alias("_g"), "n").join(apart, "node").select(F.xxhash64("_g").alias("key"), F.lit(0).alias("place"), "n", "node", "label", "size")
-            pairs = other_pairs(by_member.select("key", "place", "n", "node", "label", "size").union(own), num, den)
+            pairs = other_pairs(by_member.select("key", "place", "n", "node", "label", "size").union(own), members.select("node", "loads"), num, den)
         fresh = staged(spark, pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs.distinct(), "pairs")
         release(spark)
         if fresh.isEmpty():
@@ -251,7 +272,7 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 5, num: int = 80, d
             links = found if links is None else links.unionByName(found)
             labels = components(spark, links)
     by = F.min(F.struct(F.col("least.none").alias("none"), F.col("least.doc_id").alias("doc_id"))).alias("m")
-    label = classes.select("node", "least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    label = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     heads = label.groupBy("label").agg(by).select("label", F.col("m.doc_id").alias("component_id"))
     of = label.join(heads, "label").select("node", "component_id")
     return signed.select("doc_id", "text_hash", "n_shingles", "node").join(of, "node", "left").select(

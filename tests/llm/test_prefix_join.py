@@ -61,7 +61,7 @@ def near_misses(n, words, changed, rng):
     return out
 
 
-@pytest.mark.parametrize("changed,together", [(10, False), (2, True)])
+@pytest.mark.parametrize("changed,together", [(10, False), (7, False), (2, True)])
 def test_pairs_stay_linear(spark, monkeypatch, changed, together):
     """A group of 600 near misses or near copies makes no pairs by the square."""
     rows = near_misses(600, 400, changed, random.Random(2))
