@@ -35,6 +35,28 @@ def test_automaton_equals_plain_windows(words, items, window):
     assert (set(np.flatnonzero(hit).tolist()), found) == plain_hits(words, named, window)
 
 
+@settings(max_examples=60, deadline=None)
+@given(letters, st.lists(letters, max_size=4), st.integers(1, 5), st.integers(1, 8))
+def test_written_automaton_of_pieces(words, items, window, most):
+    """Pieces of items have all their windows; what a table holds of an automaton is all of it."""
+    pieces = [(str(i), p) for i, x in enumerate(items) if x for p in decontamination.pieces_of(x, window, most)]
+    assert all(len(p) <= max(most, window) for _, p in pieces)
+    read = decontamination.Automaton.load(decontamination.Automaton(pieces, window).row())
+    hit, found = read.scan(words)
+    assert (set(np.flatnonzero(hit).tolist()), found) == plain_hits(words, [(str(i), x) for i, x in enumerate(items)], window)
+
+
+def test_long_matches_and_common_words_stay_linear():
+    """States a word stay few, edges are found in order, a document that holds
+    a whole long item of few words is streamed once."""
+    same, rng = [b"x"] * 30_000, random.Random(5)
+    mixed = [rng.choice([b"the", b"of", b"a", b"to"]) for _ in range(30_000)]
+    made = decontamination.Automaton([("same", same), ("mixed", mixed), ("short", [b"x", b"x"])])
+    assert len(made.parts["link"]) <= 2 * 60_003 and len(made.parts["edge_to"]) <= 3 * 60_003
+    hit, found = made.scan(same + [b"other"] + mixed[100:20_000] + [b"x"])
+    assert found == {"same", "mixed", "short"} and np.flatnonzero(~hit).tolist() == [30_000, 49_901]
+
+
 ITEM = "One two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"
 
 
@@ -69,6 +91,10 @@ def test_contaminated_documents_go_and_spans_are_cut(spark, docs):
     rows = with_items(docs)
     bad = {r["doc_id"] for r in decontamination.scan(rows, bench(spark)).filter(decontamination.contaminated()).collect()}
     out = decontamination.decontaminate(rows, bench(spark), max_span=5).collect()
+    blocks = decontamination.decontaminate(rows, bench(spark), max_span=5, block_bytes=20)
+    assert blocks.columns == rows.columns and sorted(map(str, blocks.collect())) == sorted(map(str, out))
+    assert decontamination.decontaminate(rows, bench(spark), block_bytes=20).count() == len(out)
+    assert decontamination.decontaminate(rows, bench(spark), coverage=None, block_bytes=20).count() == rows.count()
     assert {20, 21, 22, 25} <= bad and 23 not in bad
     assert sorted(str(r["doc_id"]) for r in out) == sorted(str(r["doc_id"]) for r in rows.collect() if r["doc_id"] not in bad)
     text = {r["doc_id"]: r["text"] for r in out}
@@ -78,6 +104,15 @@ def test_contaminated_documents_go_and_spans_are_cut(spark, docs):
     assert decontamination.scan(docs.limit(0), bench(spark)).count() == 0
 
 
+def test_blocks_are_bounded_and_built_by_tasks(spark):
+    rows = [(i, f"item {i} " + " ".join(f"w{(i * 7 + k) % 50}" for k in range(40))) for i in range(30)] + [(99, ITEM)] * 50
+    items = spark.createDataFrame(rows, "item_id bigint, text string")
+    made = decontamination.automata(items, block_bytes=1000).selectExpr("block", "length(words) as words", "length(link) / 4 as states").collect()
+    assert len(made) > 5 and len({r["block"] for r in made}) == len(made) and all(r["states"] <= 1001 for r in made)
+    found = decontamination.scan(spark.createDataFrame([(1, ITEM)], "doc_id bigint, text string"), items, block_bytes=1000).collect()
+    assert [(r["n_hit"], r["items"]) for r in found] == [(15, ["99"])]
+
+
 @pytest.fixture(scope="module")
 def codec():
     return bpe.Codec(bpe.load_vocabulary(bpe.vocabulary_path()))
