@@ -292,7 +292,9 @@ def page_branches(pages: DataFrame) -> DataFrame:
             for i, (url, page) in enumerate(zip(batch.column("url").to_pylist(), batch.column("html"))):
                 blocks, marked = article(*parse(page.as_py() or ""))
                 own = {_signed(b.key) for node, _ in blocks for b in branches(node, marked)}
-                keys, hosts, found = keys + [i] * len(own), hosts + [host_of(url)] * len(own), found + list(own)
+                keys.extend([i] * len(own))
+                hosts.extend([host_of(url)] * len(own))
+                found.extend(own)
             at = pa.array(keys, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("_key").take(at), pa.array(hosts, pa.string()), pa.array(found, pa.int64())], ["_key", "host", "branch"])
 

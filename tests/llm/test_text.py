@@ -1,7 +1,9 @@
 """Decontamination, BPE, page text against plain versions and the library."""
 
 import hashlib
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -212,6 +214,42 @@ def site(n=12):
     return rows
 
 
+def plain_tree(rows):
+    """(host, branch) -> (pages, importance), by the docstring's formula over plain dictionaries."""
+    kids, texts, below = {}, {}, {}
+    for host, page in {(site_tree.host_of(url), html or "") for _, url, html in rows}:
+        for node, text in site_tree.parse(page)[0]:
+            chain = site_tree.around(node)
+            for b in chain:
+                kids.setdefault((host, b.key), set()).add((" ".join(b.kids), page))
+                below.setdefault((host, b.key), set()).add(chain[0].key)
+            if chain:
+                texts.setdefault((host, chain[0].key), set()).add((text, page))
+
+    def spread(seen):
+        counts = list(Counter(value for value, _ in seen).values())
+        n = sum(counts)
+        return (-sum(c / n * math.log(c / n) for c in counts) / math.log(n) if n > 1 else 1.0), n, len(counts)
+
+    out = {}
+    for (host, key), seen in kids.items():
+        shape, n, kinds = spread(seen)
+        parts = [spread(texts[host, k])[:2] for k in below[host, key]]
+        content = sum(e * m for e, m in parts) / sum(m for _, m in parts)
+        out[host, site_tree._signed(key)] = (n, (1 - site_tree.DECAY**kinds) * shape + site_tree.DECAY**kinds * content)
+    return out
+
+
+def test_importance_equals_the_plain_formula(spark):
+    deep = [(50 + i, "http://y.example/p", f"<body><div class=a><div class=b>{'<p>x</p>' * (i % 3)}<p>t{i % 4}</p></div>tail</div><div id=c>{i}</div>") for i in range(7)]
+    rows = site() + deep + [(60, "http://y.example/q", PAGE), (61, None, PAGE), (62, None, None), (63, "http://y.example/p", deep[0][2])]
+    got = site_tree.style_tree(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    want = plain_tree(rows)
+    assert {(r["host"], r["branch"]): r["pages"] for r in got} == {k: n for k, (n, _) in want.items()}
+    for r in got:
+        assert r["importance"] == pytest.approx(want[r["host"], r["branch"]][1], abs=1e-9)
+
+
 @pytest.mark.parametrize("sent", [1000, 0])
 def test_branches_alike_on_every_page_go(spark, sent):
     rows = site() + [(100, "http://other.example/", site(1)[0][2]), (None, None, None), (101, None, ""), (3, "http://x.example/3", site()[3][2])]
