@@ -2,10 +2,10 @@
 
 Training: a character is a 16-bit symbol, so a 4-gram is one 64-bit number; all
 scripts keep their letters (digits are one symbol, blanks one, characters beyond
-U+FFFF share the 6,400 symbols of the private-use area). The 4-grams of trusted
-texts (labels: good and not toxic; at most ``MAX_TRUSTED`` documents, chosen by
-hash) are counted; continuation counts, context totals, counts of counts and the
-three discounts of every order are aggregations of that table.
+U+FFFF share the 6,400 symbols of the private-use area). The 4-grams of all
+trusted texts (labels: good and not toxic) but those held out are counted;
+continuation counts, context totals, counts of counts and the three discounts of
+every order are aggregations of that table.
 
 Scoring: documents are dealt into blocks. A block asks for its distinct
 4-grams; the asked grams are joined with the count tables of every order and
@@ -14,7 +14,7 @@ probability; a block gets back its own grams and scores whole texts: the cross
 entropy, and the largest surprise of ``WINDOW`` characters in a row.
 
 Decision: per language, quantiles of the trusted documents that were held out of
-training bound both. A text that is ordinary as a whole is rejected for one
+training (one in ``CALIBRATION_SHARE``, by hash) bound both. A text that is ordinary as a whole is rejected for one
 passage such as no trusted text has. The mean of a short text is drawn
 towards the language's median, as if ``PRIOR`` typical characters stood before
 it; the largest surprise grows with the logarithm of a text's length, and is
@@ -39,13 +39,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import block_count, drop_held, row_block, ship, staged, table
+from eventlake.llm.common import block_count, drop_held, release, row_block, ship, staged, table
 
 ORDER = 4
 BITS = 16
-#: Bound on the labelled documents the model is fitted on, and those held out
-#: of it (one in so many) for the quantiles.
-MAX_TRUSTED = 20_000
+#: Of the trusted documents, one in so many is held out for the quantiles.
 CALIBRATION_SHARE = 5
 QUANTILE = 0.995
 PRIOR, PRIOR_DOCS = 60.0, 20.0
@@ -90,15 +88,15 @@ def low_order(g: Column, k: int) -> Column:
     return g.bitwiseAND(F.lit((1 << BITS * k) - 1).cast("long")) if k < ORDER else g
 
 
-def trusted_ids(labels: DataFrame, most: int = MAX_TRUSTED) -> DataFrame:
-    """(doc_id, held_out) of at most ``most`` trusted documents."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """(doc_id, held_out) of all trusted documents."""
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).filter("q = 1 and coalesce(t, 0) = 0 and doc_id is not null")
-    return good.select(F.col("doc_id").cast("long").alias("doc_id")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).withColumn("held_out", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(CALIBRATION_SHARE)) == 0)
+    return good.select(F.col("doc_id").cast("long").alias("doc_id")).withColumn("held_out", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(CALIBRATION_SHARE)) == 0)
 
 
 def gram_counts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(g, n) over the trusted texts; ``ids`` is bounded by its parameter."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("_text")).join(F.broadcast(ids.filter("not held_out").select("doc_id")), "doc_id", "left_semi")
+    """(g, n) over the trusted texts that are not held out."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("_text")).join(ids.filter("not held_out").select("doc_id"), "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def counted(parts: list[np.ndarray]) -> pa.RecordBatch:
@@ -230,9 +228,10 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Da
     spark = ship(docs.sparkSession)
     ids = staged(spark, trusted_ids(labels), "trusted")
     model = Model(staged(spark, gram_counts(docs, ids), "grams"))
+    release(spark)
     scored = staged(spark, cross_entropy(docs, model), "entropy")
     mean = F.col("nats") / F.col("n_symbols")
-    held = scored.join(F.broadcast(ids.filter("held_out").select("doc_id")), "doc_id", "left_semi")
+    held = scored.join(ids.filter("held_out").select("doc_id"), "doc_id", "left_semi")
     every = held.withColumn("lang", F.lit(None).cast("string")).withColumn("all", F.lit(True)).unionByName(held.withColumn("all", F.lit(False)).filter("lang is not null"))
     middle = every.groupBy(F.col("all").alias("_all"), F.col("lang").alias("_lang")).agg(F.percentile_approx(mean, 0.5, 10_000).alias("mu"), F.count(F.lit(1)).alias("docs"))
     with_mu = every.join(middle, F.expr("all <=> _all and lang <=> _lang")).select("all", "lang", "mu", "docs", _drawn(F.col("mu")).alias("drawn"), _level_peak().alias("peak"))

@@ -228,6 +228,19 @@ def test_decisions_equal_a_plain_version(spark):
     assert not out[500]["kept"] and not out[501]["kept"]
 
 
+def test_all_trusted_documents_make_the_model(spark):
+    """No bound on the labelled documents: each is counted or held out."""
+    n = 20_500
+    labels = spark.range(n).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    docs = spark.range(n).selectExpr("id as doc_id", "'ab' as text", "'en' as lang")
+    ids = kneser_ney.trusted_ids(labels).cache()
+    held = ids.filter("held_out").count()
+    assert ids.count() == n and 0 < held < n // 2
+    counts = {r["n"] for r in kneser_ney.gram_counts(docs, ids).collect()}
+    assert counts == {n - held}
+    ids.unpersist()
+
+
 def test_letters_of_all_scripts_count(spark):
     """Junk in a script is told from its texts, whatever the script."""
     rng = np.random.default_rng(4)
