@@ -13,7 +13,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.session import staging_root
@@ -65,6 +66,21 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_count(spark: SparkSession, df: DataFrame, name: str, rows: Column | None = None) -> tuple[DataFrame, int]:
+    """``staged``, and how many rows were written (of them, those where ``rows``
+    holds), counted by the write itself."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    out = staged(spark, df.observe(seen, F.count(F.lit(1) if rows is None else F.when(rows, 1)).alias("n")), name)
+    return out, seen.get["n"]
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted, by one sort (``np.unique`` without counts hashes
+    large arrays first, which takes many times as long)."""
+    values = np.sort(values)
+    return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs now. It does so when
     the driver has collected its garbage, which a driver with little to do may

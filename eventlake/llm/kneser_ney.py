@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import block_count, drop_held, release, row_block, ship, staged, table
+from eventlake.llm.common import block_count, distinct, drop_held, release, row_block, ship, staged, table
 
 ORDER = 4
 BITS = 16
@@ -179,8 +179,8 @@ def cross_entropy(docs: DataFrame, model: Model) -> DataFrame:
             parts.append(grams_of(text.as_py()))
             size += len(parts[-1])
             if size >= CHUNK:
-                seen, parts, size = np.unique(np.concatenate([seen, *parts])), [], 0
-        seen = np.unique(np.concatenate([seen, *parts]))
+                seen, parts, size = distinct(np.concatenate([seen, *parts])), [], 0
+        seen = distinct(np.concatenate([seen, *parts]))
         return pa.table({"_block": pa.array(np.full(len(seen), part["_block"][0].as_py(), np.int32)), "g": seen})
 
     def scored(part: pa.Table, found: pa.Table) -> pa.Table:

@@ -42,8 +42,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import drop_held, release, ship, staged, table, unwrapped
-from eventlake.llm.components import components
+from eventlake.llm.common import distinct, drop_held, release, ship, staged, staged_count, table, unwrapped
+from eventlake.llm.components import extended
 
 K = 32
 MISS = 1e-7
@@ -73,11 +73,17 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        out = self[word] = xxhash.xxh64_intdigest(word)
+        return out
+
+
 class Shingler:
     """Hashes of distinct shingles; the hashes of words are kept up to a bound."""
 
     def __init__(self, size: int, most: int = 500_000):
-        self.size, self.most, self.known = size, most, {}
+        self.size, self.most, self.known = size, most, _WordHashes()
 
     def hashes(self, words: list[bytes]) -> np.ndarray:
         if not words:
@@ -85,8 +91,6 @@ class Shingler:
         known = self.known
         if len(known) > self.most:
             known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh64_intdigest(w)
         h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         n = min(self.size, len(words))
         out = h[: len(h) - n + 1].copy()
@@ -94,7 +98,7 @@ class Shingler:
             out = (out ^ (out >> np.uint64(29))) * _MIX[0] + h[i : len(h) - n + 1 + i] * _MIX[1]
         out ^= out >> np.uint64(32)
         out *= _MIX[0]
-        return np.unique(out ^ (out >> np.uint64(31)))
+        return distinct(out ^ (out >> np.uint64(31)))
 
     def signature(self, hashes: np.ndarray) -> np.ndarray:
         low = np.full(K, np.iinfo(np.uint64).max, np.uint64)
@@ -281,12 +285,6 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, num: int = 80, den:
     posted = staged(spark, linkable(posted, fetched, shingle_words, num, den), "linkable")
     release(spark)
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        """The links among ``pairs``."""
-        found = staged(spark, confirmed(pairs, fetched, shingle_words, num, den), "links")
-        release(spark)
-        return found
-
     def lists_now() -> DataFrame:
         """The prefix lists with the component of each member and its size."""
         named = posted.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -294,18 +292,19 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, num: int = 80, den:
         return in_lists(named.join(sizes, "label", "left").withColumn("size", F.coalesce("size", F.lit(1))))
 
     labels = classes.select("node", F.col("node").alias("label")).limit(0)
-    links = tried = None
+    joined = tried = None
     for turn in range(STAR_TURNS + 1):
         fresh = residual_pairs(lists_now(), t, num, den) if turn == STAR_TURNS else star_pairs(lists_now(), t, num, den, turn)
-        fresh = staged(spark, fresh.join(tried, ["a", "b"], "left_anti") if tried is not None else fresh, "pairs")
+        fresh, pairs = staged_count(spark, fresh.join(tried, ["a", "b"], "left_anti") if tried is not None else fresh, "pairs")
         release(spark)
-        if fresh.isEmpty():
+        if not pairs:
             continue
         tried = fresh if tried is None else tried.unionByName(fresh)
-        more = confirm(fresh)
-        if not more.isEmpty():
-            links = more if links is None else links.unionByName(more)
-            labels = components(spark, links)
+        links, found = staged_count(spark, confirmed(fresh, fetched, shingle_words, num, den), "links")
+        release(spark)
+        if found:
+            labels = joined = extended(spark, joined, links)
+            release(spark)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node"))
     named = classes.select("node", "doc_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     heads = named.groupBy("label").agg(least.alias("least"))

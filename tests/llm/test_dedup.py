@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,3 +196,37 @@ def test_odd_rows_lose_only_repeats(docs):
     assert got[3] == [None] and got[4] == [""] and got[2] == ["unlike all others, this text has its own words only"]
     assert "same id, other text" in got[11] and got[15][0] == "" and "tail" in got[10][0]
     assert suffix_dedup.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_components_grow_by_later_links(spark):
+    """Links in portions give the components of all of them, and what was joined
+    before is not gone through again."""
+    from eventlake.llm.components import extended
+
+    rng = np.random.default_rng(11)
+    pairs = [tuple(int(x) for x in rng.choice(120, 2, replace=False)) for _ in range(90)]
+    labels = None
+    for at in range(0, 90, 30):
+        labels = extended(spark, labels, spark.createDataFrame(pairs[at : at + 30], "a bigint, b bigint"))
+        want = components(spark, spark.createDataFrame(pairs[: at + 30], "a bigint, b bigint"))
+        assert sorted(map(tuple, labels.collect())) == sorted(map(tuple, want.collect()))
+    # a chain that is joined already is one node of the later round
+    chain = extended(spark, None, spark.createDataFrame([(i, i + 1) for i in range(40)], "a bigint, b bigint"))
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("later-link", "")
+    more = extended(spark, chain, spark.createDataFrame([(40, 99)], "a bigint, b bigint"))
+    n = len(jobs.getJobIdsForGroup("later-link"))
+    spark.sparkContext.setJobGroup("all-links", "")
+    components(spark, spark.createDataFrame([(i, i + 1) for i in range(40)] + [(40, 99)], "a bigint, b bigint"))
+    assert n < len(jobs.getJobIdsForGroup("all-links"))
+    assert {tuple(r) for r in more.collect()} == {(i, 0) for i in [*range(41), 99]}
+
+
+def test_distinct_is_unique():
+    from eventlake.llm.common import distinct
+
+    rng = np.random.default_rng(12)
+    for n in (0, 1, 7, 5000):
+        for kind in (np.uint64, np.int64):
+            values = rng.integers(0, 1 + n // 2, n).astype(kind)
+            assert (distinct(values) == np.unique(values)).all()
