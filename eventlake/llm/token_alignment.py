@@ -52,6 +52,10 @@ MAX_MODEL_BYTES = 64 << 20
 #: Text of a block, and of what a task aligns at a time.
 BLOCK_BYTES, GROUP_BYTES = 8 << 20, 1 << 20
 CACHE_WORDS = 350_000
+#: New words that are one text, and whose bytes are compared at once.
+JOINED_WORDS, CHECKED_WORDS = 64, 512
+#: Bytes of the first probe of two stretches.
+PROBE = 32
 #: Longer stretches without a blank are not kept.
 CACHE_CHARS = 64
 #: Groups of up to so many links are written out, larger ones counted by id.
@@ -82,12 +86,24 @@ class Bytewise:
         self.token = [b""] * (max(vocabulary.values()) + 1)
         for name, i in vocabulary.items():
             self.token[i] = bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode()
+        self.begins = np.array([t.startswith(b" ") for t in self.token])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids."""
         return [array("I", e.ids).tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+    def encode_words(self, spaced: list[str]) -> list[bytes]:
+        """``encode`` of words with a blank before each, several as one text: the
+        tokens that begin with a blank begin the words."""
+        out = []
+        groups = [spaced[at : at + JOINED_WORDS] for at in range(0, len(spaced), JOINED_WORDS)]
+        for group, ids in zip(groups, self.encode(["".join(g) for g in groups])):
+            edges = [*(4 * np.flatnonzero(self.begins[np.frombuffer(ids, "<u4")])).tolist(), len(ids)]
+            out += [ids[a:b] for a, b in zip(edges, edges[1:])] if len(edges) == len(group) + 1 else self.encode(group)
+        return out
+
+
 class Pieces:
     """A piece model, and the bytes of its tokens."""
 
@@ -114,7 +130,7 @@ def common_ends(ea: np.ndarray, eb: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     runs: list[int] = []  # start in a, start in b, length
     i = j = 0
     while i < n:
-        x, y, step, most = 8 * i, 8 * j, 8, 8 * n  # in bytes
+        x, y, step, most = 8 * i, 8 * j, PROBE, 8 * n  # in bytes
         while x < most and a[x : x + step] == b[y : y + step]:
             x += step
             y += step
@@ -189,7 +205,14 @@ class Aligner:
         good = [w for w in words if w and w.strip(bpe.BLANKS) == w] if self.pieces.by_word else []
         if good:
             spaced = [" " + w for w in good]
-            found |= {w: self._checked(*c) for w, c in zip(good, zip(spaced, self.bytewise.encode(spaced), self.pieces.encode(good)))}
+            xs, ys = self.bytewise.encode_words(spaced), self.pieces.encode(good)
+            for at in range(0, len(good), CHECKED_WORDS):
+                part = slice(at, at + CHECKED_WORDS)
+                want = [w.encode() for w in spaced[part]]
+                if self._all_joined(xs[part], self.a_bytes, self.a_size, want) and self._all_joined(ys[part], self.b_bytes, self.b_size, want):
+                    found |= zip(good[part], zip(xs[part], ys[part]))
+                else:
+                    found |= {w: self._checked(*c) for w, c in zip(good[part], zip(spaced[part], xs[part], ys[part]))}
         return found
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
@@ -210,13 +233,23 @@ class Aligner:
                 whole = self._checked(" " + t, *self.bytewise.encode([" " + t]), *self.pieces.encode([t])) if t else None
                 out.append(whole or (b"", b""))
             else:
-                out.append((b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])))
+                x, y = zip(*parts)
+                out.append((b"".join(x), b"".join(y)))
         return out
 
     @staticmethod
     def _joined(ids: bytes, tokens: list[bytes]) -> bytes:
         return b"".join([tokens[i] for i in memoryview(ids).cast("I")])
 
+    @staticmethod
+    def _all_joined(ids: list[bytes], tokens: list[bytes], sizes: np.ndarray, want: list[bytes]) -> bool:
+        """Whether each of some lists of ids gives the bytes wanted."""
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        ends = np.cumsum([len(x) // 4 for x in ids])
+        if not np.array_equal(np.r_[0, np.cumsum(sizes[flat])][ends], np.cumsum([len(w) for w in want])):
+            return False
+        return b"".join(map(tokens.__getitem__, flat.tolist())) == b"".join(want)
+
     def align(self, texts: list[str]) -> list[tuple]:
         """(n_a, n_b, n_groups, n_links, groups_sha256, pairs, times) of each text."""
         coded = self.encode(texts)

@@ -124,3 +124,22 @@ def test_query_equals_the_libraries(spark, libraries):
 
     rows = [(r["doc_id"], r["text"]) for r in table(spark, SF_SMALL, "documents").select("doc_id", "text").collect()]
     assert sorted(map(tuple, TA.query(spark, SF_SMALL).collect()), key=str) == plain(libraries, rows)
+
+
+def test_words_encoded_together_are_as_each_alone(monkeypatch):
+    rng = random.Random(5)
+    words = ["", *["".join(rng.choice("abz é漢🙂'1.,-\t　▁<|>s") for _ in range(rng.randint(1, 9))).replace(" ", "_") for _ in range(600)], "don't", "<s>", "<|endoftext|>"]
+    aligner = TA.Aligner(TA.load(bpe.vocabulary_path()), TA.load(bpe.vocabulary_path(TA.PIECES)))
+    good = [w for w in words if w and w.strip(bpe.BLANKS) == w]
+    spaced = [" " + w for w in good]
+    assert aligner.bytewise.encode_words(spaced) == aligner.bytewise.encode(spaced)
+    found = aligner._learn(words)
+    for w, s, x, y in zip(good, spaced, aligner.bytewise.encode(spaced), aligner.pieces.encode(good)):
+        assert found[w] == aligner._checked(s, x, y)
+    assert all(found[w] is None for w in words if w not in good) and any("▁" in w for w in good)
+    # one call for many words
+    calls = []
+    encode = aligner.bytewise.encode
+    monkeypatch.setattr(aligner.bytewise, "encode", lambda texts: calls.append(len(texts)) or encode(texts))
+    aligner._learn([f"word{i}" for i in range(1000)])
+    assert sum(calls) <= -(-1000 // TA.JOINED_WORDS)
