@@ -43,8 +43,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import block_count, drop_held, release, row_block, ship, staged, table
-from eventlake.llm.components import components
+from eventlake.llm.common import block_count, drop_held, release, row_block, ship, staged, staged_count, table
+from eventlake.llm.components import extended
 from eventlake.llm.near_dedup import Shingler, confirmed, words_of
 
 #: Text of a block, and text whose shingles one shard counts.
@@ -142,23 +142,25 @@ def prefixes(rows: DataFrame, rarities: DataFrame, shingle_words: int, num: int,
     def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         drop_held()
         sets = _sets(Shingler(shingle_words), docs.column("text"))
-        hashes = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]))
+        every = np.concatenate([*sets, np.empty(0, np.uint64)])
+        places_of = np.unique(every, return_inverse=True)[1]  # among the block's distinct hashes
         order = np.argsort(answers.column("shard").to_numpy()) if len(answers) else []
         told = answers.column("rarity")
-        rarity = np.frombuffer(b"".join(told[int(i)].as_py() for i in order), np.uint8)
+        rarity = np.frombuffer(b"".join(told[int(i)].as_py() for i in order), np.uint8)[places_of]
+        ends = np.cumsum([len(mine) for mine in sets]).tolist()
         nodes, groups, keys, places, loads, texts = [], [], [], [], [], []
-        for mine, text in zip(sets, docs.column("text")):
+        for mine, end, text in zip(sets, ends, docs.column("text")):
             node = group = key = place = load = kept = None
             if len(mine):
                 node = hashlib.blake2b(mine.tobytes(), digest_size=16).digest()
-                rare = rarity[np.searchsorted(hashes, mine)]
+                rare = rarity[end - len(mine) : end]
                 first = np.argsort(rare, kind="stable")[: prefix_size(len(mine), num, den)]  # hashes are sorted
                 shared = np.flatnonzero(rare[first] > 1)
                 if len(shared):
                     prefix = mine[first]
                     group = hashlib.blake2b(prefix.tobytes(), digest_size=16, key=len(mine).to_bytes(8, "little")).digest()
                     key, place = prefix[shared].view(np.int64), shared.astype(np.int32)
-                    load, kept = np.bincount((mine[rare > 1] % np.uint64(LOADS)).astype(np.int64), minlength=LOADS).astype(np.int32), text
+                    load, kept = np.bincount((mine[rare > 1] % np.uint64(LOADS)).view(np.int64), minlength=LOADS).astype(np.int32), text
             nodes.append(node)
             groups.append(group)
             keys.append(key)
@@ -249,7 +251,7 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 5, num: int = 80, d
         known = labels.join(sizes, "label").select(F.col("node").alias(node), "label", "size")
         return df.join(known, node, "left").withColumn("label", F.coalesce("label", node)).withColumn("size", F.coalesce("size", F.lit(1)))
 
-    links = tried = None
+    joined = tried = None
     for turn in range(TURNS + 1):
         if turn < TURNS:
             pairs = head_pairs(named(lists, "rep"), turn, num, den)
@@ -261,16 +263,16 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 5, num: int = 80, d
             # a group's members have their whole prefix in common, from its first place on
             own = inside.select("node", F.col("grp").alias("_g"), "n").join(apart, "node").select(F.xxhash64("_g").alias("key"), F.lit(0).alias("place"), "n", "node", "label", "size")
             pairs = other_pairs(by_member.select("key", "place", "n", "node", "label", "size").union(own), members.select("node", "loads"), num, den)
-        fresh = staged(spark, pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs.distinct(), "pairs")
+        fresh, made = staged_count(spark, pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs.distinct(), "pairs")
         release(spark)
-        if fresh.isEmpty():
+        if not made:
             continue
         tried = fresh if tried is None else tried.unionByName(fresh)
-        found = staged(spark, confirmed(fresh, fetched, shingle_words, num, den), "links")
+        links, found = staged_count(spark, confirmed(fresh, fetched, shingle_words, num, den), "links")
         release(spark)
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = components(spark, links)
+        if found:
+            labels = joined = extended(spark, joined, links)
+            release(spark)
     by = F.min(F.struct(F.col("least.none").alias("none"), F.col("least.doc_id").alias("doc_id"))).alias("m")
     label = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     heads = label.groupBy("label").agg(by).select("label", F.col("m.doc_id").alias("component_id"))
