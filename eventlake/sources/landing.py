@@ -50,9 +50,14 @@ def entry_name(path: str | Column, suffix: str = S.DEFAULT_SUFFIX) -> Column:
     file inside one (without a ``key=`` partition prefix), else the file's
     own name."""
     p = F.col(path) if isinstance(path, str) else path
-    inside = F.regexp_extract(p, r"(?:[^/=]+=)?([^/=]+\.parquet)/[^/]+$", 1)
-    own = F.regexp_replace(base_name(p), r"^[^=]+=", "")
-    return F.when(inside != "", inside).otherwise(own)
+    # it runs for every row of a scan, so the path is cut at its marks: a pattern
+    # that may begin anywhere takes the square of a component's length
+    after = lambda c, mark: F.substring_index(c, mark, -1)
+    folder = after(F.substring_index(F.substring_index(p, "/", -2), "/", 1), "=")
+    inside = p.contains("/") & ~p.endswith("/") & folder.endswith(".parquet") & (F.length(folder) > len(".parquet"))
+    own = after(F.when(p.endswith("/"), p.substr(F.lit(1), F.length(p) - 1)).otherwise(p), "/")
+    key = F.instr(own, "=")
+    return F.when(inside, folder).when(key > 1, own.substr(key + 1, F.length(own))).otherwise(own)
 
 
 def in_file_range(path: str | Column, start: date | str, end: date | str, suffix: str = S.DEFAULT_SUFFIX) -> Column:

@@ -1,5 +1,6 @@
 """Order along a curve, visible versions, filters by day, changes, chunks."""
 
+import itertools
 import random
 import re
 from datetime import date, timezone
@@ -431,6 +432,40 @@ def test_a_stream_lands_each_file_once(spark, folder):
     assert told == [] and spark.read.parquet(str(folder / "out")).count() == 10
 
 
+def test_a_stream_opens_only_files_to_be_landed(spark, folder):
+    from eventlake.sources import landing as L
+    from eventlake.streaming import landing as SL
+
+    put = lambda path: spark.range(3).selectExpr("CAST(id AS STRING) AS request_id").coalesce(1).write.parquet(str(folder / "in" / path))
+    run = lambda: SL.land_new(spark, str(folder / "in"), str(folder / "out"), str(folder / "state"), "request_id string")
+    put("a [1]{x}*?/day_file=20240101_OTA.parquet")
+    assert run() == ["20240101_OTA.parquet"]
+    for name in ("20240101_OTA.parquet", "20240102_XYZ.parquet"):  # landed already; another suffix
+        (folder / "in" / name).write_bytes(b"not parquet")
+    put("day_file=20240103_OTA.parquet")
+    assert run() == ["20240103_OTA.parquet"]
+    rows = spark.read.parquet(str(folder / "out")).groupBy(L.DAY_FILE).count().collect()
+    assert {r[0]: r[1] for r in rows} == {"20240101_OTA.parquet": 3, "20240103_OTA.parquet": 3}
+
+
+def test_entry_names_as_by_pattern(spark):
+    from eventlake.sources import landing as L
+
+    parts = ["", "a", "k=v", "=", "=b", "a=b=c", "x.parquet", ".parquet", "k=.parquet", "k=x.parquet", "a=b=x.parquet", "=x.parquet", "x.parquet.parquet", "ü=ö.parquet"]
+    paths = [*parts, *("/".join(p) for p in itertools.product(parts, repeat=2)), *("/".join(p) for p in itertools.product(parts, repeat=3)), "s3://b/k=1/20240101_OTA.parquet"]
+
+    def by_pattern(p):
+        if inside := re.search(r"(?:[^/=]+=)?([^/=]+\.parquet)/[^/]+$", p):
+            return inside[1]
+        own = re.search(r"([^/]+)/?$", p)
+        return re.sub(r"^[^=]+=", "", own[1] if own else "")
+
+    rows = spark.createDataFrame([(p,) for p in [*paths, None]], "path string")
+    got = {r[0]: r[1] for r in rows.select("path", L.entry_name("path")).collect()}
+    assert got == {p: by_pattern(p) for p in paths} | {None: None}
+    assert "regexp" not in plan_of(rows.select(L.entry_name("path")))
+
+
 # --- scripts ---------------------------------------------------------------------
 
 
