@@ -11,6 +11,8 @@ import gc
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -41,6 +43,20 @@ def drop_held() -> None:
     _HELD.clear()
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """Python's search for reference cycles, off: it looks through all that a worker
+    holds again and again while many small objects are made. Objects without cycles
+    are freed as ever."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Give the Python workers this package, once per application."""
     app = spark.sparkContext.applicationId

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm import bpe
-from eventlake.llm.common import block_count, drop_held, held, release, row_block, ship, staged, table
+from eventlake.llm.common import block_count, drop_held, held, release, row_block, ship, staged, table, uncollected
 
 PIECES = "piece_bpe_32k.model"
 MAX_MODEL_BYTES = 64 << 20
@@ -250,6 +250,7 @@ class Aligner:
             return False
         return b"".join(map(tokens.__getitem__, flat.tolist())) == b"".join(want)
 
+    @uncollected()
     def align(self, texts: list[str]) -> list[tuple]:
         """(n_a, n_b, n_groups, n_links, groups_sha256, pairs, times) of each text."""
         coded = self.encode(texts)

@@ -143,3 +143,17 @@ def test_words_encoded_together_are_as_each_alone(monkeypatch):
     monkeypatch.setattr(aligner.bytewise, "encode", lambda texts: calls.append(len(texts)) or encode(texts))
     aligner._learn([f"word{i}" for i in range(1000)])
     assert sum(calls) <= -(-1000 // TA.JOINED_WORDS)
+
+
+def test_cycles_are_not_searched_for_while_texts_are_aligned(libraries):
+    import gc
+
+    aligner = TA.Aligner(TA.load(bpe.vocabulary_path()), TA.load(bpe.vocabulary_path(TA.PIECES)))
+    searches = lambda: sum(s["collections"] for s in gc.get_stats())
+    texts = [" ".join(f"new{i}word{k}" for i in range(4000)) for k in range(10)]
+    before = searches()
+    aligner.align(texts)
+    assert searches() - before <= 1 and gc.isenabled()
+    with pytest.raises(AttributeError):
+        aligner.align([0])
+    assert gc.isenabled()
