@@ -31,12 +31,12 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,33 +55,64 @@ TASK_BYTES = 2 << 20
 GROUP_TOKENS = 1 << 21
 RATE = 0.01
 BLOCK_BYTES = 24 << 20
-#: Words a task counts before it hands the counts on.
-COUNTER_WORDS = 300_000
 END = b"\n"
 
 _ENDS = {46: 1, 44: 2, 33: 3, 63: 3}
 #: Letters that tell languages apart, as UTF-8 continuations of C3.
 _MARKS = [b"\xc3\xa4\xc3\xb6\xc3\xbc\xc3\x9f", b"\xc3\xb1\xc3\xad\xc3\xb3\xc3\xba\xc3\xa1", b"\xc3\xa8\xc3\xaa\xc3\xa7\xc3\xa0\xc3\xa2\xc3\xb9\xc3\xae\xc3\xb4"]
 GROUPS = 4 * 5 * 3
+#: Of a last byte, its end; of a byte after C3, a bit for its letters; of such bits
+#: (8: any byte beyond ASCII), the first mark.
+_END_OF, _MARK_OF = np.zeros(256, np.int32), np.zeros(256, np.uint8)
+_END_OF[list(_ENDS)] = list(_ENDS.values())
+for _k, _letters in enumerate(_MARKS):
+    _MARK_OF[list(_letters[1::2])] |= 1 << _k
+_FIRST_MARK = np.array([0] + [1 + ((m & -m).bit_length() - 1) for m in range(1, 16)], np.int32)
 
 
 def words_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def group_of(word: bytes) -> int:
-    """Spelling group: how the word ends, which marked letters it has, its length."""
-    end = _ENDS.get(word[-1], 0)
-    n = len(word) - (end > 0)
-    size = 0 if n <= 4 else 1 if n <= 9 else 2
-    mark = 0
-    if not word.isascii():
-        mark = 4
-        for k, letters in enumerate(_MARKS):
-            if any(letters[i : i + 2] in word for i in range(0, len(letters), 2)):
-                mark = k + 1
-                break
-    return (end * 5 + mark) * 3 + size
+def _buffers(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins (and the last one ends), and the bytes."""
+    _, offsets, data = words.buffers()
+    edges = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1]
+    return edges, np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+
+
+def split_words(texts: pa.Array | pa.ChunkedArray) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """The words of a column of texts, about ``BLOCK_BYTES`` of text at a time: how
+    many each text has, and all of them one after another."""
+    for chunk in texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]:
+        chunk = chunk.cast(pa.binary()).fill_null(b"")
+        size = np.cumsum(pc.binary_length(chunk).to_numpy(zero_copy_only=False), dtype=np.int64) // BLOCK_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), len(chunk)]
+        for a, b in zip(cuts, cuts[1:]):
+            # bytes are viewed as text, as the functions for words ask for; none looks beyond ASCII
+            lists = pc.ascii_split_whitespace(pc.ascii_lower(chunk.slice(a, b - a).view(pa.string())))
+            words = lists.flatten()
+            some = pc.greater(pc.binary_length(words), 0)  # a blank at an end gives an empty one
+            before = np.concatenate(([0], np.cumsum(some.to_numpy(zero_copy_only=False))))
+            yield np.diff(before[lists.offsets.to_numpy()]), words.filter(some).view(pa.binary())
+
+
+def groups_of(words: pa.Array) -> np.ndarray:
+    """Spelling group of words, none empty: how a word ends, which marked letters
+    it has, its length."""
+    if not len(words):
+        return np.zeros(0, np.int32)
+    edges, data = _buffers(words)
+    first, data = edges[:-1] - edges[0], data[edges[0] : edges[-1]]
+    last = edges[1:] - edges[0] - 1
+    end = _END_OF[data[last]]
+    n = last - first + 1 - (end > 0)
+    mark = np.zeros(len(data), np.uint8)
+    mark[data >= 0x80] = 8
+    at = np.flatnonzero(data[:-1] == 0xC3)
+    mark[at] |= _MARK_OF[data[at + 1]]
+    mark[last] &= 8  # the next byte is another word's
+    return (end * 5 + _FIRST_MARK[np.bitwise_or.reduceat(mark, first)]) * 3 + (n > 4) + (n > 9)
 
 
 @dataclass
@@ -101,6 +132,10 @@ class Vocabulary:
     def outputs(self) -> int:
         return self.n_classes + GROUPS + 1
 
+    @property
+    def words(self) -> pa.Array:
+        return pa.array(list(self.ids), pa.binary())
+
     @property
     def end_id(self) -> int:
         return len(self.ids) + GROUPS
@@ -113,27 +148,19 @@ def held_out():
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, n, grp) over all training documents; the end is a word of its own."""
 
+    def rows_of(words: pa.Array, n: pa.Array, grp: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([words, n, pa.array(grp, pa.int32())], ["word", "n", "grp"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_held()
-        counts: Counter[bytes] = Counter()
-
-        def flush() -> pa.RecordBatch:
-            words = list(counts)
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array([counts[w] for w in words], pa.int64()), pa.array([-1 if w == END else group_of(w) for w in words], pa.int32())],
-                ["word", "n", "grp"],
-            )
-            counts.clear()
-            return out
-
+        ends = 0
         for batch in batches:
-            for text in batch.column("_text"):
-                counts.update(words_of(text.as_py()))
-                counts[END] += 1
-                if len(counts) > COUNTER_WORDS:
-                    yield flush()
-        if counts:
-            yield flush()
+            ends += batch.num_rows
+            for _, words in split_words(batch.column("_text")):
+                counts = pc.value_counts(words)
+                yield rows_of(counts.field("values"), counts.field("counts"), groups_of(counts.field("values")))
+        if ends:
+            yield rows_of(pa.array([END], pa.binary()), pa.array([ends], pa.int64()), np.array([-1]))
 
     rows = docs.filter(~held_out()).select(F.col("text").cast("binary").alias("_text"))
     parts = rows.mapInArrow(run, "word binary, n bigint, grp int")
@@ -179,42 +206,55 @@ def _gru(x: np.ndarray, h: np.ndarray, reset: np.ndarray, U: np.ndarray, keep: b
     """States of a window: ``x`` (steps, lanes, 3H) is the projected input."""
     steps, lanes, width = x.shape
     H = width // 3
-    out = np.empty((steps, lanes, H), np.float32)
-    tape = np.empty((5, steps, lanes, H), x.dtype) if keep else None
-    resets = reset.any(axis=1)
+    out = np.empty((steps, lanes, H), x.dtype)
+    # gates apart: what a step works on lies together. They take exp(-v): the sign
+    # is turned beforehand
+    gates = np.ascontiguousarray(x.reshape(steps, lanes, 3, H).transpose(0, 2, 1, 3))
+    np.negative(gates[:, :2], out=gates[:, :2])
+    U = np.ascontiguousarray(U.reshape(H, 3, H).transpose(1, 0, 2))
+    np.negative(U[:2], out=U[:2])
+    from_states = np.empty((steps if keep else 1, 3, lanes, H), x.dtype)
+    first, resets = h, reset.any(axis=1)
     for t in range(steps):
         if resets[t]:
-            h = np.where(reset[t][:, None], np.float32(0), h)
-        g = h @ U
-        zr = x[t, :, : 2 * H] + g[:, : 2 * H]
-        np.exp(np.negative(zr, out=zr), out=zr)
+            h = np.where(reset[t][:, None], x.dtype.type(0), h)
+        g = np.matmul(h, U, out=from_states[t if keep else 0])
+        zr, n, new = gates[t, :2], gates[t, 2], out[t]
+        zr += g[:2]
+        np.exp(zr, out=zr)
         zr += 1
         np.reciprocal(zr, out=zr)
-        z, r = zr[:, :H], zr[:, H:]
-        n = r * g[:, 2 * H :]
-        n += x[t, :, 2 * H :]
+        np.multiply(zr[1], g[2], out=new)
+        n += new
         np.tanh(n, out=n)
-        if keep:
-            tape[0, t], tape[1, t], tape[2, t], tape[3, t], tape[4, t] = h, z, r, n, g[:, 2 * H :]
-        h = h - n
-        h *= z
-        h += n
-        out[t] = h
-    return out, h, tape
+        np.subtract(h, n, out=new)
+        new *= zr[0]
+        new += n
+        h = new
+    if not keep:
+        return out, h, None
+    before = np.concatenate((first[None], out[:-1]))
+    before[reset] = 0
+    return out, h, (before, gates[:, 0], gates[:, 1], gates[:, 2], from_states[:, 2])
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    if x.size and max(x.max(), -x.min()) > 60:  # beyond it exp() could leave the range of floats
-        x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _and_one(states: np.ndarray) -> np.ndarray:
+    """States with a last component for the biases."""
+    return np.concatenate((states, np.ones((len(states), 1), states.dtype)), axis=1)
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    if x.size and max(x.max(), -x.min()) > 60:
-        x = x - x.max(axis=1, keepdims=True)
-    x = np.exp(x)
-    x /= x.sum(axis=1, keepdims=True)
-    return x
+def _wide(weight: np.ndarray) -> bool:
+    """Whether exp() of a projected state could leave the range of floats. A state's
+    components lie between -1 and 1."""
+    return bool(weight.size and np.abs(weight).sum(axis=0).max() > 60)
+
+
+def _exp(x: np.ndarray, wide: bool) -> tuple[np.ndarray, np.ndarray]:
+    """exp(x), in place, by row up to a factor, and the sums of the rows."""
+    if wide:
+        x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    return x, x @ np.ones(x.shape[1], x.dtype)
 
 
 def _members(vocab: Vocabulary) -> list[slice]:
@@ -231,97 +271,107 @@ def _classes(vocab: Vocabulary, target: np.ndarray) -> np.ndarray:
 
 def log_probs(w: dict, vocab: Vocabulary, states: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log probability of token ids, without the share inside a group."""
-    cls = _classes(vocab, target)
-    out = _log_softmax(states @ w["C"] + w["c"])[np.arange(len(cls)), cls]
+    cls, rows, states = _classes(vocab, target), np.arange(len(target)), _and_one(states)
+    C, O = np.vstack((w["C"], w["c"])), np.vstack((w["O"], w["o"]))
+    p, total = _exp(states @ C, _wide(C))
+    out = np.log(p[rows, cls] / total)
     order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(vocab.n_classes + 1))
+    edges = np.searchsorted(cls[order], np.arange(vocab.n_classes + 1)).tolist()
+    by_class, target_of, wide = states[order], target[order], _wide(O)
+    inside = np.zeros_like(out)
     for k, part in enumerate(_members(vocab)):
-        at = order[edges[k] : edges[k + 1]]
-        if len(at) and part.stop - part.start > 1:
-            inside = _log_softmax(states[at] @ w["O"][:, part] + w["o"][part])
-            out[at] += inside[np.arange(len(at)), target[at] - part.start]
+        a, b = edges[k], edges[k + 1]
+        if b > a and part.stop - part.start > 1:
+            p, total = _exp(by_class[a:b] @ O[:, part], wide)
+            inside[a:b] = np.log(p[rows[: b - a], target_of[a:b] - part.start] / total)
+    out[order] += inside
     return out
 
 
 def gradients(w: dict, vocab: Vocabulary, ids: np.ndarray, target: np.ndarray, reset: np.ndarray, h: np.ndarray):
     """Loss gradients of one window (steps, lanes) and the state after it;
     targets below 0 are padding."""
-    H = w["U"].shape[0]
-    x = (w["E"] @ w["W"] + w["b"])[ids]
+    H, tokens = w["U"].shape[0], ids.reshape(-1)
+    embedded = _and_one(w["E"][tokens])
+    x = (embedded @ np.vstack((w["W"], w["b"]))).reshape(*ids.shape, 3 * H)
     states, last, tape = _gru(x, h, reset, w["U"], True)
     flat, want = states.reshape(-1, H), target.reshape(-1)
     live = np.flatnonzero(want >= 0)
-    s, want = flat[live], want[live]
-    scale = np.float32(1 / max(1, len(live)))
-    cls = _classes(vocab, want)
-    p = _softmax(s @ w["C"] + w["c"])
-    p[np.arange(len(cls)), cls] -= 1
-    p *= scale
-    grad = {k: np.zeros_like(v) for k, v in w.items()}
-    grad["C"], grad["c"] = s.T @ p, p.sum(axis=0)
+    scale = x.dtype.type(1 / max(1, len(live)))
+    cls = _classes(vocab, want[live])
+    order = np.argsort(cls, kind="stable")  # places of a class lie together
+    cls, live = cls[order], live[order]
+    edges = np.searchsorted(cls, np.arange(vocab.n_classes + 1)).tolist()
+    s, want = _and_one(flat[live]), want[live]
+    C, O = np.vstack((w["C"], w["c"])), np.vstack((w["O"], w["o"]))
+    p, total = _exp(s @ C, _wide(C))
+    p *= (scale / total)[:, None]
+    p[np.arange(len(cls)), cls] -= scale
+    grad, of_C, of_O = {}, s.T @ p, np.zeros_like(O)
     ds = p @ w["C"].T
-    order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(vocab.n_classes + 1)).tolist()
-    by_class, target_of, ds_of = s[order], want[order], np.zeros_like(s)
+    wide = _wide(O)
     for k, part in enumerate(_members(vocab)):
         a, b = edges[k], edges[k + 1]
         if b > a and part.stop - part.start > 1:
-            mine, out = by_class[a:b], w["O"][:, part]
-            q = _softmax(mine @ out + w["o"][part])
-            q[np.arange(b - a), target_of[a:b] - part.start] -= 1
-            q *= scale
-            grad["O"][:, part], grad["o"][part] = mine.T @ q, q.sum(axis=0)
-            ds_of[a:b] = q @ out.T
-    ds[order] += ds_of
+            mine = s[a:b]
+            q, total = _exp(mine @ O[:, part], wide)
+            q *= (scale / total)[:, None]
+            q[np.arange(b - a), want[a:b] - part.start] -= scale
+            of_O[:, part] = mine.T @ q
+            ds[a:b] += q @ w["O"][:, part].T
+    grad["C"], grad["c"], grad["O"], grad["o"] = of_C[:-1], of_C[-1], of_O[:-1], of_O[-1]
     back = np.zeros_like(flat)
     back[live] = ds
     back = back.reshape(states.shape)
     before, z, r, n, gn = tape
     # a step's gates' gradients are these shares of its state's gradient
-    share = np.empty((*x.shape[:2], 3, H), x.dtype)
-    share[:, :, 2] = (1 - z) * (1 - n * n)
-    share[:, :, 0] = (before - n) * z * (1 - z)
-    share[:, :, 1] = share[:, :, 2] * gn * r * (1 - r)
-    to_input = share[:, :, 2].copy()
-    share[:, :, 2] *= r
-    d, dh, back_u, resets = np.empty_like(z), np.zeros_like(h), w["U"].T.copy(), reset.any(axis=1)
+    share = np.empty((3, *z.shape), x.dtype)
+    np.multiply(1 - z, 1 - n * n, out=share[2])
+    np.multiply((before - n) * z, 1 - z, out=share[0])
+    np.multiply(share[2] * gn, r * (1 - r), out=share[1])
+    to_input = share[2].copy()
+    share[2] *= r
+    dh, resets = np.zeros_like(h), reset.any(axis=1)
+    back_u = np.ascontiguousarray(w["U"].reshape(H, 3, H).transpose(1, 2, 0))
     for t in range(len(ids) - 1, -1, -1):
-        d[t] = dh + back[t]
-        share[t] *= d[t][:, None]
-        dh = d[t] * z[t] + share[t].reshape(len(dh), 3 * H) @ back_u
+        d, now = back[t], share[:, t]
+        d += dh
+        now *= d
+        dh = np.add.reduce(now @ back_u, axis=0)
+        dh += d * z[t]
         if resets[t]:
             dh[reset[t]] = 0
-    grad["U"] = before.reshape(-1, H).T @ share.reshape(-1, 3 * H)
-    share[:, :, 2] = to_input * d
-    dx = share
-    dx = dx.reshape(-1, 3 * H)
-    # sums of the projected inputs by token, then through the projection
-    by_token = np.zeros((len(w["E"]), 3 * H), np.float32)
-    order = np.argsort(ids.reshape(-1), kind="stable")
-    tokens = ids.reshape(-1)[order]
+    flat = share.reshape(3, -1, H)
+    grad["U"] = np.concatenate(list(before.reshape(-1, H).T @ flat), axis=1)
+    np.multiply(to_input, back, out=share[2])
+    of_W = np.concatenate(list(embedded.T @ flat), axis=1)
+    grad["W"], grad["b"] = of_W[:-1], of_W[-1]
+    of_input = np.add.reduce(flat @ w["W"].reshape(-1, 3, H).transpose(1, 2, 0), axis=0)
+    # sums by token
+    grad["E"] = np.zeros_like(w["E"])
+    order = np.argsort(tokens, kind="stable")
+    tokens = tokens[order]
     first = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
-    by_token[tokens[first]] = np.add.reduceat(dx[order], first, axis=0)
-    grad["W"], grad["b"] = w["E"].T @ by_token, by_token.sum(axis=0)
-    grad["E"] = by_token @ w["W"].T
+    grad["E"][tokens[first]] = np.add.reduceat(of_input[order], first, axis=0)
     return grad, last
 
 
-class TokenIds(dict):
-    """Token ids by word; those of rare words are kept as they are met."""
+class TokenIds:
+    """Token ids of texts: of the network's words, and by spelling group."""
 
     def __init__(self, vocab: Vocabulary):
-        super().__init__(vocab.ids)
-        self.ids = vocab.ids
+        self.words = vocab.words
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > COUNTER_WORDS:
-            self.clear()
-            self.update(self.ids)
-        out = self[word] = len(self.ids) + group_of(word)
-        return out
+    def of(self, words: pa.Array) -> np.ndarray:
+        found = pc.index_in(words, value_set=self.words)
+        ids = found.fill_null(0).to_numpy().copy()
+        rare = found.is_null()
+        ids[rare.to_numpy(zero_copy_only=False)] = len(self.words) + groups_of(words.filter(rare))
+        return ids
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+    def of_texts(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        for sizes, words in split_words(texts):
+            yield from np.split(self.of(words), np.cumsum(sizes)[:-1])
 
 
 def lanes_of(runs: list[np.ndarray], lanes: int, end: int):
@@ -350,21 +400,36 @@ def lanes_of(runs: list[np.ndarray], lanes: int, end: int):
     return ids.T, target.T, reset.T, owner.T
 
 
+def learner(w: dict) -> tuple[dict, dict]:
+    """A copy of the weights as parts of one vector, and what Adam keeps for it."""
+    flat = np.concatenate([x.ravel() for x in w.values()])
+    parts = np.split(flat, np.cumsum([x.size for x in w.values()])[:-1])
+    return {k: part.reshape(x.shape) for (k, x), part in zip(w.items(), parts)}, {"t": 0, "w": flat, "m": np.zeros_like(flat), "v": np.zeros_like(flat)}
+
+
 def train_runs(w: dict, vocab: Vocabulary, runs: list[np.ndarray], adam: dict) -> int:
     """Adam steps over the windows of some runs, in place; the tokens seen."""
     ids, target, reset, _ = lanes_of(runs, TRAIN_LANES, vocab.end_id)
     h = np.zeros((ids.shape[1], w["U"].shape[0]), np.float32)
+    m, v, small = adam["m"], adam["v"], np.float32(1e-8)
     for a in range(0, len(ids), STEPS):
         part = slice(a, a + STEPS)
         grad, h = gradients(w, vocab, ids[part], target[part], reset[part], h)
-        size = float(np.sqrt(sum(float((g * g).sum()) for g in grad.values())))
+        g = np.concatenate([grad[k].ravel() for k in w])
+        g /= np.float32(max(1.0, float(np.sqrt(g @ g))))
         adam["t"] += 1
         rate = RATE * np.sqrt(1 - 0.999 ** adam["t"]) / (1 - 0.9 ** adam["t"])
-        for k, g in grad.items():
-            g = g / max(1.0, size)
-            m = adam[k][0] = adam[k][0] * np.float32(0.9) + g * np.float32(0.1)
-            v = adam[k][1] = adam[k][1] * np.float32(0.999) + g * g * np.float32(0.001)
-            w[k] -= np.float32(rate) * m / (np.sqrt(v) + np.float32(1e-8))
+        m *= np.float32(0.9)
+        m += g * np.float32(0.1)
+        v *= np.float32(0.999)
+        g *= g
+        g *= np.float32(0.001)
+        v += g
+        step = np.sqrt(v, out=g)
+        step += small
+        np.divide(m, step, out=step)
+        step *= np.float32(rate)
+        adam["w"] -= step
     return int((target >= 0).sum())
 
 
@@ -387,13 +452,12 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> dict[str,
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             drop_held()
             first, v = sent.value
-            own = {k: x.copy() for k, x in first.items()}
-            adam = {k: [np.zeros_like(x), np.zeros_like(x)] for k, x in own.items()} | {"t": 0}
+            own, adam = learner(first)
             ids = TokenIds(v)
             seen, runs, tokens, longest = 0, [], 0, 1024
             for batch in batches:
-                for text in batch.column("_text"):
-                    runs.append(ids.of(words_of(text.as_py())))
+                for found in ids.of_texts(batch.column("_text")):
+                    runs.append(found)
                     tokens += len(runs[-1]) + 1
                     longest = max(longest, len(runs[-1]) + 1)
                     # the longest text is a lane, and the others fill the rest
@@ -403,7 +467,7 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> dict[str,
             if runs:
                 seen += train_runs(own, v, runs, adam)
             if seen:
-                flat = np.concatenate([own[k].ravel() for k in names]).astype(np.float64)
+                flat = adam["w"].astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * seen), pa.array(np.full(len(flat), float(seen)))], ["pos", "value", "weight"]
                 )
@@ -422,25 +486,31 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> dict[str,
 class Counts:
     """Counts and token ids of the words of a block, by place in two arrays."""
 
-    def __init__(self, vocab: Vocabulary, words: list[bytes], n: np.ndarray, groups: list[int | None]):
-        get, first = vocab.ids.get, len(vocab.ids)
-        self.place = dict(zip(words, range(len(words))))
-        self.n = n.astype(np.float64)
-        self.ids = np.array(
-            [vocab.end_id if w == END else i if (i := get(w, -1)) >= 0 else first + (group_of(w) if g is None else g) for w, g in zip(words, groups)], np.int64
-        )
+    def __init__(self, vocab: Vocabulary, words: pa.Array, n: np.ndarray):
+        self.words, self.n = words, n.astype(np.float64)
+        self.ids = TokenIds(vocab).of(words)
+        self.end = pc.index(words, pa.scalar(END, pa.binary())).as_py()
+        self.ids[self.end] = vocab.end_id
 
     @classmethod
     def of(cls, vocab: Vocabulary, counts: dict[bytes, int]) -> "Counts":
-        return cls(vocab, list(counts), np.array(list(counts.values())), [None] * len(counts))
+        return cls(vocab, pa.array(list(counts), pa.binary()), np.array(list(counts.values())))
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        return pc.index_in(words, value_set=self.words).to_numpy()
 
 
 def score_texts(w: dict, vocab: Vocabulary, texts: Iterable[list[bytes]], counts: Counts):
+    """``score_places`` of texts given by their words."""
+    return score_places(w, vocab, (counts.places(pa.array(words, pa.binary())) for words in texts), counts)
+
+
+def score_places(w: dict, vocab: Vocabulary, texts: Iterable[np.ndarray], counts: Counts):
     """Per text: tokens, known tokens, base score, model score (log10).
-    ``counts`` has every word of the texts and the end. Words are turned into
-    numbers text by text, so only one text's words are in memory."""
+    ``counts`` has every word of the texts and the end; a text is given by the
+    places of its words there."""
     denominator = np.log10(vocab.total + 0.1 * (vocab.distinct + 1))
-    end, first = counts.place[END], len(vocab.ids)
+    end, first = counts.end, len(vocab.ids)
     # the share of a word inside its spelling group; 0 for words of the network
     logs = np.log10(counts.n + 0.1)
     rare = (counts.ids >= first) & (counts.ids < vocab.end_id)
@@ -448,10 +518,9 @@ def score_texts(w: dict, vocab: Vocabulary, texts: Iterable[list[bytes]], counts
     share[rare] = logs[rare] - vocab.group_log[counts.ids[rare] - first]
     seen, small = counts.n > 0, counts.ids.astype(np.int32)
     runs, known, base, model = [], [], [], []
-    for words in texts:
-        at = np.fromiter(map(counts.place.__getitem__, words), np.int64, len(words))
+    for at in texts:
         known.append(int(seen[at].sum()) + int(seen[end]))
-        base.append(float(logs[at].sum() + logs[end] - (len(words) + 1) * denominator))
+        base.append(float(logs[at].sum() + logs[end] - (len(at) + 1) * denominator))
         model.append(float(share[at].sum()))
         runs.append(small[at])
     tokens = np.array([len(r) + 1 for r in runs], np.int64)
@@ -482,15 +551,15 @@ def score(docs: DataFrame, w: dict, vocab: Vocabulary, counts: DataFrame) -> Dat
     ).repartition("_block")
 
     def needed(rows: pa.Table) -> pa.Table:
-        words: set[bytes] = {END}
-        for text in rows["_text"]:
-            words.update(words_of(text.as_py()))
-        return pa.table({"_block": pa.array([rows["_block"][0].as_py()] * len(words), pa.int32()), "word": pa.array(list(words), pa.binary())})
+        found = [words.unique() for _, words in split_words(rows["_text"])]
+        words = pa.concat_arrays([pa.array([END], pa.binary()), *found]).unique()
+        return pa.table({"_block": pa.repeat(rows["_block"][0], len(words)), "word": words})
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         weights, v = sent.value
-        counts_ = Counts(v, right["word"].to_pylist(), right["n"].to_numpy(), right["grp"].to_pylist())
-        tokens, known, base, model = score_texts(weights, v, (words_of(t.as_py()) for t in left["_text"]), counts_)
+        counts_ = Counts(v, right["word"].combine_chunks(), right["n"].to_numpy())
+        places = (at for sizes, words in split_words(left["_text"]) for at in np.split(counts_.places(words), np.cumsum(sizes)[:-1]))
+        tokens, known, base, model = score_places(weights, v, places, counts_)
         return pa.table(
             {
                 "doc_id": left["doc_id"], "held_out": left["held_out"], "n_tokens": pa.array(tokens), "n_known": pa.array(known, pa.int64()),
@@ -499,7 +568,7 @@ def score(docs: DataFrame, w: dict, vocab: Vocabulary, counts: DataFrame) -> Dat
         )
 
     words = placed.groupBy("_block").applyInArrow(needed, "_block int, word binary")
-    found = words.join(counts.select("word", "n", "grp"), "word", "left").select("_block", "word", F.coalesce("n", F.lit(0)).alias("n"), "grp")
+    found = words.join(counts.select("word", "n"), "word", "left").select("_block", "word", F.coalesce("n", F.lit(0)).alias("n"))
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     return placed.groupBy("_block").cogroup(found.groupBy("_block")).applyInArrow(scored, schema)
 

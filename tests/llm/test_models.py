@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -295,3 +296,28 @@ def test_pipeline_stages_on_odd_rows(spark, docs, folder):
         for _, stage in corpus_pipeline.STAGES:
             rows = corpus_pipeline.staged(spark, stage(spark, rows, str(folder)), "odd")
         assert set(docs.columns) <= set(rows.columns)
+
+
+def test_words_and_groups_of_a_column_are_as_by_word():
+    """Odd bytes, blanks and marks, in parts of a column; no word of its own is made."""
+    rng = np.random.RandomState(5)
+    letters = ["a", "B", "Z", ".", ",", "!", " ", "\t", "\x0b", "\x0c", "\r\n", "\x1c", "\x85", "\xa0", *"äöüßñíóúáèêçàâùîôÃé漢🙂"]
+    texts = [None, b"", b"   ", b"\xc3", b"a\xc3 \xa4b \xc3 \xb1", b"\xff\xfe x", *("".join(rng.choice(letters, n)).encode() for n in rng.randint(0, 60, 300))]
+    column = pa.array(texts, pa.binary())
+    with pytest.MonkeyPatch.context() as patch:
+        for size in (1 << 20, 40):
+            patch.setattr(recurrent_lm, "BLOCK_BYTES", size)
+            for c, some in ((column, texts), (column.slice(4, 200), texts[4:204]), (pa.chunked_array([column, column]), texts * 2)):
+                parts = list(recurrent_lm.split_words(c))
+                words = [w for _, flat in parts for w in flat.to_pylist()]
+                assert words == [w for t in some for w in recurrent_lm.words_of(t)]
+                assert [n for sizes, _ in parts for n in sizes.tolist()] == [len(recurrent_lm.words_of(t)) for t in some]
+                assert [g for _, flat in parts for g in recurrent_lm.groups_of(flat).tolist()] == [plain_group(w) for w in words]
+    assert not len(recurrent_lm.groups_of(pa.array([], pa.binary())))
+
+
+def plain_group(word):
+    end = {ord("."): 1, ord(","): 2, ord("!"): 3, ord("?"): 3}.get(word[-1], 0)
+    n = len(word) - (end > 0)
+    mark = 0 if word.isascii() else next((k + 1 for k, m in enumerate(recurrent_lm._MARKS) if any(m[i : i + 2] in word for i in range(0, len(m), 2))), 4)
+    return (end * 5 + mark) * 3 + (0 if n <= 4 else 1 if n <= 9 else 2)
