@@ -55,6 +55,8 @@ TASK_BYTES = 2 << 20
 GROUP_TOKENS = 1 << 21
 RATE = 0.01
 BLOCK_BYTES = 24 << 20
+#: Text that is split into words at a time, and of which words are counted at a time.
+SPLIT_BYTES, COUNTED_BYTES = 4 << 20, 24 << 20
 END = b"\n"
 
 _ENDS = {46: 1, 44: 2, 33: 3, 63: 3}
@@ -81,12 +83,12 @@ def _buffers(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return edges, np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
 
 
-def split_words(texts: pa.Array | pa.ChunkedArray) -> Iterator[tuple[np.ndarray, pa.Array]]:
-    """The words of a column of texts, about ``BLOCK_BYTES`` of text at a time: how
+def split_words(texts: pa.Array | pa.ChunkedArray, at_once: int | None = None) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """The words of a column of texts, about ``SPLIT_BYTES`` of text at a time: how
     many each text has, and all of them one after another."""
     for chunk in texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]:
         chunk = chunk.cast(pa.binary()).fill_null(b"")
-        size = np.cumsum(pc.binary_length(chunk).to_numpy(zero_copy_only=False), dtype=np.int64) // BLOCK_BYTES
+        size = np.cumsum(pc.binary_length(chunk).to_numpy(zero_copy_only=False), dtype=np.int64) // (at_once or SPLIT_BYTES)
         cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), len(chunk)]
         for a, b in zip(cuts, cuts[1:]):
             # bytes are viewed as text, as the functions for words ask for; none looks beyond ASCII
@@ -156,7 +158,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         ends = 0
         for batch in batches:
             ends += batch.num_rows
-            for _, words in split_words(batch.column("_text")):
+            for _, words in split_words(batch.column("_text"), COUNTED_BYTES):
                 counts = pc.value_counts(words)
                 yield rows_of(counts.field("values"), counts.field("counts"), groups_of(counts.field("values")))
         if ends:

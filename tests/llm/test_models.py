@@ -306,7 +306,7 @@ def test_words_and_groups_of_a_column_are_as_by_word():
     column = pa.array(texts, pa.binary())
     with pytest.MonkeyPatch.context() as patch:
         for size in (1 << 20, 40):
-            patch.setattr(recurrent_lm, "BLOCK_BYTES", size)
+            patch.setattr(recurrent_lm, "SPLIT_BYTES", size)
             for c, some in ((column, texts), (column.slice(4, 200), texts[4:204]), (pa.chunked_array([column, column]), texts * 2)):
                 parts = list(recurrent_lm.split_words(c))
                 words = [w for _, flat in parts for w in flat.to_pylist()]
