@@ -56,7 +56,7 @@ GROUP_TOKENS = 1 << 21
 RATE = 0.01
 BLOCK_BYTES = 24 << 20
 #: Text that is split into words at a time, and of which words are counted at a time.
-SPLIT_BYTES, COUNTED_BYTES = 4 << 20, 24 << 20
+SPLIT_BYTES, COUNTED_BYTES = 4 << 20, 8 << 20
 END = b"\n"
 
 _ENDS = {46: 1, 44: 2, 33: 3, 63: 3}
