@@ -133,10 +133,11 @@ class Model:
 
     def __init__(self, counts: DataFrame):
         self.grams, self.contexts, self.discounts = {}, {}, {}
-        grams = counts
+        spark, grams = counts.sparkSession, counts
         for k in range(ORDER, 0, -1):
             if k < ORDER:
-                grams = grams.groupBy(low_order(F.col("g"), k).alias("g")).agg(F.count(F.lit(1)).alias("n"))
+                # written: else every table that an order is read for derives it from the counts anew
+                grams = staged(spark, grams.groupBy(low_order(F.col("g"), k).alias("g")).agg(F.count(F.lit(1)).alias("n")), f"grams{k}")
             one = lambda cond: F.sum(F.when(cond, 1).otherwise(0))
             self.grams[k] = grams
             self.contexts[k] = grams.groupBy(F.shiftright("g", BITS).alias("h")).agg(
@@ -227,9 +228,12 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Da
     per row; ``peak`` is without what its length adds."""
     spark = ship(docs.sparkSession)
     ids = staged(spark, trusted_ids(labels), "trusted")
-    model = Model(staged(spark, gram_counts(docs, ids), "grams"))
+    grams = staged(spark, gram_counts(docs, ids), "grams")
+    release(spark)
+    model = Model(grams)
     release(spark)
     scored = staged(spark, cross_entropy(docs, model), "entropy")
+    release(spark)
     mean = F.col("nats") / F.col("n_symbols")
     held = scored.join(ids.filter("held_out").select("doc_id"), "doc_id", "left_semi")
     every = held.withColumn("lang", F.lit(None).cast("string")).withColumn("all", F.lit(True)).unionByName(held.withColumn("all", F.lit(False)).filter("lang is not null"))

@@ -153,6 +153,16 @@ def postings(classes: DataFrame, t: int) -> DataFrame:
     return shared.withColumn("width", F.size("keys") - t + 1)
 
 
+def with_components(posted: DataFrame, sized: DataFrame | None) -> DataFrame:
+    """``posted`` with the component of each class and its size, from ``sized`` (node,
+    label, size); a class that is not there, or with no links yet (``None``) any, is
+    a component of its own."""
+    if sized is None:
+        return posted.withColumn("label", F.col("node")).withColumn("size", F.lit(1).cast("long"))
+    rows = posted.join(sized, "node", "left")
+    return rows.withColumn("label", F.coalesce("label", "node")).withColumn("size", F.coalesce("size", F.lit(1).cast("long")))
+
+
 def in_lists(posted: DataFrame) -> DataFrame:
     return posted.withColumn("key", F.explode(F.expr("slice(keys, 1, width)")))
 
@@ -274,7 +284,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, num: int = 80, den:
         ).select("node", "n", "sig", F.col("least.doc_id").alias("doc_id"), F.col("least.text_hash").alias("text_hash")),
         "classes",
     )
+    release(spark)
     posted = staged(spark, postings(classes, t), "postings")
+    release(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
 
     # a class that shares fewer than T lists has no partner; of the others, one text each
@@ -285,16 +297,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, num: int = 80, den:
     posted = staged(spark, linkable(posted, fetched, shingle_words, num, den), "linkable")
     release(spark)
 
-    def lists_now() -> DataFrame:
-        """The prefix lists with the component of each member and its size."""
-        named = posted.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-        return in_lists(named.join(sizes, "label", "left").withColumn("size", F.coalesce("size", F.lit(1))))
-
     labels = classes.select("node", F.col("node").alias("label")).limit(0)
-    joined = tried = None
+    joined = tried = sized = None
     for turn in range(STAR_TURNS + 1):
-        fresh = residual_pairs(lists_now(), t, num, den) if turn == STAR_TURNS else star_pairs(lists_now(), t, num, den, turn)
+        lists = in_lists(with_components(posted, sized))
+        fresh = residual_pairs(lists, t, num, den) if turn == STAR_TURNS else star_pairs(lists, t, num, den, turn)
         fresh, pairs = staged_count(spark, fresh.join(tried, ["a", "b"], "left_anti") if tried is not None else fresh, "pairs")
         release(spark)
         if not pairs:
@@ -305,6 +312,10 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, num: int = 80, den:
         if found:
             labels = joined = extended(spark, joined, links)
             release(spark)
+            if turn < STAR_TURNS:
+                sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+                sized = staged(spark, labels.join(sizes, "label").select("node", "label", "size"), "sized")
+                release(spark)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node"))
     named = classes.select("node", "doc_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     heads = named.groupBy("label").agg(least.alias("least"))

@@ -75,6 +75,22 @@ def test_pairs_of_large_groups_stay_linear(spark, monkeypatch, changed, together
     assert sum(seen) <= 4 * len(rows)
 
 
+def test_sizes_of_components_are_counted_once(spark, monkeypatch):
+    """The lists that a turn reads several times join the components as they were written."""
+    plans, made = [], near_dedup.star_pairs
+
+    def star_pairs(lists, *args):
+        plans.append(lists._jdf.queryExecution().optimizedPlan().toString())
+        return made(lists, *args)
+
+    monkeypatch.setattr(near_dedup, "star_pairs", star_pairs)
+    rows = random_docs(3)
+    assert near_rows(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 60, 100) == plain_components(rows, 3, 60, 100)
+    assert "Join" in plans[-1]
+    for plan in plans:
+        assert plan.count("Join") <= 1 and "Aggregate" not in plan
+
+
 def test_components_of_odd_rows(docs):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     assert near_rows(docs, 5, 80, 100) == plain_components(rows, 5, 80, 100)

@@ -191,6 +191,14 @@ def test_probabilities_equal_plain_kneser_ney(spark):
     assert abs(sum(p(start | c) for c in range(kneser_ney.ALPHABET)) - 1) < 1e-9
 
 
+def test_an_order_is_derived_once(spark):
+    """A job that reads all orders sums up the contexts only: the lower orders are there."""
+    rows = spark.createDataFrame([(1, "some words of a text"), (2, "words of another one")], "doc_id bigint, text string")
+    model = kneser_ney.Model(kneser_ney.gram_counts(rows, rows.select("doc_id", F.lit(False).alias("held_out"))))
+    for k in range(1, kneser_ney.ORDER):
+        assert "Aggregate" not in model.grams[k]._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_decisions_equal_a_plain_version(spark):
     """Bounds from held-out trusted texts, per language, drawn towards the common ones."""
     rng = np.random.default_rng(9)
