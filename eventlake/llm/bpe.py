@@ -33,12 +33,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.llm.common import held, ship, table
+from eventlake.llm.common import held, in_slices, ship, table
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Words up to so many bytes are merged by scanning, longer ones with a heap.
 SHORT = 64
 CACHE_WORDS = 400_000
+#: Text of which ids and columns are made at a time.
+SLICE_BYTES = 4 << 20
 MAX_VOCABULARY_BYTES = 64 << 20
 
 # Fixed value: the published pattern that splits text before byte-level merges,
@@ -284,7 +286,7 @@ def encode(docs: DataFrame, path: str | None = None, ids: bool = True) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(sent, key)
-        for batch in batches:
+        for batch in in_slices(batches, "text", SLICE_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             coded = list(codec.encode_batch(texts))
             plain = [hashlib.sha256(codec.decode(c).encode()).hexdigest() for c in coded]

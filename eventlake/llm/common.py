@@ -7,6 +7,7 @@ executors share) and read again; nothing is kept on one machine.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -16,6 +17,8 @@ from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,13 +37,33 @@ def held(key, build):
     worker serves all operators of an application in turn, so another key, or
     ``drop_held``, lets go of the one before."""
     if key not in _HELD:
-        _HELD.clear()
+        drop_held()
         _HELD[key] = build()
     return _HELD[key]
 
 
 def drop_held() -> None:
+    """Nothing is held any more, and what it took goes back to the machine: Arrow
+    and the C library keep freed memory for themselves, and an idle worker would
+    have it beside the executor's heap as long as the application runs."""
+    if not _HELD:
+        return
     _HELD.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc only
+        trim(0)
+
+
+def in_slices(batches: Iterator[pa.RecordBatch], column: str, at_once: int) -> Iterator[pa.RecordBatch]:
+    """All rows in their order, about ``at_once`` bytes of the text column (or one
+    row) at a time: what a task makes of a batch is as large as its texts are."""
+    for batch in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // at_once
+        cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
 
 
 @contextmanager

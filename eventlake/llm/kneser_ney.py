@@ -103,6 +103,7 @@ def gram_counts(docs: DataFrame, ids: DataFrame) -> DataFrame:
             g, n = np.unique(np.concatenate(parts), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(n, pa.int64())], ["g", "n"])
 
+        drop_held()
         parts, size = [], 0
         for batch in batches:
             for text in batch.column("_text"):

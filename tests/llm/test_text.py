@@ -3,14 +3,16 @@
 import hashlib
 import math
 import random
+import resource
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from eventlake.llm import bpe, decontamination, site_tree
+from eventlake.llm import bpe, common, decontamination, site_tree
 
 
 def plain_hits(words, items, window=13):
@@ -264,3 +266,33 @@ def test_branches_alike_on_every_page_go(spark, sent):
         else:
             assert r["text"] == ""
     assert site_tree.extract(df.limit(0)).count() == 0
+
+
+def test_what_a_worker_lets_go_of_goes_back_to_the_machine():
+    last = []
+
+    def build():
+        rows = [b"x" * (2000 + i % 7) for i in range(100_000)]
+        last.append(rows[-1])  # what stays lies above what is let go of
+        return rows
+
+    common.drop_held()
+    common.held("large", build)
+    before = resident_mb()
+    common.drop_held()
+    assert before - resident_mb() > 150
+
+
+def resident_mb():
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * resource.getpagesize() / 1e6
+
+
+@pytest.mark.parametrize("at_once", [1, 40, 10_000])
+def test_slices_are_all_rows_in_order(at_once):
+    texts = ["a" * 30, None, "", "é" * 100, *["b"] * 50, None]
+    batch = pa.record_batch({"k": pa.array(range(len(texts))), "text": pa.array(texts, pa.string())})
+    got = list(common.in_slices(iter([batch, batch.slice(0, 0), batch.slice(2)]), "text", at_once))
+    rows = [(r["k"], r["text"]) for b in got for r in b.to_pylist()]
+    assert rows == [*enumerate(texts), *list(enumerate(texts))[2:]]
+    assert all(b.num_rows == 1 or sum(len((t or "").encode()) for t in b.column("text").to_pylist()[1:]) <= at_once for b in got)
